@@ -14,8 +14,6 @@ from refinery.functions.geo import EARTH_RADIUS_KM, haversine_km
 DEFAULT_COUNTY = "Oslo county"
 DEFAULT_STATE = "Norway"
 
-KM_PER_DEGREE = 2 * math.pi * EARTH_RADIUS_KM / 360.0
-
 
 def add_datekeys(df: DataFrame, columns: list[str]) -> DataFrame:
     """Add ``<col>_datekey`` (int yyyyMMdd) for each timestamp column."""
@@ -41,68 +39,44 @@ def add_geography(df: DataFrame, places: DataFrame | None = None, *,
         *df.columns, "county", "state")
 
 
-def _cells_per_band(band: Column, cell_deg: float, radius_km: float) -> Column:
-    """Number of longitude cells in latitude band ``band`` (same expression on
-    both sides of the join, so both agree to the bit).
-
-    Two points within ``radius_km`` whose latitudes are at most ``phi`` in
-    absolute value differ in longitude by at most
-    ``2·asin(sin(r / 2R) / cos(phi))`` (from the haversine formula, since
-    hav(d) >= cos(phi1)·cos(phi2)·hav(dlon)).  ``phi`` is the largest
-    |latitude| in this band and its two neighbours, so a cell is never
-    narrower than that span and a point's matches lie in its own cell or
-    the next one on each side.  Near the poles the band is one cell.
-    """
-    lo = F.abs(band.cast("double") * cell_deg - 90.0 - cell_deg)
-    hi = F.abs((band.cast("double") + 2.0) * cell_deg - 90.0)
-    phi = F.least(F.lit(90.0), F.greatest(lo, hi))
-    s = F.lit(math.sin(radius_km / (2 * EARTH_RADIUS_KM))) / F.cos(F.radians(phi))
-    span = F.when(s >= 1.0, F.lit(360.0)).otherwise(F.degrees(F.asin(s)) * 2.0)
-    n = F.floor(F.lit(360.0) / span)
-    return F.when(n < 3, F.lit(1)).otherwise(n).cast("int")
-
-
-def _cell(lon: Column, n: Column) -> Column:
-    return F.pmod(F.floor((lon + 180.0) / (F.lit(360.0) / n)).cast("int"), n)
+def _unit_vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    phi, lmb = F.radians(lat), F.radians(lon)
+    return F.cos(phi) * F.cos(lmb), F.cos(phi) * F.sin(lmb), F.sin(phi)
 
 
 def nearest_place(points: DataFrame, places: DataFrame, *, radius_km: float = 100.0,
                   latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:
     """Nearest place for each distinct (latitude, longitude) in ``points``.
 
-    A grid equi-join: latitude bands of ``radius_km`` height, each split into
-    as many longitude cells as the radius allows at that latitude (one cell
-    at the poles).  A point probes its band and the two next to it, three
-    cells in each, so every place within the radius is a candidate and the
-    join stays an equi-join on (band, cell) — no cross join.  The winner per
-    point is ``min(struct(distance, place_id, …))``, a partial aggregate.
-    Distances are rounded to 1e-6 km before comparing so ties are stable.
+    A grid equi-join in 3-D: both sides become unit vectors and fall into
+    cubes whose side is the chord of ``radius_km``.  Two points within the
+    radius differ by at most one chord in every coordinate, so their cube
+    indices differ by at most one: a point probes its cube and the 26 next to
+    it, and every place within the radius is a candidate.  The grid has the
+    same density everywhere (no pole or date-line cases) and the join stays
+    an equi-join on three ints — no cross join.  The winner per point is
+    ``min(struct(distance, place_id, …))``; distances are rounded to 1e-6 km
+    before comparing so ties go to the smallest ``place_id``.
     """
-    cell_deg = radius_km / KM_PER_DEGREE
-    n_bands = int(math.ceil(180.0 / cell_deg))
+    side = 2.0 * math.sin(radius_km / (2.0 * EARTH_RADIUS_KM)) * (1.0 + 1e-9)
 
-    def band_of(lat: Column) -> Column:
-        return F.least(F.floor((lat + 90.0) / cell_deg).cast("int"), F.lit(n_bands - 1))
+    def cube(lat: Column, lon: Column) -> list[Column]:
+        return [F.floor(v / side).cast("long") for v in _unit_vector(lat, lon)]
 
     pl = places.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
         F.col("place_id"), F.col("latitude").alias("p_lat"), F.col("longitude").alias("p_lon"),
         F.col("county").alias("p_county"), F.col("state").alias("p_state"))
-    pl = pl.withColumn("band", band_of(F.col("p_lat")))
-    pl = pl.withColumn("cell", _cell(F.col("p_lon"), _cells_per_band(F.col("band"), cell_deg, radius_km)))
+    cx, cy, cz = cube(F.col("p_lat"), F.col("p_lon"))
+    pl = pl.select("*", cx.alias("cx"), cy.alias("cy"), cz.alias("cz"))
 
     lat, lon = F.col(latitude), F.col(longitude)
     pts = points.where(lat.isNotNull() & lon.isNotNull()).select(lat.alias("q_lat"), lon.alias("q_lon")).distinct()
-    probes = []
-    for db in (-1, 0, 1):
-        b = band_of(F.col("q_lat")) + db
-        n = _cells_per_band(b, cell_deg, radius_km)
-        c = _cell(F.col("q_lon"), n)
-        for dc in (-1, 0, 1):
-            probes.append(F.when((b >= 0) & (b < n_bands), F.struct(b.alias("band"), F.pmod(c + dc, n).alias("cell"))))
-    pts = pts.select("q_lat", "q_lon", F.explode(F.array_distinct(F.filter(F.array(*probes), lambda s: s.isNotNull()))).alias("probe"))
-    pts = pts.select("q_lat", "q_lon", "probe.band", "probe.cell")
-
-    cand = pts.join(pl, on=["band", "cell"])
+    qx, qy, qz = cube(F.col("q_lat"), F.col("q_lon"))
+    probes = [F.struct((qx + dx).alias("cx"), (qy + dy).alias("cy"), (qz + dz).alias("cz"))
+              for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
+    pts = pts.select("q_lat", "q_lon", F.inline(F.array(*probes)))
+
+    cand = pts.join(pl, on=["cx", "cy", "cz"])
     dist = F.round(haversine_km(F.col("q_lat"), F.col("q_lon"), F.col("p_lat"), F.col("p_lon")), 6)
     cand = cand.withColumn("distance_km", dist).where(F.col("distance_km") <= radius_km)
     best = cand.groupBy("q_lat", "q_lon").agg(
