@@ -192,13 +192,19 @@ class Tagged:
 def evaluate(df: DataFrame, rules: list[Rule]) -> Tagged:
     """Attach every rule and compute ``dq_reason`` (first failing reason)."""
     columns = list(df.columns)
-    conditions: list[tuple[str, Column]] = []
+    found: dict[int, list[tuple[str, Column]]] = {}
     raw: dict[str, str] = {}
-    for rule in rules:
-        att = rule.attach(df)
+    # Joins run in this order: lookups on other keys first, the own-key
+    # check last, so the tagged rows leave hash-partitioned by their own key
+    # and a following merge on that key needs no further shuffle of them.
+    # Reasons keep the declared order.
+    order = sorted(range(len(rules)), key=lambda i: isinstance(rules[i], UniqueKey))
+    for i in order:
+        att = rules[i].attach(df)
         df = att.df
-        conditions.extend(att.conditions)
+        found[i] = att.conditions
         raw.update(att.raw)
+    conditions = [c for i in range(len(rules)) for c in found[i]]
     if conditions:
         reason = F.coalesce(
             *[F.when(~F.coalesce(cond, F.lit(False)), F.lit(r)) for r, cond in conditions]
