@@ -232,10 +232,10 @@ def scd2_step(name: str, target: str, batch: str, raw: str | None, key: str, col
 AS_OF = ["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"]
 
 
-def scenario_ctes(close_rejected: bool = False) -> str:
+def scenario_ctes(close_rejected: bool = False, with_rsvps: bool = False) -> str:
     """Three batches through teams (SCD1), memberships and events (SCD2).
     Parents of each batch: the accepted teams of the whole data."""
-    ctes = pipeline_ctes("", None, with_rsvps=False)
+    ctes = pipeline_ctes("", None, with_rsvps=with_rsvps)
     tp = "teams_acc"
     for i in (1, 2):
         ctes += "," + pipeline_ctes(f"_{i}", i, teams_parent=tp, with_rsvps=False).strip()
@@ -397,3 +397,33 @@ QUERIES.update({
     "scenario_counts": _scenario_counts(False),
     "scenario_counts_close_rejected": _scenario_counts(True),
 })
+
+# E2 - E5: reporting on the silver tables
+QUERIES.update({
+    "calendar": with_(P + """,
+cal_b AS (SELECT min(cast(responded_at AS date)) lo, max(cast(responded_at AS date)) hi FROM rsvps_acc),
+cal_d AS (SELECT cast(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS date) AS date FROM cal_b WHERE lo IS NOT NULL)""",
+        """SELECT cast(strftime(date, '%Y%m%d') AS int) AS datekey, date, cast(year(date) AS int) AS year,
+        cast(quarter(date) AS int) AS quarter, cast(month(date) AS int) AS month, cast(weekofyear(date) AS int) AS iso_week,
+        cast(isodow(date) AS int) AS iso_day_of_week, cast(day(date) AS int) AS day_of_month,
+        cast(date_trunc('month', date) AS date) AS month_start FROM cal_d"""),
+    "rsvps_last_30_days": with_(P, """SELECT event_rsvp_id, event_id, membership_id, rsvp_status, responded_at,
+        responded_at_datekey FROM rsvps_acc
+        WHERE responded_at > (SELECT max(responded_at) FROM rsvps_acc) - INTERVAL 30 DAY
+          AND responded_at <= (SELECT max(responded_at) FROM rsvps_acc)"""),
+    "rsvp_rolling_30d": with_(P + """,
+daily AS (SELECT e.team_id, cast(r.responded_at AS date) AS date, count(*) AS rows
+          FROM rsvps_acc r JOIN events_acc e ON r.event_id = e.event_id GROUP BY 1, 2)""",
+        """SELECT team_id, cast(strftime(date, '%Y%m%d') AS int) AS datekey, rows,
+        cast(sum(rows) OVER (PARTITION BY team_id ORDER BY date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)
+             AS bigint) AS rows_30d FROM daily"""),
+    "rsvp_trend": with_(P, """SELECT e.team_id, cast(r.responded_at_datekey // 100 AS int) AS month_key, r.rsvp_status,
+        count(*) AS rsvps, count(DISTINCT r.event_id) AS events
+        FROM rsvps_acc r JOIN events_acc e ON r.event_id = e.event_id GROUP BY 1, 2, 3"""),
+    "rsvp_history_check": with_(scenario_ctes(False, with_rsvps=True), """SELECT r.event_rsvp_id, r.membership_id,
+        r.event_id, EXISTS (SELECT 1 FROM events_acc e JOIN mem_s3 v ON v.group_id = e.team_id
+          WHERE e.event_id = r.event_id AND v.membership_id = r.membership_id
+            AND v.system_valid_from <= r.responded_at
+            AND (v.system_valid_to IS NULL OR r.responded_at < v.system_valid_to)) AS member_at_response
+        FROM rsvps_acc r"""),
+})

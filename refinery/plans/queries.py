@@ -37,6 +37,7 @@ from refinery.operators.quality import (
     team_rules,
 )
 from refinery.functions.columns import row_digest
+from refinery.plans.marts import calendar, daily_rolling, member_at_response, monthly_trend, recent
 from refinery.plans.pipelines import (
     KEYS,
     Batch,
@@ -223,6 +224,22 @@ def _scenario_counts(close_rejected: bool) -> Query:
     return q
 
 
+def _with_team(s: Silver) -> DataFrame:
+    return s.rsvps.accepted.join(s.events.accepted.select("event_id", "team_id"), "event_id")
+
+
+def _recent(spark, d):
+    acc = Silver(spark, d).rsvps.accepted
+    return ntz(recent(acc, "responded_at", 30).select(
+        "event_rsvp_id", "event_id", "membership_id", "rsvp_status", "responded_at", "responded_at_datekey"))
+
+
+def _history_check(spark, d):
+    sc = Scenario(spark, d)
+    full = sc.batches[2]
+    return member_at_response(full.rsvps.accepted, full.events.accepted, sc.table("memberships", 3))
+
+
 QUERIES: dict[str, Query] = {
     "bronze_teams": _bronze("teams"),
     "bronze_memberships": _bronze("memberships"),
@@ -263,4 +280,9 @@ QUERIES: dict[str, Query] = {
     "scd2_next_snapshot": lambda s, d: ntz(Scenario(s, d).states["memberships"][2]),
     "scenario_counts": _scenario_counts(False),
     "scenario_counts_close_rejected": _scenario_counts(True),
+    "calendar": lambda s, d: calendar(Silver(s, d).rsvps.accepted, "responded_at"),
+    "rsvps_last_30_days": _recent,
+    "rsvp_rolling_30d": lambda s, d: daily_rolling(_with_team(Silver(s, d)), ["team_id"], "responded_at", 30),
+    "rsvp_trend": lambda s, d: monthly_trend(Silver(s, d).rsvps.accepted, Silver(s, d).events.accepted),
+    "rsvp_history_check": _history_check,
 }
