@@ -137,11 +137,12 @@ def apply_scd1(target: DataFrame, batch: DataFrame, keys: list[str],
 
 
 def _scd2_join(target: DataFrame, accepted: DataFrame, keys: list[str],
-               present: DataFrame | None) -> tuple[DataFrame, list[str]]:
+               present: DataFrame | None, departures: bool = True) -> tuple[DataFrame, list[str]]:
     """Active target rows ⋈ batch on keys (full outer), with a ``change`` label.
 
     ``present`` holds the keys that are still in the source (default: the
-    accepted keys).  It is joined onto the batch side first, so the batch
+    accepted keys).  ``departures=False`` treats the batch as a change set
+    (a stream increment): absent keys are ``kept``, never closed.  It is joined onto the batch side first, so the batch
     side stays hash-partitioned by the keys and only the active rows
     shuffle for the full outer join.
     """
@@ -162,7 +163,7 @@ def _scd2_join(target: DataFrame, accepted: DataFrame, keys: list[str],
         .when(F.col("__b").isNotNull() & (F.col("t_" + HASH) == F.col("b_" + HASH)), F.lit("same"))
         .when(F.col("__b").isNotNull(), F.lit("changed"))
         .when(F.col("__p").isNotNull(), F.lit("held"))
-        .otherwise(F.lit("departed"))
+        .otherwise(F.lit("departed" if departures else "kept"))
     )
     return j.withColumn(CHANGE, change).where(F.col(CHANGE).isNotNull()), cols
 
@@ -180,7 +181,8 @@ def scd2_changes(accepted: DataFrame, target: DataFrame, keys: list[str],
 
 
 def scd2_merge(target: DataFrame, accepted: DataFrame, keys: list[str], as_of=None,
-               present: DataFrame | None = None, append: bool = True) -> DataFrame:
+               present: DataFrame | None = None, append: bool = True,
+               departures: bool = True) -> DataFrame:
     """Next type-2 table (+ ``change``) in one pass.
 
     A superseded version is closed at the new version's ``valid_from``; a
@@ -189,7 +191,7 @@ def scd2_merge(target: DataFrame, accepted: DataFrame, keys: list[str], as_of=No
     open a new version.  ``append=False`` gives the stored table with the
     closings applied and no new versions.
     """
-    j, cols = _scd2_join(target, accepted, keys, present)
+    j, cols = _scd2_join(target, accepted, keys, present, departures)
     ch = F.col(CHANGE)
     closed_at = F.when(ch == "changed", F.col("b_" + VALID_FROM)).otherwise(as_of_column(as_of))
     closing = ch.isin("changed", "departed")

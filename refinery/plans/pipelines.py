@@ -126,16 +126,17 @@ def quarantine(batch: Batch, as_of=None) -> DataFrame:
 
 
 def merge_batch(batch: Batch, target: DataFrame, as_of=None, raw: DataFrame | None = None,
-                close_rejected: bool = False) -> DataFrame:
+                close_rejected: bool = False, departures: bool = True) -> DataFrame:
     """Next silver table (+ ``change`` label) for one batch.
 
     Type 2 closes keys absent from the *raw* batch (``raw``) by default; with
     ``close_rejected`` a key whose row merely failed a check is closed too.
+    ``departures=False``: the batch is a change set, absent keys stay open.
     """
     key = KEYS[batch.table]
     if batch.table in ("memberships", "events"):
         present = None if close_rejected or raw is None else raw.select(key)
-        return scd2_merge(target, batch.accepted, [key], as_of, present)
+        return scd2_merge(target, batch.accepted, [key], as_of, present, departures=departures)
     return scd1_merge(target, batch.accepted, [key])
 
 
