@@ -85,13 +85,18 @@ SCD1_SYS = ["hash_key", "system_created_at", "system_updated_at"]
 SCD2_SYS = ["hash_key", "system_is_active", "system_valid_from", "system_valid_to"]
 
 
-def pipeline_ctes(s: str = "", batch=None, teams_parent: str | None = None, with_rsvps: bool = True) -> str:
-    """CTEs b_*{s}, *_tag{s} (raw + dq_reason), *_acc{s} (stamped silver rows)."""
+def pipeline_ctes(s: str = "", batch=None, teams_parent: str | None = None, with_rsvps: bool = True,
+                  parts: tuple[str, ...] = ("teams", "children"), events_parent: str | None = None,
+                  members_parent: str | None = None) -> str:
+    """CTEs b_*{s}, *_tag{s} (raw + dq_reason), *_acc{s} (stamped silver rows).
+
+    ``parts`` picks the teams block and/or the memberships + events block
+    (+ RSVPs when ``with_rsvps``), so parents defined in between can be used."""
     tp = teams_parent or f"teams_acc{s}"
-    out = f"""
+    ep = events_parent or f"events_acc{s}"
+    mp = members_parent or f"memberships_acc{s}"
+    teams_part = f"""
 b_teams{s} AS ({_b_teams(batch)}),
-b_memberships{s} AS ({_b_memberships(batch)}),
-b_events{s} AS ({_b_events(batch)}),
 teams_tag{s} AS (
   SELECT b.*, CASE
     WHEN team_id IS NULL THEN 'null_key'
@@ -104,7 +109,10 @@ teams_acc{s} AS (
   SELECT *, {digest(TEAM_COLS)} AS hash_key, created_at AS system_created_at, created_at AS system_updated_at
   FROM (SELECT team_id, team_activity, country_code, {TS.format('created_at')} AS created_at,
                {dk(TS.format('created_at'))} AS created_at_datekey
-        FROM teams_tag{s} WHERE dq_reason IS NULL)),
+        FROM teams_tag{s} WHERE dq_reason IS NULL))"""
+    out = f"""
+b_memberships{s} AS ({_b_memberships(batch)}),
+b_events{s} AS ({_b_events(batch)}),
 memberships_tag{s} AS (
   SELECT b.*, CASE
     WHEN membership_id IS NULL THEN 'null_key'
@@ -150,12 +158,12 @@ rsvps_tag{s} AS (
   SELECT b.*, CASE
     WHEN event_rsvp_id IS NULL THEN 'null_key'
     WHEN count(*) OVER (PARTITION BY event_rsvp_id) > 1 THEN 'duplicate_key'
-    WHEN NOT EXISTS (SELECT 1 FROM events_acc{s} e WHERE e.event_id = b.event_id) THEN 'unknown_event_id'
-    WHEN NOT EXISTS (SELECT 1 FROM memberships_acc{s} m WHERE m.membership_id = b.membership_id)
+    WHEN NOT EXISTS (SELECT 1 FROM {ep} e WHERE e.event_id = b.event_id) THEN 'unknown_event_id'
+    WHEN NOT EXISTS (SELECT 1 FROM {mp} m WHERE m.membership_id = b.membership_id)
       THEN 'unknown_membership_id'
     WHEN {TS.format('responded_at')} IS NULL THEN 'bad_timestamp'
     WHEN rsvp_status IS NULL OR rsvp_status NOT BETWEEN 0 AND 3 THEN 'status_range'
-    WHEN NOT EXISTS (SELECT 1 FROM events_acc{s} e JOIN memberships_acc{s} m ON m.group_id = e.team_id
+    WHEN NOT EXISTS (SELECT 1 FROM {ep} e JOIN {mp} m ON m.group_id = e.team_id
                      WHERE e.event_id = b.event_id AND m.membership_id = b.membership_id)
       THEN 'not_team_member' END AS dq_reason
   FROM b_rsvps{s} b),
@@ -165,7 +173,8 @@ rsvps_acc{s} AS (
   FROM (SELECT event_rsvp_id, event_id, membership_id, rsvp_status, {TS.format('responded_at')} AS responded_at,
                {dk(TS.format('responded_at'))} AS responded_at_datekey
         FROM rsvps_tag{s} WHERE dq_reason IS NULL))"""
-    return out
+    chunks = ([teams_part] if "teams" in parts else []) + ([out] if "children" in parts else [])
+    return ",".join(c.rstrip() for c in chunks)
 
 
 def with_(ctes: str, body: str) -> str:
@@ -427,3 +436,54 @@ daily AS (SELECT e.team_id, cast(r.responded_at AS date) AS date, count(*) AS ro
             AND (v.system_valid_to IS NULL OR r.responded_at < v.system_valid_to)) AS member_at_response
         FROM rsvps_acc r"""),
 })
+
+
+def refresh_ctes(batches: tuple = (1, 2)) -> str:
+    """Consecutive refreshes into one store: each batch's parents are the
+    tables as stored by that refresh (teams: all rows; RSVP parents: active)."""
+    ctes = f"""
+teams_r0 AS (SELECT NULL::varchar AS team_id, NULL::varchar AS team_activity, NULL::varchar AS country_code,
+  NULL::timestamp AS created_at, NULL::int AS created_at_datekey, NULL::varchar AS hash_key,
+  NULL::timestamp AS system_created_at, NULL::timestamp AS system_updated_at WHERE false),
+mem_r0 AS (SELECT NULL::varchar AS membership_id, NULL::varchar AS group_id, NULL::varchar AS role_title,
+  NULL::timestamp AS joined_at, NULL::int AS joined_at_datekey, NULL::varchar AS hash_key,
+  NULL::boolean AS system_is_active, NULL::timestamp AS system_valid_from, NULL::timestamp AS system_valid_to
+  WHERE false),
+evt_r0 AS (SELECT NULL::varchar AS event_id, NULL::varchar AS team_id, NULL::timestamp AS event_start,
+  NULL::int AS event_start_datekey, NULL::timestamp AS event_end, NULL::int AS event_end_datekey,
+  NULL::double AS latitude, NULL::double AS longitude, NULL::timestamp AS created_at, NULL::int AS created_at_datekey,
+  NULL::varchar AS county, NULL::varchar AS state, NULL::varchar AS hash_key, NULL::boolean AS system_is_active,
+  NULL::timestamp AS system_valid_from, NULL::timestamp AS system_valid_to WHERE false),
+rsvp_r0 AS (SELECT NULL::varchar AS event_rsvp_id, NULL::varchar AS event_id, NULL::varchar AS membership_id,
+  NULL::bigint AS rsvp_status, NULL::timestamp AS responded_at, NULL::int AS responded_at_datekey,
+  NULL::varchar AS hash_key, NULL::timestamp AS system_created_at, NULL::timestamp AS system_updated_at WHERE false)"""
+    prev = 0
+    for b in batches:
+        s = f"_{b}"
+        ctes += "," + pipeline_ctes(s, b, parts=("teams",)).strip()
+        ctes += scd1_step(f"teams_r{b}_c", f"teams_r{prev}", f"teams_acc{s}", "team_id", TEAM_COLS)
+        ctes += f",\nteams_r{b} AS (SELECT {_cols(TEAM_COLS + SCD1_SYS)} FROM teams_r{b}_c)"
+        ctes += "," + pipeline_ctes(s, b, teams_parent=f"teams_r{b}", parts=("children",), with_rsvps=False).strip()
+        ctes += scd2_step(f"mem_r{b}_c", f"mem_r{prev}", f"memberships_acc{s}", f"b_memberships{s}",
+                          "membership_id", MEM_COLS, AS_OF[b - 1])
+        ctes += f",\nmem_r{b} AS (SELECT {_cols(MEM_COLS + SCD2_SYS)} FROM mem_r{b}_c)"
+        ctes += scd2_step(f"evt_r{b}_c", f"evt_r{prev}", f"events_acc{s}", f"b_events{s}", "event_id", EVT_COLS,
+                          AS_OF[b - 1])
+        ctes += f",\nevt_r{b} AS (SELECT {_cols(EVT_COLS + SCD2_SYS)} FROM evt_r{b}_c)"
+        rs = pipeline_ctes(f"_r{b}", None, parts=("children",), with_rsvps=True,
+                           events_parent=f"(SELECT * FROM evt_r{b} WHERE system_is_active)",
+                           members_parent=f"(SELECT * FROM mem_r{b} WHERE system_is_active)")
+        # only the RSVP block of that chunk is needed
+        ctes += "," + rs[rs.index("b_rsvps"):].strip()
+        ctes += scd1_step(f"rsvp_r{b}_c", f"rsvp_r{prev}", f"rsvps_acc_r{b}", "event_rsvp_id", RSVP_COLS)
+        ctes += f",\nrsvp_r{b} AS (SELECT {_cols(RSVP_COLS + SCD1_SYS)} FROM rsvp_r{b}_c)"
+        prev = b
+    return ctes
+
+
+_R = refresh_ctes((1, 2))
+QUERIES.update({
+    "refresh_memberships": with_(_R, "SELECT * FROM mem_r2"),
+    "refresh_events": with_(_R, "SELECT * FROM evt_r2"),
+    "refresh_rsvps": with_(_R, "SELECT * FROM rsvp_r2"),
+})

@@ -9,6 +9,7 @@ timestamps.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,7 @@ from refinery.functions.columns import row_digest
 from refinery.plans.marts import calendar, daily_rolling, member_at_response, monthly_trend, recent
 from refinery.plans.pipelines import (
     KEYS,
+    refresh,
     Batch,
     events_batch,
     memberships_batch,
@@ -49,7 +51,7 @@ from refinery.plans.pipelines import (
     teams_batch,
 )
 from refinery.sources.fixtures import bronze_tables, places_from_customers
-from refinery.sources.tables import SILVER_SCHEMAS, empty
+from refinery.sources.tables import SILVER_SCHEMAS, SnapshotStore, checkpoint_root, empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,6 +226,17 @@ def _scenario_counts(close_rejected: bool) -> Query:
     return q
 
 
+def _refreshed(table: str) -> Query:
+    """Two consecutive refreshes (scenario batches 1 and 2) into a fresh
+    store under the checkpoint folder; the stored table afterwards."""
+    def q(spark, d):
+        store = SnapshotStore(spark, f"{checkpoint_root(spark)}/refinery-queries/{uuid.uuid4().hex}")
+        for b in (1, 2):
+            refresh(spark, bronze_tables(spark, d, b), store, as_of=AS_OF[b - 1], keep_quarantine=False)
+        return ntz(store.read(table))
+    return q
+
+
 def _with_team(s: Silver) -> DataFrame:
     return s.rsvps.accepted.join(s.events.accepted.select("event_id", "team_id"), "event_id")
 
@@ -285,4 +298,7 @@ QUERIES: dict[str, Query] = {
     "rsvp_rolling_30d": lambda s, d: daily_rolling(_with_team(Silver(s, d)), ["team_id"], "responded_at", 30),
     "rsvp_trend": lambda s, d: monthly_trend(Silver(s, d).rsvps.accepted, Silver(s, d).events.accepted),
     "rsvp_history_check": _history_check,
+    "refresh_memberships": _refreshed("memberships_refined"),
+    "refresh_events": _refreshed("events_refined"),
+    "refresh_rsvps": _refreshed("event_rsvps_refined"),
 }
