@@ -8,6 +8,7 @@ quarantined raw rows.  :func:`refresh` runs them in dependency order
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -144,29 +145,51 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], store: SnapshotSt
             places: DataFrame | None = None, close_rejected: bool = False,
             keep_quarantine: bool = True) -> dict[str, dict[str, int]]:
     """Run the four pipelines against ``store``; returns change counts per
-    table.  A table whose batch changes nothing gets no new snapshot."""
+    table.  A table whose batch changes nothing gets no new snapshot.
+
+    Per table: the tagged batch and the merged table are persisted, the
+    change counts are one small aggregate, and the snapshot write reuses the
+    persisted merge.  The rejected rows of all four tables are appended to
+    ``<root>/quarantine`` in one write at the end.
+    """
     stats: dict[str, dict[str, int]] = {}
+    batches: list[Batch] = []
 
     def step(batch: Batch, raw: DataFrame) -> None:
         silver = SILVER[batch.table]
         target = store.read(silver)
-        batch.tagged.persist()
+        if keep_quarantine:
+            batch.tagged.persist()
         merged = merge_batch(batch, target, as_of, raw, close_rejected).persist(StorageLevel.MEMORY_AND_DISK)
         counts = {r[CHANGE]: r["rows"] for r in change_counts(merged).collect()}
         if counts.get("new", 0) + counts.get("changed", 0) + counts.get("departed", 0) > 0:
             store.write(silver, merged.drop(CHANGE))
-        if keep_quarantine:
-            rej = quarantine(batch, as_of)
-            if not rej.isEmpty():
-                rej.write.mode("append").parquet(f"{store.root}/quarantine")
         merged.unpersist()
-        batch.tagged.unpersist()
+        batches.append(batch)
         stats[batch.table] = counts
 
-    step(teams_batch(bronze["teams"]), bronze["teams"])
-    teams = store.read(SILVER["teams"])
-    step(memberships_batch(bronze["memberships"], teams), bronze["memberships"])
-    step(events_batch(bronze["events"], teams, places), bronze["events"])
-    step(rsvps_batch(bronze["event_rsvps"], store.read(SILVER["memberships"]), store.read(SILVER["events"])),
-         bronze["event_rsvps"])
+    try:
+        step(teams_batch(bronze["teams"]), bronze["teams"])
+        teams = store.read(SILVER["teams"])
+        # memberships and events depend only on teams: submit both as
+        # concurrent Spark jobs (one driver thread each)
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            futures = [
+                pool.submit(lambda: step(memberships_batch(bronze["memberships"], teams), bronze["memberships"])),
+                pool.submit(lambda: step(events_batch(bronze["events"], teams, places), bronze["events"])),
+            ]
+            for f in futures:
+                f.result()
+        batches.sort(key=lambda b: list(SILVER).index(b.table))
+        step(rsvps_batch(bronze["event_rsvps"], store.read(SILVER["memberships"]),
+                         store.read(SILVER["events"])), bronze["event_rsvps"])
+        if keep_quarantine:
+            rejected = None
+            for b in batches:
+                q = quarantine(b, as_of)
+                rejected = q if rejected is None else rejected.unionByName(q)
+            rejected.write.mode("append").parquet(f"{store.root}/quarantine")
+    finally:
+        for b in batches:
+            b.tagged.unpersist()
     return stats

@@ -68,49 +68,80 @@ def ntz(df: DataFrame) -> DataFrame:
 
 
 class Silver:
-    """The four first-load batches of one data directory (lazy)."""
+    """The four first-load batches of one data directory, each built on
+    first use (building a plan has a cost of its own)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, batch: int | None = None,
                  teams_parent: DataFrame | None = None):
         self.bronze = bronze_tables(spark, sf_dir, batch)
-        self.teams = teams_batch(self.bronze["teams"])
-        parent = self.teams.accepted if teams_parent is None else teams_parent
-        self.memberships = memberships_batch(self.bronze["memberships"], parent)
-        self.events = events_batch(self.bronze["events"], parent)
-        self._rsvps: Batch | None = None
+        self._teams_parent = teams_parent
+        self._built: dict[str, Batch] = {}
+
+    def _get(self, name: str, build) -> Batch:
+        if name not in self._built:
+            self._built[name] = build()
+        return self._built[name]
+
+    @property
+    def parent(self) -> DataFrame:
+        return self.teams.accepted if self._teams_parent is None else self._teams_parent
+
+    @property
+    def teams(self) -> Batch:
+        return self._get("teams", lambda: teams_batch(self.bronze["teams"]))
+
+    @property
+    def memberships(self) -> Batch:
+        return self._get("memberships", lambda: memberships_batch(self.bronze["memberships"], self.parent))
+
+    @property
+    def events(self) -> Batch:
+        return self._get("events", lambda: events_batch(self.bronze["events"], self.parent))
 
     @property
     def rsvps(self) -> Batch:
-        if self._rsvps is None:
-            self._rsvps = rsvps_batch(self.bronze["event_rsvps"], self.memberships.accepted, self.events.accepted)
-        return self._rsvps
+        return self._get("rsvps", lambda: rsvps_batch(
+            self.bronze["event_rsvps"], self.memberships.accepted, self.events.accepted))
 
 
 class Scenario:
     """Three batches (FIXTURES.md section 5) through teams (type 1) and
     memberships / events (type 2); parents are the accepted teams of the
-    whole data.  ``states[i]`` is the merged frame (with ``change``) after
-    batch i+1."""
+    whole data.  ``states[t][i]`` is the merged frame (with ``change``) of
+    table t after batch i+1, built on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, close_rejected: bool = False):
+        self.spark = spark
+        self.close_rejected = close_rejected
         full = Silver(spark, sf_dir)
         parent = full.teams.accepted
         self.batches = [Silver(spark, sf_dir, 1, parent), Silver(spark, sf_dir, 2, parent), full]
-        self.states: dict[str, list[DataFrame]] = {}
-        for table in ("teams", "memberships", "events"):
-            target = empty(spark, SILVER_SCHEMAS[f"{table}_refined"])
-            out = []
-            for i, b in enumerate(self.batches):
-                batch: Batch = getattr(b, table)
-                merged = merge_batch(batch, target, AS_OF[i], b.bronze[table], close_rejected)
-                out.append(merged)
-                target = merged.drop(CHANGE)
-            self.states[table] = out
+        self.states = _LazyStates(self)
+
+    def _build(self, table: str) -> list[DataFrame]:
+        target = empty(self.spark, SILVER_SCHEMAS[f"{table}_refined"])
+        out = []
+        for i, b in enumerate(self.batches):
+            batch: Batch = getattr(b, table)
+            merged = merge_batch(batch, target, AS_OF[i], b.bronze[table], self.close_rejected)
+            out.append(merged)
+            target = merged.drop(CHANGE)
+        return out
 
     def table(self, name: str, after: int) -> DataFrame:
         return self.states[name][after - 1].drop(CHANGE)
 
 
+class _LazyStates(dict):
+    def __init__(self, scenario: Scenario):
+        super().__init__()
+        self._scenario = scenario
+
+    def __missing__(self, table: str) -> list[DataFrame]:
+        self[table] = self._scenario._build(table)
+        return self[table]
+
+
 def _bronze(name: str) -> Query:
     return lambda spark, d: bronze_tables(spark, d)[name]
 

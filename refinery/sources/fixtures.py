@@ -16,8 +16,18 @@ from pyspark.sql import functions as F
 SHIPPED = ("region", "nation", "customer", "orders", "lineitem")
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_shipped(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one shipped table.  The DataFrame (file listing and schema)
+    is reused within a session: plans are rebuilt often, the files are
+    read-only."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _s(c: Column) -> Column:
@@ -122,8 +132,20 @@ BRONZE = {
 }
 
 
+class _Bronze(dict):
+    """Bronze frames built on first access."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, batch: int | None):
+        super().__init__()
+        self._args = (spark, sf_dir, batch)
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = BRONZE[name](*self._args)
+        return self[name]
+
+
 def bronze_tables(spark: SparkSession, sf_dir: str, batch: int | None = None) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir, batch) for name, build in BRONZE.items()}
+    return _Bronze(spark, sf_dir, batch)
 
 
 def places_from_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
