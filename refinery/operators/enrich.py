@@ -54,31 +54,38 @@ def nearest_place(points: DataFrame, places: DataFrame, *, radius_km: float = 10
     indices differ by at most one: a point probes its cube and the 26 next to
     it, and every place within the radius is a candidate.  The grid has the
     same density everywhere (no pole or date-line cases) and the join stays
-    an equi-join on three ints — no cross join.  The winner per point is
+    an equi-join on three ints — no cross join.  Pairs are cut by squared
+    chord length before the haversine is evaluated.  The winner per point is
     ``min(struct(distance, place_id, …))``; distances are rounded to 1e-6 km
     before comparing so ties go to the smallest ``place_id``.
     """
     side = 2.0 * math.sin(radius_km / (2.0 * EARTH_RADIUS_KM)) * (1.0 + 1e-9)
 
-    def cube(lat: Column, lon: Column) -> list[Column]:
-        return [F.floor(v / side).cast("long") for v in _unit_vector(lat, lon)]
+    def with_cube(df: DataFrame, lat: str, lon: str, p: str) -> DataFrame:
+        x, y, z = _unit_vector(F.col(lat), F.col(lon))
+        df = df.select("*", x.alias(p + "x"), y.alias(p + "y"), z.alias(p + "z"))
+        return df.select("*", *[F.floor(F.col(p + a) / side).cast("long").alias(p + "c" + a) for a in "xyz"])
 
     pl = places.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
         F.col("place_id"), F.col("latitude").alias("p_lat"), F.col("longitude").alias("p_lon"),
         F.col("county").alias("p_county"), F.col("state").alias("p_state"))
-    cx, cy, cz = cube(F.col("p_lat"), F.col("p_lon"))
-    pl = pl.select("*", cx.alias("cx"), cy.alias("cy"), cz.alias("cz"))
+    pl = with_cube(pl, "p_lat", "p_lon", "p_")
 
     lat, lon = F.col(latitude), F.col(longitude)
     pts = points.where(lat.isNotNull() & lon.isNotNull()).select(lat.alias("q_lat"), lon.alias("q_lon")).distinct()
-    qx, qy, qz = cube(F.col("q_lat"), F.col("q_lon"))
-    probes = [F.struct((qx + dx).alias("cx"), (qy + dy).alias("cy"), (qz + dz).alias("cz"))
+    pts = with_cube(pts, "q_lat", "q_lon", "q_")
+    probes = [F.struct((F.col("q_cx") + dx).alias("p_cx"), (F.col("q_cy") + dy).alias("p_cy"),
+                       (F.col("q_cz") + dz).alias("p_cz"))
               for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
-    pts = pts.select("q_lat", "q_lon", F.inline(F.array(*probes)))
+    pts = pts.select("q_lat", "q_lon", "q_x", "q_y", "q_z", F.inline(F.array(*probes)))
 
-    cand = pts.join(pl, on=["cx", "cy", "cz"])
+    cand = pts.join(pl, on=["p_cx", "p_cy", "p_cz"])
+    # squared chord first (three products), the haversine only for pairs within it
+    chord2 = sum((F.col("q_" + a) - F.col("p_" + a)) * (F.col("q_" + a) - F.col("p_" + a)) for a in "xyz")
+    cand = cand.where(chord2 <= side * side)
     dist = F.round(haversine_km(F.col("q_lat"), F.col("q_lon"), F.col("p_lat"), F.col("p_lon")), 6)
-    cand = cand.withColumn("distance_km", dist).where(F.col("distance_km") <= radius_km)
+    cand = cand.select("q_lat", "q_lon", "place_id", "p_county", "p_state", dist.alias("distance_km"))
+    cand = cand.where(F.col("distance_km") <= radius_km)
     best = cand.groupBy("q_lat", "q_lon").agg(
         F.min(F.struct("distance_km", "place_id", "p_county", "p_state")).alias("w"))
     return best.select(
