@@ -6,15 +6,21 @@ first failing reason (in rule order) to ``dq_reason``.  ``accepted`` is
 ``dq_reason IS NULL`` and ``rejected`` is the rest, so the two outputs are a
 partition of the input by construction (a NULL condition counts as a fail).
 
-Nothing here runs an action.  Rules that need other rows are expressed as
-joins against *distinct keys* (partial aggregation before the shuffle, so a
-hot key is combined map-side), and the join back is an equi-join that AQE
-can turn into a broadcast when the measured key set is small, or split when
-one key is skewed (``spark.sql.adaptive.skewJoin.enabled``).
+Rules that need other rows join against a *keyed set*: the repeated keys
+(UniqueKey) or the distinct parent keys (Lookup / ForeignKey), each a
+partial aggregate, so a hot key is combined map-side.  That set is staged
+(written under ``spark.checkpoint.dir`` and read back, see
+:func:`refinery.sources.tables.stage`) before the join.  Measured, a small
+set is broadcast and the big side is not shuffled at all.  A large one is a
+plain shuffle stage, which is what AQE needs to split a skewed partition of
+the big side (a hot key, or many NULL keys) across tasks: with an aggregate
+directly under the join, AQE leaves such a partition in one task.  Set
+``STAGE_KEY_SETS = False`` to keep everything in one lazy plan instead.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import count
 
@@ -26,6 +32,37 @@ from refinery.functions.columns import parse_timestamp
 REASON = "dq_reason"
 _PREFIX = "__dq"
 _ids = count()
+STAGE_KEY_SETS = True
+# Fixed allowance: in-memory size of a scan versus its (compressed) file size.
+SIZE_ALLOWANCE = 8
+
+
+def _size_bound(df: DataFrame) -> int | None:
+    """Planner size estimate of ``df`` in bytes.  Without cost-based
+    statistics it is an upper bound: file sizes for scans, the child's size
+    for filters and aggregates, products for joins."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # pragma: no cover - non-classic sessions
+        return None
+
+
+def _keyed(df: DataFrame, name: str) -> DataFrame:
+    """Prepare the keyed (small) side of a key rule's join.
+
+    Proven small (size bound × allowance within the broadcast threshold):
+    broadcast it.  Otherwise stage it, so AQE can measure it and split
+    skewed partitions of the other side."""
+    if not STAGE_KEY_SETS:
+        return df
+    spark = df.sparkSession
+    threshold = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("bB") or -1)
+    bound = _size_bound(df)
+    if bound is not None and threshold > 0 and bound * SIZE_ALLOWANCE <= threshold:
+        return F.broadcast(df)
+    from refinery.sources.tables import stage
+
+    return stage(df, name)
 
 
 def _fresh(stem: str) -> str:
@@ -42,8 +79,21 @@ class Attached:
     raw: dict[str, str] = field(default_factory=dict)
 
 
+@dataclass
+class KeySet:
+    """The keyed side of a rule's join, built from the input (or a parent)
+    alone, so all of a rule list's key sets can be staged at once."""
+
+    frame: DataFrame
+    name: str
+    names: dict
+
+
 class Rule:
-    def attach(self, df: DataFrame) -> Attached:  # pragma: no cover - interface
+    def keyset(self, df: DataFrame) -> KeySet | None:
+        return None
+
+    def attach(self, df: DataFrame, keyset: KeySet | None = None) -> Attached:  # pragma: no cover
         raise NotImplementedError
 
 
@@ -56,30 +106,41 @@ class UniqueKey(Rule):
     null_reason: str = "null_key"
     duplicate_reason: str = "duplicate_key"
 
-    def attach(self, df: DataFrame) -> Attached:
-        cols = (self.columns,) if isinstance(self.columns, str) else tuple(self.columns)
-        flag = _fresh("dup")
-        tmp = {c: _fresh(c) for c in cols}
+    def _cols(self) -> tuple[str, ...]:
+        return (self.columns,) if isinstance(self.columns, str) else tuple(self.columns)
+
+    def _not_null(self) -> Column:
         not_null = F.lit(True)
-        for c in cols:
+        for c in self._cols():
             not_null = not_null & F.col(c).isNotNull()
+        return not_null
+
+    def keyset(self, df: DataFrame) -> KeySet:
+        cols = self._cols()
+        flag = _fresh("dup")
+        tmp = {c: _fresh(c) for c in cols}
         # groupBy does a partial (map-side) count, so a key held by a third of
         # the rows is combined before the shuffle; only repeated keys survive.
         repeated = (
-            df.where(not_null)
+            df.where(self._not_null())
             .groupBy(*cols)
             .agg(F.count(F.lit(1)).alias("__n"))
             .where(F.col("__n") > 1)
             .select(*[F.col(c).alias(tmp[c]) for c in cols], F.lit(True).alias(flag))
         )
+        return KeySet(repeated, "repeated_keys", {"flag": flag, "tmp": tmp})
+
+    def attach(self, df: DataFrame, keyset: KeySet | None = None) -> Attached:
+        ks = keyset or self.keyset(df)
+        tmp, flag = ks.names["tmp"], ks.names["flag"]
         on = None
-        for c in cols:
+        for c in self._cols():
             cond = F.col(c) == F.col(tmp[c])
             on = cond if on is None else on & cond
-        out = df.join(repeated, on, "left").drop(*tmp.values())
+        out = df.join(ks.frame, on, "left").drop(*tmp.values())
         return Attached(
             out,
-            [(self.null_reason, not_null), (self.duplicate_reason, F.col(flag).isNull())],
+            [(self.null_reason, self._not_null()), (self.duplicate_reason, F.col(flag).isNull())],
         )
 
 
@@ -98,7 +159,7 @@ class Lookup(Rule):
     parent_column: str
     carry: tuple[tuple[str, str], ...] = ()
 
-    def _join(self, df: DataFrame) -> tuple[DataFrame, str]:
+    def keyset(self, df: DataFrame) -> KeySet:
         key = _fresh(self.column)
         found = _fresh("found")
         parent = self.parent.where(F.col(self.parent_column).isNotNull())
@@ -108,12 +169,16 @@ class Lookup(Rule):
             )
         else:
             keys = parent.select(F.col(self.parent_column).alias(key)).distinct()
-        keys = keys.withColumn(found, F.lit(True))
-        out = df.join(keys, F.col(self.column) == F.col(key), "left").drop(key)
-        return out, found
+        return KeySet(keys.withColumn(found, F.lit(True)), "parent_keys", {"key": key, "found": found})
+
+    def _join(self, df: DataFrame, keyset: KeySet | None) -> tuple[DataFrame, str]:
+        ks = keyset or self.keyset(df)
+        key = ks.names["key"]
+        out = df.join(ks.frame, F.col(self.column) == F.col(key), "left").drop(key)
+        return out, ks.names["found"]
 
-    def attach(self, df: DataFrame) -> Attached:
-        out, found = self._join(df)
+    def attach(self, df: DataFrame, keyset: KeySet | None = None) -> Attached:
+        out, found = self._join(df, keyset)
         return Attached(out.drop(found))
 
 
@@ -123,8 +188,8 @@ class ForeignKey(Lookup):
 
     reason: str | None = None
 
-    def attach(self, df: DataFrame) -> Attached:
-        out, found = self._join(df)
+    def attach(self, df: DataFrame, keyset: KeySet | None = None) -> Attached:
+        out, found = self._join(df, keyset)
         return Attached(out, [(self.reason or f"unknown_{self.column}", F.col(found).isNotNull())])
 
 
@@ -139,7 +204,7 @@ class Timestamps(Rule):
     columns: tuple[str, ...]
     reason: str = "bad_timestamp"
 
-    def attach(self, df: DataFrame) -> Attached:
+    def attach(self, df: DataFrame, keyset: KeySet | None = None) -> Attached:
         raw = {c: _fresh(f"raw_{c}") for c in self.columns}
         out = df.withColumns({v: F.col(k) for k, v in raw.items()}).withColumns(
             {c: parse_timestamp(F.col(raw[c])) for c in self.columns}
@@ -157,7 +222,7 @@ class Predicate(Rule):
     condition: Column | str
     reason: str
 
-    def attach(self, df: DataFrame) -> Attached:
+    def attach(self, df: DataFrame, keyset: KeySet | None = None) -> Attached:
         cond = F.expr(self.condition) if isinstance(self.condition, str) else self.condition
         return Attached(df, [(self.reason, cond)])
 
@@ -199,8 +264,15 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> Tagged:
     # and a following merge on that key needs no further shuffle of them.
     # Reasons keep the declared order.
     order = sorted(range(len(rules)), key=lambda i: isinstance(rules[i], UniqueKey))
+    # Key sets depend on the input or a parent only: build all, then stage
+    # them concurrently (each is a small job of its own).
+    sets = {i: ks for i, ks in ((i, r.keyset(df)) for i, r in enumerate(rules)) if ks is not None}
+    if sets:
+        with ThreadPoolExecutor(max_workers=min(4, len(sets))) as pool:
+            staged = dict(zip(sets, pool.map(lambda ks: _keyed(ks.frame, ks.name), sets.values())))
+        sets = {i: KeySet(staged[i], ks.name, ks.names) for i, ks in sets.items()}
     for i in order:
-        att = rules[i].attach(df)
+        att = rules[i].attach(df, sets.get(i))
         df = att.df
         found[i] = att.conditions
         raw.update(att.raw)

@@ -15,6 +15,11 @@ RUNTIME_CONF = {
     # small, split skewed partitions of a join, coalesce small shuffle outputs.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when that costs a shuffle afterwards.
+    # The own-key check leaves its output partitioned for the merge, and
+    # without this AQE would keep, say, all NULL-key rows in one task to save
+    # that shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 

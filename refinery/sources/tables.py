@@ -113,7 +113,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/refinery-stage/{uuid.uuid4().hex}/{name}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # --------------------------------------------------------------------------
