@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from refinery.functions.columns import datekey
 from refinery.functions.geo import EARTH_RADIUS_KM, haversine_km
+from refinery.sources.tables import keyed_side
 
 # The place written when no lookup table is given.
 DEFAULT_COUNTY = "Oslo county"
@@ -35,6 +36,9 @@ def add_geography(df: DataFrame, places: DataFrame | None = None, *,
         return df.withColumns({"county": F.lit(county), "state": F.lit(state)})
     found = nearest_place(df.select(latitude, longitude), places, radius_km=radius_km,
                           latitude=latitude, longitude=longitude)
+    # one row per coordinate; staged or broadcast so a hot coordinate on the
+    # left is split by AQE instead of landing in one task
+    found = keyed_side(found.select(latitude, longitude, "county", "state"), "nearest_places")
     return df.join(found, on=[latitude, longitude], how="left").select(
         *df.columns, "county", "state")
 

@@ -15,7 +15,8 @@ set is broadcast and the big side is not shuffled at all.  A large one is a
 plain shuffle stage, which is what AQE needs to split a skewed partition of
 the big side (a hot key, or many NULL keys) across tasks: with an aggregate
 directly under the join, AQE leaves such a partition in one task.  Set
-``STAGE_KEY_SETS = False`` to keep everything in one lazy plan instead.
+``refinery.sources.tables.STAGE_KEY_SETS = False`` to keep everything in one
+lazy plan instead.
 """
 
 from __future__ import annotations
@@ -32,37 +33,12 @@ from refinery.functions.columns import parse_timestamp
 REASON = "dq_reason"
 _PREFIX = "__dq"
 _ids = count()
-STAGE_KEY_SETS = True
-# Fixed allowance: in-memory size of a scan versus its (compressed) file size.
-SIZE_ALLOWANCE = 8
-
-
-def _size_bound(df: DataFrame) -> int | None:
-    """Planner size estimate of ``df`` in bytes.  Without cost-based
-    statistics it is an upper bound: file sizes for scans, the child's size
-    for filters and aggregates, products for joins."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - non-classic sessions
-        return None
 
 
 def _keyed(df: DataFrame, name: str) -> DataFrame:
-    """Prepare the keyed (small) side of a key rule's join.
-
-    Proven small (size bound × allowance within the broadcast threshold):
-    broadcast it.  Otherwise stage it, so AQE can measure it and split
-    skewed partitions of the other side."""
-    if not STAGE_KEY_SETS:
-        return df
-    spark = df.sparkSession
-    threshold = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("bB") or -1)
-    bound = _size_bound(df)
-    if bound is not None and threshold > 0 and bound * SIZE_ALLOWANCE <= threshold:
-        return F.broadcast(df)
-    from refinery.sources.tables import stage
-
-    return stage(df, name)
+    from refinery.sources.tables import keyed_side
+
+    return keyed_side(df, name)
 
 
 def _fresh(stem: str) -> str:

@@ -116,6 +116,41 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+STAGE_KEY_SETS = True
+# Fixed allowance: in-memory size of a scan versus its (compressed) file size.
+SIZE_ALLOWANCE = 8
+
+
+def size_bound(df: DataFrame) -> int | None:
+    """Planner size estimate of ``df`` in bytes.  Without cost-based
+    statistics it is an upper bound: file sizes for scans, the child's size
+    for filters and aggregates, products for joins."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # pragma: no cover - non-classic sessions
+        return None
+
+
+def keyed_side(df: DataFrame, name: str) -> DataFrame:
+    """Prepare the keyed (small, one row per key) side of a join whose other
+    side may hold hot keys.
+
+    Proven small (size bound × allowance within the broadcast threshold):
+    broadcast it, so the other side is not shuffled at all.  Otherwise
+    stage it: the join then has plain shuffle stages on both sides, AQE
+    measures the staged side (and may still broadcast it), and a skewed
+    partition of the other side is split across tasks.
+    """
+    if not STAGE_KEY_SETS:
+        return df
+    spark = df.sparkSession
+    threshold = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("bB") or -1)
+    bound = size_bound(df)
+    if bound is not None and threshold > 0 and bound * SIZE_ALLOWANCE <= threshold:
+        return F.broadcast(df)
+    return stage(df, name)
+
+
 # --------------------------------------------------------------------------
 # Snapshot store
 # --------------------------------------------------------------------------
