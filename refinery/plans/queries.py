@@ -16,21 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from refinery.operators.enrich import add_datekeys, add_geography, nearest_place
-from refinery.operators.history import (
-    CHANGE,
-    changed_rows,
-    scd1_merge,
-    scd2_changes,
-    scd2_merge,
-)
+from refinery.operators.enrich import add_datekeys, nearest_place
+from refinery.operators.history import CHANGE, changed_rows, scd2_changes
 from refinery.operators.quality import (
-    REASON,
     ForeignKey,
-    Lookup,
     Timestamps,
     UniqueKey,
-    evaluate,
     event_rules,
     membership_rules,
     rsvp_rules,
@@ -40,7 +31,6 @@ from refinery.operators.quality import (
 from refinery.functions.columns import row_digest
 from refinery.plans.marts import calendar, daily_rolling, member_at_response, monthly_trend, recent
 from refinery.plans.pipelines import (
-    KEYS,
     refresh,
     Batch,
     events_batch,

@@ -4,8 +4,6 @@ import datetime as dt
 import math
 import random
 
-from pyspark.sql import functions as F
-
 from refinery.functions.geo import EARTH_RADIUS_KM
 from refinery.operators.enrich import DEFAULT_COUNTY, DEFAULT_STATE, add_datekeys, add_geography, nearest_place
 

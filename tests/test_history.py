@@ -22,7 +22,7 @@ from refinery.operators.history import (
     stamp_scd2,
 )
 from refinery.plans.queries import Scenario
-from refinery.sources.tables import SILVER_SCHEMAS, empty
+from refinery.sources.tables import SILVER_SCHEMAS
 
 from conftest import SF
 
