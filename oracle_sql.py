@@ -487,3 +487,10 @@ QUERIES.update({
     "refresh_events": with_(_R, "SELECT * FROM evt_r2"),
     "refresh_rsvps": with_(_R, "SELECT * FROM rsvp_r2"),
 })
+
+# A second refresh over unchanged data changes nothing: the stored tables
+# equal the first load.
+QUERIES.update({
+    "refresh_rerun_events": with_(P, "SELECT * FROM events_acc"),
+    "refresh_rerun_rsvps": with_(P, "SELECT * FROM rsvps_acc"),
+})
