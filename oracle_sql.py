@@ -412,10 +412,11 @@ QUERIES.update({
     "calendar": with_(P + """,
 cal_b AS (SELECT min(cast(responded_at AS date)) lo, max(cast(responded_at AS date)) hi FROM rsvps_acc),
 cal_d AS (SELECT cast(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS date) AS date FROM cal_b WHERE lo IS NOT NULL)""",
-        """SELECT cast(strftime(date, '%Y%m%d') AS int) AS datekey, date, cast(year(date) AS int) AS year,
+        """SELECT cast(strftime(date, '%Y%m%d') AS int) AS datekey, cast(date AS varchar) AS date,
+        cast(year(date) AS int) AS year,
         cast(quarter(date) AS int) AS quarter, cast(month(date) AS int) AS month, cast(weekofyear(date) AS int) AS iso_week,
         cast(isodow(date) AS int) AS iso_day_of_week, cast(day(date) AS int) AS day_of_month,
-        cast(date_trunc('month', date) AS date) AS month_start FROM cal_d"""),
+        cast(cast(date_trunc('month', date) AS date) AS varchar) AS month_start FROM cal_d"""),
     "rsvps_last_30_days": with_(P, """SELECT event_rsvp_id, event_id, membership_id, rsvp_status, responded_at,
         responded_at_datekey FROM rsvps_acc
         WHERE responded_at > (SELECT max(responded_at) FROM rsvps_acc) - INTERVAL 30 DAY

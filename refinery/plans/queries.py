@@ -269,6 +269,12 @@ def _rerun(table: str) -> Query:
     return q
 
 
+def _calendar(spark, d):
+    # dates as ISO text so engines that surface DATE differently compare equal
+    cal = calendar(Silver(spark, d).rsvps.accepted, "responded_at")
+    return cal.withColumns({"date": F.col("date").cast("string"), "month_start": F.col("month_start").cast("string")})
+
+
 def _with_team(s: Silver) -> DataFrame:
     return s.rsvps.accepted.join(s.events.accepted.select("event_id", "team_id"), "event_id")
 
@@ -325,7 +331,7 @@ QUERIES: dict[str, Query] = {
     "scd2_next_snapshot": lambda s, d: ntz(Scenario(s, d).states["memberships"][2]),
     "scenario_counts": _scenario_counts(False),
     "scenario_counts_close_rejected": _scenario_counts(True),
-    "calendar": lambda s, d: calendar(Silver(s, d).rsvps.accepted, "responded_at"),
+    "calendar": _calendar,
     "rsvps_last_30_days": _recent,
     "rsvp_rolling_30d": lambda s, d: daily_rolling(_with_team(Silver(s, d)), ["team_id"], "responded_at", 30),
     "rsvp_trend": lambda s, d: monthly_trend(Silver(s, d).rsvps.accepted, Silver(s, d).events.accepted),
