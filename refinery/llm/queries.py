@@ -3,11 +3,13 @@ package is there."""
 
 from __future__ import annotations
 
-from refinery.llm import decontaminate, line_dedup, sharding
+from refinery.llm import chat, decontaminate, line_dedup, packing, sharding
 
 QUERIES = {
     "op1_extendible_shards": sharding.op1_extendible_shards,
+    "op3_chat_windows": chat.op3_chat_windows,
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_best_fit": packing.op8_best_fit,
     "op10_site_lines": line_dedup.op10_site_lines,
 }
 

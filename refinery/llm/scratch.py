@@ -10,8 +10,10 @@ returned frames still read is removed when the interpreter ends.
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,23 @@ def shared_root(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Lets the executors' Python import this package, once per context."""
+    context = spark.sparkContext
+    if not getattr(context, "_refinery_shipped", False):
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(prefix="refinery-py-"), "refinery.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(package)))
+        context.addPyFile(path)
+        context._refinery_shipped = True
+    return spark
+
+
 class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
