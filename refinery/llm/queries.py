@@ -3,10 +3,11 @@ package is there."""
 
 from __future__ import annotations
 
-from refinery.llm import chat, decontaminate, line_dedup, packing, sharding
+from refinery.llm import chat, decontaminate, line_dedup, packing, sharding, substrings
 
 QUERIES = {
     "op1_extendible_shards": sharding.op1_extendible_shards,
+    "op2_repeated_spans": substrings.op2_repeated_spans,
     "op3_chat_windows": chat.op3_chat_windows,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_best_fit": packing.op8_best_fit,
@@ -15,6 +16,7 @@ QUERIES = {
 
 SQL = {
     "op1_extendible_shards": sharding.OP1_SQL,
+    "op2_repeated_spans": substrings.OP2_SQL,
     "op7_decontaminate": decontaminate.OP7_SQL,
     "op10_site_lines": line_dedup.OP10_SQL,
 }
