@@ -141,8 +141,8 @@ def _pairs_in(nodes: DataFrame) -> DataFrame:
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) whose estimated similarity is at least ``LOOSE``."""
-    left = classes.select(F.col("rep").alias("a"), F.col("mins").alias("__ma"))
-    right = classes.select(F.col("rep").alias("b"), F.col("mins").alias("__mb"))
+    left = classes.select(F.col("rep").alias("a"), F.col("mins").alias("__ma")).hint("merge")
+    right = classes.select(F.col("rep").alias("b"), F.col("mins").alias("__mb")).hint("merge")
     agree = F.aggregate(F.zip_with("__ma", "__mb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     return pairs.join(left, "a").join(right, "b").where(agree >= LOOSE * F.size("__ma")).select("a", "b")
 
@@ -150,8 +150,8 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Pairs whose full sets meet the threshold."""
     kind = pairs.schema["a"].dataType.simpleString()
-    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("__ta"))
-    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("__tb"))
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("__ta")).hint("merge")
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("__tb")).hint("merge")
 
     def run(batches):
         for batch in batches:
@@ -264,7 +264,7 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
         labelled, nodes = _open_nodes(rows, labels)
         nodes = scratch.put(nodes, f"nodes{depth}")
         open_rows = labelled.join(nodes, F.col("key") == F.col("__k")).drop("__k")
-        small = open_rows.where(F.col("n") <= SMALL).join(classes, "rep").groupBy("key").agg(
+        small = open_rows.where(F.col("n") <= SMALL).join(classes.hint("merge"), "rep").groupBy("key").agg(
             F.collect_list("rep").alias("reps"), F.collect_list("label").alias("labels"), F.collect_list("mins").alias("mins"))
         found = _pairs_in(small)
         large = scratch.put(open_rows.where(F.col("n") > SMALL).select("key", "rep", "pivot"), f"large{depth}")
@@ -274,7 +274,7 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
         if texts is None:
             asked = pairs.select(F.col("a").alias("rep")).union(large.select("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
             chosen = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"))
-            texts = scratch.put(chosen.join(asked, F.col("__id") == F.col("rep")).select("rep", "text"), "texts")
+            texts = scratch.put(chosen.join(asked.hint("merge"), F.col("__id") == F.col("rep")).select("rep", "text"), "texts")
         for turn, batch in ((1, pairs.where("first")), (2, pairs.where("not first"))):
             if turn == 2:  # only what the first links left in different components
                 of = labels.withColumnRenamed("label", "la").withColumnRenamed("rep", "a")
