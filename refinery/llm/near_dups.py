@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.scratch import Scratch, ship
+from refinery.llm.scratch import Scratch, parts, ship
 from refinery.llm.substrings import hash_words, window_hashes
 
 SHINGLE = 5
@@ -97,7 +97,7 @@ def describe(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 1):
             sets, bounds = shingle_sets([lower_words(t) for t in batch.column(1).to_pylist()], shingle)
             digests = []
             for a, b in zip(*_seeds(2, 7)):
@@ -154,7 +154,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("__tb")).hint("merge")
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 2):
             ta, tb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             sets, bounds = shingle_sets([lower_words(t) for t in ta + tb], shingle)
             n, ok = len(ta), []

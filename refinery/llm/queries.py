@@ -3,12 +3,13 @@ package is there."""
 
 from __future__ import annotations
 
-from refinery.llm import chat, decontaminate, line_dedup, near_dups, packing, sharding, substrings
+from refinery.llm import chat, decontaminate, hmm, line_dedup, near_dups, packing, sharding, substrings
 
 QUERIES = {
     "op1_extendible_shards": sharding.op1_extendible_shards,
     "op2_repeated_spans": substrings.op2_repeated_spans,
     "op3_chat_windows": chat.op3_chat_windows,
+    "op5_hmm_scores": hmm.op5_hmm_scores,
     "op6_near_duplicates": near_dups.op6_near_duplicates,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_best_fit": packing.op8_best_fit,

@@ -15,8 +15,12 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_BYTES = 4 << 20
+
 
 def shared_root(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session.  Only a single-process local
@@ -32,8 +36,10 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Lets the executors' Python import this package, once per context."""
+    """Lets the executors' Python import this package, once per context, and
+    bounds the bytes of an Arrow batch."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 * BATCH_BYTES))
     if not getattr(context, "_refinery_shipped", False):
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         path = os.path.join(tempfile.mkdtemp(prefix="refinery-py-"), "refinery.zip")
@@ -48,6 +54,18 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def parts(batches, column: int, nbytes: int = BATCH_BYTES):
+    """The batches cut to about ``nbytes`` of one text or binary column, so
+    that a task's Python holds little more than that, or one row."""
+    for batch in batches:
+        if batch.num_rows:
+            sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            part = (np.cumsum(sizes) - 1).clip(0) // nbytes
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                yield batch.slice(a, b - a)
+
+
 class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark

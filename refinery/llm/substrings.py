@@ -38,10 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.scratch import Scratch, ship
+from refinery.llm.scratch import Scratch, parts, ship
 
 MIN_WORDS = 50
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 # Odd bases of the two polynomials and the 64-bit finisher.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -130,7 +130,7 @@ def describe(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 1):
             texts = [split_words(t) for t in batch.column(1).to_pylist()]
             words, bounds = hash_words(texts)
             _, least, whole = least_halves(words, bounds, length)
@@ -154,7 +154,7 @@ def _windows(rows: DataFrame, length: int) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 1):
             texts = [split_words(t) for t in batch.column(1).to_pylist()]
             words, bounds = hash_words(texts)
             _, least, whole = least_halves(words, bounds, length)
@@ -241,7 +241,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     at = columns.index(text)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, at):
             old = batch.column(at).to_pylist()
             words = [split_words(t) for t in old]
             kept = [_kept(w, g, min_words) for w, g in zip(words, batch.column(len(columns)).to_pylist())]
@@ -268,7 +268,7 @@ def removal_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kind = described.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 1):
             words = [split_words(t) for t in batch.column(1).to_pylist()]
             kept = [_kept(w, g, min_words) for w, g in zip(words, batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
