@@ -3,16 +3,18 @@ package is there."""
 
 from __future__ import annotations
 
-from refinery.llm import chat, decontaminate, hmm, line_dedup, near_dups, packing, sharding, substrings
+from refinery.llm import chat, decontaminate, hmm, language, line_dedup, near_dups, neighbours, packing, sharding, substrings
 
 QUERIES = {
     "op1_extendible_shards": sharding.op1_extendible_shards,
     "op2_repeated_spans": substrings.op2_repeated_spans,
     "op3_chat_windows": chat.op3_chat_windows,
+    "op4_neighbours": neighbours.op4_neighbours,
     "op5_hmm_scores": hmm.op5_hmm_scores,
     "op6_near_duplicates": near_dups.op6_near_duplicates,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_best_fit": packing.op8_best_fit,
+    "op9_languages": language.op9_languages,
     "op10_site_lines": line_dedup.op10_site_lines,
 }
 
