@@ -13,7 +13,7 @@ nodes first link their members to the smallest one, then branch on: each by
 one selected token, every fourth node by two, which is more than 1 / 0.85
 children on average, so a linked pair's expected number of common nodes does
 not fall with depth.  Candidates (estimated similarity at least ``LOOSE``,
-over five standard deviations below 0.85) are confirmed on the full sets.
+five standard deviations below 0.8) are confirmed on the full sets.
 
 A node whose classes are in one component already has nothing to add and is
 dropped; that, not a cap, is what ends large groups of near copies.  A node
@@ -50,7 +50,7 @@ TREES = 8
 FUNCTIONS = 64
 SMALL = 40
 DEPTH = 10
-LOOSE = 0.6
+LOOSE = 0.55
 BLOCK = 512
 
 
