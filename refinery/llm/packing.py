@@ -33,20 +33,22 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.llm.scratch import Scratch, ship
+from refinery.llm.scratch import Scratch, parts, ship
 
 CAPACITY = 4096
 END_ID = 1
 BUCKET_ROWS = 50_000
-CACHE_WORDS = 600_000
-PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+CACHE_WORDS = 400_000
+PART_BYTES = 16 << 20
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordEncoder:
-    """Token ids of texts as little-endian uint32 bytes, by distinct word."""
+    """Token ids of texts, encoding each distinct word once."""
 
     def __init__(self, path: str):
         import os
@@ -55,42 +57,66 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Encodes new words; what follows a word's last letter as ASCII
-        punctuation is encoded apart, which the pretokenizer does too."""
-        cut, todo = {}, set()
-        for w in words:
-            stem = w.rstrip(PUNCTUATION)
-            if stem != w and stem and b"'" not in w and b"<|" not in w and stem.decode("utf-8", "replace")[-1].isalpha():
-                cut[w] = (stem, w[len(stem):])
-                todo.update(x for x in cut[w] if x not in self.cache)
+        self.cache: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _plain(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, letters: list[str], others: list[str]) -> None:
+        """Encodes new words.  A word of Latin letters alone is one pretoken,
+        so many are encoded as one text, each ending at a token that ends a
+        word."""
+        odd = [w for w in letters if not w.isascii() and (max(w) >= "\u0250" or "\u0130" in w)]
+        letters = [w for w in letters if w.isascii() or (max(w) < "\u0250" and "\u0130" not in w)]
+        if letters:
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(letters)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) == len(letters):
+                raw = ids.tobytes()
+                self.cache.update(zip(letters, [raw[a:b] for a, b in zip([0, *ends], ends)]))
             else:
-                todo.add(w)
-        if todo:
-            texts = [x.decode("utf-8", "replace") for x in todo]
-            got = self.tokenizer.encode("\n".join(texts), add_special_tokens=False)
-            starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-            ids, at = np.array(got.ids, "<u4"), np.array([o[0] for o in got.offsets], np.int64)
-            ends = np.searchsorted(at, starts[1:], "left")
-            first = 0
-            for x, last in zip(todo, ends.tolist()):
-                self.cache[x] = ids[first:last].tobytes()
-                first = last
-        for w, parts in cut.items():
-            self.cache[w] = self.cache[parts[0]] + self.cache[parts[1]]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-        words = [(t if b"<|" in t else t.lower()).split() for t in raw]
+                odd += letters
+        for w in odd + others:
+            self.cache[w] = self._plain(w)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids (little-endian uint32) and each text's first place."""
+        texts = pc.fill_null(texts, "")
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
         if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        new = set().union(*words).difference(self.cache) if words else set()
-        if new:
-            self._learn(new)
-        get = self.cache.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+            self.cache = {"": b""}
+        cache, heads, tails, letters, others = self.cache, [], [], set(), set()
+        for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist():
+            # What follows a word's last letter as ASCII punctuation is a pretoken of its own.
+            stem = w.rstrip(PUNCTUATION)
+            if stem.isalpha():
+                tail = w[len(stem):]
+                if stem not in cache:
+                    letters.add(stem)
+                if tail not in cache:
+                    others.add(tail)
+            else:
+                stem, tail = w, ""
+                if w not in cache:
+                    others.add(w)
+            heads.append(stem)
+            tails.append(tail)
+        self._learn(list(letters), list(others))
+        by_word = [cache[h] + cache[t] for h, t in zip(heads, tails)]
+        sizes = np.fromiter(map(len, by_word), np.int64, len(by_word)) // 4
+        table = np.frombuffer(b"".join(by_word), "<u4")
+        first = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[at]
+        ends = np.cumsum(n)
+        ids = table[np.repeat(first[at] - (ends - n), n) + np.arange(int(n.sum()))]
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -109,10 +135,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
         encoder = _ENCODERS.get(tokenizer)
         if encoder is None:
             encoder = _ENCODERS[tokenizer] = WordEncoder(tokenizer)
-        for batch in batches:
+        for batch in parts(batches, 1, PART_BYTES):
             rows = {k: [] for k in ("at", "piece", "start", "length", "crc", "ids")}
-            for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
-                ids += end
+            flat, first = encoder.encode(batch.column(1))
+            for i, (a, b) in enumerate(zip(first.tolist(), first[1:].tolist())):
+                ids = flat[a:b].tobytes() + end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     for k, v in zip(rows, (i, piece, start // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None)):
