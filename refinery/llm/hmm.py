@@ -83,34 +83,36 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col(text)).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")).where("c > 0")
 
 
-def suffix_class(word: bytes) -> int:
-    return FREQUENT + zlib.crc32(word[-SUFFIX_BYTES:]) % SUFFIXES
+def suffix_class(word: bytes, frequent: int = FREQUENT, suffixes: int = SUFFIXES) -> int:
+    return frequent + zlib.crc32(word[-SUFFIX_BYTES:]) % suffixes
 
 
 class Classes:
     """Word to class number, count (of listed words) and class sizes."""
 
-    def __init__(self, vocabulary: DataFrame):
-        top = vocabulary.orderBy(F.desc("c"), "word").limit(LISTED).collect()  # LISTED words at most
+    def __init__(self, vocabulary: DataFrame, frequent: int = FREQUENT, suffixes: int = SUFFIXES, listed: int = LISTED):
+        self.frequent, self.suffixes, classes = frequent, suffixes, frequent + suffixes
+        top = vocabulary.orderBy(F.desc("c"), "word").limit(listed).collect()  # ``listed`` words at most
         self.total, self.distinct = (int(x or 0) for x in vocabulary.agg(F.sum("c"), F.count(F.lit(1))).first())
-        self.listed = {bytes(r["word"]): (i if i < FREQUENT else suffix_class(bytes(r["word"])), int(r["c"])) for i, r in enumerate(top)}
-        self.size = np.zeros(FREQUENT + SUFFIXES)
-        self.kinds = np.zeros(FREQUENT + SUFFIXES)
-        own = [w for w, (k, _) in self.listed.items() if k < FREQUENT]
+        self.listed = {bytes(r["word"]): (i if i < frequent else suffix_class(bytes(r["word"]), frequent, suffixes), int(r["c"])) for i, r in enumerate(top)}
+        self.size = np.zeros(classes)
+        self.kinds = np.zeros(classes)
+        own = [w for w, (k, _) in self.listed.items() if k < frequent]
         for w in own:
             self.size[self.listed[w][0]], self.kinds[self.listed[w][0]] = self.listed[w][1], 0
-        frequent = vocabulary.sparkSession.createDataFrame([(bytearray(w),) for w in own], "frequent binary")
-        rest = vocabulary.join(F.broadcast(frequent), F.col("word") == F.col("frequent"), "left_anti")  # FREQUENT rows
-        number = F.lit(FREQUENT) + F.crc32(F.substring("word", -SUFFIX_BYTES, SUFFIX_BYTES)) % SUFFIXES
-        number = F.when(F.length("word") < SUFFIX_BYTES, F.lit(FREQUENT) + F.crc32("word") % SUFFIXES).otherwise(number)
+        single = vocabulary.sparkSession.createDataFrame([(bytearray(w),) for w in own], "single binary")
+        rest = vocabulary.join(F.broadcast(single), F.col("word") == F.col("single"), "left_anti")  # ``frequent`` rows
+        last = F.when(F.length("word") < SUFFIX_BYTES, F.col("word")).otherwise(F.substring("word", -SUFFIX_BYTES, SUFFIX_BYTES))
+        number = F.lit(frequent) + F.crc32(last) % suffixes
         for r in rest.groupBy(number.alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
             self.size[int(r["k"])], self.kinds[int(r["k"])] = r["c"], r["v"]
-        # The end has a class even where nothing was learned.
-        self.end = self.listed.get(END, (suffix_class(END), 0))
+        # The end is in every text; it has a class and count even where it is not listed or learned.
+        found = vocabulary.where(F.col("word") == F.lit(END)).first()
+        self.end = self.listed.get(END, (suffix_class(END, frequent, suffixes), int(found["c"]) if found else 0))
 
     def inside(self) -> np.ndarray:
         """log10 of each class's denominator: of P(word | class)."""
-        shared = np.arange(FREQUENT + SUFFIXES) >= FREQUENT
+        shared = np.arange(len(self.size)) >= self.frequent
         return np.log10(np.where(shared, self.size + self.kinds + 1, self.size + 1))
 
 
@@ -122,10 +124,10 @@ def encode(docs: DataFrame, classes: Classes, doc_id: str, text: str) -> DataFra
     kind = docs.schema[doc_id].dataType.simpleString()
     listed, end = classes.listed, classes.end
     logs = {w: (k, math.log10(c + 1)) for w, (k, c) in listed.items()}
-    shared = docs.sparkSession.sparkContext.broadcast((logs, end))
+    shared = docs.sparkSession.sparkContext.broadcast((logs, end, classes.frequent, classes.suffixes))  # ``listed`` words
 
     def run(batches):
-        logs, end = shared.value
+        logs, end, frequent, buckets = shared.value
         get, suffixes = logs.get, {}
         end_log, end_known = math.log10(end[1] + 1), int(end[1] > 0)
         for batch in parts(batches, 2):
@@ -139,7 +141,7 @@ def encode(docs: DataFrame, classes: Classes, doc_id: str, text: str) -> DataFra
                         s = w[-SUFFIX_BYTES:]
                         k = suffixes.get(s)
                         if k is None:
-                            k = suffixes[s] = suffix_class(w)
+                            k = suffixes[s] = suffix_class(s, frequent, buckets)
                         ids.append(k)
                     else:
                         ids.append(hit[0])
@@ -280,14 +282,15 @@ def train(encoded: DataFrame, size: np.ndarray, states: int, iterations: int):
     return model, history
 
 
-def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states: int = STATES, iterations: int = ITERATIONS) -> DataFrame:
+def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states: int = STATES, iterations: int = ITERATIONS,
+                    frequent: int = FREQUENT, suffixes: int = SUFFIXES, listed: int = LISTED) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` and ``score`` (log10 probabilities) of every row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "hmm")
     learned = docs.where(F.col(doc_id).isNotNull() & ~is_held_out(F.col(doc_id)))
     vocabulary = scratch.put(count_words(learned, text), "vocabulary")
-    classes = Classes(vocabulary)
+    classes = Classes(vocabulary, frequent, suffixes, listed)
     encoded = scratch.put(encode(docs, classes, doc_id, text).withColumn("row", F.monotonically_increasing_id()), "encoded")
     model, _ = train(encoded.where(F.col("doc_id").isNotNull() & ~F.col("held_out")), classes.size, states, iterations)
     inside = classes.inside()
