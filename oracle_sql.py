@@ -57,11 +57,18 @@ def _b_events(batch=None):
  {lat} latitude, {lon} longitude, {created} created_at from orders join customer on o_custkey=c_custkey where {keep}"""
 
 
-B_RSVPS = """select 'R'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string) event_rsvp_id, 'E'||cast(l_orderkey as string) event_id,
+def _b_rsvps(batch=None):
+    keep = {1: "(l_orderkey + l_linenumber) % 10 <> 3", 2: "(l_orderkey + l_linenumber) % 10 <> 2"}.get(batch, "true")
+    status = "case when l_linenumber=6 then null when l_linenumber=7 then 0 else l_linenumber-1 end"
+    responded = "case when l_linenumber=1 and l_orderkey%151=3 then '' else cast(l_shipdate as string) end"
+    if batch == 2:
+        changed = "(l_orderkey + l_linenumber) % 10 = 1"
+        status = f"case when {changed} and l_linenumber <> 6 then (({status}) + 1) % 4 else {status} end"
+        responded = f"case when {changed} and l_linenumber=2 then cast(l_shipdate + interval 1 day as string) else {responded} end"
+    return f"""select 'R'||cast(l_orderkey as string)||'-'||cast(l_linenumber as string)||'-'||cast(l_partkey as string) event_rsvp_id, 'E'||cast(l_orderkey as string) event_id,
  'M'||cast(case when l_linenumber=7 then o_custkey+1 else o_custkey end as string) membership_id,
- cast(case when l_linenumber=6 then null when l_linenumber=7 then 0 else l_linenumber-1 end as bigint) rsvp_status,
- case when l_linenumber=1 and l_orderkey%151=3 then '' else cast(l_shipdate as string) end responded_at
- from lineitem join orders on l_orderkey=o_orderkey"""
+ cast({status} as bigint) rsvp_status, {responded} responded_at
+ from lineitem join orders on l_orderkey=o_orderkey where {keep}"""
 
 
 def digest(cols: list[str]) -> str:
@@ -153,7 +160,7 @@ events_acc{s} AS (
         FROM events_tag{s} WHERE dq_reason IS NULL))"""
     if with_rsvps:
         out += f""",
-b_rsvps{s} AS ({B_RSVPS}),
+b_rsvps{s} AS ({_b_rsvps(batch)}),
 rsvps_tag{s} AS (
   SELECT b.*, CASE
     WHEN event_rsvp_id IS NULL THEN 'null_key'
@@ -228,7 +235,7 @@ def scd2_step(name: str, target: str, batch: str, raw: str | None, key: str, col
       WHEN {present} THEN 'held' ELSE 'departed' END AS cls
   FROM (SELECT * FROM {target} WHERE system_is_active) t LEFT JOIN {batch} b ON t.{key} = b.{key}),
 {name} AS (
-  SELECT {_cols(allc)}, 'history' AS change FROM {target} WHERE NOT system_is_active
+  SELECT {_cols(allc)}, 'history' AS change FROM {target} WHERE NOT coalesce(system_is_active, false)
   UNION ALL
   SELECT {old}, CASE WHEN cls = 'changed' THEN 'superseded' ELSE cls END AS change
   FROM {name}_j t LEFT JOIN {batch} b ON t.b_key = b.{key}
@@ -283,15 +290,16 @@ def _scenario_counts(close_rejected: bool) -> str:
 
 P = pipeline_ctes()
 RAW_RSVP = "event_rsvp_id, event_id, membership_id, rsvp_status, responded_at"
+RAW_TEAM = "team_id, team_activity, country_code, created_at"
+RAW_MEM = "membership_id, group_id, role_title, joined_at"
 RAW_EVT = "event_id, team_id, event_start, event_end, latitude, longitude, created_at"
 
 
-def _geo_nearest(radius_km: float) -> str:
+def geo_ctes(radius_km: float) -> str:
     d = ("2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin((radians(p.latitude) - radians(q.latitude)) / 2), 2) "
          "+ cos(radians(q.latitude)) * cos(radians(p.latitude)) "
          "* pow(sin((radians(p.longitude) - radians(q.longitude)) / 2), 2))))")
-    return with_(f"""
-b_events AS ({_b_events()}),
+    return f"""
 places AS (SELECT c_custkey AS place_id, cast((c_custkey * 7) % 181 - 90 AS double) AS latitude,
                   cast((c_custkey * 13) % 361 - 180 AS double) AS longitude, c_name AS county, n_name AS state
            FROM customer JOIN nation ON c_nationkey = n_nationkey),
@@ -299,10 +307,26 @@ q AS (SELECT DISTINCT latitude, longitude FROM b_events WHERE latitude IS NOT NU
 c AS (SELECT q.latitude, q.longitude, p.place_id, p.county, p.state, round({d}, 6) AS distance_km
       FROM q, places p),
 r AS (SELECT *, row_number() OVER (PARTITION BY latitude, longitude ORDER BY distance_km, place_id) AS rn
-      FROM c WHERE distance_km <= {radius_km})""",
+      FROM c WHERE distance_km <= {radius_km})"""
+
+
+def _geo_nearest(radius_km: float) -> str:
+    return with_(f"b_events AS ({_b_events()})," + geo_ctes(radius_km),
                  "SELECT latitude, longitude, place_id, distance_km, county, state FROM r WHERE rn = 1")
 
 
+def _raw_values(cols: str) -> str:
+    return " || '|' || ".join(f"coalesce(cast({c} as varchar), '-')" for c in cols.split(", "))
+
+
+def _quarantined(suffix: str, rsvp_suffix: str) -> str:
+    parts = []
+    for table, cte, key, cols in (("teams", f"teams_tag{suffix}", "team_id", RAW_TEAM), ("memberships", f"memberships_tag{suffix}", "membership_id", RAW_MEM),
+                                  ("events", f"events_tag{suffix}", "event_id", RAW_EVT), ("event_rsvps", f"rsvps_tag{rsvp_suffix}", "event_rsvp_id", RAW_RSVP)):
+        parts.append(f"SELECT '{table}' AS table_name, {key} AS record_key, dq_reason, {_raw_values(cols)} AS raw_values FROM {cte} WHERE dq_reason IS NOT NULL")
+    return "\nUNION ALL\n".join(parts)
+
+
 QUERIES: dict[str, str] = {
     # sources
     "bronze_teams": with_(P, "SELECT * FROM b_teams"),
@@ -372,13 +396,21 @@ QUERIES: dict[str, str] = {
     # O11
     "row_digest": with_(P, f"SELECT event_id, {digest(RAW_EVT.split(', '))} AS hash_key FROM b_events"),
     # O12 / O13
-    "scd1_stamped": with_(P, "SELECT * FROM rsvps_acc"),
-    "scd2_stamped": with_(P, "SELECT * FROM memberships_acc"),
+    "scd1_stamped": with_(P, f"""SELECT {RAW_RSVP}, {digest(RAW_RSVP.split(', '))} AS hash_key,
+        TIMESTAMP '{AS_OF[0]}' AS system_created_at, TIMESTAMP '{AS_OF[0]}' AS system_updated_at FROM b_rsvps"""),
+    "scd2_stamped": with_(P, f"""SELECT {RAW_MEM}, {digest(RAW_MEM.split(', '))} AS hash_key, true AS system_is_active,
+        TIMESTAMP '{AS_OF[0]}' AS system_valid_from, cast(NULL AS timestamp) AS system_valid_to FROM b_memberships"""),
     # P1 - P4 (first load)
     "silver_teams": with_(P, "SELECT * FROM teams_acc"),
     "silver_memberships": with_(P, "SELECT * FROM memberships_acc"),
     "silver_events": with_(P, "SELECT * FROM events_acc"),
     "silver_rsvps": with_(P, "SELECT * FROM rsvps_acc"),
+    # P3 with looked-up geography
+    "silver_events_geo": with_(P + "," + geo_ctes(500.0) + f""",
+geo AS (SELECT a.* EXCLUDE (county, state, hash_key, system_is_active, system_valid_from, system_valid_to), r.county, r.state
+        FROM events_acc a LEFT JOIN (SELECT * FROM r WHERE rn = 1) r ON a.latitude = r.latitude AND a.longitude = r.longitude)""",
+        f"""SELECT {_cols(EVT_COLS)}, {digest(EVT_COLS)} AS hash_key, true AS system_is_active, created_at AS system_valid_from,
+        cast(NULL AS timestamp) AS system_valid_to FROM geo"""),
     # E1
     "quarantine_summary": with_(P, """
         SELECT 'teams' AS table_name, dq_reason, count(*) AS rows FROM teams_tag WHERE dq_reason IS NOT NULL GROUP BY 2
@@ -399,6 +431,16 @@ QUERIES.update({
     "scd2_departed": with_(_S, f"""SELECT {_cols(EVT_COLS + SCD2_SYS)} FROM evt_s1
         WHERE system_is_active AND NOT EXISTS (SELECT 1 FROM b_events_2 r WHERE r.event_id = evt_s1.event_id)
           AND NOT EXISTS (SELECT 1 FROM events_acc_2 a WHERE a.event_id = evt_s1.event_id)"""),
+    "scd2_appended": with_(_S, f"SELECT {_cols(EVT_COLS + SCD2_SYS)} FROM evt_s2"),
+    # O16: RSVPs, with updates
+    "scd1_upsert_rsvps": with_(pipeline_ctes("", None, with_rsvps=False) + "".join(
+        "," + pipeline_ctes(f"_{i}", i, teams_parent="teams_acc").strip() for i in (1, 2)) + scd1_step(
+            "rsvps_u", "rsvps_acc_1", "rsvps_acc_2", "event_rsvp_id", RSVP_COLS), "SELECT * FROM rsvps_u"),
+    # O17 with rows whose flag is missing
+    "scd2_null_flag": with_(_S + f""",
+mem_n1 AS (SELECT {_cols(MEM_COLS)}, hash_key, CASE WHEN membership_id LIKE '%5' THEN NULL ELSE system_is_active END AS system_is_active,
+           system_valid_from, system_valid_to FROM mem_s1)""" + scd2_step("mem_n2_c", "mem_n1", "memberships_acc_2", "b_memberships_2",
+                                                                        "membership_id", MEM_COLS, AS_OF[1]), "SELECT * FROM mem_n2_c"),
     # O17 / O18: memberships
     "scd2_closed": with_(_S, f"SELECT {_cols(MEM_COLS + SCD2_SYS)} FROM mem_s2_c WHERE change NOT IN ('new', 'changed')"),
     "scd2_next_snapshot": with_(_S, "SELECT * FROM mem_s3_c"),
@@ -417,6 +459,8 @@ cal_d AS (SELECT cast(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS date) A
         cast(quarter(date) AS int) AS quarter, cast(month(date) AS int) AS month, cast(weekofyear(date) AS int) AS iso_week,
         cast(isodow(date) AS int) AS iso_day_of_week, cast(day(date) AS int) AS day_of_month,
         cast(cast(date_trunc('month', date) AS date) AS varchar) AS month_start FROM cal_d"""),
+    "rsvps_by_quarter": with_(P, """SELECT cast(year(responded_at) AS int) AS year, cast(quarter(responded_at) AS int) AS quarter,
+        count(*) AS rows FROM rsvps_acc GROUP BY 1, 2"""),
     "rsvps_last_30_days": with_(P, """SELECT event_rsvp_id, event_id, membership_id, rsvp_status, responded_at,
         responded_at_datekey FROM rsvps_acc
         WHERE responded_at > (SELECT max(responded_at) FROM rsvps_acc) - INTERVAL 30 DAY
@@ -471,7 +515,7 @@ rsvp_r0 AS (SELECT NULL::varchar AS event_rsvp_id, NULL::varchar AS event_id, NU
         ctes += scd2_step(f"evt_r{b}_c", f"evt_r{prev}", f"events_acc{s}", f"b_events{s}", "event_id", EVT_COLS,
                           AS_OF[b - 1])
         ctes += f",\nevt_r{b} AS (SELECT {_cols(EVT_COLS + SCD2_SYS)} FROM evt_r{b}_c)"
-        rs = pipeline_ctes(f"_r{b}", None, parts=("children",), with_rsvps=True,
+        rs = pipeline_ctes(f"_r{b}", b, parts=("children",), with_rsvps=True,
                            events_parent=f"(SELECT * FROM evt_r{b} WHERE system_is_active)",
                            members_parent=f"(SELECT * FROM mem_r{b} WHERE system_is_active)")
         # only the RSVP block of that chunk is needed
@@ -484,6 +528,8 @@ rsvp_r0 AS (SELECT NULL::varchar AS event_rsvp_id, NULL::varchar AS event_id, NU
 
 _R = refresh_ctes((1, 2))
 QUERIES.update({
+    "refresh_teams": with_(_R, f"SELECT {_cols(TEAM_COLS + SCD1_SYS)} FROM teams_r2"),
+    "refresh_quarantine": with_(_R, _quarantined("_2", "_r2")),
     "refresh_memberships": with_(_R, "SELECT * FROM mem_r2"),
     "refresh_events": with_(_R, "SELECT * FROM evt_r2"),
     "refresh_rsvps": with_(_R, "SELECT * FROM rsvp_r2"),
@@ -492,6 +538,9 @@ QUERIES.update({
 # A second refresh over unchanged data changes nothing: the stored tables
 # equal the first load.
 QUERIES.update({
+    "refresh_rerun_quarantine": with_(P, _quarantined("", "")),
+    "refresh_rerun_teams": with_(P, "SELECT * FROM teams_acc"),
+    "refresh_rerun_memberships": with_(P, "SELECT * FROM memberships_acc"),
     "refresh_rerun_events": with_(P, "SELECT * FROM events_acc"),
     "refresh_rerun_rsvps": with_(P, "SELECT * FROM rsvps_acc"),
 })

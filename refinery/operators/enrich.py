@@ -36,9 +36,8 @@ def add_geography(df: DataFrame, places: DataFrame | None = None, *,
         return df.withColumns({"county": F.lit(county), "state": F.lit(state)})
     found = nearest_place(df.select(latitude, longitude), places, radius_km=radius_km,
                           latitude=latitude, longitude=longitude)
-    # one row per coordinate; staged or broadcast so a hot coordinate on the
-    # left is split by AQE instead of landing in one task
-    found = keyed_side(found.select(latitude, longitude, "county", "state"), "nearest_places")
+    # one row per coordinate; a hot coordinate on the left is split by AQE
+    found = keyed_side(found.select(latitude, longitude, "county", "state"))
     return df.join(found, on=[latitude, longitude], how="left").select(
         *df.columns, "county", "state")
 

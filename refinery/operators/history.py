@@ -74,6 +74,11 @@ def stamp_scd2(df: DataFrame, time_column: str | None = None, as_of=None,
     })
 
 
+def is_active() -> Column:
+    """A stored row without the flag counts as inactive, never as neither."""
+    return F.coalesce(F.col(ACTIVE), F.lit(False))
+
+
 def _prefixed(df: DataFrame, prefix: str, marker: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns], F.lit(True).alias(marker))
 
@@ -147,7 +152,7 @@ def _scd2_join(target: DataFrame, accepted: DataFrame, keys: list[str],
     shuffle for the full outer join.
     """
     cols = list(target.columns)
-    active = target.where(F.col(ACTIVE))
+    active = target.where(is_active())
     t = _prefixed(active, "t_", "__t")
     b = _prefixed(accepted.select(*cols), "b_", "__b")
     if present is not None:
@@ -209,7 +214,7 @@ def scd2_merge(target: DataFrame, accepted: DataFrame, keys: list[str], as_of=No
     new = F.when(ch.isin("new", "changed") & F.lit(append),
                  F.struct(*[F.col("b_" + c).alias(c) for c in cols], ch.alias(CHANGE)))
     versions = j.select(F.inline(F.filter(F.array(old, new), lambda s: s.isNotNull())))
-    history = target.where(~F.col(ACTIVE)).select(*cols, F.lit("history").alias(CHANGE))
+    history = target.where(~is_active()).select(*cols, F.lit("history").alias(CHANGE))
     return history.unionByName(versions)
 
 
@@ -224,6 +229,32 @@ def scd2_close(target: DataFrame, accepted: DataFrame, keys: list[str], as_of=No
     return scd2_merge(target, accepted, keys, as_of, present, append=False).drop(CHANGE)
 
 
+def latest_per_key(df: DataFrame, key: str, sequence: str) -> DataFrame:
+    """The last change of each key: the row of greatest ``sequence`` (ties:
+    the greatest digest), found by a partial aggregate."""
+    row = F.struct(F.col(sequence).alias("__seq"), F.col(HASH).alias("__hash"), F.struct(*df.columns).alias("__row"))
+    return df.groupBy(F.col(key).alias("__key")).agg(F.max(row).alias("__last")).select("__last.__row.*")
+
+
+# Labels of rows that a merge would write; all others stay as they are stored.
+CHANGES = ("new", "changed", "superseded", "departed")
+
+
+def change_set(merged: DataFrame) -> DataFrame:
+    return merged.where(F.col(CHANGE).isin(*CHANGES))
+
+
+def apply_change_set(stored: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """``stored`` (all versions of some keys) after ``changes`` of those keys:
+    rows that were replaced or closed go, closed and new versions are
+    appended.  Type 1 without the active flag, type 2 with it."""
+    columns = stored.columns
+    touched = changes.where(F.col(CHANGE).isin("changed", "superseded", "departed")).select(F.col(key).alias("__key")).distinct()
+    on = F.col(key) == F.col("__key")
+    kept = stored.join(touched, on & is_active() if ACTIVE in columns else on, "left_anti")
+    return append_versions(kept, changes.select(*columns))
+
+
 def append_versions(table: DataFrame, new_versions: DataFrame) -> DataFrame:
     """Append rows matched by column name."""
     return table.unionByName(new_versions.select(*table.columns))

@@ -8,20 +8,15 @@ partition of the input by construction (a NULL condition counts as a fail).
 
 Rules that need other rows join against a *keyed set*: the repeated keys
 (UniqueKey) or the distinct parent keys (Lookup / ForeignKey), each a
-partial aggregate, so a hot key is combined map-side.  That set is staged
-(written under ``spark.checkpoint.dir`` and read back, see
-:func:`refinery.sources.tables.stage`) before the join.  Measured, a small
-set is broadcast and the big side is not shuffled at all.  A large one is a
-plain shuffle stage, which is what AQE needs to split a skewed partition of
-the big side (a hot key, or many NULL keys) across tasks: with an aggregate
-directly under the join, AQE leaves such a partition in one task.  Set
-``refinery.sources.tables.STAGE_KEY_SETS = False`` to keep everything in one
-lazy plan instead.
+partial aggregate, so a hot key is combined map-side.
+:func:`refinery.sources.tables.keyed_side` puts a plain shuffle above it, so
+AQE can broadcast a set that measures small and can split a skewed partition
+of the big side (a hot key, or many NULL keys) across tasks.  Everything
+stays one lazy plan.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import count
 
@@ -29,18 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import parse_timestamp
+from refinery.sources.tables import keyed_side
 
 REASON = "dq_reason"
 _PREFIX = "__dq"
 _ids = count()
 
 
-def _keyed(df: DataFrame, name: str) -> DataFrame:
-    from refinery.sources.tables import keyed_side
-
-    return keyed_side(df, name)
-
-
 def _fresh(stem: str) -> str:
     return f"{_PREFIX}{next(_ids)}_{stem}"
 
@@ -58,10 +48,9 @@ class Attached:
 @dataclass
 class KeySet:
     """The keyed side of a rule's join, built from the input (or a parent)
-    alone, so all of a rule list's key sets can be staged at once."""
+    alone."""
 
     frame: DataFrame
-    name: str
     names: dict
 
 
@@ -104,7 +93,7 @@ class UniqueKey(Rule):
             .where(F.col("__n") > 1)
             .select(*[F.col(c).alias(tmp[c]) for c in cols], F.lit(True).alias(flag))
         )
-        return KeySet(repeated, "repeated_keys", {"flag": flag, "tmp": tmp})
+        return KeySet(repeated, {"flag": flag, "tmp": tmp})
 
     def attach(self, df: DataFrame, keyset: KeySet | None = None) -> Attached:
         ks = keyset or self.keyset(df)
@@ -145,7 +134,7 @@ class Lookup(Rule):
             )
         else:
             keys = parent.select(F.col(self.parent_column).alias(key)).distinct()
-        return KeySet(keys.withColumn(found, F.lit(True)), "parent_keys", {"key": key, "found": found})
+        return KeySet(keys.withColumn(found, F.lit(True)), {"key": key, "found": found})
 
     def _join(self, df: DataFrame, keyset: KeySet | None) -> tuple[DataFrame, str]:
         ks = keyset or self.keyset(df)
@@ -240,13 +229,8 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> Tagged:
     # and a following merge on that key needs no further shuffle of them.
     # Reasons keep the declared order.
     order = sorted(range(len(rules)), key=lambda i: isinstance(rules[i], UniqueKey))
-    # Key sets depend on the input or a parent only: build all, then stage
-    # them concurrently (each is a small job of its own).
-    sets = {i: ks for i, ks in ((i, r.keyset(df)) for i, r in enumerate(rules)) if ks is not None}
-    if sets:
-        with ThreadPoolExecutor(max_workers=min(4, len(sets))) as pool:
-            staged = dict(zip(sets, pool.map(lambda ks: _keyed(ks.frame, ks.name), sets.values())))
-        sets = {i: KeySet(staged[i], ks.name, ks.names) for i, ks in sets.items()}
+    # Key sets depend on the input or a parent only.
+    sets = {i: KeySet(keyed_side(ks.frame), ks.names) for i, ks in ((i, r.keyset(df)) for i, r in enumerate(rules)) if ks is not None}
     for i in order:
         att = rules[i].attach(df, sets.get(i))
         df = att.df

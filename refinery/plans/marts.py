@@ -39,6 +39,14 @@ def calendar(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def by_calendar(df: DataFrame, column: str, cal: DataFrame, grain: list[str]) -> DataFrame:
+    """Rows per calendar ``grain`` (columns of :func:`calendar`), joined on
+    the integer date key ``column``.  Rows are counted per date key first, so
+    the join moves one row per day."""
+    daily = df.groupBy(F.col(column).alias("datekey")).agg(F.count(F.lit(1)).alias("__rows"))
+    return daily.join(cal, "datekey").groupBy(*grain).agg(F.sum("__rows").alias("rows"))
+
+
 def recent(df: DataFrame, column: str, days: int = 30, anchor=None) -> DataFrame:
     """Rows whose ``column`` lies in the ``days`` days up to ``anchor``
     (default: the latest value in the data, as a scalar subquery)."""
@@ -78,8 +86,8 @@ def member_at_response(rsvps: DataFrame, events: DataFrame, membership_history:
 
     Interval join: RSVP ⋈ versions on ``membership_id`` (equi-key, so it
     shuffles or broadcasts as usual) with ``valid_from <= responded_at <
-    valid_to`` (open end for the active version) and the same team; then one
-    flag per RSVP via a semi join.
+    valid_to`` (open end for the active version) and the same team.  One left
+    join and one flag per RSVP, so the RSVPs are read once.
     """
     e = events.select("event_id", F.col("team_id").alias("event_team"))
     if ACTIVE in events.columns:
@@ -91,7 +99,5 @@ def member_at_response(rsvps: DataFrame, events: DataFrame, membership_history:
     cond = ((F.col("membership_id") == F.col("v_member")) & (F.col("event_team") == F.col("v_group"))
             & (F.col("v_from") <= F.col("responded_at"))
             & (F.col("v_to").isNull() | (F.col("responded_at") < F.col("v_to"))))
-    ok = r.join(v, cond, "left_semi").select("event_rsvp_id", F.lit(True).alias("member_at_response"))
-    return r.join(ok, "event_rsvp_id", "left").select(
-        "event_rsvp_id", "membership_id", "event_id",
-        F.coalesce(F.col("member_at_response"), F.lit(False)).alias("member_at_response"))
+    return r.join(v, cond, "left").groupBy("event_rsvp_id", "membership_id", "event_id").agg(
+        F.bool_or(F.col("v_member").isNotNull()).alias("member_at_response"))

@@ -11,7 +11,6 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +18,10 @@ from refinery.operators.enrich import add_datekeys, add_geography
 from refinery.operators.history import (
     ACTIVE,
     CHANGE,
+    apply_change_set,
     change_counts,
+    change_set,
+    latest_per_key,
     scd1_merge,
     scd2_merge,
     stamp_scd1,
@@ -29,6 +31,8 @@ from refinery.operators.quality import (
     REASON,
     ForeignKey,
     Tagged,
+    Predicate,
+    Rule,
     Timestamps,
     UniqueKey,
     evaluate,
@@ -37,7 +41,7 @@ from refinery.operators.quality import (
     rsvp_rules,
     team_rules,
 )
-from refinery.sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMAS, SnapshotStore, conform
+from refinery.sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMAS, SnapshotStore, conform, staging
 from refinery.operators.history import as_of_column
 
 KEYS = {
@@ -54,6 +58,16 @@ SILVER = {
 }
 
 
+# The business time whose date key orders a table's files, and which orders
+# the changes of one key in a stream.
+TIMES = {
+    "teams": "created_at",
+    "memberships": "joined_at",
+    "events": "created_at",
+    "event_rsvps": "responded_at",
+}
+
+
 @dataclass
 class Batch:
     table: str
@@ -67,45 +81,56 @@ def _silver_digest_columns(silver: str) -> list[str]:
     return [f.name for f in SILVER_SCHEMAS[silver].fields if f.name not in system]
 
 
-def teams_batch(bronze: DataFrame) -> Batch:
-    rules = [UniqueKey("team_id"), Timestamps(("created_at",)), *team_rules()]
+def _own_key(key: str, changes: bool) -> Rule:
+    """In a whole table a repeated key is an error; in a set of changes it is
+    a sequence of them, of which the last counts."""
+    return Predicate(F.col(key).isNotNull(), "null_key") if changes else UniqueKey(key)
+
+
+def _batch(table: str, tagged: Tagged, accepted: DataFrame, changes: bool) -> Batch:
+    accepted = conform(accepted, SILVER_SCHEMAS[SILVER[table]])
+    return Batch(table, tagged, latest_per_key(accepted, KEYS[table], TIMES[table]) if changes else accepted)
+
+
+def teams_batch(bronze: DataFrame, changes: bool = False) -> Batch:
+    rules = [_own_key("team_id", changes), Timestamps(("created_at",)), *team_rules()]
     t = evaluate(bronze, rules)
     acc = add_datekeys(t.accepted(), ["created_at"])
     acc = stamp_scd1(acc, "created_at", digest_columns=_silver_digest_columns("teams_refined"))
-    return Batch("teams", t, conform(acc, SILVER_SCHEMAS["teams_refined"]))
+    return _batch("teams", t, acc, changes)
 
 
-def memberships_batch(bronze: DataFrame, teams: DataFrame) -> Batch:
-    rules = [UniqueKey("membership_id"), ForeignKey("group_id", teams, "team_id"),
+def memberships_batch(bronze: DataFrame, teams: DataFrame, changes: bool = False) -> Batch:
+    rules = [_own_key("membership_id", changes), ForeignKey("group_id", teams, "team_id"),
              Timestamps(("joined_at",)), *membership_rules()]
     t = evaluate(bronze, rules)
     acc = add_datekeys(t.accepted(), ["joined_at"])
     acc = stamp_scd2(acc, "joined_at", digest_columns=_silver_digest_columns("memberships_refined"))
-    return Batch("memberships", t, conform(acc, SILVER_SCHEMAS["memberships_refined"]))
+    return _batch("memberships", t, acc, changes)
 
 
 def events_batch(bronze: DataFrame, teams: DataFrame, places: DataFrame | None = None,
-                 radius_km: float = 100.0) -> Batch:
+                 radius_km: float = 100.0, changes: bool = False) -> Batch:
     ts = ("event_start", "event_end", "created_at")
-    rules = [UniqueKey("event_id"), ForeignKey("team_id", teams, "team_id"), Timestamps(ts), *event_rules()]
+    rules = [_own_key("event_id", changes), ForeignKey("team_id", teams, "team_id"), Timestamps(ts), *event_rules()]
     t = evaluate(bronze, rules)
     acc = add_geography(t.accepted(), places, radius_km=radius_km)
     acc = add_datekeys(acc, list(ts))
     acc = stamp_scd2(acc, "created_at", digest_columns=_silver_digest_columns("events_refined"))
-    return Batch("events", t, conform(acc, SILVER_SCHEMAS["events_refined"]))
+    return _batch("events", t, acc, changes)
 
 
-def rsvps_batch(bronze: DataFrame, memberships: DataFrame, events: DataFrame) -> Batch:
+def rsvps_batch(bronze: DataFrame, memberships: DataFrame, events: DataFrame, changes: bool = False) -> Batch:
     """``memberships`` / ``events``: the silver tables; only active versions
     are used as parents."""
     m = memberships.where(F.col(ACTIVE)) if ACTIVE in memberships.columns else memberships
     e = events.where(F.col(ACTIVE)) if ACTIVE in events.columns else events
-    rules = [UniqueKey("event_rsvp_id"),
+    rules = [_own_key("event_rsvp_id", changes),
              *rsvp_rules(m, e, check_keys=True, between=(Timestamps(("responded_at",)),))]
     t = evaluate(bronze, rules)
     acc = add_datekeys(t.accepted(), ["responded_at"])
     acc = stamp_scd1(acc, "responded_at", digest_columns=_silver_digest_columns("event_rsvps_refined"))
-    return Batch("event_rsvps", t, conform(acc, SILVER_SCHEMAS["event_rsvps_refined"]))
+    return _batch("event_rsvps", t, acc, changes)
 
 
 def quarantine(batch: Batch, as_of=None) -> DataFrame:
@@ -141,34 +166,65 @@ def merge_batch(batch: Batch, target: DataFrame, as_of=None, raw: DataFrame | No
     return scd1_merge(target, batch.accepted, [key])
 
 
+def write_changes(store: SnapshotStore, table: str, merged: DataFrame, stage) -> dict[str, int]:
+    """Writes what ``merged`` changes in the stored table of ``table``;
+    returns the rows per change label (none: nothing written).
+
+    The change set is staged once, counted, and applied to the buckets that
+    hold one of its keys; no other stored row is read again or rewritten.
+    """
+    silver, key = SILVER[table], KEYS[table]
+    changes = stage(change_set(merged), silver)
+    counts = {r[CHANGE]: r["rows"] for r in change_counts(changes).collect()}
+    if counts:
+        touched = [r[0] for r in changes.select(store.bucket_of(key)).distinct().collect()]  # at most store.buckets
+        store.write(silver, apply_change_set(store.read(silver, buckets=touched), changes, key), key, f"{TIMES[table]}_datekey")
+    return counts
+
+
+QUARANTINE = "quarantine"
+
+
+def _fingerprint(df: DataFrame):
+    """Equal for equal bags of rejected rows, whatever their order."""
+    h = F.xxhash64("table_name", "record_key", "dq_reason", "raw_row")
+    return tuple(df.select(h.alias("h")).agg(F.count("h"), F.sum(F.col("h").cast("decimal(38,0)")), F.bit_xor("h")).first())
+
+
+def write_quarantine(store: SnapshotStore, rejected: DataFrame) -> bool:
+    """The rejected rows of one refresh, as a whole version; the same rows
+    again write nothing, so a rerun or a retry adds none."""
+    if _fingerprint(rejected) == _fingerprint(store.read_whole(QUARANTINE, QUARANTINE_SCHEMA)):
+        return False
+    store.write_whole(QUARANTINE, rejected)
+    return True
+
+
 def refresh(spark: SparkSession, bronze: dict[str, DataFrame], store: SnapshotStore, as_of=None,
             places: DataFrame | None = None, close_rejected: bool = False,
             keep_quarantine: bool = True) -> dict[str, dict[str, int]]:
-    """Run the four pipelines against ``store``; returns change counts per
-    table.  A table whose batch changes nothing gets no new snapshot.
+    """Run the four pipelines against ``store``; returns the changed rows per
+    table and label (an empty dict: unchanged, nothing written).
 
-    Per table: the tagged batch and the merged table are persisted, the
-    change counts are one small aggregate, and the snapshot write reuses the
-    persisted merge.  The rejected rows of all four tables are appended to
-    ``<root>/quarantine`` in one write at the end.
+    Per table the tagged batch is persisted for its two readers (merge and
+    rejected rows) and released at the end of its step; the change set and the
+    rejected rows are staged and deleted with the refresh.
     """
     stats: dict[str, dict[str, int]] = {}
-    batches: list[Batch] = []
+    rejected: dict[str, DataFrame] = {}
+
+    with staging(spark) as stage:
+        def step(batch: Batch, raw: DataFrame) -> None:
+            if keep_quarantine:
+                batch.tagged.persist()
+            try:
+                merged = merge_batch(batch, store.read(SILVER[batch.table]), as_of, raw, close_rejected)
+                stats[batch.table] = write_changes(store, batch.table, merged, stage)
+                if keep_quarantine:
+                    rejected[batch.table] = stage(quarantine(batch, as_of), f"rejected_{batch.table}")
+            finally:
+                batch.tagged.unpersist()
 
-    def step(batch: Batch, raw: DataFrame) -> None:
-        silver = SILVER[batch.table]
-        target = store.read(silver)
-        if keep_quarantine:
-            batch.tagged.persist()
-        merged = merge_batch(batch, target, as_of, raw, close_rejected).persist(StorageLevel.MEMORY_AND_DISK)
-        counts = {r[CHANGE]: r["rows"] for r in change_counts(merged).collect()}
-        if counts.get("new", 0) + counts.get("changed", 0) + counts.get("departed", 0) > 0:
-            store.write(silver, merged.drop(CHANGE))
-        merged.unpersist()
-        batches.append(batch)
-        stats[batch.table] = counts
-
-    try:
         step(teams_batch(bronze["teams"]), bronze["teams"])
         teams = store.read(SILVER["teams"])
         # memberships and events depend only on teams: submit both as
@@ -180,16 +236,12 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], store: SnapshotSt
             ]
             for f in futures:
                 f.result()
-        batches.sort(key=lambda b: list(SILVER).index(b.table))
         step(rsvps_batch(bronze["event_rsvps"], store.read(SILVER["memberships"]),
                          store.read(SILVER["events"])), bronze["event_rsvps"])
         if keep_quarantine:
-            rejected = None
-            for b in batches:
-                q = quarantine(b, as_of)
-                rejected = q if rejected is None else rejected.unionByName(q)
-            rejected.write.mode("append").parquet(f"{store.root}/quarantine")
-    finally:
-        for b in batches:
-            b.tagged.unpersist()
+            frames = [rejected[t] for t in SILVER]
+            every = frames[0]
+            for f in frames[1:]:
+                every = every.unionByName(f)
+            write_quarantine(store, every)
     return stats

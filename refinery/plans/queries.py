@@ -17,7 +17,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from refinery.operators.enrich import add_datekeys, nearest_place
-from refinery.operators.history import CHANGE, changed_rows, scd2_changes
+from refinery.operators.history import (
+    ACTIVE,
+    CHANGE,
+    append_versions,
+    changed_rows,
+    scd1_merge,
+    scd2_changes,
+    scd2_close,
+    stamp_scd1,
+    stamp_scd2,
+)
 from refinery.operators.quality import (
     ForeignKey,
     Timestamps,
@@ -29,19 +39,20 @@ from refinery.operators.quality import (
     team_rules,
 )
 from refinery.functions.columns import row_digest
-from refinery.plans.marts import calendar, daily_rolling, member_at_response, monthly_trend, recent
+from refinery.plans.marts import by_calendar, calendar, daily_rolling, member_at_response, monthly_trend, recent
 from refinery.plans.pipelines import (
-    refresh,
+    QUARANTINE,
     Batch,
     events_batch,
     memberships_batch,
     merge_batch,
     quarantine,
+    refresh,
     rsvps_batch,
     teams_batch,
 )
 from refinery.sources.fixtures import bronze_tables, places_from_customers
-from refinery.sources.tables import SILVER_SCHEMAS, SnapshotStore, checkpoint_root, empty
+from refinery.sources.tables import BRONZE_SCHEMAS, QUARANTINE_SCHEMA, SILVER_SCHEMAS, SnapshotStore, checkpoint_root, conform, empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -247,11 +258,15 @@ def _scenario_counts(close_rejected: bool) -> Query:
     return q
 
 
+def _store(spark: SparkSession) -> SnapshotStore:
+    return SnapshotStore(spark, f"{checkpoint_root(spark)}/refinery-queries/{uuid.uuid4().hex}")
+
+
 def _refreshed(table: str) -> Query:
     """Two consecutive refreshes (scenario batches 1 and 2) into a fresh
     store under the checkpoint folder; the stored table afterwards."""
     def q(spark, d):
-        store = SnapshotStore(spark, f"{checkpoint_root(spark)}/refinery-queries/{uuid.uuid4().hex}")
+        store = _store(spark)
         for b in (1, 2):
             refresh(spark, bronze_tables(spark, d, b), store, as_of=AS_OF[b - 1], keep_quarantine=False)
         return ntz(store.read(table))
@@ -262,13 +277,77 @@ def _rerun(table: str) -> Query:
     """The whole data refreshed twice into one store: the second run must
     change nothing, so the stored table equals the first load."""
     def q(spark, d):
-        store = SnapshotStore(spark, f"{checkpoint_root(spark)}/refinery-queries/{uuid.uuid4().hex}")
+        store = _store(spark)
         for _ in range(2):
             refresh(spark, bronze_tables(spark, d), store, as_of=AS_OF[2], keep_quarantine=False)
         return ntz(store.read(table))
     return q
 
 
+def _stored_quarantine(batches: tuple) -> Query:
+    """The stored rejected rows after refreshes of ``batches``: key, reason
+    and the raw values, in the bronze table's column order ('-': NULL)."""
+    def q(spark, d):
+        store = _store(spark)
+        for b in batches:
+            refresh(spark, bronze_tables(spark, d, b), store, as_of=AS_OF[0])
+        rows = store.read_whole(QUARANTINE, QUARANTINE_SCHEMA)
+        values = F.lit(None).cast("string")
+        for table, schema in BRONZE_SCHEMAS.items():
+            got = [F.coalesce(F.get_json_object("raw_row", f"$.{c}"), F.lit("-")) for c in schema.names]
+            values = F.when(F.col("table_name") == table, F.concat_ws("|", *got)).otherwise(values)
+        return rows.select("table_name", "record_key", "dq_reason", values.alias("raw_values"))
+    return q
+
+
+def _events_geo(spark, d):
+    s = Silver(spark, d)
+    return ntz(events_batch(s.bronze["events"], s.parent, places_from_customers(spark, d), radius_km=500.0).accepted)
+
+
+def _upsert_rsvps(spark, d):
+    """RSVPs of batch 2 into those of batch 1: inserts, updates, no deletes."""
+    parent = Silver(spark, d).teams.accepted
+    first, second = (Silver(spark, d, b, parent).rsvps.accepted for b in (1, 2))
+    return ntz(scd1_merge(first, second, ["event_rsvp_id"]))
+
+
+def _second_events(spark, d):
+    sc = Scenario(spark, d)
+    b = sc.batches[1]
+    return sc.table("events", 1), b.events.accepted, b.bronze["events"].select("event_id")
+
+
+def _scd2_appended(spark, d):
+    """Closings applied, then the new versions appended, as two steps."""
+    target, accepted, present = _second_events(spark, d)
+    closed = scd2_close(target, accepted, ["event_id"], AS_OF[1], present)
+    new, _ = scd2_changes(accepted, target, ["event_id"], present)
+    return ntz(append_versions(closed, new))
+
+
+def _scd2_closed(spark, d):
+    sc = Scenario(spark, d)
+    b = sc.batches[1]
+    present = b.bronze["memberships"].select("membership_id")
+    return ntz(scd2_close(sc.table("memberships", 1), b.memberships.accepted, ["membership_id"], AS_OF[1], present))
+
+
+def _scd2_null_flag(spark, d):
+    """Batch 2 into a table some of whose rows lost their active flag: these
+    stay as they are, and their keys open new versions."""
+    sc = Scenario(spark, d)
+    b = sc.batches[1]
+    stored = sc.table("memberships", 1)
+    stored = stored.withColumn(ACTIVE, F.when(~F.col("membership_id").endswith("5"), F.col(ACTIVE)))
+    return ntz(merge_batch(b.memberships, conform(stored, SILVER_SCHEMAS["memberships_refined"]), AS_OF[1], b.bronze["memberships"]))
+
+
+def _by_quarter(spark, d):
+    acc = Silver(spark, d).rsvps.accepted
+    return by_calendar(acc, "responded_at_datekey", calendar(acc, "responded_at"), ["year", "quarter"])
+
+
 def _calendar(spark, d):
     # dates as ISO text so engines that surface DATE differently compare equal
     cal = calendar(Silver(spark, d).rsvps.accepted, "responded_at")
@@ -316,29 +395,39 @@ QUERIES: dict[str, Query] = {
     "geo_constant": _geo_constant,
     "geo_nearest": _geo_nearest,
     "row_digest": _row_digest,
-    "scd1_stamped": lambda s, d: ntz(Silver(s, d).rsvps.accepted),
-    "scd2_stamped": lambda s, d: ntz(Silver(s, d).memberships.accepted),
+    "scd1_stamped": lambda s, d: ntz(stamp_scd1(bronze_tables(s, d)["event_rsvps"], as_of=AS_OF[0])),
+    "scd2_stamped": lambda s, d: ntz(stamp_scd2(bronze_tables(s, d)["memberships"], as_of=AS_OF[0])),
     "silver_teams": lambda s, d: ntz(Silver(s, d).teams.accepted),
     "silver_memberships": lambda s, d: ntz(Silver(s, d).memberships.accepted),
     "silver_events": lambda s, d: ntz(Silver(s, d).events.accepted),
     "silver_rsvps": lambda s, d: ntz(Silver(s, d).rsvps.accepted),
+    "silver_events_geo": _events_geo,
     "quarantine_summary": _quarantine_summary,
     "scd1_changed": _scd1_changed,
     "scd1_upsert": lambda s, d: ntz(Scenario(s, d).states["teams"][1]),
     "scd2_new_versions": _scd2_new_versions,
     "scd2_departed": _scd2_departed,
-    "scd2_closed": lambda s, d: ntz(Scenario(s, d).states["memberships"][1].where(~F.col(CHANGE).isin("new", "changed")).drop(CHANGE)),
+    "scd1_upsert_rsvps": _upsert_rsvps,
+    "scd2_closed": _scd2_closed,
+    "scd2_appended": _scd2_appended,
+    "scd2_null_flag": _scd2_null_flag,
     "scd2_next_snapshot": lambda s, d: ntz(Scenario(s, d).states["memberships"][2]),
     "scenario_counts": _scenario_counts(False),
     "scenario_counts_close_rejected": _scenario_counts(True),
     "calendar": _calendar,
+    "rsvps_by_quarter": _by_quarter,
     "rsvps_last_30_days": _recent,
     "rsvp_rolling_30d": lambda s, d: daily_rolling(_with_team(Silver(s, d)), ["team_id"], "responded_at", 30),
     "rsvp_trend": lambda s, d: monthly_trend(Silver(s, d).rsvps.accepted, Silver(s, d).events.accepted),
     "rsvp_history_check": _history_check,
+    "refresh_teams": _refreshed("teams_refined"),
     "refresh_memberships": _refreshed("memberships_refined"),
     "refresh_events": _refreshed("events_refined"),
     "refresh_rsvps": _refreshed("event_rsvps_refined"),
+    "refresh_quarantine": _stored_quarantine((1, 2)),
+    "refresh_rerun_quarantine": _stored_quarantine((None, None)),
+    "refresh_rerun_teams": _rerun("teams_refined"),
+    "refresh_rerun_memberships": _rerun("memberships_refined"),
     "refresh_rerun_events": _rerun("events_refined"),
     "refresh_rerun_rsvps": _rerun("event_rsvps_refined"),
 }

@@ -1,18 +1,22 @@
 """Declared table schemas, bronze readers, and the silver snapshot sink.
 
-Storage: each silver table is a directory of immutable Parquet snapshots
-``<root>/<table>/v=<n>``.  A refresh reads the newest complete snapshot
-(Spark's ``_SUCCESS`` marker present), computes the next one as a plain
-DataFrame, and writes it to ``v=<n+1>``; a run with nothing to change writes
-nothing.  A snapshot being read is never overwritten, the type-2 close and
-append land in one write, and a job that dies half-way leaves no
-``_SUCCESS`` so readers never see it.  Paths go through the Hadoop
+Storage: a silver table is cut by key hash into a fixed number of buckets.  A
+refresh writes the buckets that hold a change, whole, as the next version
+``<root>/<table>/v=<n>/bucket=<b>``; the table is each bucket's newest
+complete version (Spark's ``_SUCCESS`` marker present), so untouched buckets
+keep their files and a run with nothing to change writes nothing.  Files
+being read are never overwritten, the type-2 close and append land in one
+write, and a job that dies half-way leaves no ``_SUCCESS`` so readers never
+see it.  One writer at a time: a second one fails on the existing version
+instead of losing an update.  Rows are sorted by date key within a bucket, so
+Parquet statistics prune date-key filters.  Paths go through the Hadoop
 FileSystem of the session, so any shared store the cluster mounts works.
 """
 
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,60 +99,54 @@ def read_bronze_jdbc(spark: SparkSession, url: str, table: str, source_table: st
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (set on the
-    cluster).  Only when it is unset (local tests) a local one is chosen."""
+    cluster).  Unset, a local session gets a folder of its own (tests); on a
+    cluster that is an error, since no machine's own folder is shared."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
         d = tempfile.mkdtemp(prefix="refinery-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint folder and read it back:
-    cuts the lineage (a lost executor re-reads files instead of re-running
-    the joins) and lets several outputs share one computation."""
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/refinery-stage/{uuid.uuid4().hex}/{name}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def delete_path(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-STAGE_KEY_SETS = True
-# Fixed allowance: in-memory size of a scan versus its (compressed) file size.
-SIZE_ALLOWANCE = 8
+@contextmanager
+def staging(spark: SparkSession):
+    """``stage(df, name)`` for the block: writes ``df`` as Parquet under the
+    checkpoint folder and reads it back, which cuts the lineage (a lost
+    executor re-reads files) and lets several outputs share one computation.
+    The folder is deleted when the block ends."""
+    root = f"{checkpoint_root(spark)}/refinery-stage/{uuid.uuid4().hex}"
 
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("errorifexists").parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
-def size_bound(df: DataFrame) -> int | None:
-    """Planner size estimate of ``df`` in bytes.  Without cost-based
-    statistics it is an upper bound: file sizes for scans, the child's size
-    for filters and aggregates, products for joins."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - non-classic sessions
-        return None
+        yield stage
+    finally:
+        delete_path(spark, root)
 
 
-def keyed_side(df: DataFrame, name: str) -> DataFrame:
-    """Prepare the keyed (small, one row per key) side of a join whose other
+def keyed_side(df: DataFrame) -> DataFrame:
+    """The keyed side (an aggregate: one row per key) of a join whose other
     side may hold hot keys.
 
-    Proven small (size bound × allowance within the broadcast threshold):
-    broadcast it, so the other side is not shuffled at all.  Otherwise
-    stage it: the join then has plain shuffle stages on both sides, AQE
-    measures the staged side (and may still broadcast it), and a skewed
-    partition of the other side is split across tasks.
+    An aggregate directly under the join leaves AQE unable to split a skewed
+    partition of the other side, since both sides must be plain shuffles.  A
+    rebalance above the aggregate gives it one: AQE then measures the keyed
+    side (and broadcasts it if it turns out small) and splits hot partitions
+    of the other.  It is one lazy plan at every size; only keys move twice.
     """
-    if not STAGE_KEY_SETS:
-        return df
-    spark = df.sparkSession
-    threshold = int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("bB") or -1)
-    bound = size_bound(df)
-    if bound is not None and threshold > 0 and bound * SIZE_ALLOWANCE <= threshold:
-        return F.broadcast(df)
-    return stage(df, name)
+    return df.hint("rebalance")
 
 
 # --------------------------------------------------------------------------
@@ -157,45 +155,87 @@ def keyed_side(df: DataFrame, name: str) -> DataFrame:
 
 
 class SnapshotStore:
-    """Versioned Parquet snapshots under ``root`` (see module docstring)."""
+    """Silver tables as versions of key buckets (see module docstring)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def base(self, table: str) -> str:
+        """The table's folder; its name holds the number of buckets, which
+        stays for the life of a table."""
+        others = [n for n in self._numbers(f"{self.root}/{table}", "buckets=") if n != self.buckets]
+        if others:
+            raise ValueError(f"{table} has {others[0]} buckets, not {self.buckets}")
+        return f"{self.root}/{table}/buckets={self.buckets}"
+
     def path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v={version:08d}"
+        return f"{self.base(table)}/v={version:08d}"
 
-    def versions(self, table: str) -> list[int]:
-        base = self._Path(f"{self.root}/{table}")
-        if not self._fs.exists(base):
+    def _numbers(self, path: str, prefix: str) -> list[int]:
+        at = self._Path(path)
+        if not self._fs.exists(at):
             return []
-        out = []
-        for st in self._fs.listStatus(base):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                if self._fs.exists(self._Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[2:]))
-        return sorted(out)
+        names = [s.getPath().getName() for s in self._fs.listStatus(at) if s.isDirectory()]
+        return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+    def versions(self, table: str) -> list[int]:
+        """Complete versions; one without Spark's marker is a failed attempt."""
+        return [v for v in self._numbers(self.base(table), "v=") if self._fs.exists(self._Path(f"{self.path(table, v)}/_SUCCESS"))]
 
     def latest(self, table: str) -> int | None:
         v = self.versions(table)
         return v[-1] if v else None
 
-    def read(self, table: str, schema: StructType | None = None, version: int | None = None) -> DataFrame:
-        schema = schema or SILVER_SCHEMAS.get(table)
-        version = self.latest(table) if version is None else version
-        if version is None:
-            if schema is None:
-                raise FileNotFoundError(f"no snapshot of {table} under {self.root}")
-            return empty(self.spark, schema)
-        df = self.spark.read.parquet(self.path(table, version))
-        return conform(df, schema) if schema is not None else df
-
-    def write(self, table: str, df: DataFrame) -> int:
-        version = (self.latest(table) or 0) + 1
-        df.write.mode("overwrite").parquet(self.path(table, version))
+    def newest(self, table: str) -> dict[int, str]:
+        """Folder of each bucket's newest complete version."""
+        out = {}
+        for v in self.versions(table):
+            out.update({b: f"{self.path(table, v)}/bucket={b}" for b in self._numbers(self.path(table, v), "bucket=")})
+        return out
+
+    def read(self, table: str, schema: StructType | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """The table, or only the rows of some of its buckets."""
+        schema = schema or SILVER_SCHEMAS[table]
+        paths = [p for b, p in sorted(self.newest(table).items()) if buckets is None or b in buckets]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else empty(self.spark, schema)
+
+    def bucket_of(self, *key: str):
+        return F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")
+
+    def write(self, table: str, df: DataFrame, key: str, order: str | None = None) -> int:
+        """A version of the buckets that ``df`` has rows of, each whole; other
+        buckets keep their files.  The number is one that no attempt, failed
+        ones included, has used, and an existing folder is an error."""
+        version = max([0, *self._numbers(self.base(table), "v=")]) + 1
+        out = df.withColumn("bucket", self.bucket_of(key)).repartition("bucket")
+        out = out.sortWithinPartitions("bucket", *([order] if order else []))
+        out.write.mode("errorifexists").partitionBy("bucket").parquet(self.path(table, version))
         return version
+
+    def write_whole(self, table: str, df: DataFrame) -> int:
+        """The whole table, an empty one too, as a version without buckets."""
+        version = max([0, *self._numbers(f"{self.root}/{table}", "run=")]) + 1
+        df.write.mode("errorifexists").parquet(f"{self.root}/{table}/run={version:08d}")
+        return version
+
+    def read_whole(self, table: str, schema: StructType) -> DataFrame:
+        """The newest complete version written by :meth:`write_whole`."""
+        runs = [f"{self.root}/{table}/run={v:08d}" for v in self._numbers(f"{self.root}/{table}", "run=")]
+        runs = [r for r in runs if self._fs.exists(self._Path(f"{r}/_SUCCESS"))]
+        return self.spark.read.schema(schema).parquet(runs[-1]) if runs else empty(self.spark, schema)
+
+    def vacuum(self, table: str) -> int:
+        """Deletes bucket folders that a newer version has replaced, once no
+        reader of the older state is left; returns how many."""
+        keep, gone = set(self.newest(table).values()), 0
+        for v in self.versions(table):
+            for b in self._numbers(self.path(table, v), "bucket="):
+                if f"{self.path(table, v)}/bucket={b}" not in keep:
+                    delete_path(self.spark, f"{self.path(table, v)}/bucket={b}")
+                    gone += 1
+        return gone

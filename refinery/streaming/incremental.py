@@ -1,11 +1,17 @@
 """Refresh silver tables from a stream of bronze change files.
 
-Each micro-batch is one change set for one table: it goes through the same
+Each micro-batch is a set of changes of one table: it goes through the same
 checks and the same merge as a batch refresh (``foreachBatch``), except that
-keys absent from the micro-batch are never closed (absence means "not
-changed", not "deleted").  A replayed micro-batch finds equal digests and
-writes nothing, so a restart after a failure between the snapshot write and
-the offset commit is harmless.
+
+* a key may occur several times: of its accepted changes the one with the
+  latest business time counts (ties: the greatest digest);
+* keys absent from the micro-batch stay as they are (absence means "not
+  changed", not "deleted");
+* rejected rows, changes that name an unknown parent included, are kept per
+  micro-batch under ``<root>/quarantine_stream/<table>/epoch=<n>``.
+
+A replayed micro-batch finds equal digests and writes nothing, and replaces
+its own rejected rows, so a restart after a failure is harmless.
 """
 
 from __future__ import annotations
@@ -16,17 +22,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from refinery.operators.history import CHANGE, change_counts
 from refinery.plans.pipelines import (
     SILVER,
     Batch,
     events_batch,
     memberships_batch,
     merge_batch,
+    quarantine,
     rsvps_batch,
     teams_batch,
+    write_changes,
 )
-from refinery.sources.tables import BRONZE_SCHEMAS, SnapshotStore, checkpoint_root
+from refinery.sources.tables import BRONZE_SCHEMAS, SnapshotStore, checkpoint_root, staging
 
 
 def bronze_stream(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
@@ -42,12 +49,12 @@ def bronze_stream(spark: SparkSession, path: str, table: str, fmt: str = "parque
 
 def _pipeline(table: str, store: SnapshotStore) -> Callable[[DataFrame], Batch]:
     if table == "teams":
-        return teams_batch
+        return lambda df: teams_batch(df, changes=True)
     if table == "memberships":
-        return lambda df: memberships_batch(df, store.read(SILVER["teams"]))
+        return lambda df: memberships_batch(df, store.read(SILVER["teams"]), changes=True)
     if table == "events":
-        return lambda df: events_batch(df, store.read(SILVER["teams"]))
-    return lambda df: rsvps_batch(df, store.read(SILVER["memberships"]), store.read(SILVER["events"]))
+        return lambda df: events_batch(df, store.read(SILVER["teams"]), changes=True)
+    return lambda df: rsvps_batch(df, store.read(SILVER["memberships"]), store.read(SILVER["events"]), changes=True)
 
 
 def refresh_stream(stream: DataFrame, table: str, store: SnapshotStore, as_of=None,
@@ -63,11 +70,14 @@ def refresh_stream(stream: DataFrame, table: str, store: SnapshotStore, as_of=No
 
     def step(batch_df: DataFrame, epoch_id: int) -> None:
         batch = build(batch_df)
-        merged = merge_batch(batch, store.read(silver), as_of, departures=False).persist()
-        counts = {r[CHANGE]: r["rows"] for r in change_counts(merged).collect()}
-        if counts.get("new", 0) + counts.get("changed", 0) > 0:
-            store.write(silver, merged.drop(CHANGE))
-        merged.unpersist()
+        batch.tagged.persist()
+        try:
+            with staging(spark) as stage:
+                merged = merge_batch(batch, store.read(silver), as_of, departures=False)
+                counts = write_changes(store, table, merged, stage)
+            quarantine(batch, as_of).write.mode("overwrite").parquet(f"{store.root}/quarantine_stream/{table}/epoch={epoch_id}")
+        finally:
+            batch.tagged.unpersist()
         if on_batch is not None:
             on_batch(epoch_id, counts)
 

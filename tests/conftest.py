@@ -18,7 +18,6 @@ def spark():
     # environment has none (a cluster always names a shared one).
     if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
         d = tempfile.mkdtemp(prefix="refinery-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
         s.sparkContext.setCheckpointDir(d)
     yield s
 

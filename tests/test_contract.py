@@ -1,9 +1,12 @@
 """Driver contract and small helpers."""
 
+import os
+
 import duckdb
 
 import __spark_entry__ as E
-from refinery.sources.tables import stage
+from refinery.plans.queries import QUERIES
+from refinery.sources.tables import checkpoint_root, staging
 
 from conftest import SF
 
@@ -17,7 +20,32 @@ def test_entry_runs_flagship(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
+
+
+def test_building_a_query_runs_no_job(spark):
+    """Plans are lazy; only a refresh, which writes tables, runs jobs."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        for name, query in QUERIES.items():
+            if not name.startswith("refresh_"):
+                query(spark, SF["0.001"])
+        # schema discovery lists files and reads one footer per table
+        kinds = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("building")]
+        assert all(len(i.stageIds) == 1 and tracker.getStageInfo(i.stageIds[0]).numTasks == 1 for i in kinds if i)
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_key_rules_take_any_threshold_notation(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for value in ("10MB", "100m"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", value)
+            assert QUERIES["fk_accepted"](spark, SF["0.001"]).count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_oracle_columns_match_spark_columns(spark):
@@ -31,9 +59,12 @@ def test_oracle_columns_match_spark_columns(spark):
         assert spark_cols == duck_cols, name
 
 
-def test_stage_cuts_lineage(spark):
+def test_staging_cuts_lineage_and_leaves_nothing(spark):
     df = spark.range(1000).selectExpr("id", "id % 7 AS k").groupBy("k").count()
-    staged = stage(df, "counts")
-    assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, df.collect()))
-    # the staged frame is a plain file scan, no aggregate left in its plan
-    assert "Aggregate" not in staged._jdf.queryExecution().optimizedPlan().toString()
+    with staging(spark) as stage:
+        staged = stage(df, "counts")
+        assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, df.collect()))
+        # the staged frame is a plain file scan, no aggregate left in its plan
+        assert "Aggregate" not in staged._jdf.queryExecution().optimizedPlan().toString()
+    folder = os.path.join(checkpoint_root(spark).removeprefix("file:"), "refinery-stage")
+    assert not os.listdir(folder)

@@ -1,16 +1,23 @@
 """End-to-end refresh against the snapshot store."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
-from refinery.plans.pipelines import refresh
+from refinery.plans.pipelines import QUARANTINE, refresh
 from refinery.sources.fixtures import bronze_tables
-from refinery.sources.tables import SILVER_SCHEMAS, SnapshotStore
+from refinery.sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMAS, SnapshotStore, checkpoint_root
 
 from conftest import SF
 
 
+def files(root):
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet"))
+
+
 def test_refresh_first_load_rerun_and_changes(spark, scratch):
-    store = SnapshotStore(spark, scratch)
+    store = SnapshotStore(spark, scratch, buckets=4)
     d = SF["0.001"]
 
     s1 = refresh(spark, bronze_tables(spark, d, 1), store, as_of="2024-01-01 00:00:00")
@@ -18,41 +25,74 @@ def test_refresh_first_load_rerun_and_changes(spark, scratch):
     for name in SILVER_SCHEMAS:
         assert store.versions(name) == [1], name
         assert store.read(name).columns == SILVER_SCHEMAS[name].names
-    first_rsvps = store.read("event_rsvps_refined").count()
-    assert first_rsvps > 0
+    assert store.read("event_rsvps_refined").count() == s1["event_rsvps"]["new"] > 0
+    rejected = store.read_whole(QUARANTINE, QUARANTINE_SCHEMA).count()
+    assert rejected > 0
 
-    # unchanged input: nothing new, changed or departed, and no snapshot written
+    # unchanged input: no change and not one file more, rejected rows included
+    before = files(scratch)
     s2 = refresh(spark, bronze_tables(spark, d, 1), store, as_of="2024-01-02 00:00:00")
-    for table, counts in s2.items():
-        assert not {"new", "changed", "departed"} & set(counts), (table, counts)
-    for name in SILVER_SCHEMAS:
-        assert store.versions(name) == [1], name
+    assert set(s2) == {"teams", "memberships", "events", "event_rsvps"} and not any(s2.values())
+    assert files(scratch) == before
+    assert store.read_whole(QUARANTINE, QUARANTINE_SCHEMA).count() == rejected
 
     # second batch: inserts, updates, deletes and rows turning bad
     s3 = refresh(spark, bronze_tables(spark, d, 2), store, as_of="2024-01-03 00:00:00")
-    assert (s3["teams"]["new"], s3["teams"]["changed"], s3["teams"]["same"]) == (3, 2, 13)
-    assert s3["memberships"]["departed"] > 0 and s3["events"]["changed"] > 0
-    assert store.versions("teams_refined") == [1, 2]
+    assert s3["teams"] == {"new": 3, "changed": 2}
+    assert s3["event_rsvps"]["changed"] > 0 and s3["memberships"]["departed"] > 0 and s3["events"]["changed"] > 0
     mem = store.read("memberships_refined")
     assert mem.where(F.col("system_is_active")).groupBy("membership_id").count().where("count > 1").count() == 0
     # closed versions keep their history
-    assert mem.where(~F.col("system_is_active")).count() == s3["memberships"]["departed"] + s3["memberships"]["changed"]
-
-    q = spark.read.parquet(f"{scratch}/quarantine")
-    assert q.select("refreshed_at").distinct().count() == 3
+    assert mem.where(~F.col("system_is_active")).count() == s3["memberships"]["departed"] + s3["memberships"]["superseded"]
+    q = store.read_whole(QUARANTINE, QUARANTINE_SCHEMA)
+    assert q.select("refreshed_at").distinct().count() == 1
     assert q.where(F.col("dq_reason").isNull()).count() == 0
+    # staged data is gone with the refresh
+    staged = os.path.join(checkpoint_root(spark).removeprefix("file:"), "refinery-stage")
+    assert not os.path.isdir(staged) or not os.listdir(staged)
 
+    # replaced bucket folders can go; the tables stay the same
+    rows = {name: store.read(name).count() for name in SILVER_SCHEMAS}
+    assert store.vacuum("memberships_refined") > 0
+    assert {name: store.read(name).count() for name in SILVER_SCHEMAS} == rows
 
-def test_store_ignores_incomplete_snapshot(spark, scratch):
-    store = SnapshotStore(spark, scratch)
-    df = spark.createDataFrame([("a",)], "x string")
-    assert store.write("t", df) == 1
-    # a half-written version (no _SUCCESS marker) is invisible
+
+def test_a_change_rewrites_its_bucket_alone(spark, scratch):
+    store = SnapshotStore(spark, scratch, buckets=8)
+    bronze = bronze_tables(spark, SF["0.001"], 1)
+    refresh(spark, bronze, store, as_of="2024-01-01 00:00:00", keep_quarantine=False)
+    before = store.newest("teams_refined")
+    changed = dict(bronze, teams=bronze["teams"].withColumn(
+        "team_activity", F.when(F.col("team_id") == "T1", F.lit("CHANGED")).otherwise(F.col("team_activity"))))
+    changed = {t: changed.get(t, bronze[t]) for t in ("teams", "memberships", "events", "event_rsvps")}
+    stats = refresh(spark, changed, store, as_of="2024-01-02 00:00:00", keep_quarantine=False)
+    assert stats["teams"] == {"changed": 1} and not stats["memberships"] and not stats["events"]
+    after = store.newest("teams_refined")
+    bucket = spark.createDataFrame([("T1",)], "team_id string").select(store.bucket_of("team_id")).first()[0]
+    assert [b for b in before if before[b] != after[b]] == [bucket]
+    assert store.read("teams_refined").count() == 18
+
+
+def test_store_ignores_failed_versions_and_refuses_used_ones(spark, scratch):
+    store = SnapshotStore(spark, scratch, buckets=2)
+    df = spark.createDataFrame([("T1", "a", "b", None, None, "h", None, None)], SILVER_SCHEMAS["teams_refined"])
+    assert store.write("teams_refined", df, "team_id") == 1
+    # a half-written version (no _SUCCESS marker) is invisible, and its number is not used again
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     hconf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     try:
-        df.write.parquet(store.path("t", 2))
+        df.write.parquet(store.path("teams_refined", 2))
     finally:
         hconf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-    assert store.versions("t") == [1]
-    assert store.read("t").count() == 1
+    assert store.versions("teams_refined") == [1]
+    assert store.read("teams_refined").count() == 1
+    assert store.write("teams_refined", df, "team_id") == 3
+    with pytest.raises(ValueError):
+        SnapshotStore(spark, scratch, buckets=4).read("teams_refined")
+
+
+def test_date_key_filter_reaches_the_scan(spark, scratch):
+    store = SnapshotStore(spark, scratch, buckets=2)
+    refresh(spark, bronze_tables(spark, SF["0.001"], 1), store, as_of="2024-01-01 00:00:00", keep_quarantine=False)
+    plan = store.read("event_rsvps_refined").where("responded_at_datekey >= 19980101")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(responded_at_datekey,19980101)" in plan

@@ -1,6 +1,6 @@
 """Hot keys: a third of the rows on one foreign key and a third with a NULL
-id must not end up in one task.  The key rules stage their keyed side, so
-AQE sees plain shuffle stages on both sides and splits the hot partition."""
+id must not end up in one task.  The key rules put a plain shuffle above their
+keyed side, so AQE sees one on both sides and splits the hot partition."""
 
 import pytest
 from pyspark.sql import functions as F

@@ -22,18 +22,24 @@ def test_stream_of_team_changes(spark, scratch):
     q = refresh_stream(bronze_stream(spark, inbox + "/*", "teams"), "teams", store, checkpoint=ckpt,
                        on_batch=lambda e, c: seen.append(c))
     q.awaitTermination(120)
-    assert seen and seen[0].get("new") == 19
+    assert seen and seen[0].get("new") == 20  # T23 twice: two changes of it, the later one counts
     first = store.read("teams_refined")
-    assert first.count() == 19
+    assert first.count() == 20
 
-    b["teams"].where("team_id IN ('T1', 'T2')").withColumn(
-        "team_activity", F.lit("CHANGED")).write.parquet(os.path.join(inbox, "f2"))
+    # two changes of T1 (the later by time counts, whatever their order) and a bad T2
+    change = b["teams"].where("team_id = 'T1'").withColumn("team_activity", F.explode(F.array(F.lit("LAST"), F.lit("FIRST"))))
+    change = change.withColumn("created_at", F.when(F.col("team_activity") == "LAST", "2024-05-02 00:00:00").otherwise("2024-05-01 00:00:00"))
+    bad = b["teams"].where("team_id = 'T2'").withColumn("created_at", F.lit("never"))
+    change.unionByName(bad).write.parquet(os.path.join(inbox, "f2"))
     seen.clear()
     # the same checkpoint: only the new file is read
     q = refresh_stream(bronze_stream(spark, inbox + "/*", "teams"), "teams", store, checkpoint=ckpt,
                        on_batch=lambda e, c: seen.append(c))
     q.awaitTermination(120)
-    assert seen == [{"changed": 2, "kept": 17}]
+    assert seen == [{"changed": 1}]
     after = store.read("teams_refined")
-    assert after.count() == 19
-    assert after.where("team_activity = 'CHANGED'").count() == 2
+    assert after.count() == 20
+    assert [r.team_activity for r in after.where("team_id = 'T1'").collect()] == ["LAST"]
+    assert after.where("team_id = 'T2'").exceptAll(first.where("team_id = 'T2'")).count() == 0
+    rejected = spark.read.parquet(os.path.join(scratch, "silver", "quarantine_stream", "teams"))
+    assert [(r.record_key, r.dq_reason) for r in rejected.where("epoch = 1").collect()] == [("T2", "bad_timestamp")]
