@@ -41,7 +41,7 @@ from refinery.operators.quality import (
     rsvp_rules,
     team_rules,
 )
-from refinery.sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMAS, SnapshotStore, conform, staging
+from refinery.sources.tables import MALFORMED, QUARANTINE_SCHEMA, SILVER_SCHEMAS, SnapshotStore, conform, staging
 from refinery.operators.history import as_of_column
 
 KEYS = {
@@ -87,13 +87,18 @@ def _own_key(key: str, changes: bool) -> Rule:
     return Predicate(F.col(key).isNotNull(), "null_key") if changes else UniqueKey(key)
 
 
+def _readable(bronze: DataFrame) -> list[Rule]:
+    """Rows whose file held a number that does not parse."""
+    return [Predicate(F.col(MALFORMED).isNull(), "malformed_number")] if MALFORMED in bronze.columns else []
+
+
 def _batch(table: str, tagged: Tagged, accepted: DataFrame, changes: bool) -> Batch:
     accepted = conform(accepted, SILVER_SCHEMAS[SILVER[table]])
     return Batch(table, tagged, latest_per_key(accepted, KEYS[table], TIMES[table]) if changes else accepted)
 
 
 def teams_batch(bronze: DataFrame, changes: bool = False) -> Batch:
-    rules = [_own_key("team_id", changes), Timestamps(("created_at",)), *team_rules()]
+    rules = [*_readable(bronze), _own_key("team_id", changes), Timestamps(("created_at",)), *team_rules()]
     t = evaluate(bronze, rules)
     acc = add_datekeys(t.accepted(), ["created_at"])
     acc = stamp_scd1(acc, "created_at", digest_columns=_silver_digest_columns("teams_refined"))
@@ -101,7 +106,7 @@ def teams_batch(bronze: DataFrame, changes: bool = False) -> Batch:
 
 
 def memberships_batch(bronze: DataFrame, teams: DataFrame, changes: bool = False) -> Batch:
-    rules = [_own_key("membership_id", changes), ForeignKey("group_id", teams, "team_id"),
+    rules = [*_readable(bronze), _own_key("membership_id", changes), ForeignKey("group_id", teams, "team_id"),
              Timestamps(("joined_at",)), *membership_rules()]
     t = evaluate(bronze, rules)
     acc = add_datekeys(t.accepted(), ["joined_at"])
@@ -112,7 +117,7 @@ def memberships_batch(bronze: DataFrame, teams: DataFrame, changes: bool = False
 def events_batch(bronze: DataFrame, teams: DataFrame, places: DataFrame | None = None,
                  radius_km: float = 100.0, changes: bool = False) -> Batch:
     ts = ("event_start", "event_end", "created_at")
-    rules = [_own_key("event_id", changes), ForeignKey("team_id", teams, "team_id"), Timestamps(ts), *event_rules()]
+    rules = [*_readable(bronze), _own_key("event_id", changes), ForeignKey("team_id", teams, "team_id"), Timestamps(ts), *event_rules()]
     t = evaluate(bronze, rules)
     acc = add_geography(t.accepted(), places, radius_km=radius_km)
     acc = add_datekeys(acc, list(ts))
@@ -125,7 +130,7 @@ def rsvps_batch(bronze: DataFrame, memberships: DataFrame, events: DataFrame, ch
     are used as parents."""
     m = memberships.where(F.col(ACTIVE)) if ACTIVE in memberships.columns else memberships
     e = events.where(F.col(ACTIVE)) if ACTIVE in events.columns else events
-    rules = [_own_key("event_rsvp_id", changes),
+    rules = [*_readable(bronze), _own_key("event_rsvp_id", changes),
              *rsvp_rules(m, e, check_keys=True, between=(Timestamps(("responded_at",)),))]
     t = evaluate(bronze, rules)
     acc = add_datekeys(t.accepted(), ["responded_at"])

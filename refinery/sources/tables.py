@@ -75,20 +75,46 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_bronze_csv(spark: SparkSession, path: str, table: str, **options) -> DataFrame:
-    """Bronze load from CSV with the declared schema (no inference)."""
-    return spark.read.schema(BRONZE_SCHEMAS[table]).options(header="true", **options).csv(path)
+MALFORMED = "malformed"
+
 
+def read_bronze_csv(spark: SparkSession, path: str, table: str, **options) -> DataFrame:
+    """Bronze load from CSV with the declared columns (no inference).
 
-def read_bronze_jdbc(spark: SparkSession, url: str, table: str, source_table: str | None = None,
-                     partition_column: str | None = None, bounds: tuple[int, int] | None = None,
-                     num_partitions: int = 64, **options) -> DataFrame:
-    """Bronze load from a database over JDBC, read in parallel ranges when a
-    numeric ``partition_column`` and its bounds are given."""
+    Numbers are parsed here; what does not parse is kept as text in
+    ``malformed`` (``column=text``, else NULL), so that the pipelines can
+    quarantine the row instead of taking the value for a missing one.
+    """
+    schema = BRONZE_SCHEMAS[table]
+    text = _schema(*[(f.name, S) for f in schema.fields])
+    raw = spark.read.schema(text).options(header="true", **options).csv(path)
+    bad = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.concat(F.lit(f"{f.name}="), F.col(f.name)))
+           for f in schema.fields if f.dataType != S]
+    found = F.nullif(F.concat_ws(" ", *bad), F.lit("")) if bad else F.lit(None).cast("string")
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], found.alias(MALFORMED))
+
+
+def create_layers(spark: SparkSession, environment: str) -> list[str]:
+    """Creates what is absent of an environment's schemas and tables, with the
+    declared column types; returns the table names."""
+    names = []
+    for layer, tables in (("bronze", BRONZE_SCHEMAS), ("silver", {**SILVER_SCHEMAS, "quarantine": QUARANTINE_SCHEMA})):
+        schema = f"{environment}_{layer}"
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+        for table, fields in tables.items():
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS `{schema}`.`{table}` ({columns}) USING parquet")
+            names.append(f"{schema}.{table}")
+    return names
+
+
+def read_bronze_jdbc(spark: SparkSession, url: str, table: str, partition_column: str, bounds: tuple[int, int],
+                     source_table: str | None = None, num_partitions: int = 64, **options) -> DataFrame:
+    """Bronze load from a database over JDBC, read in parallel ranges of a
+    numeric ``partition_column``; without them one task would read it all."""
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", source_table or table)
-    if partition_column and bounds:
-        reader = (reader.option("partitionColumn", partition_column).option("lowerBound", bounds[0])
-                  .option("upperBound", bounds[1]).option("numPartitions", num_partitions))
+    reader = (reader.option("partitionColumn", partition_column).option("lowerBound", bounds[0])
+              .option("upperBound", bounds[1]).option("numPartitions", num_partitions))
     return conform(reader.options(**options).load(), BRONZE_SCHEMAS[table])
 
 
