@@ -6,13 +6,14 @@ test item, or all words of a shorter item.  Every document window of these
 lengths is hashed and looked up in the set of test-window hashes; a hit is
 then verified on its words, and the hit spans or whole documents are removed.
 
-Plan: the test windows are counted first.  Up to ``MAX_BROADCAST`` distinct
-hashes (8 MB of longs) the set is broadcast and documents are not shuffled
-for the scan; beyond that Spark is left to shuffle both sides, with the same
-result.  Each document is one row with its word-hash array; windows are
-exploded as (document, position, hash), three numbers, so no text is copied.
-Hits are grouped by document, whose own length bounds the group, and joined
-back by (id, text hash), so only one pass moves texts.
+Plan: the distinct test windows are counted first.  Up to ``MAX_BROADCAST``
+bytes of hashes their set is broadcast, and documents are scanned, exploded to
+(position, window hash) and looked up without a shuffle; beyond that bound
+Spark shuffles both sides on the hash, with the same result.  Only numbers are
+exploded, no text is copied.  Hits are grouped by document, whose own length
+bounds the group, and joined to the documents by (id, text hash) in one
+sort-merge join, which Spark splits where it is skewed; there the words of
+every hit are compared.
 
 Defined cases: a null or wordless text has no words and no hits; a wordless
 item has no window; rows with the same id and text get the same result, rows
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from refinery.llm.scratch import Scratch
 
 NGRAM = 10
-MAX_BROADCAST = 1_000_000
+MAX_BROADCAST = 16 << 20
 # Fixed value: what stands between words.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same before lower-casing, and the words themselves.
@@ -72,39 +73,46 @@ def benchmark_windows(items: DataFrame, item_id: str = "item_id", text: str = "t
     )
 
 
-def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = NGRAM) -> DataFrame:
-    """``docs`` (its columns) with ``hits``: verified (start, length, items)
-    of test windows in the document, word positions from 0; ``n_words``."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "decontaminate")
-    grams = scratch.put(benchmark_windows(items, n=n), "windows")
-    n_grams = grams.count()
+def hashed_hits(docs: DataFrame, grams: DataFrame, doc_id: str, text: str, max_bytes: int = MAX_BROADCAST) -> DataFrame:
+    """``__id``, ``__text`` (its hash) of documents and ``__start``,
+    ``__length``, ``__hash`` of the windows in them whose hash is known."""
+    size = grams.agg(F.count(F.lit(1))).first()[0] * 8
     lengths = sorted(r[0] for r in grams.select("__length").distinct().collect())  # at most n numbers
     keyed = docs.select(F.col(doc_id).alias("__id"), F.xxhash64(F.col(text)).alias("__text"),
                         F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("__h"))
     found = None
     for length in lengths:
         known = grams.where(F.col("__length") == length).select(F.col("__hash").alias("__known")).distinct()
-        if n_grams <= MAX_BROADCAST:
-            known = F.broadcast(known)
-        windows = keyed.select("__id", "__text", F.posexplode(
-            F.transform(_starts(F.size("__h"), length), lambda i: _window_hash("__h", length, i))).alias("__start", "__hash"))
-        hits = windows.join(known, F.col("__hash") == F.col("__known"), "left_semi").select(
-            "__id", "__text", "__start", "__hash", F.lit(length).alias("__length"))
+        known = F.broadcast(known) if size <= max_bytes else known
+        hashes = F.transform(_starts(F.size("__h"), length), lambda i: _window_hash("__h", length, i))
+        windows = keyed.select("__id", "__text", F.posexplode(hashes).alias("__start", "__hash"))
+        hits = windows.join(known, F.col("__hash") == F.col("__known"), "left_semi").withColumn("__length", F.lit(length))
         found = hits if found is None else found.unionByName(hits)
+    return found
+
+
+def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = NGRAM,
+              max_bytes: int = MAX_BROADCAST) -> DataFrame:
+    """``docs`` with ``n_words`` and ``hits``: verified (start, length, items)
+    of test windows in the document, word positions from 0."""
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    grams = scratch.put(benchmark_windows(items, n=n), "windows")
+    hits = hashed_hits(docs, grams, doc_id, text, max_bytes)
     columns = [c for c in docs.columns if c not in ("hits", "n_words")]
-    out = docs.select(*columns, F.col(doc_id).alias("__did"), F.xxhash64(F.col(text)).alias("__dtext"), words(F.col(text)).alias("__w"))
+    out = docs.select(*columns)
     empty = F.array().cast("array<struct<start:int,length:int,items:array<string>>>")
-    if found is None:
-        return out.select(*columns, F.size("__w").cast("long").alias("n_words"), empty.alias("hits"))
-    detailed = found.distinct().join(grams, ["__hash", "__length"])
-    grouped = scratch.put(
+    if hits is None:
+        return out.withColumn("n_words", F.size(words(F.col(text))).cast("long")).withColumn("hits", empty)
+    detailed = hits.distinct().join(grams, ["__hash", "__length"])
+    near = scratch.put(
         detailed.groupBy("__id", "__text").agg(F.collect_list(F.struct(
             F.col("__start").alias("start"), F.col("__length").alias("length"),
             F.col("__items").alias("items"), F.col("__gram").alias("gram"))).alias("__hits")), "hits")
-    out = out.join(grouped, F.col("__did").eqNullSafe(F.col("__id")) & (F.col("__dtext") == F.col("__text")), "left")
-    verified = F.filter("__hits", lambda h: F.array_join(F.slice("__w", h["start"] + 1, h["length"]), " ") == h["gram"])
-    plain = F.transform(verified, lambda h: F.struct(h["start"].alias("start"), h["length"].alias("length"), h["items"].alias("items")))
+    # The same kind of join at every size; what it moves is the documents once.
+    on = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__dtext") == F.col("__text"))
+    out = out.withColumn("__dtext", F.xxhash64(F.col(text))).join(near.hint("merge"), on, "left").withColumn("__w", words(F.col(text)))
+    same = F.filter("__hits", lambda h: F.array_join(F.slice("__w", h["start"] + 1, h["length"]), " ") == h["gram"])
+    plain = F.transform(same, lambda h: F.struct(h["start"].alias("start"), h["length"].alias("length"), h["items"].alias("items")))
     return out.select(*columns, F.size("__w").cast("long").alias("n_words"), F.coalesce(plain, empty).alias("hits"))
 
 
