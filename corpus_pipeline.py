@@ -23,12 +23,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from refinery.llm import language
+from refinery.llm import line_dedup as lines
 from refinery.llm.decontaminate import decontaminate
-from refinery.llm.language import UNDETERMINED, identify
-from refinery.llm.line_dedup import drop_boilerplate
 from refinery.llm.near_dups import components
 from refinery.llm.packing import default_tokenizer, pack
-from refinery.llm.scratch import Scratch
+from refinery.llm.scratch import Scratch, beside
 
 NEAR_PERCENT = 80
 ORACLE_SQL = None
@@ -39,12 +39,15 @@ def _sized(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = identify(docs).where(F.col("lang_pred") != UNDETERMINED)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    def known(own: DataFrame) -> DataFrame:
+        found = language.identify(own).where(F.col("lang_pred") != language.UNDETERMINED)
+        return found.withColumn("lang", F.coalesce("lang", "lang_pred"))
+
+    return beside(docs, language.ADDED, known)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _sized(drop_boilerplate(docs), docs.columns)
+    return _sized(beside(docs, lines.ADDED, lines.drop_boilerplate), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

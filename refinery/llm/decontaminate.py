@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.scratch import Scratch
+from refinery.llm.scratch import Scratch, beside, without
 
 NGRAM = 10
 MAX_BROADCAST = 16 << 20
@@ -98,7 +98,7 @@ def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
     scratch = Scratch(docs.sparkSession, "decontaminate")
     grams = scratch.put(benchmark_windows(items, n=n), "windows")
     hits = hashed_hits(docs, grams, doc_id, text, max_bytes)
-    columns = [c for c in docs.columns if c not in ("hits", "n_words")]
+    columns = without(docs.columns, ("hits", "n_words"))
     out = docs.select(*columns)
     empty = F.array().cast("array<struct<start:int,length:int,items:array<string>>>")
     if hits is None:
@@ -135,18 +135,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     """``docs`` without contamination, same columns: a document with more
     than ``max_hit_share`` of its words in hits goes; from others the hit
     words go, with what stands between them and the next kept word."""
-    found = contamination(find_hits(docs, items, doc_id, text, n))
-    raw = F.filter(F.split(F.col(text), SEPARATOR_RAW, -1), lambda w: w != "")
-    pieces = F.transform(raw, lambda w, i: F.when(F.array_contains("__hit", i), F.lit("")).otherwise(
-        F.concat(w, F.get(F.col("__gaps"), i + 1))))
-    cleaned = F.concat(F.get(F.col("__gaps"), F.lit(0)), F.array_join(pieces, ""))
-    return (
-        found.where(F.col("n_hit") <= max_hit_share * F.col("n_words"))
-        .withColumn("__hit", _covered(F.col("hits")))
-        .withColumn("__gaps", F.split(F.col(text), WORD_RAW, -1))
-        .withColumn(text, F.when(F.col("contaminated"), cleaned).otherwise(F.col(text)))
-        .select(*docs.columns)
-    )
+    def clean(own: DataFrame) -> DataFrame:
+        raw = F.filter(F.split(F.col(text), SEPARATOR_RAW, -1), lambda w: w != "")
+        pieces = F.transform(raw, lambda w, i: F.when(F.array_contains("__hit", i), F.lit("")).otherwise(
+            F.concat(w, F.get(F.col("__gaps"), i + 1))))
+        cleaned = F.concat(F.get(F.col("__gaps"), F.lit(0)), F.array_join(pieces, ""))
+        found = contamination(find_hits(own, items, doc_id, text, n)).where(F.col("n_hit") <= max_hit_share * F.col("n_words"))
+        found = found.withColumn("__hit", _covered(F.col("hits"))).withColumn("__gaps", F.split(F.col(text), WORD_RAW, -1))
+        return found.withColumn(text, F.when(F.col("contaminated"), cleaned).otherwise(F.col(text)))
+
+    return beside(docs, ("hits", "n_words", "n_hit", "items", "contaminated"), clean)
 
 
 def op7_decontaminate(spark, sf_dir):

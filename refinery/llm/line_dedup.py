@@ -25,11 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.scratch import Scratch
+from refinery.llm.scratch import Scratch, without
 
 BLANK = " \t\r\f\x0b"
 MAX_RATIO = 0.1
 MIN_PAGES = 3
+ADDED = ("n_lines", "n_removed")
 
 
 def _lines(text: Column) -> Column:
@@ -65,7 +66,7 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
     ``n_lines`` (lines before) and ``n_removed``."""
     scratch = Scratch(pages.sparkSession, "lines")
     found = scratch.put(boilerplate(pages, host, text, max_ratio, min_pages), "boilerplate")
-    kept_columns = [c for c in pages.columns if c not in ("n_lines", "n_removed")]
+    kept_columns = without(pages.columns, ADDED)
     joined = pages.select(*kept_columns).join(found, F.col(host).eqNullSafe(F.col("__host")), "left")
     lines = _lines(F.col(text))
     kept = F.when(F.col("__keys").isNull(), lines).otherwise(

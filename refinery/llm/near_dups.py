@@ -9,23 +9,30 @@ id.  In each of ``TREES`` independent trees a class goes down from the root
 to the node of its minwise token under a function that the node selects; two
 sets of Jaccard J take the same child with probability J.  Nodes of at most
 ``SMALL`` classes are compared exhaustively on their minwise values.  Larger
-nodes first link their members to the smallest one, then branch on: each by
-one selected token, every fourth node by two, which is more than 1 / 0.85
-children on average, so a linked pair's expected number of common nodes does
-not fall with depth.  Candidates (estimated similarity at least ``LOOSE``,
-five standard deviations below 0.8) are confirmed on the full sets.
-
-A node whose classes are in one component already has nothing to add and is
-dropped; that, not a cap, is what ends large groups of near copies.  A node
-still open at depth ``DEPTH`` is compared exactly, each class outside its
-largest component with all others, in blocks.  A pair at Jaccard 0.85 misses
-all first-level nodes with probability 0.15^8 < 3e-7.
+nodes branch on: each class by one selected token, at every fourth node by
+two, which is 1.25 children on average, so the expected number of nodes that
+a linked pair shares does not fall with depth.  From level ``DENSE_FROM`` on,
+nodes of at most ``DENSE`` classes are clouds of similar texts and are
+compared exhaustively on their full sets; larger ones branch to ``DEPTH`` and
+are then compared exhaustively in pairs of blocks, so no pair of a node is
+left out.  A pair at Jaccard 0.85 misses all first-level nodes with
+probability 0.15^8 < 3e-7.  Candidates from minwise values (estimated
+similarity within 0.25, five standard deviations, of the threshold) are
+confirmed on the full sets.
+
+Large first-level nodes also link their members to the smallest one, which
+joins most near copies of one text at once.  From then on a node whose
+classes are in one component has nothing to add and is dropped, and a cloud
+compares only classes outside its largest component with all others.
 
 Plan on Spark: one pass computes set digests and ``FUNCTIONS`` minwise values
 per document; all tree work moves (node, class) rows and 256 bytes of minwise
-values.  Texts move once, and only of classes that have a candidate partner,
-to be confirmed.  Components come from minimum labels with pointer jumping on
-written tables; no links or labels reach the driver, only counts.
+values.  Texts move once, and only of classes that have a candidate partner;
+from there to the comparisons.  Full sets are compared inside a task as
+products of incidence matrices, column block by column block, and a task
+returns a spanning set of its links.  Components come from minimum labels
+with pointer jumping on written tables; no links or labels reach the driver,
+only counts.
 
 Defined cases: a text without words (or null) has an empty set and is linked
 with nothing; fewer words than ``shingle`` are one shingle, all of them; rows
@@ -42,16 +49,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm.scratch import Scratch, parts, ship
-from refinery.llm.substrings import hash_words, window_hashes
+from refinery.llm.substrings import forget_words, hash_words, window_hashes
 
 SHINGLE = 5
 PERCENT = 85
 TREES = 8
 FUNCTIONS = 64
 SMALL = 40
+DENSE = 2048
+DENSE_FROM = 2
 DEPTH = 10
-LOOSE = 0.55
-BLOCK = 512
+BLOCK = 1024
+MARGIN = 0.25
+COLUMNS = 4096
 
 
 def lower_words(text: str | None) -> list[bytes]:
@@ -97,7 +107,7 @@ def describe(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
-        for batch in parts(batches, 1):
+        for batch in parts(batches, 1, done=forget_words):
             sets, bounds = shingle_sets([lower_words(t) for t in batch.column(1).to_pylist()], shingle)
             digests = []
             for a, b in zip(*_seeds(2, 7)):
@@ -113,7 +123,7 @@ def describe(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame
     return docs.select(F.col(doc_id), F.col(text)).mapInArrow(run, f"doc_id {kind}, n_shingles long, d1 long, d2 long, mins array<int>")
 
 
-def _pairs_in(nodes: DataFrame) -> DataFrame:
+def _pairs_in(nodes: DataFrame, loose: float) -> DataFrame:
     """Candidate pairs (a < b) inside small nodes given as array columns;
     ``first`` marks each b's smallest partner.  Pairs in one component go."""
     kind = nodes.schema["reps"].dataType.elementType.simpleString()
@@ -127,7 +137,7 @@ def _pairs_in(nodes: DataFrame) -> DataFrame:
                 order = np.argsort(r, kind="stable")
                 m = flat[i].values.flatten().to_numpy().reshape(len(r), -1)[order]
                 r, of = r[order], np.array(labels[i].as_py())[order]
-                near = np.triu((m[:, None, :] == m[None, :, :]).mean(2) >= LOOSE, 1) & (of[:, None] != of[None, :])
+                near = np.triu((m[:, None, :] == m[None, :, :]).mean(2) >= loose, 1) & (of[:, None] != of[None, :])
                 a, b = np.nonzero(near)
                 seen = np.argmax(near, 0)
                 out[0].extend(r[a].tolist())
@@ -139,12 +149,12 @@ def _pairs_in(nodes: DataFrame) -> DataFrame:
     return nodes.select("reps", "labels", "mins").mapInArrow(run, f"a {kind}, b {kind}, first boolean")
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose estimated similarity is at least ``LOOSE``."""
+def _estimated(pairs: DataFrame, classes: DataFrame, loose: float) -> DataFrame:
+    """Pairs (a, b) whose estimated similarity is at least ``loose``."""
     left = classes.select(F.col("rep").alias("a"), F.col("mins").alias("__ma")).hint("merge")
     right = classes.select(F.col("rep").alias("b"), F.col("mins").alias("__mb")).hint("merge")
     agree = F.aggregate(F.zip_with("__ma", "__mb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return pairs.join(left, "a").join(right, "b").where(agree >= LOOSE * F.size("__ma")).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(agree >= loose * F.size("__ma")).select("a", "b")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -154,13 +164,15 @@ def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("__tb")).hint("merge")
 
     def run(batches):
-        for batch in parts(batches, 2):
+        for batch in parts(batches, 2, done=forget_words):
             ta, tb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            sets, bounds = shingle_sets([lower_words(t) for t in ta + tb], shingle)
-            n, ok = len(ta), []
-            for i in range(n):
-                x, y = sets[bounds[i] : bounds[i + 1]], sets[bounds[n + i] : bounds[n + i + 1]]
-                both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+            new = list(dict.fromkeys(ta + tb))
+            sets, bounds = shingle_sets([lower_words(t) for t in new], shingle)
+            known = {t: sets[bounds[k] : bounds[k + 1]] for k, t in enumerate(new)}
+            ok = []
+            for a, b in zip(ta, tb):
+                x, y = known[a], known[b]
+                both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
@@ -168,131 +180,194 @@ def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def common_counts(left: np.ndarray, left_of: np.ndarray, right: np.ndarray, right_of: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """Sizes of the intersections of two families of sets, given as hashes
+    and the set of each: products of incidence matrices, some columns at once."""
+    shared = np.intersect1d(left, right)
+    out = np.zeros(shape, np.float32)
+    for at in range(0, len(shared), COLUMNS):
+        some = shared[at : at + COLUMNS]
+        sides = []
+        for h, of, n in ((left, left_of, shape[0]), (right, right_of, shape[1])):
+            place = np.searchsorted(some, h).clip(0, len(some) - 1)
+            hit = some[place] == h
+            m = np.zeros((n, len(some)), np.float32)
+            m[of[hit], place[hit]] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def spanning_links(reps: np.ndarray, asks: np.ndarray, texts: list, shingle: int, percent: int) -> list[tuple]:
+    """Links between the sets that ask and all others, enough to connect what
+    they connect."""
+    sets, bounds = shingle_sets([lower_words(t) for t in texts], shingle)
+    size = np.diff(bounds)
+    of = np.repeat(np.arange(len(reps)), size)
+    rows = np.flatnonzero(asks)
+    place = np.full(len(reps), -1)
+    place[rows] = np.arange(len(rows))
+    mine = place[of] >= 0
+    both = common_counts(sets[mine], place[of[mine]], sets, of, (len(rows), len(reps)))
+    linked = (both > 0) & (100 * both >= percent * (size[rows][:, None] + size[None, :] - both))
+    group, out = list(range(len(reps))), []
+
+    def root(i):
+        while group[i] != i:
+            group[i] = group[group[i]]
+            i = group[i]
+        return i
+
+    for r, c in zip(*np.nonzero(linked)):
+        i, j = root(int(rows[r])), root(int(c))
+        if i != j:
+            group[max(i, j)] = min(i, j)
+            a, b = reps[rows[r]], reps[c]
+            out.append((min(a, b), max(a, b)))
+    return out
+
+
+def _clouds(rows: DataFrame, labels: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links inside clouds, rows (key, rep): every class outside its cloud's
+    largest component against all classes, on full sets; clouds of more than
+    ``DENSE`` classes in pairs of blocks."""
+    kind = rows.schema["rep"].dataType.simpleString()
+    rows = rows.join(labels, "rep")
+    size = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    largest = size.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("k"))
+    rows = rows.join(largest.where("k > 1"), "key")
+    blocks = F.when(F.col("n") <= DENSE, F.lit(1)).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int")
+    rows = rows.select("key", "rep", (F.col("label") != F.col("main")).alias("asks"), blocks.alias("blocks"),
+                       F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("mine"))
+    # Block x asks block y: a class goes to its own row of pairs as asker and to its column as asked.
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    asking = rows.where("asks").select("key", "rep", "asks", F.col("mine").alias("x"), others.alias("y"))
+    asked = rows.select("key", "rep", F.lit(False).alias("asks"), others.alias("x"), F.col("mine").alias("y"))
+    dealt = asking.unionByName(asked).groupBy("key", "x", "y", "rep").agg(F.bool_or("asks").alias("asks"))
+
+    def compare(pdf):
+        import pandas as pd
+
+        links = spanning_links(pdf["rep"].to_numpy(), pdf["asks"].to_numpy(), pdf["text"].tolist(), shingle, percent) if pdf["asks"].any() else []
+        forget_words()
+        return pd.DataFrame({"a": pd.Series([a for a, _ in links], dtype=pdf["rep"].dtype), "b": pd.Series([b for _, b in links], dtype=pdf["rep"].dtype)})
+
+    held = dealt.join(texts.hint("merge"), "rep").select("key", "x", "y", "rep", "asks", "text")
+    return held.groupBy("key", "x", "y").applyInPandas(compare, f"a {kind}, b {kind}").distinct()
+
+
 def merge_labels(labels: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """``labels`` (rep, label: the smallest rep of its component) after adding
     ``links`` (a, b): minimum labels over links of components, then pointer
     jumping, until nothing changes."""
     ends = links.join(labels.select(F.col("rep").alias("a"), F.col("label").alias("la")), "a").join(
         labels.select(F.col("rep").alias("b"), F.col("label").alias("lb")), "b").where("la <> lb")
-    edges = ends.select("la", "lb").union(ends.select(F.col("lb").alias("la"), F.col("la").alias("lb"))).distinct()
-    edges = scratch.put(edges, f"{name}-edges")
+    both = ends.select(F.inline(F.array(F.struct(F.col("la").alias("v"), F.col("lb").alias("w")), F.struct(F.col("lb").alias("v"), F.col("la").alias("w")))))
+    edges = scratch.put(both.distinct(), f"{name}-edges", few=True)
     if edges.isEmpty():
         return labels
-    now = scratch.put(edges.groupBy(F.col("la").alias("v")).agg(F.least(F.col("la"), F.min("lb")).alias("to")), f"{name}-0")
-    step, old = 0, None
+    now = scratch.put(edges.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("to")), f"{name}-0", few=True)
+    step = 0
     while True:
         step += 1
-        told = edges.join(now.select(F.col("v").alias("lb"), F.col("to").alias("told")), "lb")
-        told = told.groupBy(F.col("la").alias("v")).agg(F.min("told").alias("told"))
-        near = now.join(told, "v").select("v", F.least("to", "told").alias("to"), F.col("to").alias("was"))
-        jump = now.select(F.col("v").alias("to"), F.col("to").alias("next"))
-        new = near.join(jump, "to").select("v", F.least("to", "next").alias("to"), "was")
-        new = scratch.put(new, f"{name}-{step}")
-        if old:
-            scratch.drop(old)
-        old = f"{name}-{step - 1}"
+        told = edges.join(now.select(F.col("v").alias("w"), "to"), "w").groupBy("v").agg(F.min("to").alias("told"))
+        near = now.join(told, "v").select("v", F.least("to", "told").alias("near"), F.col("to").alias("was"))
+        jump = now.select(F.col("v").alias("near"), F.col("to").alias("next"))
+        new = near.join(jump, "near").select("v", F.least("near", "next").alias("to"), "was")
+        new = scratch.put(new, f"{name}-{step}", few=True)
         now = new.select("v", "to")
         if new.where("to <> was").isEmpty():
             break
     moved = labels.join(now.select(F.col("v").alias("label"), "to"), "label", "left")
-    merged = scratch.put(moved.select("rep", F.coalesce("to", "label").alias("label")), f"{name}-labels")
-    scratch.drop(old, f"{name}-{step}", f"{name}-edges")
+    merged = scratch.put(moved.select("rep", F.coalesce("to", "label").alias("label")), f"{name}-labels", few=True)
+    scratch.drop(f"{name}-edges", *[f"{name}-{k}" for k in range(step + 1)])
     return merged
 
 
-def _open_nodes(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (key, rep) of nodes that hold several components: with ``label``,
+def _open_rows(rows: DataFrame) -> DataFrame:
+    """Rows (key, rep, label) of nodes that hold several components, with
     ``n`` (classes in the node) and ``pivot`` (its smallest class)."""
-    rows = rows.join(labels, "rep")
     nodes = rows.groupBy(F.col("key").alias("__k")).agg(
         F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"), F.min("label").alias("__l0"), F.max("label").alias("__l1"))
-    return rows, nodes.where(F.col("__l0") < F.col("__l1")).select("__k", "n", "pivot")
+    nodes = nodes.where(F.col("__l0") < F.col("__l1")).select("__k", "n", "pivot")
+    return rows.join(nodes.hint("rebalance"), F.col("key") == F.col("__k")).drop("__k")
 
 
-def _leftovers(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Exact end of nodes open at the last level: every class outside the
-    node's largest component against all classes of other components, dealt
-    in blocks of both sides."""
-    size = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    largest = size.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("n"))
-    rows = rows.join(largest, "key").join(classes.select("rep", "mins"), "rep")
-    rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    one = rows.where("label <> main").select("key", "rep", "label", "mins", F.lit(True).alias("asks"), mine.alias("x"),
-                                              F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"))
-    all_ = rows.select("key", "rep", "label", "mins", F.lit(False).alias("asks"),
-                       F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"), mine.alias("y"))
-    kind = rows.schema["rep"].dataType.simpleString()
+def _small_pairs(rows: DataFrame, classes: DataFrame, loose: float) -> DataFrame:
+    nodes = rows.where(F.col("n") <= SMALL).join(classes.hint("merge"), "rep").groupBy("key").agg(
+        F.collect_list("rep").alias("reps"), F.collect_list("label").alias("labels"), F.collect_list("mins").alias("mins"))
+    return _pairs_in(nodes, loose)
 
-    def compare(key, pdf):
-        import pandas as pd
 
-        q, c = pdf[pdf["asks"]], pdf[~pdf["asks"]]
-        if not len(q) or not len(c):
-            return pd.DataFrame({"a": [], "b": []}).astype("int64" if kind == "bigint" else "object")
-        mq, mc = np.stack(q["mins"].to_numpy()), np.stack(c["mins"].to_numpy())
-        rq, rc, lq, lc = q["rep"].to_numpy(), c["rep"].to_numpy(), q["label"].to_numpy(), c["label"].to_numpy()
-        out = []
-        for i in range(len(rq)):
-            for j in np.flatnonzero(((mc == mq[i]).mean(1) >= LOOSE) & (lc != lq[i])):
-                out.append((min(rq[i], rc[j]), max(rq[i], rc[j])))
-        return pd.DataFrame(out, columns=["a", "b"])
+def _branch(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The next level of the nodes that hold several components: each class
+    to the child of its minwise token under the function (two at every fourth
+    node) that the node's number selects.  Rows (rep, key, label)."""
+    of = rows.join(labels, "rep")
+    apart = of.groupBy(F.col("key").alias("__k")).agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("__k")
+    rows = of.join(apart.hint("rebalance"), F.col("key") == F.col("__k")).drop("__k")
+    twice = F.when(F.pmod(F.xxhash64("key"), F.lit(4)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = rows.join(classes.hint("merge"), "rep").select("rep", "key", "label", "mins", F.explode(twice).alias("child"))
+    which = (F.lit(TREES) + F.pmod(F.xxhash64("key", "child"), F.lit(FUNCTIONS - TREES))).cast("int")
+    return rows.select("rep", F.xxhash64("key", "child", F.get("mins", which)).alias("key"), "label").distinct()
 
-    return one.unionByName(all_).groupBy("key", "x", "y").applyInPandas(compare, f"a {kind}, b {kind}").distinct()
+
+def _still_apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    of_a = labels.select(F.col("rep").alias("a"), F.col("label").alias("la"))
+    of_b = labels.select(F.col("rep").alias("b"), F.col("label").alias("lb"))
+    return pairs.join(of_a, "a").join(of_b, "b").where("la <> lb").select("a", "b")
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``,
     ``component_id`` and ``kept``."""
-    scratch = Scratch(docs.sparkSession, "neardups")
+    scratch, loose = Scratch(docs.sparkSession, "neardups"), percent / 100 - MARGIN
     described = scratch.put(describe(docs, doc_id, text, shingle), "described")
     full = described.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     reps = scratch.put(full.groupBy(F.col("d1").alias("__d1"), F.col("d2").alias("__d2")).agg(F.min("doc_id").alias("rep")), "reps")
     same = (F.col("d1") == F.col("__d1")) & (F.col("d2") == F.col("__d2"))
     members = full.join(reps, same)
     classes = scratch.put(members.where(F.col("doc_id") == F.col("rep")).dropDuplicates(["rep", "d1", "d2"]).select("rep", "mins"), "classes")
-    labels = scratch.put(classes.select("rep", F.col("rep").alias("label")).distinct(), "labels")
+    labels = classes.select("rep", F.col("rep").alias("label")).distinct()
     # Rows of one id with different texts are one document.
-    owned = members.select("doc_id", "rep").distinct()
-    several = owned.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("doc_id", "a")
-    labels = merge_labels(labels, owned.join(several, "doc_id").where("a < rep").select("a", F.col("rep").alias("b")), scratch, "ids")
+    several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("__b")).where("a < __b").select(F.col("doc_id").alias("__id"), "a")
+    same_id = members.join(several, F.col("doc_id") == F.col("__id")).where("a < rep").select("a", F.col("rep").alias("b")).distinct()
 
+    # First level: all trees; large nodes link their members to the smallest.
     rows = classes.select("rep", F.posexplode(F.slice("mins", 1, TREES)).alias("tree", "least"))
-    rows = rows.select("rep", F.xxhash64("tree", "least").alias("key"))
-    texts, tried = None, None
-    for depth in range(1, DEPTH + 1):
-        labelled, nodes = _open_nodes(rows, labels)
-        nodes = scratch.put(nodes, f"nodes{depth}")
-        open_rows = labelled.join(nodes, F.col("key") == F.col("__k")).drop("__k")
-        small = open_rows.where(F.col("n") <= SMALL).join(classes.hint("merge"), "rep").groupBy("key").agg(
-            F.collect_list("rep").alias("reps"), F.collect_list("label").alias("labels"), F.collect_list("mins").alias("mins"))
-        found = _pairs_in(small)
-        large = scratch.put(open_rows.where(F.col("n") > SMALL).select("key", "rep", "pivot"), f"large{depth}")
-        stars = _estimated(large.where("pivot < rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), classes)
-        found = found.unionByName(stars.withColumn("first", F.lit(True)))
-        pairs = scratch.put(found.groupBy("a", "b").agg(F.max("first").alias("first")), f"pairs{depth}")
-        if texts is None:
-            asked = pairs.select(F.col("a").alias("rep")).union(large.select("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-            chosen = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"))
-            texts = scratch.put(chosen.join(asked.hint("merge"), F.col("__id") == F.col("rep")).select("rep", "text"), "texts")
-        for turn, batch in ((1, pairs.where("first")), (2, pairs.where("not first"))):
-            if turn == 2:  # only what the first links left in different components
-                of = labels.withColumnRenamed("label", "la").withColumnRenamed("rep", "a")
-                batch = batch.join(of, "a").join(labels.withColumnRenamed("label", "lb").withColumnRenamed("rep", "b"), "b").where("la <> lb").select("a", "b")
-            links = scratch.put(_confirm(batch.select("a", "b"), texts, shingle, percent), f"links{depth}-{turn}")
-            labels = merge_labels(labels, links, scratch, f"join{depth}-{turn}")
-        if large.isEmpty():
+    rows = _open_rows(rows.select("rep", F.xxhash64("tree", "least").alias("key"), F.col("rep").alias("label")))
+    rows = scratch.put(rows, "level1", few=True)
+    large = rows.where(F.col("n") > SMALL)
+    stars = _estimated(large.where("pivot < rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), classes, loose)
+    found = _small_pairs(rows, classes, loose).unionByName(stars.withColumn("first", F.lit(True)))
+    every = scratch.put(found.groupBy("a", "b").agg(F.max("first").alias("first")), "pairs1", few=True)
+
+    # Texts of all classes that can still be compared, and the links that connect most.
+    asked = every.select(F.col("a").alias("rep")).union(every.select(F.col("b").alias("rep"))).union(large.select("rep")).distinct()
+    chosen = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text")).join(asked.hint("merge"), F.col("__id") == F.col("rep"))
+    texts = scratch.put(chosen.select("rep", "text"), "texts")
+    links = _confirm(every.where("first").select("a", "b"), texts, shingle, percent).unionByName(same_id)
+    labels = merge_labels(labels, scratch.put(links, "links1", few=True), scratch, "join1")
+
+    # Further levels, for nodes still in several components: small ones give pairs, clouds wait.
+    clouds, deep = None, large.select("rep", "key")
+    for level in range(2, DEPTH + 1):
+        rows = scratch.put(_open_rows(_branch(deep, classes, labels)), f"level{level}", few=True)
+        if rows.isEmpty():
             break
-        rows = large.join(classes, "rep").select(
-            "rep", "key", "mins", F.explode(F.when(F.pmod(F.xxhash64("key"), F.lit(4)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("child"))
-        which = (F.lit(TREES) + F.pmod(F.xxhash64("key", "child"), F.lit(FUNCTIONS - TREES))).cast("int")
-        rows = rows.select("rep", F.xxhash64("key", "child", F.get("mins", which)).alias("key")).distinct()
-    else:
-        labelled, nodes = _open_nodes(rows, labels)
-        rest = scratch.put(labelled.join(nodes.select("__k"), F.col("key") == F.col("__k")).select("key", "rep", "label"), "rest")
-        if not rest.isEmpty():
-            links = scratch.put(_confirm(scratch.put(_leftovers(rest, classes), "last"), texts, shingle, percent), "links-last")
-            labels = merge_labels(labels, links, scratch, "join-last")
+        every = every.unionByName(_small_pairs(rows, classes, loose).withColumn("first", F.lit(False)))
+        large = rows.where(F.col("n") > SMALL)
+        if level >= DENSE_FROM:
+            cloud = (large if level == DEPTH else large.where(F.col("n") <= DENSE)).select("key", "rep")
+            clouds = cloud if clouds is None else clouds.unionByName(cloud)
+            large = large.where(F.col("n") > DENSE)
+        deep = large.select("rep", "key")
+    rest = every.groupBy("a", "b").agg(F.max("first").alias("first")).where("not first").select("a", "b")
+    links = _confirm(_still_apart(rest, labels), texts, shingle, percent)
+    if clouds is not None:
+        links = links.unionByName(_clouds(clouds, labels, texts, shingle, percent))
+    labels = merge_labels(labels, scratch.put(links, "links2", few=True), scratch, "join2")
+
     named = reps.join(labels, "rep").select("__d1", "__d2", "label")
     out = described.join(named, same & F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), "left")
     component = F.coalesce("label", "doc_id")

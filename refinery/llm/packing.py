@@ -37,13 +37,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from refinery.llm.scratch import Scratch, parts, ship
+from refinery.llm.scratch import Scratch, gathered, parts, ship, without
 
 CAPACITY = 4096
 END_ID = 1
 BUCKET_ROWS = 50_000
-CACHE_WORDS = 400_000
-PART_BYTES = 16 << 20
+CACHE_WORDS = 300_000
+PART_BYTES = 12 << 20
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -135,7 +135,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
         encoder = _ENCODERS.get(tokenizer)
         if encoder is None:
             encoder = _ENCODERS[tokenizer] = WordEncoder(tokenizer)
-        for batch in parts(batches, 1, PART_BYTES):
+        for batch in parts(gathered(batches, 1, PART_BYTES), 1, PART_BYTES):
             rows = {k: [] for k in ("at", "piece", "start", "length", "crc", "ids")}
             flat, first = encoder.encode(batch.column(1))
             for i, (a, b) in enumerate(zip(first.tolist(), first[1:].tolist())):
@@ -210,7 +210,7 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     first = counts.select("__l", "__b", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__first"))
     within = F.row_number().over(Window.partitionBy("length", "__bucket").orderBy("__row")) - 1
     ranked = dealt.withColumn("__within", within).join(first, (F.col("length") == F.col("__l")) & (F.col("__bucket") == F.col("__b")))
-    columns = [c for c in pieces.columns if c not in ("__row", "sequence_id", "offset")]
+    columns = without(pieces.columns, ("__row", "sequence_id", "offset"))
     ranked = ranked.select(*columns, (F.col("__first") + F.col("__within")).cast("long").alias("__rank"))
 
     def slots(batches):

@@ -16,8 +16,10 @@ import uuid
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BATCH_BYTES = 4 << 20
 
@@ -39,7 +41,7 @@ def ship(spark: SparkSession) -> SparkSession:
     """Lets the executors' Python import this package, once per context, and
     bounds the bytes of an Arrow batch."""
     context = spark.sparkContext
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 * BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * BATCH_BYTES))
     if not getattr(context, "_refinery_shipped", False):
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         path = os.path.join(tempfile.mkdtemp(prefix="refinery-py-"), "refinery.zip")
@@ -54,9 +56,11 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def parts(batches, column: int, nbytes: int = BATCH_BYTES):
+def parts(batches, column: int, nbytes: int = BATCH_BYTES, done=None):
     """The batches cut to about ``nbytes`` of one text or binary column, so
-    that a task's Python holds little more than that, or one row."""
+    that a task's Python holds little more than that, or one row.  After the
+    last one ``done`` is called and freed memory goes back to the system,
+    since the worker stays for later tasks."""
     for batch in batches:
         if batch.num_rows:
             sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -64,6 +68,47 @@ def parts(batches, column: int, nbytes: int = BATCH_BYTES):
             cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:]):
                 yield batch.slice(a, b - a)
+    if done:
+        done()
+    release()
+
+
+def gathered(batches, column: int, nbytes: int):
+    """The batches joined to about ``nbytes`` of one text column."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+            if size >= nbytes:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def release() -> None:
+    """Returns freed memory of this process to the system."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def without(columns: list[str], names) -> list[str]:
+    """``columns`` but for ``names``, which Spark compares without case."""
+    gone = {n.lower() for n in names}
+    return [c for c in columns if c.lower() not in gone]
+
+
+def beside(docs: DataFrame, names, operator) -> DataFrame:
+    """``operator(docs)`` cut to the columns of ``docs``, whose own columns
+    named like those it adds (``names``) come through unchanged."""
+    taken = set(docs.columns) - set(without(docs.columns, names))
+    out = operator(docs.withColumnsRenamed({c: f"__own_{c}" for c in taken}))
+    return out.select(*[F.col(f"__own_{c}").alias(c) if c in taken else F.col(c) for c in docs.columns])
 
 
 class Scratch:
@@ -79,7 +124,11 @@ class Scratch:
         at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
+    def put(self, df: DataFrame, name: str, few: bool = False) -> DataFrame:
+        """``few``: a narrow table after a shuffle, written by no more tasks
+        than twice the session's cores, to spare later jobs tiny files."""
+        if few:
+            df = df.coalesce(2 * self.spark.sparkContext.defaultParallelism)
         path = f"{self.root}/{name}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.scratch import Scratch
+from refinery.llm.scratch import Scratch, without
 
 KEY_BITS = 60
 MAX_BYTES = 1 << 20
@@ -60,8 +60,7 @@ def assign_shards(df: DataFrame, key: str = "doc_id", size: Column | None = None
     if KEY_BITS % step:
         raise ValueError("step must divide 60")
     scratch = Scratch(df.sparkSession, "shards")
-    added = ("shard_id", "shard_depth", "shard_row_bytes")
-    columns = [c for c in df.columns if c not in added]
+    columns = without(df.columns, ("shard_id", "shard_depth", "shard_row_bytes"))
     rows = df.select(
         *columns,
         F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long").alias("__h"),

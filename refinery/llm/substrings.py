@@ -38,10 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.scratch import Scratch, parts, ship
+from refinery.llm.scratch import Scratch, parts, ship, without
 
 MIN_WORDS = 50
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 # Odd bases of the two polynomials and the 64-bit finisher.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -60,6 +60,10 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
+def forget_words() -> None:
+    _HASHES.clear()
+
+
 def split_words(text: str | None) -> list[bytes]:
     """Words between ASCII white space."""
     return (text or "").encode("utf-8", "surrogatepass").split()
@@ -130,7 +134,7 @@ def describe(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
-        for batch in parts(batches, 1):
+        for batch in parts(batches, 1, done=forget_words):
             texts = [split_words(t) for t in batch.column(1).to_pylist()]
             words, bounds = hash_words(texts)
             _, least, whole = least_halves(words, bounds, length)
@@ -154,7 +158,7 @@ def _windows(rows: DataFrame, length: int) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in parts(batches, 1):
+        for batch in parts(batches, 1, done=forget_words):
             texts = [split_words(t) for t in batch.column(1).to_pylist()]
             words, bounds = hash_words(texts)
             _, least, whole = least_halves(words, bounds, length)
@@ -235,13 +239,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     scratch = Scratch(docs.sparkSession, "substrings")
     described = scratch.put(describe(docs, doc_id, text, min_words), "described")
     found = repeated_windows(docs, described, doc_id, text, min_words, scratch)
-    columns = [c for c in docs.columns if c not in ("n_words", "n_removed")]
+    columns = without(docs.columns, ("n_words", "n_removed"))
     gone = found[1] if found else docs.sparkSession.createDataFrame([], f"__id {docs.schema[doc_id].dataType.simpleString()}, gone array<long>")
     joined = docs.select(*columns).join(gone, F.col(doc_id) == F.col("__id"), "left").drop("__id")
     at = columns.index(text)
 
     def run(batches):
-        for batch in parts(batches, at):
+        for batch in parts(batches, at, done=forget_words):
             old = batch.column(at).to_pylist()
             words = [split_words(t) for t in old]
             kept = [_kept(w, g, min_words) for w, g in zip(words, batch.column(len(columns)).to_pylist())]
@@ -268,7 +272,7 @@ def removal_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kind = described.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in parts(batches, 1):
+        for batch in parts(batches, 1, done=forget_words):
             words = [split_words(t) for t in batch.column(1).to_pylist()]
             kept = [_kept(w, g, min_words) for w, g in zip(words, batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(

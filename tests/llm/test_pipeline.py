@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+from pyspark.sql import functions as F
 from frames import prose
 from test_texts import WORD, linked, words
 
@@ -93,6 +94,18 @@ def test_stages_against_plain_python(spark, tmp_path):
         assert at <= 4096
 
 
+def test_own_columns_come_through_the_stages(spark, tmp_path):
+    rows, items = corpus()
+    own = {"Score": F.col("doc_id"), "hits": F.lit("own"), "N_Removed": F.lit(3), "items": F.lit(4), "rep": F.lit(5), "label": F.lit(6), "lang_set": F.lit(7)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns(own)
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        got = {tuple(r) for r in out.select(*own).collect()}
+        assert got <= {tuple(r) for r in docs.select(*own).collect()} and len(got) > 50
+
+
 def test_stages_return_the_columns_of_documents(spark, tmp_path):
     rows, items = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

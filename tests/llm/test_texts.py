@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from frames import documents, many
 from pyspark.sql import functions as F
@@ -79,11 +80,18 @@ def linked(rows, percent):
     return {i: root(i) for i in ids}, sets
 
 
-@pytest.mark.parametrize("percent,small", [(85, near_dups.SMALL), (85, 4), (60, 2)])
-def test_near_duplicates(spark, monkeypatch, percent, small):
+@pytest.mark.parametrize("percent,small,dense", [(85, near_dups.SMALL, near_dups.DENSE), (85, 3, 20), (60, 2, 8)])
+def test_near_duplicates(spark, monkeypatch, percent, small, dense):
+    """With small bounds, nodes branch, become clouds, and end in blocks."""
     monkeypatch.setattr(near_dups, "SMALL", small)
-    monkeypatch.setattr(near_dups, "LOOSE", min(near_dups.LOOSE, percent / 100 - 0.3))
-    for df in (documents(spark), many(spark)):
+    monkeypatch.setattr(near_dups, "DENSE", dense)
+    monkeypatch.setattr(near_dups, "DENSE_FROM", 2)
+    monkeypatch.setattr(near_dups, "DEPTH", 3)
+    monkeypatch.setattr(near_dups, "BLOCK", 16)
+    # One id with three texts: a copy of another, a near copy of a third, and a short one.
+    other = {r["doc_id"]: r["text"] for r in documents(spark).where("doc_id in (3, 12)").collect()}
+    again = documents(spark).where("doc_id = 9").withColumn("text", F.explode(F.array(F.lit(other[12]), F.lit(other[3] + " tail"))))
+    for df in (documents(spark).unionByName(again), many(spark)):
         rows = [(r["doc_id"], r["text"]) for r in df.collect()]
         want, sets = linked(rows, percent)
         out = near_dups.components(df, percent=percent).collect()
@@ -92,17 +100,17 @@ def test_near_duplicates(spark, monkeypatch, percent, small):
             i = r["doc_id"]
             assert r["component_id"] == want.get(i) and r["kept"] == (i is None or want[i] == i)
             assert r["n_shingles"] in {len(s) for s in sets[i]}
+    assert near_dups.components(documents(spark).limit(0), percent=percent).count() == 0
 
 
-def test_near_duplicates_end_open_nodes_exactly(spark, monkeypatch):
-    """With no depth to branch, every large node takes the exact way."""
-    monkeypatch.setattr(near_dups, "SMALL", 2)
-    monkeypatch.setattr(near_dups, "DEPTH", 1)
-    monkeypatch.setattr(near_dups, "BLOCK", 16)
-    df = many(spark, 150)
-    want, _ = linked([(r["doc_id"], r["text"]) for r in df.collect()], 85)
-    assert {r["doc_id"]: r["component_id"] for r in near_dups.components(df).collect()} == want
-    assert near_dups.components(df.limit(0)).count() == 0
+def test_intersections_by_incidence_products(monkeypatch):
+    monkeypatch.setattr(near_dups, "COLUMNS", 5)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40))).astype(np.uint64) for _ in range(30)]
+    of = np.repeat(np.arange(30), [len(s) for s in sets])
+    flat = np.concatenate(sets)
+    got = near_dups.common_counts(flat, of, flat, of, (30, 30))
+    assert got.tolist() == [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
 
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
