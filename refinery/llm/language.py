@@ -32,18 +32,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.scratch import parts, ship
+from refinery.llm.scratch import parts, ship, without
 
 SAMPLE = 4000
 BUCKETS = 1 << 16
 GRAM = 4
 ROUNDS = 30
-LETTER = re.compile(r"[^\W\d_]")
+PLAIN_LETTER = re.compile(r"[A-Za-z]")
 UNDETERMINED = "und"
+ADDED = ("lang_pred", "score", "lang_set", "lang_share")
 # Fixed value: an odd multiplier that spreads n-grams over the buckets.
 SPREAD = np.uint32(0x9E3779B1)
 
 
+def has_letter(text: str) -> bool:
+    return bool(PLAIN_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
 def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
@@ -151,8 +156,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
     """``docs`` with ``lang_pred``, ``score``, and the whole set as
     ``lang_set`` with its proportions ``lang_share``."""
     labels, logs = learn(docs, doc_id, text, label, sample)
-    added = ["lang_pred", "score", "lang_set", "lang_share"]
-    columns = [c for c in docs.columns if c not in added]
+    columns, added = without(docs.columns, ADDED), list(ADDED)
     at = columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast((labels, logs.astype(np.float32)))  # BUCKETS numbers per label
 
@@ -161,7 +165,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
         for batch in parts(batches, at):
             sets, shares = [], []
             for t in batch.column(at).to_pylist():
-                if not labels or t is None or not LETTER.search(t):
+                if not labels or t is None or not has_letter(t):
                     sets.append([])
                     shares.append([])
                 else:

@@ -114,14 +114,14 @@ def test_languages_on_held_out_documents_and_mixtures(spark):
     rng = random.Random(1)
     rows = [(i, speak(rng, lang, rng.randrange(5, 80)).upper() if i % 5 == 0 else speak(rng, lang, rng.randrange(5, 80)), lang)
             for i in range(600) for lang in [list(SYLLABLES)[i % 3]]]
-    rows += [(1000, speak(rng, "xx", 60) + " " + speak(rng, "yy", 30), None), (1001, None, "xx"), (1002, "123 !!", "xx"), (1003, "", ""),
+    rows += [(1000, speak(rng, "xx", 60) + " " + speak(rng, "yy", 30), None), (1001, None, "xx"), (1002, "123 !!", "xx"), (1003, "", ""), (1005, "½ ² 12 _", "xx"),
              (None, speak(rng, "zz", 20), "yy"), (1004, "a", "xx")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, lang string, score string")
     out = {r["doc_id"]: r for r in language.identify(df, sample=80).collect()}
     held = [i for i in range(600) if zlib.crc32(str(i).encode()) % 4 == 2]
     assert np.mean([out[i]["lang_pred"] == list(SYLLABLES)[i % 3] for i in held]) > 0.99
     assert out[1000]["lang_set"] == ["xx", "yy"] and abs(out[1000]["score"] - 0.55) < 0.2
-    assert [out[i]["lang_pred"] for i in (1001, 1002, 1003)] == ["und"] * 3 and out[1001]["score"] == 0.0
+    assert [out[i]["lang_pred"] for i in (1001, 1002, 1003, 1005)] == ["und"] * 4 and out[1001]["score"] == 0.0
     assert out[None]["lang_pred"] == "zz" and out[1004]["lang_pred"] in SYLLABLES
     assert all(0 <= r["score"] <= 1 for r in out.values())
 
