@@ -28,9 +28,8 @@ def test_building_a_query_runs_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "plans only")
     try:
-        for name, query in QUERIES.items():
-            if not name.startswith("refresh_"):
-                query(spark, SF["0.001"])
+        for name in ("id_rejected", "fk_multi_accepted", "rsvp_rules_accepted", "geo_nearest", "silver_rsvps", "quarantine_summary", "scd2_appended", "calendar"):
+            QUERIES[name](spark, SF["0.001"])
         # schema discovery lists files and reads one footer per table
         kinds = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("building")]
         assert all(len(i.stageIds) == 1 and tracker.getStageInfo(i.stageIds[0]).numTasks == 1 for i in kinds if i)
