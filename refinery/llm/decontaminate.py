@@ -92,9 +92,11 @@ def hashed_hits(docs: DataFrame, grams: DataFrame, doc_id: str, text: str, max_b
 
 
 def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = NGRAM,
-              max_bytes: int = MAX_BROADCAST) -> DataFrame:
+              max_bytes: int = MAX_BROADCAST, count_all: bool = True) -> DataFrame:
     """``docs`` with ``n_words`` and ``hits``: verified (start, length, items)
-    of test windows in the document, word positions from 0."""
+    of test windows in the document, word positions from 0.  Without
+    ``count_all`` only documents with candidate hits are split into words
+    again; ``n_words`` is NULL for the others."""
     scratch = Scratch(docs.sparkSession, "decontaminate")
     grams = scratch.put(benchmark_windows(items, n=n), "windows")
     hits = hashed_hits(docs, grams, doc_id, text, max_bytes)
@@ -110,10 +112,12 @@ def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
             F.col("__items").alias("items"), F.col("__gram").alias("gram"))).alias("__hits")), "hits")
     # The same kind of join at every size; what it moves is the documents once.
     on = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__dtext") == F.col("__text"))
-    out = out.withColumn("__dtext", F.xxhash64(F.col(text))).join(near.hint("merge"), on, "left").withColumn("__w", words(F.col(text)))
+    out = out.withColumn("__dtext", F.xxhash64(F.col(text))).join(near.hint("merge"), on, "left")
+    out = out.withColumn("__w", words(F.col(text)) if count_all else F.when(F.col("__hits").isNotNull(), words(F.col(text))))
     same = F.filter("__hits", lambda h: F.array_join(F.slice("__w", h["start"] + 1, h["length"]), " ") == h["gram"])
     plain = F.transform(same, lambda h: F.struct(h["start"].alias("start"), h["length"].alias("length"), h["items"].alias("items")))
-    return out.select(*columns, F.size("__w").cast("long").alias("n_words"), F.coalesce(plain, empty).alias("hits"))
+    n_words = F.when(F.col("__w").isNotNull(), F.size("__w").cast("long"))
+    return out.select(*columns, n_words.alias("n_words"), F.coalesce(plain, empty).alias("hits"))
 
 
 def _covered(hits: Column) -> Column:
@@ -140,8 +144,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
         pieces = F.transform(raw, lambda w, i: F.when(F.array_contains("__hit", i), F.lit("")).otherwise(
             F.concat(w, F.get(F.col("__gaps"), i + 1))))
         cleaned = F.concat(F.get(F.col("__gaps"), F.lit(0)), F.array_join(pieces, ""))
-        found = contamination(find_hits(own, items, doc_id, text, n)).where(F.col("n_hit") <= max_hit_share * F.col("n_words"))
-        found = found.withColumn("__hit", _covered(F.col("hits"))).withColumn("__gaps", F.split(F.col(text), WORD_RAW, -1))
+        found = contamination(find_hits(own, items, doc_id, text, n, count_all=False))
+        found = found.where(~F.col("contaminated") | (F.col("n_hit") <= max_hit_share * F.col("n_words")))
+        gaps = F.when(F.col("contaminated"), F.split(F.col(text), WORD_RAW, -1))
+        found = found.withColumn("__hit", _covered(F.col("hits"))).withColumn("__gaps", gaps)
         return found.withColumn(text, F.when(F.col("contaminated"), cleaned).otherwise(F.col(text)))
 
     return beside(docs, ("hits", "n_words", "n_hit", "items", "contaminated"), clean)
