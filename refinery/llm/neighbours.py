@@ -13,14 +13,26 @@ changes nothing.
 tables (64 near-isotropic dimensions) eight curves of 10 % each way find about
 95 % of the true neighbours.  Vectors with structure do with far less.
 
-Plan on Spark: scale and spread of the projections are fitted on at most about
-``SAMPLE`` rows; every row is indexed.  (curve, key, id) rows are
+Equal vectors have one key on every curve, so a group of copies larger than
+the reach would hide its smallest ids, which come first among ties.  What is
+indexed is therefore the class of equal vectors, by its smallest id and with
+its ``k + 1`` smallest; a class asks if one of its rows does.  The first
+``k + 1`` ids in order lie in the first ``k + 1`` classes, ordered by score
+and smallest id; without the query's own id the ``k`` nearest are left.
+``REACH`` stays a share of all rows, so copies leave no other query less.
+
+Plan on Spark: a window with a limit before its shuffle finds the smallest ids
+of a class, so a class of any size sends ``k + 1`` rows a task (and as many
+that ask).  Scale and spread of the projections are fitted on about
+``SAMPLE`` classes; every class is indexed.  (curve, key, id) rows are
 range-partitioned and sorted, so equal keys split over tasks too; their order
 is written, and a place is the partition's first place (one number per
 partition) plus the place in it.  Places are cut into blocks of ``BLOCK``; a
-row is in one block per curve, a query visits the blocks in reach, in chunks
+class is in one block per curve, a query visits the blocks in reach, in chunks
 of bounded size.  A task multiplies one block by one chunk and returns the
-best ``k`` per query, so nothing is grouped without a bound.
+best ``k + 1`` per query, so nothing is grouped without a bound.  The queries
+are joined to their class's list on the vector; that list is one row, so AQE
+splits a large class's queries.
 
 Defined cases: vectors that are null, zero, or hold a null or non-finite
 component take no part, nor do rows with a null id or another length than
@@ -115,13 +127,22 @@ def _matrix(column) -> np.ndarray:
 def usable(vectors: DataFrame, vec_id: str, vector: str, is_query: Column) -> DataFrame:
     """``vec_id``, ``vector`` (doubles) and ``asks`` of the rows that take
     part, one per id."""
-    v = F.col(vector).cast("array<double>")
+    v = F.transform(F.col(vector).cast("array<double>"), lambda x: x + F.lit(0.0))  # -0.0 is 0.0
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & fine).select(
         F.col(vec_id).alias("vec_id"), v.alias("vector"), is_query.alias("asks"))
     return rows.groupBy("vec_id").agg(F.min(F.struct("vector", "asks")).alias("r")).select("vec_id", "r.vector", "r.asks")
 
 
+def equal_classes(rows: DataFrame, k: int) -> DataFrame:
+    """A row per vector of ``usable`` rows: its smallest ``vec_id``, whether
+    one of its rows ``asks``, and its ``k`` smallest ``ids`` in order."""
+    nth = F.row_number().over(Window.partitionBy("vector", "asks").orderBy("vec_id"))
+    least = rows.withColumn("__nth", nth).where(F.col("__nth") <= k)
+    ids = F.slice(F.sort_array(F.collect_list("vec_id")), 1, k)  # 2 k at most are collected
+    return least.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.max("asks").alias("asks"), ids.alias("ids"))
+
+
 def _places(rows: DataFrame, curves: Curves, scratch: Scratch) -> tuple[DataFrame, int]:
     """Every row on every curve (``asks`` False), and every query once more
     (True), with its ``place`` on the curve; also the places per curve."""
@@ -184,15 +205,17 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector
     if not sizes:
         return empty
     rows = rows.where(F.size("vector") == sizes[0]["d"])
-    n = sizes[0]["count"]
-    longest = math.sqrt(rows.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))).first()[0])
-    share = min(1.0, SAMPLE / n)
-    sample = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20))).select("vector").collect()  # about SAMPLE rows
+    classes = scratch.put(equal_classes(rows, k + 1), "classes")
+    n, asking, longest = classes.agg(F.count(F.lit(1)), F.count_if("asks"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))).first()
+    if not asking:
+        return empty
+    longest, share = math.sqrt(longest), min(1.0, SAMPLE / n)
+    sample = classes.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20))).select("vector").collect()  # about SAMPLE rows
     fitted = Curves(np.array([r["vector"] for r in sample], np.float64), longest, curves, dimensions)
-    placed, places = _places(rows, fitted, scratch)
+    placed, places = _places(classes.drop("ids"), fitted, scratch)
     blocks = -(-places // BLOCK)
-    around = min(blocks, math.ceil(reach * places / BLOCK))
-    chunks = max(1, math.ceil((2 * around + 1) * BLOCK / QUERY_EVERY / CHUNK))
+    around = min(blocks, math.ceil(reach * places * sizes[0]["count"] / n / BLOCK))  # a share of all rows, copies included
+    chunks = max(1, math.ceil((2 * around + 1) * BLOCK * asking / places / CHUNK))
     block = F.floor(F.col("place") / BLOCK).cast("int")
     held = placed.where(~F.col("asks")).select("vec_id", "vector", "asks", "curve", block.alias("block"),
                                                F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
@@ -209,14 +232,23 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector
             return pd.DataFrame({"query_id": q["vec_id"][:0], "vec_id": c["vec_id"][:0], "score": np.zeros(0)})
         scores = np.stack(q["vector"].to_numpy()) @ np.stack(c["vector"].to_numpy()).T
         qi, ci = q["vec_id"].to_numpy(), c["vec_id"].to_numpy()
-        scores[qi[:, None] == ci[None, :]] = -np.inf
-        row, col = _best(scores, ci, k)
+        row, col = _best(scores, ci, k + 1)
         return pd.DataFrame({"query_id": qi[row], "vec_id": ci[col], "score": scores[row, col]})
 
     found = held.unionByName(asked).groupBy("curve", "block", "chunk").applyInPandas(search, f"query_id {kind}, vec_id {kind}, score double")
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return merged.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    near = merged.withColumn("rank", rank).where(F.col("rank") <= k + 1).withColumnsRenamed({"query_id": "__class", "vec_id": "__found"})
+    several = classes.where(F.size("ids") > 1).select(F.col("vec_id").alias("__copy"), "ids")
+    ids = F.coalesce("ids", F.array("__found"))
+    order = F.transform(ids, lambda i: F.struct((-F.col("score")).alias("less"), i.alias("vec_id")))
+    listed = (near.join(several, F.col("__found") == F.col("__copy"), "left").groupBy("__class")
+              .agg(F.slice(F.sort_array(F.flatten(F.collect_list(order))), 1, k + 1).alias("near")))  # (k + 1)^2 at most are collected
+    answers = classes.where("asks").join(listed, F.col("vec_id") == F.col("__class")).select(F.col("vector").alias("__vector"), "near")
+    queries = rows.where("asks").select(F.col("vec_id").alias("query_id"), "vector").join(answers, F.col("vector") == F.col("__vector"))
+    others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    return queries.select("query_id", F.posexplode(others).alias("at", "x")).select(
+        "query_id", (F.col("at") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.less")).alias("score"))
 
 
 def op4_neighbours(spark, sf_dir):

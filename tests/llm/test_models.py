@@ -191,6 +191,25 @@ def test_recall_on_clusters_with_a_narrow_reach(spark):
     assert recall >= 0.9
 
 
+def test_copies_beyond_the_reach_are_found_by_id(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(1500, 16))
+    m /= np.sqrt((m * m).sum(1))[:, None]
+    m[rng.permutation(1500)[:600]] = m[0]  # one vector, far more than the reach
+    m, ids = m.astype(np.float32), np.arange(1500)
+    m[7] = m[11] = -m[0]  # a small class
+    got = {}
+    for r in sorted(neighbours.nearest(frame(spark, ids, m), F.col("vec_id") % 20 == 0, k=10).collect()):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    want = exact(ids, m.astype(np.float64), 20, 10)
+    copies = [q for q in want if (m[q] == m[0]).all()]
+    assert len(copies) > 20
+    for q in copies:  # the group's smallest ids, whatever the query's place in it
+        assert got[q] == [int(i) for i in ids if (m[i] == m[0]).all() and i != q][:10]
+    assert all(len(got[q]) == 10 for q in want)
+
+
 def test_few_or_no_vectors(spark):
     df = frame(spark, [0, 20], np.ones((2, 4)))
     assert sorted(tuple(r)[:3] for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0).collect()) == [(0, 1, 20), (20, 1, 0)]
