@@ -191,6 +191,23 @@ def test_recall_on_clusters_with_a_narrow_reach(spark):
     assert recall >= 0.9
 
 
+def test_recall_on_clusters_when_most_rows_are_out_of_reach(spark, monkeypatch):
+    block, reach, rows, every = 32, 0.01, 3000, 100
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    places = rows + rows // every
+    blocks, around = -(-places // block), math.ceil(reach * places / block)
+    assert neighbours.CURVES * (2 * around + 1) / blocks < 0.3  # of all rows, were no row met on two curves
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 16))
+    m = (centres[rng.integers(0, 40, rows)] + 0.15 * rng.normal(size=(rows, 16))).astype(np.float32)
+    ids, got = np.arange(rows), {}
+    for r in neighbours.nearest(frame(spark, ids, m), F.col("vec_id") % every == 0, k=10, reach=reach).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = exact(ids, m.astype(np.float64), every, 10)
+    recall = np.mean([v in got[q] for q, x in want.items() for v, _ in x])
+    assert recall >= 0.9
+
+
 def test_copies_beyond_the_reach_are_found_by_id(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK", 16)
     rng = np.random.default_rng(6)
