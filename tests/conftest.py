@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from refinery.session import local_session  # noqa: E402
 
-SF = {"0.001": "/root/testdata/sf0.001", "0.01": "/root/testdata/sf0.01"}
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from refinery.plans.queries import QUERIES
 from refinery.sources.tables import checkpoint_root, staging
 
-from conftest import SF
+from shipped import SF
 
 TABLES = ["region", "nation", "customer", "orders", "lineitem"]
 

@@ -24,7 +24,7 @@ from refinery.operators.history import (
 from refinery.plans.queries import Scenario
 from refinery.sources.tables import SILVER_SCHEMAS
 
-from conftest import SF
+from shipped import SF
 
 D1, D2, D3 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)
 

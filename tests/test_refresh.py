@@ -9,7 +9,7 @@ from refinery.plans.pipelines import QUARANTINE, refresh
 from refinery.sources.fixtures import bronze_tables
 from refinery.sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMAS, SnapshotStore, checkpoint_root
 
-from conftest import SF
+from shipped import SF
 
 
 def files(root):

@@ -8,7 +8,7 @@ from refinery.sources.fixtures import bronze_tables
 from refinery.sources.tables import SnapshotStore
 from refinery.streaming import bronze_stream, refresh_stream
 
-from conftest import SF
+from shipped import SF
 
 
 def test_stream_of_team_changes(spark, scratch):
