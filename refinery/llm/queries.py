@@ -3,7 +3,21 @@ package is there."""
 
 from __future__ import annotations
 
-from refinery.llm import chat, decontaminate, hmm, language, line_dedup, near_dups, neighbours, packing, sharding, substrings
+from refinery.llm import (
+    chat,
+    codes,
+    decontaminate,
+    hmm,
+    infill,
+    language,
+    line_dedup,
+    near_dups,
+    neighbours,
+    packing,
+    pieces,
+    sharding,
+    substrings,
+)
 
 QUERIES = {
     "op1_extendible_shards": sharding.op1_extendible_shards,
@@ -16,6 +30,9 @@ QUERIES = {
     "op8_best_fit": packing.op8_best_fit,
     "op9_languages": language.op9_languages,
     "op10_site_lines": line_dedup.op10_site_lines,
+    "op11_infill": infill.op11_infill,
+    "op12_codes": codes.op12_codes,
+    "op13_pieces": pieces.op13_pieces,
 }
 
 SQL = {
@@ -24,4 +41,6 @@ SQL = {
     "op6_near_duplicates": near_dups.OP6_SQL,
     "op7_decontaminate": decontaminate.OP7_SQL,
     "op10_site_lines": line_dedup.OP10_SQL,
+    "op11_infill": infill.OP11_SQL,
+    "op12_codes": codes.OP12_SQL,
 }
