@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import datekey
-from refinery.functions.geo import EARTH_RADIUS_KM, haversine_km
+from refinery.operators.places import nearest_place
 from refinery.sources.tables import keyed_side
 
 # The place written when no lookup table is given.
@@ -30,7 +28,8 @@ def add_geography(df: DataFrame, places: DataFrame | None = None, *,
     Without ``places``: the two constants on every row.  With ``places``
     (columns ``place_id, latitude, longitude, county, state``): the nearest
     place within ``radius_km`` (ties → smallest ``place_id``), NULL when the
-    coordinates are NULL or nothing is in range.  See :func:`nearest_place`.
+    coordinates are NULL or nothing is in range.  See
+    :mod:`refinery.operators.places`.
     """
     if places is None:
         return df.withColumns({"county": F.lit(county), "state": F.lit(state)})
@@ -40,84 +39,3 @@ def add_geography(df: DataFrame, places: DataFrame | None = None, *,
     found = keyed_side(found.select(latitude, longitude, "county", "state"))
     return df.join(found, on=[latitude, longitude], how="left").select(
         *df.columns, "county", "state")
-
-
-def _unit_vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
-    phi, lmb = F.radians(lat), F.radians(lon)
-    return F.cos(phi) * F.cos(lmb), F.cos(phi) * F.sin(lmb), F.sin(phi)
-
-
-# Cell sides grow by this factor from ring to ring, over so many rings.
-RING_GROWTH, RINGS = 4.0, 4
-
-
-def nearest_place(points: DataFrame, places: DataFrame, *, radius_km: float = 100.0,
-                  latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:
-    """Nearest place for each distinct (latitude, longitude) in ``points``.
-
-    Both sides become unit vectors on a 3-D grid of cubes.  Two points within
-    a cube's side differ by at most one cube in every coordinate, so a point
-    probes its cube and the 26 next to it and sees every place within that
-    distance: an equi-join on three ints, no cross join, the same everywhere
-    (no pole or date-line cases).
-
-    The search goes outward in rings.  The first side is about the spacing of
-    the places (one per coordinate: the smallest ``place_id``), taken from
-    their number inside the plan; each further ring's is ``RING_GROWTH`` times
-    that, the last the chord of ``radius_km``.  A point is done, and stops
-    probing, once its best distance lies within the ring, so the pairs per
-    point do not grow with the places.  All rings are one lazy plan, one join
-    and one aggregate each.
-
-    The winner is ``min(struct(distance, place_id, …))``; distances are
-    rounded to 1e-6 km before comparing so ties go to the smallest
-    ``place_id``.
-    """
-    chord = 2.0 * math.sin(radius_km / (2.0 * EARTH_RADIUS_KM)) * (1.0 + 1e-9)
-    close = 1e-9  # more than the rounding of distances, on the unit sphere
-
-    found = places.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    pl = found.groupBy(F.col("latitude").alias("p_lat"), F.col("longitude").alias("p_lon")).agg(
-        F.min(F.struct(F.col("place_id"), F.col("county"), F.col("state"))).alias("p"))
-    px, py, pz = _unit_vector(F.col("p_lat"), F.col("p_lon"))
-    pl = pl.select("p_lat", "p_lon", "p", px.alias("p_x"), py.alias("p_y"), pz.alias("p_z"))
-    # Mean area per place on the unit sphere, as a scalar subquery of the plan.
-    spacing = F.sqrt(F.lit(4 * math.pi) / F.greatest(pl.select(F.count(F.lit(1)).cast("double")).scalar(), F.lit(1.0)))
-
-    lat, lon = F.col(latitude), F.col(longitude)
-    pts = points.where(lat.isNotNull() & lon.isNotNull()).select(lat.alias("q_lat"), lon.alias("q_lon")).distinct()
-    qx, qy, qz = _unit_vector(F.col("q_lat"), F.col("q_lon"))
-    best_type = "struct<distance_km:double,place_id:{0},county:string,state:string>".format(places.schema["place_id"].dataType.simpleString())
-    pts = pts.select("q_lat", "q_lon", F.lit(None).cast(best_type).alias("best"))
-
-    for ring in range(RINGS):
-        def side_of(r: int) -> Column:
-            return F.lit(chord) if r == RINGS - 1 else F.least(spacing * (RING_GROWTH ** r), F.lit(chord))
-
-        side = side_of(ring)
-        grown = F.lit(True) if ring == 0 else side > side_of(ring - 1)
-        cubes = pl.select("*", *[F.floor(F.col(f"p_{a}") / side).cast("long").alias(f"p_c{a}") for a in "xyz"])
-        home = [F.floor(q / side).cast("long") for q in (qx, qy, qz)]
-        probes = [F.struct(*[(h + d).alias(f"p_c{a}") for h, d, a in zip(home, (dx, dy, dz), "xyz")])
-                  for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
-        # A point that is done keeps one row, in a cube no place is in (spread, so that they do not meet).
-        nowhere = F.lit(1 << 50) + F.pmod(F.xxhash64("q_lat", "q_lon"), F.lit(1 << 20))
-        none = F.array(F.struct(nowhere.alias("p_cx"), F.lit(0).cast("long").alias("p_cy"), F.lit(0).cast("long").alias("p_cz")))
-        open_ = F.col("best").isNull() & grown
-        asked = pts.select("q_lat", "q_lon", "best", qx.alias("q_x"), qy.alias("q_y"), qz.alias("q_z"),
-                           F.inline(F.when(open_, F.array(*probes)).otherwise(none)))
-        met = asked.join(cubes, on=["p_cx", "p_cy", "p_cz"], how="left")
-        chord2 = sum((F.col("q_" + a) - F.col("p_" + a)) * (F.col("q_" + a) - F.col("p_" + a)) for a in "xyz")
-        distance = F.round(haversine_km(F.col("q_lat"), F.col("q_lon"), F.col("p_lat"), F.col("p_lon")), 6)
-        candidate = F.struct(distance.alias("distance_km"), F.col("p.place_id").alias("place_id"),
-                             F.col("p.county").alias("county"), F.col("p.state").alias("state"))
-        # Squared chords first (three products), the haversine only within the ring.
-        met = met.withColumn("near", F.when(chord2 <= side * side, candidate)).withColumn("chord2", F.when(chord2 <= side * side, chord2))
-        pts = met.groupBy("q_lat", "q_lon").agg(F.min("best").alias("best"), F.min("near").alias("near"), F.min("chord2").alias("chord2"))
-        inside = F.lit(True) if ring == RINGS - 1 else F.sqrt("chord2") <= side - F.lit(close)
-        pts = pts.select("q_lat", "q_lon", F.coalesce("best", F.when(inside, F.col("near"))).alias("best"))
-
-    return pts.where(F.col("best.distance_km") <= radius_km).select(
-        F.col("q_lat").alias(latitude), F.col("q_lon").alias(longitude),
-        F.col("best.place_id").alias("place_id"), F.col("best.distance_km").alias("distance_km"),
-        F.col("best.county").alias("county"), F.col("best.state").alias("state"))

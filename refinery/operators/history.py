@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import row_digest
+from refinery.operators.timeline import SLICE_ROWS, with_next
+from refinery.sources.tables import keyed_side
 
 HASH = "hash_key"
 CREATED, UPDATED = "system_created_at", "system_updated_at"
@@ -236,6 +238,75 @@ def latest_per_key(df: DataFrame, key: str, sequence: str) -> DataFrame:
     return df.groupBy(F.col(key).alias("__key")).agg(F.max(row).alias("__last")).select("__last.__row.*")
 
 
+# --------------------------------------------------------------------------
+# Type 2, versions in any order of arrival
+# --------------------------------------------------------------------------
+
+
+def splice_changes(target: DataFrame, incoming: DataFrame, keys: list[str], departed: DataFrame | None = None,
+                   slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Versions that ``incoming`` adds to the type-2 table ``target``, or whose
+    end it moves, with ``change``: ``new`` or ``recut``.
+
+    Unlike :func:`scd2_merge`, which makes an arriving version the active one,
+    a version goes where its ``valid_from`` puts it: the stored and incoming
+    versions of a key are merged in time order, and each ends where the next
+    begins.  So any order of arrival gives the same history.  What ends a
+    version without a successor is kept: a stored ``valid_to`` stays an end
+    unless a version begins there, and ``departed`` (the keys and a
+    ``system_valid_to``) ends what is valid at that time.  A departure counts
+    from what is known when it arrives: versions that begin later stay.
+
+    Of two versions of one key and time the one with the greater digest
+    stands.  Versions already stored (key, time and digest) change nothing.
+    A version equal to its predecessor stays a version of its own, since a
+    late one may fall between the two.  Incoming rows without a key or a
+    ``valid_from`` have no place and are left out.
+
+    Only the stored versions of keys with something to add are read again (a
+    semi-join); the time order comes from :mod:`refinery.operators.timeline`,
+    which cuts the versions of a hot key by time.
+    """
+    cols = list(target.columns)
+    placed = incoming.select(*cols).where(" AND ".join(f"`{c}` IS NOT NULL" for c in (*keys, VALID_FROM))).distinct()
+    fresh = placed.join(target.select(*keys, VALID_FROM, HASH), on=[*keys, VALID_FROM, HASH], how="left_anti").select(*cols)
+    touched = fresh.select(*keys)
+    if departed is not None:
+        gone = departed.select(*keys, F.col(VALID_TO).alias("__at")).where(F.col("__at").isNotNull())
+        touched = touched.unionByName(gone.select(*keys))
+    stored = target.join(keyed_side(touched.distinct()), on=keys, how="left_semi").select(*cols)
+
+    version = F.struct(*cols)
+    nothing = F.lit(None).cast(stored.select(version.alias("v")).schema["v"].dataType)
+    ends = stored.where(F.col(VALID_TO).isNotNull()).select(*keys, F.col(VALID_TO).alias("__at"))
+    if departed is not None:
+        ends = ends.unionByName(gone)
+    # Ends come before versions of the same time, the version that stands comes last.
+    line = ends.distinct().select(*keys, "__at", F.lit(0).alias("__kind"), F.lit(None).cast("string").alias("__digest"), F.lit(False).alias("__new"), nothing.alias("__v"))
+    for frame, new in ((stored, False), (fresh, True)):
+        line = line.unionByName(frame.select(*keys, F.col(VALID_FROM).alias("__at"), F.lit(1).alias("__kind"), F.col(HASH).alias("__digest"),
+                                             F.lit(new).alias("__new"), version.alias("__v")))
+    found = with_next(line, keys, "__at", ["__kind", "__digest"], F.struct("__at", "__kind"), "__next", slice_rows)
+    stands = (F.col("__kind") == 1) & ~F.coalesce((F.col("__next.__at") == F.col("__at")) & (F.col("__next.__kind") == 1), F.lit(False))
+    end = F.col("__next.__at")
+    moved = ~F.col(f"__v.{VALID_TO}").eqNullSafe(end) | (F.coalesce(F.col(f"__v.{ACTIVE}"), F.lit(False)) != end.isNull())
+    out = {ACTIVE: end.isNull(), VALID_TO: end}
+    return found.where(stands & (F.col("__new") | moved)).select(
+        *[out.get(c, F.col(f"__v.{c}")).alias(c) for c in cols], F.when("__new", F.lit("new")).otherwise(F.lit("recut")).alias(CHANGE))
+
+
+def apply_splice(stored: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """``stored`` after ``changes`` of :func:`splice_changes`."""
+    at = changes.select(*keys, VALID_FROM).distinct()
+    return append_versions(stored.join(at, on=[*keys, VALID_FROM], how="left_anti").select(*stored.columns), changes)
+
+
+def splice_versions(target: DataFrame, incoming: DataFrame, keys: list[str], departed: DataFrame | None = None,
+                    slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """The type-2 table after :func:`splice_changes`."""
+    return apply_splice(target, splice_changes(target, incoming, keys, departed, slice_rows), keys)
+
+
 # Labels of rows that a merge would write; all others stay as they are stored.
 CHANGES = ("new", "changed", "superseded", "departed")
 

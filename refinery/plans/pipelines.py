@@ -3,22 +3,27 @@
 Each ``*_batch`` function is lazy: bronze frame (+ parent silver frames) →
 :class:`Batch` with the accepted rows shaped like the silver table and the
 quarantined raw rows.  :func:`refresh` runs them in dependency order
-(teams → memberships ∥ events → RSVPs) against a :class:`SnapshotStore`.
+(teams → memberships ∥ events → RSVPs) against
+:class:`refinery.sources.tables.ParquetTables`.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from refinery.operators.enrich import add_datekeys, add_geography
 from refinery.operators.history import (
     ACTIVE,
     CHANGE,
     apply_change_set,
+    as_of_column,
     change_counts,
     change_set,
     latest_per_key,
@@ -41,8 +46,8 @@ from refinery.operators.quality import (
     rsvp_rules,
     team_rules,
 )
-from refinery.sources.tables import MALFORMED, QUARANTINE_SCHEMA, SILVER_SCHEMAS, SnapshotStore, conform, staging
-from refinery.operators.history import as_of_column
+from refinery.operators.ranges import DIGEST_SCHEMA, differing_ranges, in_ranges, key_range, range_digests
+from refinery.sources.tables import MALFORMED, QUARANTINE_SCHEMA, SILVER_SCHEMAS, ParquetTables, conform, staging
 
 KEYS = {
     "teams": "team_id",
@@ -171,7 +176,7 @@ def merge_batch(batch: Batch, target: DataFrame, as_of=None, raw: DataFrame | No
     return scd1_merge(target, batch.accepted, [key])
 
 
-def write_changes(store: SnapshotStore, table: str, merged: DataFrame, stage) -> dict[str, int]:
+def write_changes(store: ParquetTables, table: str, merged: DataFrame, stage) -> dict[str, int]:
     """Writes what ``merged`` changes in the stored table of ``table``;
     returns the rows per change label (none: nothing written).
 
@@ -187,66 +192,109 @@ def write_changes(store: SnapshotStore, table: str, merged: DataFrame, stage) ->
     return counts
 
 
+# --------------------------------------------------------------------------
+# Refresh against stored tables
+# --------------------------------------------------------------------------
+
 QUARANTINE = "quarantine"
+PARENTS = {"teams": (), "memberships": ("teams",), "events": ("teams",), "event_rsvps": ("memberships", "events")}
+
+# What was last refreshed: the digest tree of each bronze table, what else its
+# result depends on, and an id of the stored state.
+DIGESTS = StructType([*DIGEST_SCHEMA.fields, StructField("settings", StringType()), StructField("state", StringType())])
 
 
-def _fingerprint(df: DataFrame):
-    """Equal for equal bags of rejected rows, whatever their order."""
-    h = F.xxhash64("table_name", "record_key", "dq_reason", "raw_row")
-    return tuple(df.select(h.alias("h")).agg(F.count("h"), F.sum(F.col("h").cast("decimal(38,0)")), F.bit_xor("h")).first())
+def read_quarantine(store: ParquetTables) -> DataFrame:
+    """The stored rejected rows of all tables."""
+    frames = [store.read_whole(f"{QUARANTINE}/{t}", QUARANTINE_SCHEMA) for t in SILVER]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
-def write_quarantine(store: SnapshotStore, rejected: DataFrame) -> bool:
-    """The rejected rows of one refresh, as a whole version; the same rows
-    again write nothing, so a rerun or a retry adds none."""
-    if _fingerprint(rejected) == _fingerprint(store.read_whole(QUARANTINE, QUARANTINE_SCHEMA)):
+def _same_rows(a: DataFrame, b: DataFrame) -> bool:
+    """Equal bags of rejected rows, whatever their order and time."""
+    one, other = ([r[c] for c in ("n", "total", "mix")] if r else None for r in (
+        range_digests(f, ["record_key"], ["table_name", "record_key", "dq_reason", "raw_row"], bits=0).where("level = 0").first() for f in (a, b)))
+    return one == other
+
+
+def write_quarantine(store: ParquetTables, table: str, rejected: DataFrame, stage, ranges: DataFrame | None = None) -> bool:
+    """Stores the rejected rows of one table; the same rows again write
+    nothing.  ``rejected`` (staged) holds all of them, or those of the key
+    ``ranges`` that were refreshed, whose stored rows it replaces."""
+    name = f"{QUARANTINE}/{table}"
+    stored = store.read_whole(name, QUARANTINE_SCHEMA)
+    if _same_rows(rejected, stored if ranges is None else in_ranges(stored, ["record_key"], ranges)):
         return False
-    store.write_whole(QUARANTINE, rejected)
+    if ranges is not None:
+        rest = stored.join(ranges, key_range(["record_key"]) == F.col("range"), "left_anti")
+        rejected = stage(rest.unionByName(rejected), f"quarantine_{table}")
+    store.replace(name, rejected)
     return True
 
 
-def refresh(spark: SparkSession, bronze: dict[str, DataFrame], store: SnapshotStore, as_of=None,
+def refresh(spark: SparkSession, bronze: dict[str, DataFrame], store: ParquetTables, as_of=None,
             places: DataFrame | None = None, close_rejected: bool = False,
             keep_quarantine: bool = True) -> dict[str, dict[str, int]]:
     """Run the four pipelines against ``store``; returns the changed rows per
     table and label (an empty dict: unchanged, nothing written).
 
+    A table whose bronze rows have the digests of its last refresh, and whose
+    parents' stored tables have not been refreshed since, is skipped after one
+    scan.  If the parents are the same and some key ranges differ, only the
+    rows of these ranges are checked and merged: every rule looks at a row,
+    its parents, or rows of the same key.  Otherwise the whole table is.
+
     Per table the tagged batch is persisted for its two readers (merge and
-    rejected rows) and released at the end of its step; the change set and the
-    rejected rows are staged and deleted with the refresh.
+    rejected rows) and released at the end of its step; digests, change set
+    and rejected rows are staged and deleted with the refresh.
     """
     stats: dict[str, dict[str, int]] = {}
-    rejected: dict[str, DataFrame] = {}
+    states: dict[str, str] = {}
 
     with staging(spark) as stage:
-        def step(batch: Batch, raw: DataFrame) -> None:
+        def step(table: str, build) -> None:
+            key, raw, silver = KEYS[table], bronze[table], SILVER[table]
+            # Events looked up in a places table depend on it as well, so they are always processed.
+            settings = json.dumps([close_rejected, keep_quarantine, uuid.uuid4().hex if places is not None and table == "events" else "",
+                                   sorted(raw.columns), [states[p] for p in PARENTS[table]]])
+            digests = stage(range_digests(raw, [key], sorted(raw.columns)), f"digests_{table}")
+            stored = store.read_whole(f"digests/{table}", DIGESTS)
+            last = stored.where("level = 0").first()
+            ranges = None
+            if last is not None and last["settings"] == settings:
+                root = digests.where("level = 0").first()
+                if root is not None and all(root[c] == last[c] for c in ("n", "total", "mix")):
+                    states[table], stats[table] = last["state"], {}
+                    return
+                ranges = stage(differing_ranges(stored, digests), f"ranges_{table}")
+                raw = in_ranges(raw, [key], ranges)
+            batch = build(raw)
+            target = store.read(silver)
             if keep_quarantine:
                 batch.tagged.persist()
             try:
-                merged = merge_batch(batch, store.read(SILVER[batch.table]), as_of, raw, close_rejected)
-                stats[batch.table] = write_changes(store, batch.table, merged, stage)
+                merged = merge_batch(batch, target if ranges is None else in_ranges(target, [key], ranges), as_of, raw, close_rejected)
+                stats[table] = write_changes(store, table, merged, stage)
                 if keep_quarantine:
-                    rejected[batch.table] = stage(quarantine(batch, as_of), f"rejected_{batch.table}")
+                    write_quarantine(store, table, stage(quarantine(batch, as_of), f"rejected_{table}"), stage, ranges)
             finally:
                 batch.tagged.unpersist()
+            # Last: a refresh that failed before is done again.
+            states[table] = uuid.uuid4().hex
+            store.replace(f"digests/{table}", digests.select("*", F.lit(settings).alias("settings"), F.lit(states[table]).alias("state")))
 
-        step(teams_batch(bronze["teams"]), bronze["teams"])
-        teams = store.read(SILVER["teams"])
+        step("teams", teams_batch)
         # memberships and events depend only on teams: submit both as
         # concurrent Spark jobs (one driver thread each)
         with ThreadPoolExecutor(max_workers=2) as pool:
             futures = [
-                pool.submit(lambda: step(memberships_batch(bronze["memberships"], teams), bronze["memberships"])),
-                pool.submit(lambda: step(events_batch(bronze["events"], teams, places), bronze["events"])),
+                pool.submit(step, "memberships", lambda raw: memberships_batch(raw, store.read(SILVER["teams"]))),
+                pool.submit(step, "events", lambda raw: events_batch(raw, store.read(SILVER["teams"]), places)),
             ]
             for f in futures:
                 f.result()
-        step(rsvps_batch(bronze["event_rsvps"], store.read(SILVER["memberships"]),
-                         store.read(SILVER["events"])), bronze["event_rsvps"])
-        if keep_quarantine:
-            frames = [rejected[t] for t in SILVER]
-            every = frames[0]
-            for f in frames[1:]:
-                every = every.unionByName(f)
-            write_quarantine(store, every)
+        step("event_rsvps", lambda raw: rsvps_batch(raw, store.read(SILVER["memberships"]), store.read(SILVER["events"])))
     return stats

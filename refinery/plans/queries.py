@@ -41,18 +41,18 @@ from refinery.operators.quality import (
 from refinery.functions.columns import row_digest
 from refinery.plans.marts import by_calendar, calendar, daily_rolling, member_at_response, monthly_trend, recent
 from refinery.plans.pipelines import (
-    QUARANTINE,
     Batch,
     events_batch,
     memberships_batch,
     merge_batch,
     quarantine,
+    read_quarantine,
     refresh,
     rsvps_batch,
     teams_batch,
 )
 from refinery.sources.fixtures import bronze_tables, places_from_customers
-from refinery.sources.tables import BRONZE_SCHEMAS, QUARANTINE_SCHEMA, SILVER_SCHEMAS, SnapshotStore, checkpoint_root, conform, empty
+from refinery.sources.tables import BRONZE_SCHEMAS, SILVER_SCHEMAS, ParquetTables, checkpoint_root, conform, empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -258,8 +258,8 @@ def _scenario_counts(close_rejected: bool) -> Query:
     return q
 
 
-def _store(spark: SparkSession) -> SnapshotStore:
-    return SnapshotStore(spark, f"{checkpoint_root(spark)}/refinery-queries/{uuid.uuid4().hex}")
+def _store(spark: SparkSession) -> ParquetTables:
+    return ParquetTables(spark, f"{checkpoint_root(spark)}/refinery-queries/{uuid.uuid4().hex}")
 
 
 def _refreshed(table: str) -> Query:
@@ -291,7 +291,7 @@ def _stored_quarantine(batches: tuple) -> Query:
         store = _store(spark)
         for b in batches:
             refresh(spark, bronze_tables(spark, d, b), store, as_of=AS_OF[0])
-        rows = store.read_whole(QUARANTINE, QUARANTINE_SCHEMA)
+        rows = read_quarantine(store)
         values = F.lit(None).cast("string")
         for table, schema in BRONZE_SCHEMAS.items():
             got = [F.coalesce(F.get_json_object("raw_row", f"$.{c}"), F.lit("-")) for c in schema.names]

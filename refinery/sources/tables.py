@@ -1,16 +1,18 @@
-"""Declared table schemas, bronze readers, and the silver snapshot sink.
-
-Storage: a silver table is cut by key hash into a fixed number of buckets.  A
-refresh writes the buckets that hold a change, whole, as the next version
-``<root>/<table>/v=<n>/bucket=<b>``; the table is each bucket's newest
-complete version (Spark's ``_SUCCESS`` marker present), so untouched buckets
-keep their files and a run with nothing to change writes nothing.  Files
-being read are never overwritten, the type-2 close and append land in one
-write, and a job that dies half-way leaves no ``_SUCCESS`` so readers never
-see it.  One writer at a time: a second one fails on the existing version
-instead of losing an update.  Rows are sorted by date key within a bucket, so
-Parquet statistics prune date-key filters.  Paths go through the Hadoop
-FileSystem of the session, so any shared store the cluster mounts works.
+"""Declared table schemas, bronze readers, and the Parquet sink.
+
+A silver table is a plain partitioned Parquet folder,
+``<root>/<table>/bucket=<n>``, cut by key hash.  A refresh writes the buckets
+that hold a change and no others (Spark's dynamic partition overwrite), so a
+run with nothing to change writes nothing.  The rows are rebalanced by bucket
+before the write: AQE gives a large bucket several tasks and files and small
+ones one task together, so the tasks follow the data, not the number of
+buckets.  Rows are sorted by date key within a file, so Parquet statistics
+prune date-key filters.  Any Hadoop file system the cluster mounts works.
+
+Limits: one writer at a time; a reader of a bucket that is replaced under it
+fails and starts again; a job that dies in its tasks leaves the table as it
+was, one whose driver dies while it renames the finished buckets may leave
+some of them missing, and the bronze data gives their active rows again.
 """
 
 from __future__ import annotations
@@ -176,92 +178,47 @@ def keyed_side(df: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Snapshot store
+# Sink
 # --------------------------------------------------------------------------
 
 
-class SnapshotStore:
-    """Silver tables as versions of key buckets (see module docstring)."""
+class ParquetTables:
+    """Silver tables under ``root`` (see module docstring).  ``buckets`` stays
+    for the life of the tables."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def base(self, table: str) -> str:
-        """The table's folder; its name holds the number of buckets, which
-        stays for the life of a table."""
-        others = [n for n in self._numbers(f"{self.root}/{table}", "buckets=") if n != self.buckets]
-        if others:
-            raise ValueError(f"{table} has {others[0]} buckets, not {self.buckets}")
-        return f"{self.root}/{table}/buckets={self.buckets}"
-
-    def path(self, table: str, version: int) -> str:
-        return f"{self.base(table)}/v={version:08d}"
-
-    def _numbers(self, path: str, prefix: str) -> list[int]:
-        at = self._Path(path)
-        if not self._fs.exists(at):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(at) if s.isDirectory()]
-        return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
-
-    def versions(self, table: str) -> list[int]:
-        """Complete versions; one without Spark's marker is a failed attempt."""
-        return [v for v in self._numbers(self.base(table), "v=") if self._fs.exists(self._Path(f"{self.path(table, v)}/_SUCCESS"))]
-
-    def latest(self, table: str) -> int | None:
-        v = self.versions(table)
-        return v[-1] if v else None
-
-    def newest(self, table: str) -> dict[int, str]:
-        """Folder of each bucket's newest complete version."""
-        out = {}
-        for v in self.versions(table):
-            out.update({b: f"{self.path(table, v)}/bucket={b}" for b in self._numbers(self.path(table, v), "bucket=")})
-        return out
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def exists(self, table: str) -> bool:
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
     def read(self, table: str, schema: StructType | None = None, buckets: list[int] | None = None) -> DataFrame:
-        """The table, or only the rows of some of its buckets."""
+        """The table (absent: no rows), or only the rows of some buckets."""
         schema = schema or SILVER_SCHEMAS[table]
-        paths = [p for b, p in sorted(self.newest(table).items()) if buckets is None or b in buckets]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else empty(self.spark, schema)
+        if not self.exists(table):
+            return empty(self.spark, schema)
+        rows = self.spark.read.schema(StructType([*schema.fields, StructField("bucket", I, True)])).parquet(self.path(table))
+        return (rows if buckets is None else rows.where(F.col("bucket").isin(buckets))).select(*schema.names)
 
     def bucket_of(self, *key: str):
         return F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")
 
-    def write(self, table: str, df: DataFrame, key: str, order: str | None = None) -> int:
-        """A version of the buckets that ``df`` has rows of, each whole; other
-        buckets keep their files.  The number is one that no attempt, failed
-        ones included, has used, and an existing folder is an error."""
-        version = max([0, *self._numbers(self.base(table), "v=")]) + 1
-        out = df.withColumn("bucket", self.bucket_of(key)).repartition("bucket")
+    def write(self, table: str, df: DataFrame, key: str, order: str | None = None) -> None:
+        """Replaces the buckets that ``df`` has rows of; ``df`` may read them."""
+        out = df.withColumn("bucket", self.bucket_of(key)).hint("rebalance", F.col("bucket"))
         out = out.sortWithinPartitions("bucket", *([order] if order else []))
-        out.write.mode("errorifexists").partitionBy("bucket").parquet(self.path(table, version))
-        return version
-
-    def write_whole(self, table: str, df: DataFrame) -> int:
-        """The whole table, an empty one too, as a version without buckets."""
-        version = max([0, *self._numbers(f"{self.root}/{table}", "run=")]) + 1
-        df.write.mode("errorifexists").parquet(f"{self.root}/{table}/run={version:08d}")
-        return version
-
-    def read_whole(self, table: str, schema: StructType) -> DataFrame:
-        """The newest complete version written by :meth:`write_whole`."""
-        runs = [f"{self.root}/{table}/run={v:08d}" for v in self._numbers(f"{self.root}/{table}", "run=")]
-        runs = [r for r in runs if self._fs.exists(self._Path(f"{r}/_SUCCESS"))]
-        return self.spark.read.schema(schema).parquet(runs[-1]) if runs else empty(self.spark, schema)
-
-    def vacuum(self, table: str) -> int:
-        """Deletes bucket folders that a newer version has replaced, once no
-        reader of the older state is left; returns how many."""
-        keep, gone = set(self.newest(table).values()), 0
-        for v in self.versions(table):
-            for b in self._numbers(self.path(table, v), "bucket="):
-                if f"{self.path(table, v)}/bucket={b}" not in keep:
-                    delete_path(self.spark, f"{self.path(table, v)}/bucket={b}")
-                    gone += 1
-        return gone
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path(table))
+
+    def read_whole(self, name: str, schema: StructType) -> DataFrame:
+        """A small table without buckets (absent: no rows)."""
+        return self.spark.read.schema(schema).parquet(self.path(name)) if self.exists(name) else empty(self.spark, schema)
+
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Replaces such a table by ``df``, which must not read it."""
+        df.write.mode("overwrite").parquet(self.path(name))

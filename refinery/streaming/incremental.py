@@ -33,7 +33,7 @@ from refinery.plans.pipelines import (
     teams_batch,
     write_changes,
 )
-from refinery.sources.tables import BRONZE_SCHEMAS, SnapshotStore, checkpoint_root, staging
+from refinery.sources.tables import BRONZE_SCHEMAS, ParquetTables, checkpoint_root, staging
 
 
 def bronze_stream(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
@@ -47,7 +47,7 @@ def bronze_stream(spark: SparkSession, path: str, table: str, fmt: str = "parque
     return reader.load(path)
 
 
-def _pipeline(table: str, store: SnapshotStore) -> Callable[[DataFrame], Batch]:
+def _pipeline(table: str, store: ParquetTables) -> Callable[[DataFrame], Batch]:
     if table == "teams":
         return lambda df: teams_batch(df, changes=True)
     if table == "memberships":
@@ -57,7 +57,7 @@ def _pipeline(table: str, store: SnapshotStore) -> Callable[[DataFrame], Batch]:
     return lambda df: rsvps_batch(df, store.read(SILVER["memberships"]), store.read(SILVER["events"]), changes=True)
 
 
-def refresh_stream(stream: DataFrame, table: str, store: SnapshotStore, as_of=None,
+def refresh_stream(stream: DataFrame, table: str, store: ParquetTables, as_of=None,
                    checkpoint: str | None = None, available_now: bool = True,
                    on_batch: Callable[[int, dict[str, int]], None] | None = None) -> StreamingQuery:
     """Start a query that merges each micro-batch of ``stream`` into the

@@ -1,13 +1,14 @@
-"""End-to-end refresh against the snapshot store."""
+"""End-to-end refresh against stored tables."""
 
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
-from refinery.plans.pipelines import QUARANTINE, refresh
+import refinery.plans.pipelines as pipelines
+from refinery.operators.ranges import BITS, differing_ranges, in_ranges, key_range, range_digests
+from refinery.plans.pipelines import read_quarantine, refresh
 from refinery.sources.fixtures import bronze_tables
-from refinery.sources.tables import QUARANTINE_SCHEMA, SILVER_SCHEMAS, SnapshotStore, checkpoint_root
+from refinery.sources.tables import SILVER_SCHEMAS, ParquetTables, checkpoint_root
 
 from shipped import SF
 
@@ -17,16 +18,15 @@ def files(root):
 
 
 def test_refresh_first_load_rerun_and_changes(spark, scratch):
-    store = SnapshotStore(spark, scratch, buckets=4)
+    store = ParquetTables(spark, scratch, buckets=4)
     d = SF["0.001"]
 
     s1 = refresh(spark, bronze_tables(spark, d, 1), store, as_of="2024-01-01 00:00:00")
     assert s1["teams"] == {"new": 18}
     for name in SILVER_SCHEMAS:
-        assert store.versions(name) == [1], name
         assert store.read(name).columns == SILVER_SCHEMAS[name].names
     assert store.read("event_rsvps_refined").count() == s1["event_rsvps"]["new"] > 0
-    rejected = store.read_whole(QUARANTINE, QUARANTINE_SCHEMA).count()
+    rejected = read_quarantine(store).count()
     assert rejected > 0
 
     # unchanged input: no change and not one file more, rejected rows included
@@ -34,7 +34,7 @@ def test_refresh_first_load_rerun_and_changes(spark, scratch):
     s2 = refresh(spark, bronze_tables(spark, d, 1), store, as_of="2024-01-02 00:00:00")
     assert set(s2) == {"teams", "memberships", "events", "event_rsvps"} and not any(s2.values())
     assert files(scratch) == before
-    assert store.read_whole(QUARANTINE, QUARANTINE_SCHEMA).count() == rejected
+    assert read_quarantine(store).count() == rejected
 
     # second batch: inserts, updates, deletes and rows turning bad
     s3 = refresh(spark, bronze_tables(spark, d, 2), store, as_of="2024-01-03 00:00:00")
@@ -44,55 +44,116 @@ def test_refresh_first_load_rerun_and_changes(spark, scratch):
     assert mem.where(F.col("system_is_active")).groupBy("membership_id").count().where("count > 1").count() == 0
     # closed versions keep their history
     assert mem.where(~F.col("system_is_active")).count() == s3["memberships"]["departed"] + s3["memberships"]["superseded"]
-    q = store.read_whole(QUARANTINE, QUARANTINE_SCHEMA)
-    assert q.select("refreshed_at").distinct().count() == 1
+    q = read_quarantine(store)
+    # a rejected row bears the time of the refresh that last checked its key range
+    assert {str(r.refreshed_at) for r in q.select("refreshed_at").distinct().collect()} == {"2024-01-01 00:00:00", "2024-01-03 00:00:00"}
+    assert q.where("table_name = 'event_rsvps'").select("refreshed_at").distinct().count() == 1
     assert q.where(F.col("dq_reason").isNull()).count() == 0
     # staged data is gone with the refresh
     staged = os.path.join(checkpoint_root(spark).removeprefix("file:"), "refinery-stage")
     assert not os.path.isdir(staged) or not os.listdir(staged)
 
-    # replaced bucket folders can go; the tables stay the same
-    rows = {name: store.read(name).count() for name in SILVER_SCHEMAS}
-    assert store.vacuum("memberships_refined") > 0
-    assert {name: store.read(name).count() for name in SILVER_SCHEMAS} == rows
+
+def one_team_changed(bronze):
+    teams = bronze["teams"].withColumn("team_activity", F.when(F.col("team_id") == "T1", F.lit("CHANGED")).otherwise(F.col("team_activity")))
+    return {**{t: bronze[t] for t in ("memberships", "events", "event_rsvps")}, "teams": teams}
 
 
 def test_a_change_rewrites_its_bucket_alone(spark, scratch):
-    store = SnapshotStore(spark, scratch, buckets=8)
+    store = ParquetTables(spark, scratch, buckets=8)
     bronze = bronze_tables(spark, SF["0.001"], 1)
     refresh(spark, bronze, store, as_of="2024-01-01 00:00:00", keep_quarantine=False)
-    before = store.newest("teams_refined")
-    changed = dict(bronze, teams=bronze["teams"].withColumn(
-        "team_activity", F.when(F.col("team_id") == "T1", F.lit("CHANGED")).otherwise(F.col("team_activity"))))
-    changed = {t: changed.get(t, bronze[t]) for t in ("teams", "memberships", "events", "event_rsvps")}
-    stats = refresh(spark, changed, store, as_of="2024-01-02 00:00:00", keep_quarantine=False)
+    before = files(store.path("teams_refined"))
+    stats = refresh(spark, one_team_changed(bronze), store, as_of="2024-01-02 00:00:00", keep_quarantine=False)
     assert stats["teams"] == {"changed": 1} and not stats["memberships"] and not stats["events"]
-    after = store.newest("teams_refined")
+    after = files(store.path("teams_refined"))
     bucket = spark.createDataFrame([("T1",)], "team_id string").select(store.bucket_of("team_id")).first()[0]
-    assert [b for b in before if before[b] != after[b]] == [bucket]
+    assert {f for f in set(before) ^ set(after)} and all(f"bucket={bucket}/" in f for f in set(before) ^ set(after))
     assert store.read("teams_refined").count() == 18
+    assert store.read("teams_refined", buckets=[bucket]).where("team_id = 'T1'").first()["team_activity"] == "CHANGED"
 
 
-def test_store_ignores_failed_versions_and_refuses_used_ones(spark, scratch):
-    store = SnapshotStore(spark, scratch, buckets=2)
-    df = spark.createDataFrame([("T1", "a", "b", None, None, "h", None, None)], SILVER_SCHEMAS["teams_refined"])
-    assert store.write("teams_refined", df, "team_id") == 1
-    # a half-written version (no _SUCCESS marker) is invisible, and its number is not used again
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    hconf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+def test_few_changed_keys_are_refreshed_by_their_ranges(spark, scratch, monkeypatch):
+    """Same tables as a whole refresh; only the rows of differing ranges are
+    checked, and their rejected rows replace the stored ones."""
+    bronze = bronze_tables(spark, SF["0.001"], 1)
+    rsvps = bronze["event_rsvps"]
+    turned = rsvps.withColumn("rsvp_status", F.when(F.pmod(F.xxhash64("event_rsvp_id"), F.lit(200)) == 3, F.lit(9).cast("bigint")).otherwise(F.col("rsvp_status")))
+    turned = turned.where(F.pmod(F.xxhash64("event_rsvp_id"), F.lit(200)) != 7)
+    changed = {**{t: bronze[t] for t in ("teams", "memberships", "events")}, "event_rsvps": turned}
+    seen = []
+    whole = pipelines.rsvps_batch
+    monkeypatch.setattr(pipelines, "rsvps_batch", lambda raw, *a, **k: (seen.append(raw.count()), whole(raw, *a, **k))[1])
+    stores = [ParquetTables(spark, os.path.join(scratch, n), buckets=4) for n in ("steps", "whole")]
+    for store in stores:
+        refresh(spark, bronze, store, as_of="2024-01-01 00:00:00")
+    # The second store forgets its digests, so it checks everything again.
+    for table in ("teams", "memberships", "events", "event_rsvps"):
+        stores[1].replace(f"digests/{table}", spark.createDataFrame([], pipelines.DIGESTS))
+    seen.clear()
+    counts = [refresh(spark, changed, store, as_of="2024-01-02 00:00:00") for store in stores]
+    assert counts[0] == counts[1] and seen[0] < seen[1] / 5 and seen[1] == turned.count()
+    for name in SILVER_SCHEMAS:
+        assert stores[0].read(name).exceptAll(stores[1].read(name)).count() == 0 and stores[0].read(name).count() == stores[1].read(name).count()
+    stored = [read_quarantine(s).drop("refreshed_at") for s in stores]
+    assert stored[0].exceptAll(stored[1]).count() == 0 and stored[0].count() == stored[1].count()
+
+
+def test_a_parent_change_is_not_skipped(spark, scratch):
+    """A team that turns bad takes its members along, though their rows stay."""
+    store = ParquetTables(spark, scratch, buckets=4)
+    bronze = bronze_tables(spark, SF["0.001"])
+    refresh(spark, bronze, store, as_of="2024-01-01 00:00:00")
+    teams = bronze["teams"].where("team_id <> 'T1' or team_id is null").unionByName(
+        bronze["teams"].where("team_id = 'T1'").withColumn("team_id", F.lit("T1000")))
+    # type 1 never deletes: the stored T1 stays a parent; a new team makes new members possible
+    members = bronze["memberships"].unionByName(bronze["memberships"].where("membership_id = 'M1'").select(
+        F.lit("M-new").alias("membership_id"), F.lit("T1000").alias("group_id"), F.lit("member").alias("role_title"), "joined_at"))
+    stats = refresh(spark, {**{t: bronze[t] for t in ("events", "event_rsvps")}, "teams": teams, "memberships": members}, store, as_of="2024-01-02 00:00:00")
+    assert stats["teams"] == {"new": 1} and stats["memberships"] == {"new": 1} and not stats["events"]
+
+
+def test_digest_trees_find_the_ranges_that_differ(spark):
+    df = spark.range(20000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 7).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("b"))
+    df = df.unionByName(spark.createDataFrame([(None, 1, None), (None, None, 1)], "k string, a long, b long"))
+    tree = range_digests(df, ["k"])
+    assert differing_ranges(tree, range_digests(df.repartition(7), ["k"])).count() == 0
+    # a changed, a missing, an added row, a NULL key's value moved to another column, and one of two equal rows
+    changes = {"changed": df.withColumn("a", F.when(F.col("k") == "17", F.lit(99)).otherwise(F.col("a"))), "missing": df.where("k is null or k <> '18'"),
+               "added": df.unionByName(spark.createDataFrame([("x", 1, 1)], "k string, a long, b long"))}
+    for name, key in (("changed", "17"), ("missing", "18"), ("added", "x")):
+        want = spark.createDataFrame([(key,)], "k string").select(key_range(["k"])).first()[0]
+        ranges = differing_ranges(tree, range_digests(changes[name], ["k"]))
+        assert [r.range for r in ranges.collect()] == [want], name
+        assert in_ranges(changes[name], ["k"], ranges).count() < 30
+    swapped = df.withColumns({"a": F.when(F.col("k").isNull(), F.col("b")).otherwise(F.col("a")), "b": F.when(F.col("k").isNull(), F.lit(None)).otherwise(F.col("b"))})
+    assert differing_ranges(tree, range_digests(swapped, ["k"])).count() == 1
+    twice = df.where("k = '5'")
+    assert differing_ranges(tree, range_digests(df.unionByName(twice), ["k"])).count() == 1
+    assert differing_ranges(range_digests(df.limit(0), ["k"]), tree).count() <= 1 << BITS
+    assert differing_ranges(range_digests(df.limit(0), ["k"]), range_digests(df.limit(0), ["k"])).count() == 0
+
+
+def test_a_write_takes_as_many_tasks_as_the_data_asks(spark, scratch):
+    """A bucket above the advisory size is written by several tasks."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     try:
-        df.write.parquet(store.path("teams_refined", 2))
+        store = ParquetTables(spark, scratch, buckets=2)
+        rows = spark.range(0, 60000, 1, 8).select(F.concat(F.lit("T"), F.col("id").cast("string")).alias("team_id"), F.sha2(F.col("id").cast("string"), 256).alias("team_activity"))
+        for c in SILVER_SCHEMAS["teams_refined"].fields[2:]:
+            rows = rows.withColumn(c.name, F.lit(None).cast(c.dataType))
+        store.write("teams_refined", rows, "team_id", "created_at_datekey")
+        assert len(files(scratch)) > 8 and store.read("teams_refined").count() == 60000
+        assert all(store.read("teams_refined", buckets=[b]).count() > 0 for b in (0, 1))
     finally:
-        hconf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-    assert store.versions("teams_refined") == [1]
-    assert store.read("teams_refined").count() == 1
-    assert store.write("teams_refined", df, "team_id") == 3
-    with pytest.raises(ValueError):
-        SnapshotStore(spark, scratch, buckets=4).read("teams_refined")
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_date_key_filter_reaches_the_scan(spark, scratch):
-    store = SnapshotStore(spark, scratch, buckets=2)
+    store = ParquetTables(spark, scratch, buckets=2)
     refresh(spark, bronze_tables(spark, SF["0.001"], 1), store, as_of="2024-01-01 00:00:00", keep_quarantine=False)
     plan = store.read("event_rsvps_refined").where("responded_at_datekey >= 19980101")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(responded_at_datekey,19980101)" in plan
