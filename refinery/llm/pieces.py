@@ -295,12 +295,24 @@ class PieceModel:
         bounds = bounds - np.concatenate([[0], np.cumsum(strip)])
         out = pa.Array.from_buffers(pa.string(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
         try:
+            if self.silent[ids].any():
+                raise pa.ArrowInvalid("control pieces part the bytes around them")
             out.validate(full=True)
         except pa.ArrowInvalid:
-            raw = data.tobytes()
-            out = pa.array([_lossy(raw[a:b]) for a, b in zip(bounds.tolist(), bounds[1:].tolist())], pa.string())
+            out = pa.array([self._slowly(ids[a : a + n].tolist(), cut) for a, n, cut in zip(begin.tolist(), sizes.tolist(), strip.tolist())], pa.string())
         return out
 
+    def _slowly(self, ids: list[int], strip: bool) -> str:
+        """One text whose byte pieces may be no characters."""
+        runs = [[]]
+        for i in ids:
+            if self.silent[i]:
+                runs.append([])
+            else:
+                runs[-1].append(self.bytes_of[i])
+        text = "".join(_lossy(b"".join(run)) for run in runs)
+        return text[1:] if strip else text
+
 
 def _lossy(raw: bytes) -> str:
     """UTF-8 with U+FFFD for each byte that belongs to no character."""
