@@ -186,7 +186,7 @@ class ParquetTables:
     """Silver tables under ``root`` (see module docstring).  ``buckets`` stays
     for the life of the tables."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 32):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
