@@ -248,13 +248,13 @@ def scd2_step(name: str, target: str, batch: str, raw: str | None, key: str, col
 AS_OF = ["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"]
 
 
-def scenario_ctes(close_rejected: bool = False, with_rsvps: bool = False) -> str:
+def scenario_ctes(close_rejected: bool = False, with_rsvps: bool = False, every_rsvps: bool = False) -> str:
     """Three batches through teams (SCD1), memberships and events (SCD2).
     Parents of each batch: the accepted teams of the whole data."""
     ctes = pipeline_ctes("", None, with_rsvps=with_rsvps)
     tp = "teams_acc"
     for i in (1, 2):
-        ctes += "," + pipeline_ctes(f"_{i}", i, teams_parent=tp, with_rsvps=False).strip()
+        ctes += "," + pipeline_ctes(f"_{i}", i, teams_parent=tp, with_rsvps=every_rsvps).strip()
     ctes += f""",
 teams_s0 AS (SELECT {_cols(TEAM_COLS + SCD1_SYS)} FROM teams_acc_1 WHERE false),
 mem_s0 AS (SELECT {_cols(MEM_COLS + SCD2_SYS)} FROM memberships_acc_1 WHERE false),
@@ -295,10 +295,14 @@ RAW_MEM = "membership_id, group_id, role_title, joined_at"
 RAW_EVT = "event_id, team_id, event_start, event_end, latitude, longitude, created_at"
 
 
-def geo_ctes(radius_km: float) -> str:
-    d = ("2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin((radians(p.latitude) - radians(q.latitude)) / 2), 2) "
+def _distance() -> str:
+    return ("2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin((radians(p.latitude) - radians(q.latitude)) / 2), 2) "
          "+ cos(radians(q.latitude)) * cos(radians(p.latitude)) "
          "* pow(sin((radians(p.longitude) - radians(q.longitude)) / 2), 2))))")
+
+
+def geo_ctes(radius_km: float) -> str:
+    d = _distance()
     return f"""
 places AS (SELECT c_custkey AS place_id, cast((c_custkey * 7) % 181 - 90 AS double) AS latitude,
                   cast((c_custkey * 13) % 361 - 180 AS double) AS longitude, c_name AS county, n_name AS state
@@ -315,6 +319,43 @@ def _geo_nearest(radius_km: float) -> str:
                  "SELECT latitude, longitude, place_id, distance_km, county, state FROM r WHERE rn = 1")
 
 
+def _geo_clustered(radius_km: float) -> str:
+    """Every point against every place, both in one small region."""
+    return f"""WITH places AS (SELECT c_custkey AS place_id, 59.0::double + (c_custkey * 7) % 10007 / 10007.0::double AS latitude,
+  10.0::double + (c_custkey * 13) % 20011 / 10005.5::double AS longitude, c_name AS county, n_name AS state
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+q AS (SELECT DISTINCT 59.5::double + (o_orderkey % 1009 - 504) / 600.0::double AS latitude,
+  11.0::double + ((o_orderkey * 3) % 2003 - 1001) / 800.0::double AS longitude FROM orders),
+c AS (SELECT q.latitude, q.longitude, p.place_id, p.county, p.state, round({_distance()}, 6) AS distance_km FROM q, places p),
+r AS (SELECT latitude, longitude, min(struct_pack(d := distance_km, i := place_id, c := county, s := state)) AS b
+      FROM c WHERE distance_km <= {radius_km} GROUP BY 1, 2)
+SELECT latitude, longitude, b.i AS place_id, b.d AS distance_km, b.c AS county, b.s AS state FROM r"""
+
+
+def _geo_within() -> str:
+    """Every point against every area: crossings of all edges to its right,
+    corners laid out without regard to the date line and points moved by whole
+    turns instead."""
+    outer, hole = ((0, 0), (10, 0), (13, 10), (3, 10)), ((4, 3), (7, 3), (8, 6), (5, 7))
+    edges = []
+    for corners, cond in ((outer, "true"), (hole, "area_id % 3 = 0")):
+        for (ax, ay), (bx, by) in zip(corners, corners[1:] + corners[:1]):
+            (ax, ay), (bx, by) = sorted(((ax, ay), (bx, by)), key=lambda v: (v[1], v[0]))
+            edges.append(f"SELECT area_id, (x + {ax})::double AS xa, (y + {ay})::double AS ya, (x + {bx})::double AS xb, (y + {by})::double AS yb FROM areas WHERE {cond}")
+    return with_(f"""b_events AS ({_b_events()}),
+areas AS (SELECT c_custkey AS area_id, c_name AS county, n_name AS state, c_custkey % 36 * 10 - 175 AS x, (c_custkey // 36) % 17 * 10 - 85 AS y
+          FROM customer JOIN nation ON c_nationkey = n_nationkey),
+edges AS ({" UNION ALL ".join(edges)}),
+q AS (SELECT DISTINCT latitude, longitude FROM b_events WHERE abs(latitude) <= 90 AND abs(longitude) <= 360),
+near AS (SELECT q.latitude, q.longitude, q.longitude + t AS lon, a.area_id FROM q, (VALUES (-360.0::double), (0.0), (360.0)) turns(t), areas a
+         WHERE q.latitude BETWEEN a.y AND a.y + 10 AND q.longitude + t BETWEEN a.x AND a.x + 13),
+hits AS (SELECT n.latitude, n.longitude, n.lon, n.area_id FROM near n JOIN edges e ON n.area_id = e.area_id
+         WHERE (e.ya > n.latitude) <> (e.yb > n.latitude) AND n.lon < e.xa + (n.latitude - e.ya) * (e.xb - e.xa) / (e.yb - e.ya)
+         GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1),
+found AS (SELECT latitude, longitude, min(area_id) AS area_id FROM hits GROUP BY 1, 2)""",
+                 "SELECT f.latitude, f.longitude, f.area_id, a.county, a.state FROM found f JOIN areas a ON a.area_id = f.area_id")
+
+
 def _raw_values(cols: str) -> str:
     return " || '|' || ".join(f"coalesce(cast({c} as varchar), '-')" for c in cols.split(", "))
 
@@ -393,6 +434,8 @@ QUERIES: dict[str, str] = {
     # O9 / O10
     "geo_constant": with_(P, "SELECT event_id, latitude, longitude, county, state FROM events_acc"),
     "geo_nearest": _geo_nearest(500.0),
+    "geo_nearest_clustered": _geo_clustered(50.0),
+    "geo_within": _geo_within(),
     # O11
     "row_digest": with_(P, f"SELECT event_id, {digest(RAW_EVT.split(', '))} AS hash_key FROM b_events"),
     # O12 / O13
@@ -483,6 +526,37 @@ daily AS (SELECT e.team_id, cast(r.responded_at AS date) AS date, count(*) AS ro
 })
 
 
+_MEM_VERSION = _cols(MEM_COLS) + ", hash_key, system_valid_from"
+_RSVPS_BY_BATCH = "".join(scd1_step(f"rsvps_s{i}_c", "rsvps_s0" if i == 1 else f"rsvps_s{i - 1}", f"rsvps_acc{s}", "event_rsvp_id", RSVP_COLS)
+                          + f",\nrsvps_s{i} AS (SELECT {_cols(RSVP_COLS + SCD1_SYS)} FROM rsvps_s{i}_c)" for i, s in ((1, "_1"), (2, "_2"), (3, "")))
+
+QUERIES.update({
+    # O15 / O17, any order of arrival: all versions ever seen in time order,
+    # one per key and time, each up to the next or the departure
+    "scd2_late_versions": with_(_S + f""",
+seen AS (SELECT DISTINCT {_MEM_VERSION} FROM (SELECT * FROM memberships_acc UNION ALL SELECT * FROM memberships_acc_1 UNION ALL SELECT * FROM memberships_acc_2)),
+stands AS (SELECT * FROM seen s WHERE NOT EXISTS (SELECT 1 FROM seen o WHERE o.membership_id = s.membership_id
+           AND o.system_valid_from = s.system_valid_from AND o.hash_key > s.hash_key)),
+gone AS (SELECT DISTINCT membership_id FROM (SELECT * FROM memberships_acc UNION ALL SELECT * FROM memberships_acc_2) a
+         WHERE NOT EXISTS (SELECT 1 FROM b_memberships_1 r WHERE r.membership_id = a.membership_id)),
+ends AS (SELECT s.*, least((SELECT min(o.system_valid_from) FROM stands o WHERE o.membership_id = s.membership_id AND o.system_valid_from > s.system_valid_from),
+         (SELECT TIMESTAMP '{AS_OF[2]}' FROM gone g WHERE g.membership_id = s.membership_id)) AS system_valid_to FROM stands s)""",
+        f"SELECT {_cols(MEM_COLS)}, hash_key, system_valid_to IS NULL AS system_is_active, system_valid_from, system_valid_to FROM ends"),
+    # O14 by digests of key ranges: the same rows as a plain anti-join
+    "scd1_changed_ranges": with_(pipeline_ctes("", None, with_rsvps=False) + "".join(
+        "," + pipeline_ctes(f"_{i}", i, teams_parent="teams_acc").strip() for i in (1, 2)),
+        f"""SELECT {_cols(RSVP_COLS + SCD1_SYS)} FROM rsvps_acc_2 b
+        WHERE NOT EXISTS (SELECT 1 FROM rsvps_acc_1 t WHERE t.event_rsvp_id = b.event_rsvp_id AND t.hash_key = b.hash_key)"""),
+    # E4 kept up batch by batch: recomputed from the whole tables after each
+    "trend_incremental": with_(scenario_ctes(False, with_rsvps=True, every_rsvps=True) + f""",
+rsvps_s0 AS (SELECT {_cols(RSVP_COLS + SCD1_SYS)} FROM rsvps_acc WHERE false)""" + _RSVPS_BY_BATCH, " UNION ALL ".join(
+        f"""SELECT e.team_id, cast(r.responded_at_datekey // 100 AS int) AS month_key, r.rsvp_status, count(*) AS rsvps,
+        count(DISTINCT r.event_id) AS events, {i} AS batch
+        FROM rsvps_s{i} r JOIN (SELECT * FROM evt_s{i} WHERE system_is_active) e ON r.event_id = e.event_id GROUP BY 1, 2, 3""" for i in (1, 2, 3))),
+    "rsvp_history_asof": QUERIES["rsvp_history_check"],
+})
+
+
 def refresh_ctes(batches: tuple = (1, 2)) -> str:
     """Consecutive refreshes into one store: each batch's parents are the
     tables as stored by that refresh (teams: all rows; RSVP parents: active)."""

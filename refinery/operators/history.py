@@ -292,7 +292,7 @@ def splice_changes(target: DataFrame, incoming: DataFrame, keys: list[str], depa
     moved = ~F.col(f"__v.{VALID_TO}").eqNullSafe(end) | (F.coalesce(F.col(f"__v.{ACTIVE}"), F.lit(False)) != end.isNull())
     out = {ACTIVE: end.isNull(), VALID_TO: end}
     return found.where(stands & (F.col("__new") | moved)).select(
-        *[out.get(c, F.col(f"__v.{c}")).alias(c) for c in cols], F.when("__new", F.lit("new")).otherwise(F.lit("recut")).alias(CHANGE))
+        *[out.get(c, F.col(f"__v.{c}")).alias(c) for c in cols], F.when(F.col("__new"), F.lit("new")).otherwise(F.lit("recut")).alias(CHANGE))
 
 
 def apply_splice(stored: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:

@@ -69,12 +69,19 @@ def with_next(df: DataFrame, keys: list[str], time: str, order: list[str], value
     return out.withColumn(name, F.coalesce(name, "__after")).select(*df.columns, name)
 
 
-def carried(df: DataFrame, keys: list[str], time: str, order: list[str], value: Column, name: str, rows: int = SLICE_ROWS) -> DataFrame:
+def carried(df: DataFrame, keys: list[str], time: str, order: list[str], value: Column, name: str, rows: int = SLICE_ROWS,
+            greatest: bool = False) -> DataFrame:
     """``df`` with ``name``: the last ``value`` that is not NULL up to and
-    including the row, by ``time`` and ``order``."""
+    including the row, by ``time`` and ``order``; with ``greatest`` the
+    greatest one instead."""
     sliced = time_slices(df, keys, time, rows).withColumn("__value", value)
     inside = Window.partitionBy(*keys, *SLICES).orderBy(time, *order).rowsBetween(Window.unboundedPreceding, 0)
-    last = F.max_by("__value", F.when(F.col("__value").isNotNull(), F.struct(time, *order)))
-    along = F.last("__v", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*SLICES).rowsBetween(Window.unboundedPreceding, -1))
-    out = _beside(sliced.withColumn(name, F.last("__value", ignorenulls=True).over(inside)), _per_slice(sliced, keys, last, along, "__before"), keys)
-    return out.withColumn(name, F.coalesce(name, "__before")).select(*df.columns, name)
+    before = Window.partitionBy(*keys).orderBy(*SLICES).rowsBetween(Window.unboundedPreceding, -1)
+    if greatest:
+        own, per_slice, along = F.max("__value").over(inside), F.max("__value"), F.max("__v").over(before)
+    else:
+        own = F.last("__value", ignorenulls=True).over(inside)
+        per_slice = F.max_by("__value", F.when(F.col("__value").isNotNull(), F.struct(time, *order)))
+        along = F.last("__v", ignorenulls=True).over(before)
+    out = _beside(sliced.withColumn(name, own), _per_slice(sliced, keys, per_slice, along, "__before"), keys)
+    return out.withColumn(name, F.greatest(name, "__before") if greatest else F.coalesce(name, "__before")).select(*df.columns, name)

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import datekey
-from refinery.operators.history import ACTIVE, VALID_FROM, VALID_TO
+from refinery.operators.history import ACTIVE, CHANGE, VALID_FROM, VALID_TO
+from refinery.operators.timeline import SLICE_ROWS, carried
 
 
 def calendar(df: DataFrame, column: str) -> DataFrame:
@@ -80,6 +81,90 @@ def monthly_trend(rsvps: DataFrame, events: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("rsvps"), F.count_distinct("event_id").alias("events"))
 
 
+def trend_grain(rsvps: DataFrame) -> DataFrame:
+    """RSVPs counted per event, month and status: what the trend needs of
+    them, without members and without the events' teams."""
+    return rsvps.groupBy("event_id", (F.col("responded_at_datekey") / 100).cast("int").alias("month_key"), "rsvp_status").agg(
+        F.count(F.lit(1)).alias("rsvps"))
+
+
+def trend_deltas(stored: DataFrame, changes: DataFrame) -> DataFrame:
+    """Signed counts per event, month and status of a type-1 change set
+    (``changes`` of :func:`refinery.operators.history.change_set`) against the
+    table before it: superseded rows count -1, new ones +1."""
+    replaced = stored.join(changes.where(F.col(CHANGE) == "changed").select("event_rsvp_id"), "event_rsvp_id", "left_semi")
+    columns = ["event_id", "responded_at_datekey", "rsvp_status"]
+    signed = replaced.select(*columns, F.lit(-1).alias("sign")).unionByName(changes.select(*columns, F.lit(1).alias("sign")))
+    return signed.groupBy("event_id", (F.col("responded_at_datekey") / 100).cast("int").alias("month_key"), "rsvp_status").agg(
+        F.sum("sign").alias("rsvps")).where(F.col("rsvps") != 0)
+
+
+def _teams(events: DataFrame) -> DataFrame:
+    e = events.where(F.col(ACTIVE)) if ACTIVE in events.columns else events
+    return e.select("event_id", "team_id")
+
+
+def maintain_trend(trend: DataFrame, grain: DataFrame, deltas: DataFrame, events_before: DataFrame,
+                   events_after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(trend, grain) after ``deltas`` (:func:`trend_deltas`) and a change of
+    the events, without the RSVPs.
+
+    Only the grain rows of events that have a delta, or whose active team is
+    another than before, are read.  Each takes its old count from its old
+    team's group and adds its new count to its new team's; the signed sums are
+    added to the stored trend, and a group that comes to nothing goes.  Both
+    changes may come at once.
+    """
+    keys = ["event_id", "month_key", "rsvp_status"]
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    teams = _teams(events_before).withColumnRenamed("team_id", "old_team").join(
+        _teams(events_after).withColumnRenamed("team_id", "new_team"), "event_id", "full_outer")
+    moved = teams.where(~same("old_team", "new_team")).select("event_id")
+    touched = moved.unionByName(deltas.select("event_id")).distinct()
+    counts = grain.join(touched, "event_id", "left_semi").select(*keys, F.col("rsvps").alias("old_n"), F.lit(0).cast("long").alias("change")).unionByName(
+        deltas.select(*keys, F.lit(0).cast("long").alias("old_n"), F.col("rsvps").alias("change")))
+    counts = counts.groupBy(*keys).agg(F.sum("old_n").alias("old_n"), (F.sum("old_n") + F.sum("change")).alias("new_n"))
+    both = counts.join(teams, "event_id")
+    sides = F.array(F.struct(F.col("old_team").alias("team_id"), (-F.col("old_n")).alias("rsvps"), (-(F.col("old_n") > 0).cast("long")).alias("events")),
+                    F.struct(F.col("new_team").alias("team_id"), F.col("new_n").alias("rsvps"), (F.col("new_n") > 0).cast("long").alias("events")))
+    signed = both.select("month_key", "rsvp_status", F.inline(sides)).where(F.col("team_id").isNotNull() & (F.col("rsvps") != 0))
+    group = ["team_id", "month_key", "rsvp_status"]
+    summed = trend.select(*group, "rsvps", "events").unionByName(signed.select(*group, "rsvps", "events")).groupBy(*group).agg(
+        F.sum("rsvps").alias("rsvps"), F.sum("events").alias("events")).where(F.col("rsvps") != 0)
+    after = grain.unionByName(deltas.select(*grain.columns)).groupBy(*keys).agg(F.sum("rsvps").alias("rsvps")).where(F.col("rsvps") != 0)
+    return summed, after
+
+
+def member_asof(rsvps: DataFrame, events: DataFrame, membership_history: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """:func:`member_at_response` by carry-forward instead of a range join.
+
+    Versions and RSVPs of a member are put into one time order, and the
+    versions valid so far are carried along, so an RSVP meets one row however
+    many versions its member has, and no pair of an RSVP and a version is
+    made.  A member with very many RSVPs is cut by time
+    (:mod:`refinery.operators.timeline`).
+
+    A member's versions may overlap, so what is carried, per member and team,
+    is the latest end of the versions that began so far: the responder was a
+    member if it lies after the answer.
+    """
+    e = _teams(events).withColumnRenamed("team_id", "group_id")
+    r = rsvps.select("event_rsvp_id", "event_id", "membership_id", "responded_at").join(e, "event_id", "left")
+    keys = ["membership_id", "group_id"]
+    known = F.col("membership_id").isNotNull() & F.col("group_id").isNotNull()
+    v = membership_history.where(known & F.col(VALID_FROM).isNotNull())
+    open_end = F.coalesce(F.col(VALID_TO), F.lit("9999-12-31").cast("timestamp"))
+    v = v.select(*keys, F.col(VALID_FROM).alias("at"), open_end.alias("until"))
+    columns = ["event_rsvp_id", "event_id", "membership_id", "group_id"]
+    nothing = [F.lit(None).cast(r.schema[c].dataType).alias(c) for c in columns[:2]]
+    line = v.select(*nothing, *keys, "at", F.lit(0).alias("kind"), "until").unionByName(
+        r.where(known & F.col("responded_at").isNotNull()).select(*columns, F.col("responded_at").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("timestamp").alias("until")))
+    found = carried(line, keys, "at", ["kind"], F.col("until"), "last", slice_rows, greatest=True).where(F.col("kind") == 1)
+    found = found.select(*columns[:3], F.coalesce(F.col("at") < F.col("last"), F.lit(False)).alias("member_at_response"))
+    rest = r.where(~known | F.col("responded_at").isNull()).select(*columns[:3], F.lit(False).alias("member_at_response"))
+    return found.unionByName(rest).groupBy("event_rsvp_id", "membership_id", "event_id").agg(F.bool_or("member_at_response").alias("member_at_response"))
+
+
 def member_at_response(rsvps: DataFrame, events: DataFrame, membership_history: DataFrame) -> DataFrame:
     """For each RSVP: was the responder a member of the event's team when
     responding, by any version of the membership (not just the active one)?

@@ -16,15 +16,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
+from refinery.operators.areas import containing_area
 from refinery.operators.enrich import add_datekeys, nearest_place
 from refinery.operators.history import (
     ACTIVE,
     CHANGE,
+    VALID_TO,
     append_versions,
+    change_set,
     changed_rows,
     scd1_merge,
     scd2_changes,
     scd2_close,
+    splice_versions,
     stamp_scd1,
     stamp_scd2,
 )
@@ -38,8 +42,20 @@ from refinery.operators.quality import (
     split,
     team_rules,
 )
+from refinery.operators.ranges import differing_ranges, in_ranges, range_digests
 from refinery.functions.columns import row_digest
-from refinery.plans.marts import by_calendar, calendar, daily_rolling, member_at_response, monthly_trend, recent
+from refinery.plans.marts import (
+    by_calendar,
+    calendar,
+    daily_rolling,
+    maintain_trend,
+    member_asof,
+    member_at_response,
+    monthly_trend,
+    recent,
+    trend_deltas,
+    trend_grain,
+)
 from refinery.plans.pipelines import (
     Batch,
     events_batch,
@@ -51,7 +67,7 @@ from refinery.plans.pipelines import (
     rsvps_batch,
     teams_batch,
 )
-from refinery.sources.fixtures import bronze_tables, places_from_customers
+from refinery.sources.fixtures import areas_from_customers, bronze_tables, clustered_places, places_from_customers, points_around
 from refinery.sources.tables import BRONZE_SCHEMAS, SILVER_SCHEMAS, ParquetTables, checkpoint_root, conform, empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,6 +226,14 @@ def _geo_nearest(spark, d):
     return nearest_place(events, places_from_customers(spark, d), radius_km=500.0)
 
 
+def _geo_nearest_clustered(spark, d):
+    return nearest_place(points_around(spark, d), clustered_places(spark, d), radius_km=50.0)
+
+
+def _geo_within(spark, d):
+    return containing_area(bronze_tables(spark, d)["events"], areas_from_customers(spark, d))
+
+
 def _row_digest(spark, d):
     ev = bronze_tables(spark, d)["events"]
     return ev.select("event_id", row_digest(ev.columns).alias("hash_key"))
@@ -262,6 +286,69 @@ def _store(spark: SparkSession) -> ParquetTables:
     return ParquetTables(spark, f"{checkpoint_root(spark)}/refinery-queries/{uuid.uuid4().hex}")
 
 
+def _stored(spark: SparkSession):
+    """``store(df, name)`` for a query that works on stored states: written
+    under the checkpoint folder and read back."""
+    root = f"{checkpoint_root(spark)}/refinery-queries/{uuid.uuid4().hex}"
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("errorifexists").parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    return store
+
+
+def _late_versions(spark, d):
+    """Membership versions that arrive in the order of batches 2, 3, 1, so
+    that batch 3 holds versions older than the stored ones; keys that batch 1
+    no longer has depart."""
+    store, key = _stored(spark), ["membership_id"]
+    full = Silver(spark, d)
+    first, second = (Silver(spark, d, b, full.teams.accepted) for b in (1, 2))
+    table = empty(spark, SILVER_SCHEMAS["memberships_refined"])
+    for name, batch in (("second", second), ("third", full)):
+        table = store(splice_versions(table, store(batch.memberships.accepted, f"{name}_batch"), key), name)
+    gone = table.where(F.col(ACTIVE)).select(*key).join(first.bronze["memberships"].select(*key), key, "left_anti")
+    gone = gone.withColumn(VALID_TO, F.lit(AS_OF[2]).cast("timestamp"))
+    return ntz(splice_versions(table, store(first.memberships.accepted, "first_batch"), key, gone))
+
+
+def _changed_ranges(spark, d):
+    """RSVPs of batch 2 that are new or differ from those of batch 1, looked
+    for only in the key ranges whose digests differ."""
+    store, key = _stored(spark), ["event_rsvp_id"]
+    parent = Silver(spark, d).teams.accepted
+    target, batch = (store(Silver(spark, d, b, parent).rsvps.accepted, f"batch_{b}") for b in (1, 2))
+    ranges = store(differing_ranges(*[range_digests(t, key, [*key, "hash_key"]) for t in (target, batch)]), "ranges")
+    return ntz(changed_rows(in_ranges(batch, key, ranges), in_ranges(target, key, ranges), key))
+
+
+def _trend_incremental(spark, d):
+    """The trend after each of the three batches, carried on from the one
+    before by the batch's changes alone."""
+    store = _stored(spark)
+    sc = Scenario(spark, d)
+    rsvps = empty(spark, SILVER_SCHEMAS["event_rsvps_refined"])
+    events = empty(spark, SILVER_SCHEMAS["events_refined"])
+    grain, trend, out = trend_grain(rsvps), monthly_trend(rsvps, events), None
+    for i, batch in enumerate(sc.batches):
+        merged = store(scd1_merge(rsvps, batch.rsvps.accepted, ["event_rsvp_id"]), f"rsvps_{i}")
+        events_next = store(sc.table("events", i + 1), f"events_{i}")
+        trend, grain = maintain_trend(trend, grain, store(trend_deltas(rsvps, change_set(merged)), f"deltas_{i}"), events, events_next)
+        trend, grain = store(trend, f"trend_{i}"), store(grain, f"grain_{i}")
+        rsvps, events = merged.drop(CHANGE), events_next
+        step = trend.withColumn("batch", F.lit(i + 1))
+        out = step if out is None else out.unionByName(step)
+    return out
+
+
+def _history_asof(spark, d):
+    store, sc = _stored(spark), Scenario(spark, d)
+    full = sc.batches[2]
+    frames = {"rsvps": full.rsvps.accepted, "events": full.events.accepted, "memberships": sc.table("memberships", 3)}
+    return member_asof(*[store(df, name) for name, df in frames.items()])
+
+
 def _refreshed(table: str) -> Query:
     """Two consecutive refreshes (scenario batches 1 and 2) into a fresh
     store under the checkpoint folder; the stored table afterwards."""
@@ -394,6 +481,8 @@ QUERIES: dict[str, Query] = {
     "datekeys": _datekeys,
     "geo_constant": _geo_constant,
     "geo_nearest": _geo_nearest,
+    "geo_nearest_clustered": _geo_nearest_clustered,
+    "geo_within": _geo_within,
     "row_digest": _row_digest,
     "scd1_stamped": lambda s, d: ntz(stamp_scd1(bronze_tables(s, d)["event_rsvps"], as_of=AS_OF[0])),
     "scd2_stamped": lambda s, d: ntz(stamp_scd2(bronze_tables(s, d)["memberships"], as_of=AS_OF[0])),
@@ -412,6 +501,8 @@ QUERIES: dict[str, Query] = {
     "scd2_appended": _scd2_appended,
     "scd2_null_flag": _scd2_null_flag,
     "scd2_next_snapshot": lambda s, d: ntz(Scenario(s, d).states["memberships"][2]),
+    "scd2_late_versions": _late_versions,
+    "scd1_changed_ranges": _changed_ranges,
     "scenario_counts": _scenario_counts(False),
     "scenario_counts_close_rejected": _scenario_counts(True),
     "calendar": _calendar,
@@ -419,7 +510,9 @@ QUERIES: dict[str, Query] = {
     "rsvps_last_30_days": _recent,
     "rsvp_rolling_30d": lambda s, d: daily_rolling(_with_team(Silver(s, d)), ["team_id"], "responded_at", 30),
     "rsvp_trend": lambda s, d: monthly_trend(Silver(s, d).rsvps.accepted, Silver(s, d).events.accepted),
+    "trend_incremental": _trend_incremental,
     "rsvp_history_check": _history_check,
+    "rsvp_history_asof": _history_asof,
     "refresh_teams": _refreshed("teams_refined"),
     "refresh_memberships": _refreshed("memberships_refined"),
     "refresh_events": _refreshed("events_refined"),

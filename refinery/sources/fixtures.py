@@ -162,3 +162,39 @@ def places_from_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("county"),
         F.col("n_name").alias("state"),
     )
+
+
+def clustered_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One place per customer, all in a region of one by two degrees, so that
+    they get denser with the data."""
+    c = F.col("c_custkey")
+    return places_from_customers(spark, sf_dir).withColumnRenamed("place_id", "c_custkey").select(
+        c.alias("place_id"), (F.lit(59.0) + (c * 7) % 10007 / F.lit(10007.0)).alias("latitude"),
+        (F.lit(10.0) + (c * 13) % 20011 / F.lit(10005.5)).alias("longitude"), "county", "state")
+
+
+def points_around(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One point per order in and around that region."""
+    o = F.col("o_orderkey")
+    return read_shipped(spark, sf_dir, "orders").select(
+        (F.lit(59.5) + (o % 1009 - 504) / F.lit(600.0)).alias("latitude"), (F.lit(11.0) + ((o * 3) % 2003 - 1001) / F.lit(800.0)).alias("longitude"))
+
+
+def areas_from_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One area per customer: a four-cornered one, every third with a hole,
+    some across the date line; neighbours of one row share edges."""
+    customer = read_shipped(spark, sf_dir, "customer")
+    nation = read_shipped(spark, sf_dir, "nation")
+    c = F.col("c_custkey")
+    x, y = c % 36 * 10 - 175, F.floor(c / 36) % 17 * 10 - 85
+    outer = ((0, 0), (10, 0), (13, 10), (3, 10))
+    hole = ((4, 3), (7, 3), (8, 6), (5, 7))
+
+    def ring(corners):
+        lon = [x + dx for dx, _ in corners]
+        return F.array(*[F.struct(F.when(v > 180, v - 360).otherwise(v).cast("double").alias("lon"), (y + dy).cast("double").alias("lat"))
+                         for v, (_, dy) in zip(lon, corners)])
+
+    rings = F.when(c % 3 == 0, F.array(ring(outer), ring(hole))).otherwise(F.array(ring(outer)))
+    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        c.alias("area_id"), F.col("c_name").alias("county"), F.col("n_name").alias("state"), rings.alias("rings"))
