@@ -126,6 +126,93 @@ def test_languages_on_held_out_documents_and_mixtures(spark):
     assert all(0 <= r["score"] <= 1 for r in out.values())
 
 
+def plain_em(grams, logs, rounds=language.ROUNDS):
+    """One n-gram at a time: proportions and log-likelihood."""
+    k = logs.shape[1]
+    share = [1 / k] * k
+    for _ in range(rounds):
+        new = [0.0] * k
+        for g in grams:
+            top = max(logs[g])
+            parts = [s * math.exp(x - top) for s, x in zip(share, logs[g])]
+            for j in range(k):
+                new[j] += parts[j] / sum(parts) / len(grams)
+        change, share = max(abs(a - b) for a, b in zip(new, share)), new
+        if change < 1e-3:
+            break
+    fit = sum(math.log(sum(s * math.exp(x - max(logs[g])) for s, x in zip(share, logs[g]))) for g in grams)
+    return share, fit
+
+
+def plain_set(grams, logs):
+    share, _ = plain_em(grams, logs)
+    order = sorted(range(len(share)), key=lambda j: (-share[j], j))
+    best = None
+    for size in range(1, len(order) + 1):
+        some = order[:size]
+        if size > 1 and share[order[size - 1]] < language.MIN_SHARE:
+            break
+        # the likelihood is taken against the best language of all, not of the set
+        cut = np.array([[logs[g][j] - max(logs[g]) for j in some] for g in range(len(logs))])
+        part, fit = [1.0], sum(cut[g][0] for g in grams)
+        if size > 1:
+            part, _ = plain_em(grams, cut)
+            fit = sum(math.log(sum(p * math.exp(x) for p, x in zip(part, cut[g]))) for g in grams)
+        value = fit / language.GRAM - 0.5 * (size - 1) * math.log(len(grams))
+        if best is None or value > best[0] + 1e-9:
+            best = value, some, part
+    _, some, part = best
+    turn = sorted(range(len(some)), key=lambda i: (-part[i], i))
+    return [some[i] for i in turn], [share[some[i]] for i in turn]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_mixture_and_set_equal_a_plain_em(seed):
+    rng = np.random.default_rng(seed)
+    k, kinds = int(rng.integers(1, 6)), 40
+    counts = rng.dirichlet(np.full(kinds, 0.3), k).T + 1e-4
+    logs = np.log(counts / counts.sum(0))
+    truth = rng.dirichlet(np.full(k, 0.7))
+    grams = [int(rng.choice(kinds, p=np.exp(logs[:, j]))) for j in rng.choice(k, 400, p=truth)]
+    some, n = np.unique(grams, return_counts=True)
+    share, _ = language.mixture(np.exp(logs[some] - logs[some].max(1, keepdims=True)), n)
+    assert np.allclose(share, plain_em(grams, logs)[0], atol=1e-9)
+    got, want = language.infer(some, n, logs), plain_set(grams, logs)
+    assert got[0] == want[0] and np.allclose(got[1], want[1], atol=1e-9)
+
+
+def test_grams_of_long_texts_are_counted_in_chunks(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = ["", "a", "ab cd", "\u0130 \u03a3A\u03a3 \u03a3", "x" * 5000, "".join(rng.choice(list("ab \u00e9\u4e2d1.\nZ"), 4000))]
+    whole = [language.gram_counts(t) for t in texts]
+    plain = []
+    for t in texts:
+        data, seen = language.TABLE[np.frombuffer((" " + t.lower() + " ").encode(), np.uint8)].tobytes(), {}
+        for i in range(len(data) - 3):
+            if 32 not in data[i + 1 : i + 3]:
+                b = int.from_bytes(data[i : i + 4], "little") * int(language.SPREAD) % 2**32 >> 16
+                seen[b] = seen.get(b, 0) + 1
+        plain.append(seen)
+    assert [dict(zip(b.tolist(), n.tolist())) for b, n in whole] == plain
+    for chunk in (7, 64, 1000):
+        monkeypatch.setattr(language, "CHUNK", chunk)
+        for t, (b, n) in zip(texts, whole):
+            got = language.gram_counts(t)
+            if "\u03a3" not in t:  # a chunk of a few letters has no spaces to be cut at
+                assert got[0].tolist() == b.tolist() and got[1].tolist() == n.tolist()
+
+
+def test_a_very_long_text_costs_little_memory():
+    import tracemalloc
+
+    text = "the quick brown fox jumps over the lazy dog. " * 400_000
+    logs = np.log(np.random.default_rng(2).dirichlet(np.ones(language.BUCKETS), 8).T).astype(np.float32)
+    tracemalloc.start()
+    language.infer(*language.gram_counts(text), logs)
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20  # of a text of 18 MB
+    tracemalloc.stop()
+
+
 def test_languages_without_labels_or_rows(spark):
     df = documents(spark)
     assert {r["lang_pred"] for r in language.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
