@@ -2,16 +2,19 @@
 
 A conversation becomes training windows of at most ``budget`` tokens cut at
 turn borders.  Every turn is new in exactly one window.  A later window first
-repeats the system turn and up to ``history`` tokens of the turns before it;
-repeats are masked, so each assistant text is a target once.
+repeats the system turn and up to ``history`` tokens of the turns before it,
+less if the new turns leave less; repeats are masked, so each assistant text
+is a target once.  The system turn is never left out: a window exceeds the
+budget only if that and its one new turn do so together.
 
 Template: a turn is ``<|role|>text<//>``.  Inside texts ``\\`` is written
 ``\\b`` and ``<`` is ``\\l`` (in roles also ``|`` as ``\\p``), so no text can
 hold a marker, and :func:`read_back` undoes it exactly.
 
-Plan: turns are grouped by (conversation, block of 1024 turn numbers), so a
-conversation of any length is many bounded groups.  Prefix sums of the turn
-tokens in the block choose the spans greedily.  What crosses blocks is small:
+Plan: turns fall into blocks of 1024 turn numbers of a conversation, and
+blocks with more rows (null or repeated numbers) into pieces of 1024 rows in
+order, so a conversation of any length is many bounded groups.  Prefix sums of
+the turn tokens in a piece choose the spans greedily.  What crosses blocks is small:
 the system turn and the last ``history`` tokens of the block before, found by
 a window over one narrow row per block and joined back to the blocks.  A
 window is built in one expression; only SQL functions are used.
@@ -22,7 +25,7 @@ characters; a turn costs two more for its markers.
 Defined cases: a null text is empty and a null role is ''; a null
 conversation id is one conversation; null turns come first; turns of equal
 number (and repeated rows) are ordered by role, then text, and all kept; a
-turn above the budget is kept whole, alone in its window; a conversation of
+turn above the budget is kept whole, alone with the system turn in its window; a conversation of
 a system turn alone gives one window; no rows give no windows; other columns
 are not read.
 """
@@ -53,7 +56,7 @@ def _opening(role: Column) -> Column:
     return F.concat(F.lit("<|"), F.replace(escape(role), F.lit("|"), F.lit("\\p")), F.lit("|>"))
 
 
-def _trailing(turns: Column, limit: int) -> Column:
+def _trailing(turns: Column, limit: int | Column) -> Column:
     """The last turns whose costs sum to at most ``limit``, in order."""
     start = F.struct(F.lit(0).alias("sum"), F.array().cast(f"array<{TURN}>").alias("kept"))
     got = F.aggregate(
@@ -81,10 +84,13 @@ def _span_starts(turns: Column, room: Column) -> Column:
 def _blocks(turns: DataFrame, conv: str, turn: str, role: str, text: str, history: int, scratch: Scratch) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     rows = turns.select(
-        F.col(conv).alias("__conv"), F.floor(F.col(turn) / BLOCK).alias("__block"),
+        F.col(conv).alias("__conv"), F.floor(F.col(turn) / BLOCK).alias("__numbers"),
         F.struct(F.col(turn).cast("long").alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), body.alias("text"),
                  (F.regexp_count(body, F.lit(r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]")) + 2).alias("cost")).alias("__t"))
-    blocks = scratch.put(rows.groupBy("__conv", "__block").agg(F.sort_array(F.collect_list("__t")).alias("__turns")), "blocks")
+    nth = F.row_number().over(Window.partitionBy("__conv", "__numbers").orderBy("__t")) - 1
+    block = F.struct(F.col("__numbers").alias("numbers"), F.floor(nth / BLOCK).alias("piece"))
+    rows = rows.withColumn("__block", block)  # the same partitioning serves both
+    blocks = scratch.put(rows.groupBy("__conv", "__numbers", "__block").agg(F.sort_array(F.collect_list("__t")).alias("__turns")).drop("__numbers"), "blocks")
     order = Window.partitionBy("__conv").orderBy("__block")
     first = F.get("__turns", F.lit(0))
     narrow = blocks.select("__conv", "__block", F.when(first["role"] == "system", first).alias("__first"),
@@ -133,14 +139,19 @@ def format_windows(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
     )
     system = F.when(F.col("__system").isNotNull(), F.array("__system")).otherwise(none)
 
+    def tokens(ts: Column) -> Column:
+        return F.aggregate(ts, F.lit(0), lambda s, t: s + t["cost"])
+
     def window(start, i):
         end = F.coalesce(F.get("__starts", i + 1), F.size("__body"))
         fresh = F.slice("__body", start + 1, end - start)
-        past = _trailing(F.concat(F.col("__before"), F.slice("__body", F.lit(1), start)), history)
+        # A turn costs two or more, so no more than half as many can be repeated.
+        most = history // 2
+        near = F.slice("__body", F.greatest(start - most, F.lit(0)) + 1, F.least(start, F.lit(most)))
+        past = _trailing(F.concat(F.col("__before"), near), F.least(F.lit(history), F.lit(budget) - tokens(system) - tokens(fresh)))
         head_is_new = F.col("__opens") & (i == 0)
         pieces = F.concat(F.transform(system, lambda t: _piece(t, head_is_new)), F.transform(past, lambda t: _piece(t, F.lit(False))),
                           F.transform(fresh, lambda t: _piece(t, F.lit(True))))
-        tokens = lambda ts: F.aggregate(ts, F.lit(0), lambda s, t: s + t["cost"])
         return F.struct(i.alias("window"), pieces.alias("pieces"),
                         (F.size(past) + F.when(head_is_new, F.lit(0)).otherwise(F.size(system))).alias("n_repeated"),
                         (tokens(system) + tokens(past) + tokens(fresh)).alias("n_tokens"))

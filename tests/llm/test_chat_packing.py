@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -45,18 +46,38 @@ def test_windows_read_back_exactly(spark, monkeypatch, budget, history, block):
     want = expected(rows)
     assert set(by) == set(want)
     for c, ws in by.items():
-        ws.sort(key=lambda w: (w["block"] is not None, w["block"] or 0, w["window"]))
+        ws.sort(key=lambda w: (w["block"]["numbers"] is not None, w["block"]["numbers"] or 0, w["block"]["piece"], w["window"]))
         assert [(t["role"], t["text"]) for w in ws for t in w["turns"]] == want[c]
         assert [x for w in ws for x in w["targets"]] == [x for r, x in want[c] if r == "assistant"]
         system = want[c][0] if want[c][0][0] == "system" else None
         for i, w in enumerate(ws):
             assert len(w["formatted"].split("<//>")) - 1 == w["n_turns"]
             fresh = w["n_turns"] - w["n_repeated"]
-            assert w["n_tokens"] <= budget or fresh == 1 or (i == 0 and fresh == 2 and system)
+            cost = {t: 2 + len(re.findall(r"[^\W]+|[^\s\w]", t)) for t in [x["text"] for x in w["turns"]] + [system[1] if system else ""]}
+            least = cost[w["turns"][-1]["text"]] + (cost[system[1]] if system and (i or fresh > 1) else 0)
+            assert w["n_tokens"] <= budget or (fresh <= 2 and least > budget and w["n_tokens"] == least)
             if system and i:
                 assert w["formatted"].startswith("<|system|>") and w["n_repeated"] >= 1
 
 
+def test_history_gives_way_to_the_budget(spark):
+    """A large new turn leaves no room for history, a large system turn less."""
+    rows = [(1, 0, "user", "w " * 100), (1, 1, "assistant", "w " * 950), (1, 2, "user", "w " * 20),
+            (2, 0, "system", "s " * 1000), (2, 1, "user", "a b c"), (2, 2, "assistant", "d e f"), (2, 3, "user", "g " * 40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(w["conv_id"], w["window"]): (w["n_tokens"], w["n_repeated"]) for w in chat.format_windows(df).collect()}
+    assert got == {(1, 0): (102, 0), (1, 1): (952, 0), (1, 2): (22, 0), (2, 0): (1007, 0), (2, 1): (1012, 2), (2, 2): (1044, 1)}
+
+
+def test_equal_and_null_turn_numbers_make_bounded_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", 50)
+    rows = [(1, None if i % 2 else 7, "assistant" if i % 3 else "user", f"text {i % 90:03d}") for i in range(700)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    ws = chat.read_back(chat.format_windows(df, budget=40, history=10)).orderBy("block", "window").collect()
+    assert [(t["role"], t["text"]) for w in ws for t in w["turns"]] == expected(rows)[1]
+    assert max(w["n_turns"] for w in ws) < 50 and len({str(w["block"]) for w in ws}) == 14
+
+
 def test_windows_repeat_limited_history(spark):
     rows = [(1, t, "assistant" if t % 2 else "user", "a b c d e f g h") for t in range(30)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
