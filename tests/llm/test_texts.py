@@ -140,11 +140,35 @@ def test_decontamination(spark):
                     hit.update(range(p, p + n))
                     found |= g
         want.append((r["doc_id"], len(w), len(hit), sorted(str(i) for i in found if i is not None), bool(hit)))
+    marked = decontaminate.benchmark_windows(items)
+    assert marked.grams.count() == len(windows)
     for bound in (decontaminate.MAX_BROADCAST, 0):
-        found = decontaminate.contamination(decontaminate.find_hits(docs, items, max_bytes=bound))
-        got = [(r["doc_id"], r["n_words"], r["n_hit"], [i for i in r["items"] if i is not None], r["contaminated"]) for r in found.collect()]
+        found = decontaminate.with_items(decontaminate.contamination(decontaminate.find_hits(docs, marked, max_bytes=bound)), marked)
+        got = [(r["doc_id"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in found.collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
-        assert set(docs.columns) <= set(found.columns)
+        assert set(docs.columns) - {"hits"} <= set(found.columns)
+
+
+def test_a_window_of_many_items_costs_its_hits_nothing(spark):
+    """2,000 items with one window, 200 times in a document."""
+    window = "one two three four five six seven eight nine ten"
+    items = spark.range(2000).select(F.col("id").alias("item_id"), F.lit(window).alias("text")).repartition(4)
+    docs = spark.createDataFrame([(1, " and ".join([window] * 200)), (2, window), (3, "other")], "doc_id long, text string")
+    marked = decontaminate.benchmark_windows(items)
+    found = decontaminate.find_hits(docs, marked).persist()
+    assert [r["n"] for r in found.orderBy("doc_id").select(F.size("hits").alias("n")).collect()] == [200, 1, 0]
+    assert found.select(F.explode("hits").alias("h")).schema["h"].dataType.names == ["start", "length", "window"]  # no list of items
+    got = decontaminate.with_items(decontaminate.contamination(found), marked).orderBy("doc_id").collect()
+    assert [(r["n_hit"], len(r["items"])) for r in got] == [(2000, 2000), (10, 2000), (0, 0)]
+
+
+def test_items_of_several_lengths_take_one_scan(spark):
+    items = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i))) for i in range(1, 13)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(f"w{j}" for j in range(12)))], "doc_id long, text string").repartition(2)
+    marked = decontaminate.benchmark_windows(items)
+    hits = decontaminate.hashed_hits(docs, marked.grams, "doc_id", "text")
+    assert hits.select("__length").distinct().count() == 10
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
 
 
 def test_decontamination_removes_hit_words_only(spark):
