@@ -1,8 +1,9 @@
 """Line dedup by site-relative frequency.
 
 A line is boilerplate for a host when it stands on more than ``max_ratio`` of
-that host's pages (and on at least ``min_pages`` of them); boilerplate lines
-are dropped from every page of the host, wherever they stand.
+that host's pages (and on at least ``min_pages`` of them, 2 by default: one
+page cannot repeat a line, and a host of one page keeps all); boilerplate
+lines are dropped from every page of the host, wherever they stand.
 
 Plan: one pass turns each page into its distinct trimmed lines' 64-bit keys;
 ``groupBy(host, key)`` combines map-side, so a line on a third of all pages
@@ -29,7 +30,7 @@ from refinery.llm.scratch import Scratch, without
 
 BLANK = " \t\r\f\x0b"
 MAX_RATIO = 0.1
-MIN_PAGES = 3
+MIN_PAGES = 2
 ADDED = ("n_lines", "n_removed")
 
 
