@@ -554,6 +554,14 @@ rsvps_s0 AS (SELECT {_cols(RSVP_COLS + SCD1_SYS)} FROM rsvps_acc WHERE false)"""
         count(DISTINCT r.event_id) AS events, {i} AS batch
         FROM rsvps_s{i} r JOIN (SELECT * FROM evt_s{i} WHERE system_is_active) e ON r.event_id = e.event_id GROUP BY 1, 2, 3""" for i in (1, 2, 3))),
     "rsvp_history_asof": QUERIES["rsvp_history_check"],
+    # E4 by sketches: exact counts; the sketches must be within their errors
+    "trend_rollup": with_(P, """SELECT e.team_id, cast(year(r.responded_at) AS int) AS year, count(*) AS rsvps,
+        count(DISTINCT r.membership_id) AS members, true AS members_within, true AS median_within
+        FROM rsvps_acc r JOIN events_acc e ON r.event_id = e.event_id GROUP BY 1, 2"""),
+    # E1 counted during the write: the same counts
+    "quarantine_observed": QUERIES["quarantine_summary"],
+    # O16 into a bucketed table: the same rows
+    "scd1_upsert_bucketed": QUERIES["scd1_upsert_rsvps"],
 })
 
 

@@ -17,10 +17,10 @@ stays one lazy plan.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import parse_timestamp
@@ -200,6 +200,15 @@ class Tagged:
     frame: DataFrame
     columns: list[str]
     raw: dict[str, str]
+    reasons: list[str] = field(default_factory=list)
+
+    def observed(self, observation: Observation) -> "Tagged":
+        """The same rows, which when first written or counted give
+        ``observation`` the number of ``rows`` and of each reason: rule counts
+        without a pass of their own."""
+        frame = self.frame.select(*self.columns, *self.raw.values(), REASON).observe(
+            observation, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(REASON) == r).alias(r) for r in dict.fromkeys(self.reasons)])
+        return replace(self, frame=frame)
 
     def tagged(self) -> DataFrame:
         return self.frame.select(*self.columns, REASON)
@@ -243,7 +252,7 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> Tagged:
         )
     else:
         reason = F.lit(None).cast("string")
-    return Tagged(df.withColumn(REASON, reason), columns, raw)
+    return Tagged(df.withColumn(REASON, reason), columns, raw, [r for r, _ in conditions])
 
 
 def tag(df: DataFrame, rules: list[Rule]) -> DataFrame:

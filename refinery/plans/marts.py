@@ -8,7 +8,7 @@ hot key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import datekey
@@ -50,7 +50,8 @@ def by_calendar(df: DataFrame, column: str, cal: DataFrame, grain: list[str]) ->
 
 def recent(df: DataFrame, column: str, days: int = 30, anchor=None) -> DataFrame:
     """Rows whose ``column`` lies in the ``days`` days up to ``anchor``
-    (default: the latest value in the data, as a scalar subquery)."""
+    (default: the latest value in the data, as a scalar subquery, so ``df`` is
+    read twice: give stored rows, of which that reads one column)."""
     if anchor is None:
         anchor_col = df.select(F.max(column)).scalar()
     else:
@@ -135,6 +136,36 @@ def maintain_trend(trend: DataFrame, grain: DataFrame, deltas: DataFrame, events
     return summed, after
 
 
+# Sizes of the stored sketches and the errors they state: the distinct count
+# within 2.5 % (three standard errors of 2^14 registers), the rank of a
+# quantile within 1 %.
+HLL_BITS, KLL_K = 14, 800
+DISTINCT_ERROR, RANK_ERROR = 0.025, 0.01
+
+
+def daily_sketches(rsvps: DataFrame, events: DataFrame) -> DataFrame:
+    """Per team and day, without member rows: the RSVPs, a sketch of the
+    distinct members, and one of the days from answer to event start."""
+    e = events.where(F.col(ACTIVE)) if ACTIVE in events.columns else events
+    r = rsvps.join(e.select("event_id", "team_id", "event_start"), "event_id")
+    ahead = F.datediff("event_start", "responded_at").cast("long")
+    return r.groupBy("team_id", F.col("responded_at_datekey").alias("datekey")).agg(
+        F.count(F.lit(1)).alias("rsvps"), F.hll_sketch_agg("membership_id", HLL_BITS).alias("members"),
+        F.kll_sketch_agg_bigint(ahead, KLL_K).alias("ahead"))
+
+
+def rollup_sketches(daily: DataFrame, period: Column, name: str) -> DataFrame:
+    """Daily rows rolled up to ``period`` (of the date key) by merging their
+    sketches; the same rows can be rolled up again."""
+    return daily.groupBy("team_id", period.alias(name)).agg(
+        F.sum("rsvps").alias("rsvps"), F.hll_union_agg("members").alias("members"), F.kll_merge_agg_bigint("ahead").alias("ahead"))
+
+
+def read_sketches(rolled: DataFrame, quantile: float = 0.5) -> DataFrame:
+    """The estimates of rolled-up rows: ``members`` and ``ahead``."""
+    return rolled.withColumns({"members": F.hll_sketch_estimate("members"), "ahead": F.kll_sketch_get_quantile_bigint("ahead", F.lit(quantile))})
+
+
 def member_asof(rsvps: DataFrame, events: DataFrame, membership_history: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """:func:`member_at_response` by carry-forward instead of a range join.
 

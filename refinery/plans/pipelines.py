@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -23,12 +24,14 @@ from refinery.operators.history import (
     ACTIVE,
     CHANGE,
     apply_change_set,
+    apply_splice,
     as_of_column,
     change_counts,
     change_set,
     latest_per_key,
     scd1_merge,
     scd2_merge,
+    splice_changes,
     stamp_scd1,
     stamp_scd2,
 )
@@ -80,13 +83,37 @@ class Batch:
     accepted: DataFrame
 
 
+# What a batch's tagged rows go through before they are cut into accepted and
+# rejected ones (nothing, or :func:`staged_counts`).
+Through = Callable[[Tagged, str], Tagged]
+
+
+def staged_counts(stage, counts: dict[str, dict[str, int]]) -> Through:
+    """Tagged rows are written once by ``stage`` and read from there by all
+    that follows; the rows and rejections per rule, observed during that
+    write, go to ``counts`` by table."""
+    def through(tagged: Tagged, table: str) -> Tagged:
+        observation = Observation()
+        seen = tagged.observed(observation)
+        staged = replace(seen, frame=stage(seen.frame, f"tagged_{table}"))
+        counts[table] = {k: v for k, v in observation.get.items() if v}
+        return staged
+
+    return through
+
+
+def _checked(table: str, bronze: DataFrame, rules: list[Rule], through: Through | None) -> Tagged:
+    tagged = evaluate(bronze, rules)
+    return through(tagged, table) if through else tagged
+
+
 def _silver_digest_columns(silver: str) -> list[str]:
     system = {"hash_key", "system_created_at", "system_updated_at", "system_is_active",
               "system_valid_from", "system_valid_to"}
     return [f.name for f in SILVER_SCHEMAS[silver].fields if f.name not in system]
 
 
-def _own_key(key: str, changes: bool) -> Rule:
+def _own_key(key: str, changes: bool | str) -> Rule:
     """In a whole table a repeated key is an error; in a set of changes it is
     a sequence of them, of which the last counts."""
     return Predicate(F.col(key).isNotNull(), "null_key") if changes else UniqueKey(key)
@@ -97,47 +124,53 @@ def _readable(bronze: DataFrame) -> list[Rule]:
     return [Predicate(F.col(MALFORMED).isNull(), "malformed_number")] if MALFORMED in bronze.columns else []
 
 
-def _batch(table: str, tagged: Tagged, accepted: DataFrame, changes: bool) -> Batch:
+# ``changes`` of a batch: it is a set of changes of which every one counts,
+# not only a key's last.
+EVERY = "every"
+
+
+def _batch(table: str, tagged: Tagged, accepted: DataFrame, changes: bool | str) -> Batch:
     accepted = conform(accepted, SILVER_SCHEMAS[SILVER[table]])
-    return Batch(table, tagged, latest_per_key(accepted, KEYS[table], TIMES[table]) if changes else accepted)
+    return Batch(table, tagged, latest_per_key(accepted, KEYS[table], TIMES[table]) if changes is True else accepted)
 
 
-def teams_batch(bronze: DataFrame, changes: bool = False) -> Batch:
+def teams_batch(bronze: DataFrame, changes: bool | str = False, through: Through | None = None) -> Batch:
     rules = [*_readable(bronze), _own_key("team_id", changes), Timestamps(("created_at",)), *team_rules()]
-    t = evaluate(bronze, rules)
+    t = _checked("teams", bronze, rules, through)
     acc = add_datekeys(t.accepted(), ["created_at"])
     acc = stamp_scd1(acc, "created_at", digest_columns=_silver_digest_columns("teams_refined"))
     return _batch("teams", t, acc, changes)
 
 
-def memberships_batch(bronze: DataFrame, teams: DataFrame, changes: bool = False) -> Batch:
+def memberships_batch(bronze: DataFrame, teams: DataFrame, changes: bool | str = False, through: Through | None = None) -> Batch:
     rules = [*_readable(bronze), _own_key("membership_id", changes), ForeignKey("group_id", teams, "team_id"),
              Timestamps(("joined_at",)), *membership_rules()]
-    t = evaluate(bronze, rules)
+    t = _checked("memberships", bronze, rules, through)
     acc = add_datekeys(t.accepted(), ["joined_at"])
     acc = stamp_scd2(acc, "joined_at", digest_columns=_silver_digest_columns("memberships_refined"))
     return _batch("memberships", t, acc, changes)
 
 
 def events_batch(bronze: DataFrame, teams: DataFrame, places: DataFrame | None = None,
-                 radius_km: float = 100.0, changes: bool = False) -> Batch:
+                 radius_km: float = 100.0, changes: bool | str = False, through: Through | None = None) -> Batch:
     ts = ("event_start", "event_end", "created_at")
     rules = [*_readable(bronze), _own_key("event_id", changes), ForeignKey("team_id", teams, "team_id"), Timestamps(ts), *event_rules()]
-    t = evaluate(bronze, rules)
+    t = _checked("events", bronze, rules, through)
     acc = add_geography(t.accepted(), places, radius_km=radius_km)
     acc = add_datekeys(acc, list(ts))
     acc = stamp_scd2(acc, "created_at", digest_columns=_silver_digest_columns("events_refined"))
     return _batch("events", t, acc, changes)
 
 
-def rsvps_batch(bronze: DataFrame, memberships: DataFrame, events: DataFrame, changes: bool = False) -> Batch:
+def rsvps_batch(bronze: DataFrame, memberships: DataFrame, events: DataFrame, changes: bool = False,
+                through: Through | None = None) -> Batch:
     """``memberships`` / ``events``: the silver tables; only active versions
     are used as parents."""
     m = memberships.where(F.col(ACTIVE)) if ACTIVE in memberships.columns else memberships
     e = events.where(F.col(ACTIVE)) if ACTIVE in events.columns else events
     rules = [*_readable(bronze), _own_key("event_rsvp_id", changes),
              *rsvp_rules(m, e, check_keys=True, between=(Timestamps(("responded_at",)),))]
-    t = evaluate(bronze, rules)
+    t = _checked("event_rsvps", bronze, rules, through)
     acc = add_datekeys(t.accepted(), ["responded_at"])
     acc = stamp_scd1(acc, "responded_at", digest_columns=_silver_digest_columns("event_rsvps_refined"))
     return _batch("event_rsvps", t, acc, changes)
@@ -145,11 +178,15 @@ def rsvps_batch(bronze: DataFrame, memberships: DataFrame, events: DataFrame, ch
 
 def quarantine(batch: Batch, as_of=None) -> DataFrame:
     """Rejected rows as (table, key, first reason, raw row as JSON, time)."""
-    rej = batch.tagged.rejected()
-    cols = [c for c in rej.columns if c != REASON]
-    return conform(rej.select(
-        F.lit(batch.table).alias("table_name"),
-        F.col(KEYS[batch.table]).cast("string").alias("record_key"),
+    return quarantined(batch.table, batch.tagged.rejected(), as_of)
+
+
+def quarantined(table: str, rejected: DataFrame, as_of=None) -> DataFrame:
+    """:func:`quarantine` of given rejected rows (with ``dq_reason``)."""
+    cols = [c for c in rejected.columns if c != REASON]
+    return conform(rejected.select(
+        F.lit(table).alias("table_name"),
+        F.col(KEYS[table]).cast("string").alias("record_key"),
         F.col(REASON),
         F.to_json(F.struct(*cols)).alias("raw_row"),
         as_of_column(as_of).alias("refreshed_at"),
@@ -192,6 +229,19 @@ def write_changes(store: ParquetTables, table: str, merged: DataFrame, stage) ->
     return counts
 
 
+def write_splice(store: ParquetTables, table: str, batch: Batch, stage) -> dict[str, int]:
+    """Splices the versions of ``batch`` (``changes=EVERY``) into the stored
+    type-2 table, wherever their ``valid_from`` puts them; returns the rows
+    per label (none: nothing written)."""
+    silver, key = SILVER[table], KEYS[table]
+    changes = stage(splice_changes(store.read(silver), batch.accepted, [key]), silver)
+    counts = {r[CHANGE]: r["rows"] for r in change_counts(changes).collect()}
+    if counts:
+        touched = [r[0] for r in changes.select(store.bucket_of(key)).distinct().collect()]  # at most store.buckets
+        store.write(silver, apply_splice(store.read(silver, buckets=touched), changes, [key]), key, f"{TIMES[table]}_datekey")
+    return counts
+
+
 # --------------------------------------------------------------------------
 # Refresh against stored tables
 # --------------------------------------------------------------------------
@@ -237,9 +287,11 @@ def write_quarantine(store: ParquetTables, table: str, rejected: DataFrame, stag
 
 def refresh(spark: SparkSession, bronze: dict[str, DataFrame], store: ParquetTables, as_of=None,
             places: DataFrame | None = None, close_rejected: bool = False,
-            keep_quarantine: bool = True) -> dict[str, dict[str, int]]:
+            keep_quarantine: bool = True, rule_counts: dict[str, dict[str, int]] | None = None) -> dict[str, dict[str, int]]:
     """Run the four pipelines against ``store``; returns the changed rows per
     table and label (an empty dict: unchanged, nothing written).
+    ``rule_counts`` is given the rows looked at and the rejections per rule of
+    every table that was not skipped.
 
     A table whose bronze rows have the digests of its last refresh, and whose
     parents' stored tables have not been refreshed since, is skipped after one
@@ -247,9 +299,10 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], store: ParquetTab
     rows of these ranges are checked and merged: every rule looks at a row,
     its parents, or rows of the same key.  Otherwise the whole table is.
 
-    Per table the tagged batch is persisted for its two readers (merge and
-    rejected rows) and released at the end of its step; digests, change set
-    and rejected rows are staged and deleted with the refresh.
+    Per table the tagged rows are written once for their two readers (merge
+    and rejected rows), and the rules are counted during that write; these,
+    digests, change set and rejected rows are staged and deleted with the
+    refresh.
     """
     stats: dict[str, dict[str, int]] = {}
     states: dict[str, str] = {}
@@ -273,28 +326,24 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], store: ParquetTab
                 raw = in_ranges(raw, [key], ranges)
             batch = build(raw)
             target = store.read(silver)
+            merged = merge_batch(batch, target if ranges is None else in_ranges(target, [key], ranges), as_of, raw, close_rejected)
+            stats[table] = write_changes(store, table, merged, stage)
             if keep_quarantine:
-                batch.tagged.persist()
-            try:
-                merged = merge_batch(batch, target if ranges is None else in_ranges(target, [key], ranges), as_of, raw, close_rejected)
-                stats[table] = write_changes(store, table, merged, stage)
-                if keep_quarantine:
-                    write_quarantine(store, table, stage(quarantine(batch, as_of), f"rejected_{table}"), stage, ranges)
-            finally:
-                batch.tagged.unpersist()
+                write_quarantine(store, table, stage(quarantine(batch, as_of), f"rejected_{table}"), stage, ranges)
             # Last: a refresh that failed before is done again.
             states[table] = uuid.uuid4().hex
             store.replace(f"digests/{table}", digests.select("*", F.lit(settings).alias("settings"), F.lit(states[table]).alias("state")))
 
-        step("teams", teams_batch)
+        through = staged_counts(stage, {} if rule_counts is None else rule_counts)
+        step("teams", lambda raw: teams_batch(raw, through=through))
         # memberships and events depend only on teams: submit both as
         # concurrent Spark jobs (one driver thread each)
         with ThreadPoolExecutor(max_workers=2) as pool:
             futures = [
-                pool.submit(step, "memberships", lambda raw: memberships_batch(raw, store.read(SILVER["teams"]))),
-                pool.submit(step, "events", lambda raw: events_batch(raw, store.read(SILVER["teams"]), places)),
+                pool.submit(step, "memberships", lambda raw: memberships_batch(raw, store.read(SILVER["teams"]), through=through)),
+                pool.submit(step, "events", lambda raw: events_batch(raw, store.read(SILVER["teams"]), places, through=through)),
             ]
             for f in futures:
                 f.result()
-        step("event_rsvps", lambda raw: rsvps_batch(raw, store.read(SILVER["memberships"]), store.read(SILVER["events"])))
+        step("event_rsvps", lambda raw: rsvps_batch(raw, store.read(SILVER["memberships"]), store.read(SILVER["events"]), through=through))
     return stats

@@ -45,14 +45,19 @@ from refinery.operators.quality import (
 from refinery.operators.ranges import differing_ranges, in_ranges, range_digests
 from refinery.functions.columns import row_digest
 from refinery.plans.marts import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
     by_calendar,
     calendar,
     daily_rolling,
+    daily_sketches,
     maintain_trend,
     member_asof,
     member_at_response,
     monthly_trend,
+    read_sketches,
     recent,
+    rollup_sketches,
     trend_deltas,
     trend_grain,
 )
@@ -65,10 +70,11 @@ from refinery.plans.pipelines import (
     read_quarantine,
     refresh,
     rsvps_batch,
+    staged_counts,
     teams_batch,
 )
 from refinery.sources.fixtures import areas_from_customers, bronze_tables, clustered_places, places_from_customers, points_around
-from refinery.sources.tables import BRONZE_SCHEMAS, SILVER_SCHEMAS, ParquetTables, checkpoint_root, conform, empty
+from refinery.sources.tables import BRONZE_SCHEMAS, SILVER_SCHEMAS, ParquetTables, bucketed_table, checkpoint_root, conform, empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -342,6 +348,48 @@ def _trend_incremental(spark, d):
     return out
 
 
+def _trend_rollup(spark, d):
+    """Per team and year: daily sketches rolled up over months to years,
+    beside the exact counts, and whether they keep their stated errors."""
+    store, s = _stored(spark), Silver(spark, d)
+    rsvps, events = store(s.rsvps.accepted, "rsvps"), store(s.events.accepted, "events")
+    daily = store(daily_sketches(rsvps, events), "daily")
+    months = rollup_sketches(daily, F.floor(F.col("datekey") / 100).cast("int"), "month")
+    years = read_sketches(rollup_sketches(months.withColumnRenamed("month", "datekey"), F.floor(F.col("datekey") / 100).cast("int"), "year"))
+    years = store(years.select("team_id", "year", F.col("members").alias("estimate"), F.col("ahead").alias("median")), "years")
+    raw = rsvps.join(events.select("event_id", "team_id", "event_start"), "event_id").select(
+        "team_id", F.year("responded_at").alias("year"), "membership_id", F.datediff("event_start", "responded_at").cast("long").alias("ahead"))
+    found = raw.join(years, ["team_id", "year"], "left").groupBy("team_id", "year", "estimate", "median").agg(
+        F.count(F.lit(1)).alias("rsvps"), F.count_distinct("membership_id").alias("members"),
+        F.count_if(F.col("ahead") < F.col("median")).alias("below"), F.count_if(F.col("ahead") <= F.col("median")).alias("upto"))
+    half, off = F.col("rsvps") / 2, F.col("rsvps") * RANK_ERROR + 1
+    return found.select("team_id", "year", "rsvps", "members",
+                        (F.abs(F.col("estimate") - F.col("members")) <= F.col("members") * DISTINCT_ERROR + 0.5).alias("members_within"),
+                        ((F.col("below") <= half + off) & (F.col("upto") >= half - off)).alias("median_within"))
+
+
+def _quarantine_observed(spark, d):
+    """Rejections per rule as observed during the one write of each table's
+    tagged rows."""
+    counts, bronze = {}, bronze_tables(spark, d)
+    through = staged_counts(_stored(spark), counts)
+    teams = teams_batch(bronze["teams"], through=through)
+    memberships = memberships_batch(bronze["memberships"], teams.accepted, through=through)
+    events = events_batch(bronze["events"], teams.accepted, through=through)
+    rsvps_batch(bronze["event_rsvps"], memberships.accepted, events.accepted, through=through)
+    rows = [(table, reason, n) for table, found in counts.items() for reason, n in found.items() if reason != "rows"]  # a row per rule
+    return spark.createDataFrame(rows, "table_name string, dq_reason string, rows long")
+
+
+def _upsert_bucketed(spark, d):
+    """RSVPs of batch 2 into those of batch 1, stored in Spark's own buckets."""
+    parent = Silver(spark, d).teams.accepted
+    first, second = (Silver(spark, d, b, parent).rsvps.accepted for b in (1, 2))
+    run = uuid.uuid4().hex
+    stored = bucketed_table(first, f"rsvps_{run}", "event_rsvp_id", f"{checkpoint_root(spark)}/refinery-queries/{run}", buckets=16, files_per_bucket=2)
+    return ntz(scd1_merge(stored, second, ["event_rsvp_id"]))
+
+
 def _history_asof(spark, d):
     store, sc = _stored(spark), Scenario(spark, d)
     full = sc.batches[2]
@@ -446,9 +494,10 @@ def _with_team(s: Silver) -> DataFrame:
 
 
 def _recent(spark, d):
-    acc = Silver(spark, d).rsvps.accepted
-    return ntz(recent(acc, "responded_at", 30).select(
-        "event_rsvp_id", "event_id", "membership_id", "rsvp_status", "responded_at", "responded_at_datekey"))
+    # Stored first: the latest time and the rows after it are two readings.
+    acc = _stored(spark)(Silver(spark, d).rsvps.accepted.select(
+        "event_rsvp_id", "event_id", "membership_id", "rsvp_status", "responded_at", "responded_at_datekey"), "rsvps")
+    return ntz(recent(acc, "responded_at", 30))
 
 
 def _history_check(spark, d):
@@ -492,11 +541,13 @@ QUERIES: dict[str, Query] = {
     "silver_rsvps": lambda s, d: ntz(Silver(s, d).rsvps.accepted),
     "silver_events_geo": _events_geo,
     "quarantine_summary": _quarantine_summary,
+    "quarantine_observed": _quarantine_observed,
     "scd1_changed": _scd1_changed,
     "scd1_upsert": lambda s, d: ntz(Scenario(s, d).states["teams"][1]),
     "scd2_new_versions": _scd2_new_versions,
     "scd2_departed": _scd2_departed,
     "scd1_upsert_rsvps": _upsert_rsvps,
+    "scd1_upsert_bucketed": _upsert_bucketed,
     "scd2_closed": _scd2_closed,
     "scd2_appended": _scd2_appended,
     "scd2_null_flag": _scd2_null_flag,
@@ -511,6 +562,7 @@ QUERIES: dict[str, Query] = {
     "rsvp_rolling_30d": lambda s, d: daily_rolling(_with_team(Silver(s, d)), ["team_id"], "responded_at", 30),
     "rsvp_trend": lambda s, d: monthly_trend(Silver(s, d).rsvps.accepted, Silver(s, d).events.accepted),
     "trend_incremental": _trend_incremental,
+    "trend_rollup": _trend_rollup,
     "rsvp_history_check": _history_check,
     "rsvp_history_asof": _history_asof,
     "refresh_teams": _refreshed("teams_refined"),

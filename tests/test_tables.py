@@ -2,8 +2,11 @@
 
 import os
 
-from refinery.plans.pipelines import events_batch, quarantine, teams_batch
-from refinery.sources.tables import BRONZE_SCHEMAS, MALFORMED, create_layers, read_bronze_csv
+from pyspark.sql import functions as F
+
+from refinery.operators.history import scd1_merge
+from refinery.plans.pipelines import events_batch, quarantine, staged_counts, teams_batch
+from refinery.sources.tables import BRONZE_SCHEMAS, MALFORMED, bucketed_table, create_layers, read_bronze_csv, staging
 
 
 def test_layers_are_created_once_per_environment(spark):
@@ -34,3 +37,49 @@ def test_csv_numbers_that_do_not_parse_are_quarantined(spark, scratch):
     assert sorted(r.event_id for r in b.accepted.collect()) == ["E1", "E3"]
     rejected = quarantine(b, "2024-03-01").collect()
     assert [(r.record_key, r.dq_reason) for r in rejected] == [("E2", "malformed_number")] and "latitude=north" in rejected[0].raw_row
+
+
+def test_bucketed_tables_merge_without_a_shuffle_of_the_stored_side(spark, scratch):
+    """Several files a bucket, written by as many tasks; in the merge's plan
+    only the batch is exchanged."""
+    rows = spark.range(0, 4000, 1, 4).select(F.concat(F.lit("T"), F.col("id").cast("string")).alias("team_id"), F.lit("run").alias("team_activity"),
+                                             F.lit("NO").alias("country_code"), F.lit("2024-01-01 08:00:00").alias("created_at"))
+    accepted = teams_batch(rows).accepted
+    name = "bucketed_teams_test"
+    try:
+        stored = bucketed_table(accepted, name, "team_id", os.path.join(scratch, "t"), buckets=8, files_per_bucket=3)
+        files = [f for f in os.listdir(os.path.join(scratch, "t")) if f.startswith("part")]
+        assert len(files) == 24 and len({f.split("_")[-1].split(".")[0] for f in files}) == 8
+        batch = accepted.where("team_id < 'T3'").withColumn("hash_key", F.lit("other")).limit(500)
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            merged = scd1_merge(stored, batch, ["team_id"])
+            assert sorted(r.change for r in merged.select("change").distinct().collect()) == ["changed", "kept"] and merged.count() == 4000
+            plan = merged._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        lines = plan.splitlines()
+        scan = next(i for i, line in enumerate(lines) if name in line)
+        join = max(i for i, line in enumerate(lines[:scan]) if "SortMergeJoin" in line)
+        assert "Bucketed: true" in lines[scan] and not any("Exchange" in line for line in lines[join:scan])
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_rules_are_counted_during_the_one_write(spark, scratch):
+    """Counts of the write equal a count of the tagged rows, and no source is
+    read again for them or for what follows."""
+    path = os.path.join(scratch, "bronze")
+    rows = [(f"T{i % 90}", None if i % 7 == 0 else "run", None if i % 5 == 0 else "NO", "bad" if i % 11 == 0 else "2024-01-01 08:00:00") for i in range(100)]
+    spark.createDataFrame(rows, BRONZE_SCHEMAS["teams"]).write.parquet(path)
+    plain = teams_batch(spark.read.parquet(path))
+    want = {r.dq_reason: r["count"] for r in plain.tagged.rejected().groupBy("dq_reason").count().collect()}
+    counts = {}
+    with staging(spark) as stage:
+        batch = teams_batch(spark.read.parquet(path), through=staged_counts(stage, counts))
+        assert counts == {"teams": {"rows": 100, **want}}
+        for df in (batch.accepted, batch.tagged.rejected()):
+            assert path not in df._jdf.queryExecution().optimizedPlan().toString() and path not in str(df.inputFiles())
+        assert sorted(map(str, batch.accepted.collect())) == sorted(map(str, plain.accepted.collect()))
+        assert sorted(map(str, batch.tagged.rejected().collect())) == sorted(map(str, plain.tagged.rejected().collect()))

@@ -8,7 +8,19 @@ from pyspark.sql import functions as F
 
 from refinery.operators.history import ACTIVE, CHANGE, HASH, VALID_FROM, VALID_TO, change_set, scd1_merge, splice_changes, splice_versions
 from refinery.operators.timeline import SLICES, carried, time_slices, with_next
-from refinery.plans.marts import maintain_trend, member_asof, member_at_response, monthly_trend, trend_deltas, trend_grain
+from refinery.plans.marts import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    daily_sketches,
+    maintain_trend,
+    member_asof,
+    member_at_response,
+    monthly_trend,
+    read_sketches,
+    rollup_sketches,
+    trend_deltas,
+    trend_grain,
+)
 
 DAY0 = dt.datetime(2024, 1, 1)
 VERSION = f"k string, v string, {HASH} string, {ACTIVE} boolean, {VALID_FROM} timestamp, {VALID_TO} timestamp"
@@ -156,3 +168,26 @@ def test_trend_is_kept_up_by_changes(spark):
         rsvps, events = merged.drop(CHANGE), after
         assert sorted(map(str, trend.select(*sorted(trend.columns)).collect())) == sorted(
             map(str, (monthly_trend(rsvps, events).select(*sorted(trend.columns))).collect())), step
+
+
+def test_sketches_roll_up_without_members(spark):
+    """Days to months to years, within the stated errors of exact counts."""
+    rng = random.Random(11)
+    rows = [(f"e{rng.randrange(30)}", f"m{rng.randrange(9000)}", DAY0 + dt.timedelta(days=rng.randrange(700))) for _ in range(30000)]
+    rsvps = spark.createDataFrame(rows, "event_id string, membership_id string, responded_at timestamp").withColumn(
+        "responded_at_datekey", F.date_format("responded_at", "yyyyMMdd").cast("int"))
+    events = spark.createDataFrame([(f"e{i}", "AB"[i % 2], DAY0 + dt.timedelta(days=30 * i)) for i in range(30)], "event_id string, team_id string, event_start timestamp")
+    daily = daily_sketches(rsvps, events)
+    assert set(daily.columns) == {"team_id", "datekey", "rsvps", "members", "ahead"}
+    months = rollup_sketches(daily, F.floor(F.col("datekey") / 100).cast("int"), "datekey")
+    got = {(r.team_id, r.year): r for r in read_sketches(rollup_sketches(months, F.floor(F.col("datekey") / 100).cast("int"), "year"), 0.25).collect()}
+    team, begin = {f"e{i}": "AB"[i % 2] for i in range(30)}, {f"e{i}": DAY0 + dt.timedelta(days=30 * i) for i in range(30)}
+    exact = {}
+    for e, m, at in rows:
+        exact.setdefault((team[e], at.year), []).append((m, (begin[e].date() - at.date()).days))
+    assert set(got) == set(exact)
+    for k, found in exact.items():
+        members, ahead, n = {m for m, _ in found}, sorted(a for _, a in found), len(found)
+        assert got[k].rsvps == n and abs(got[k].members - len(members)) <= DISTINCT_ERROR * len(members)
+        below, upto = sum(a < got[k].ahead for a in ahead), sum(a <= got[k].ahead for a in ahead)
+        assert below - RANK_ERROR * n <= 0.25 * n <= upto + RANK_ERROR * n
