@@ -263,6 +263,8 @@ def splice_changes(target: DataFrame, incoming: DataFrame, keys: list[str], depa
     late one may fall between the two.  Incoming rows without a key or a
     ``valid_from`` have no place and are left out.
 
+    ``target`` is read three times, so it should be a stored table, not the
+    plan of an earlier splice (chained plans take very long to optimise).
     Only the stored versions of keys with something to add are read again (a
     semi-join); the time order comes from :mod:`refinery.operators.timeline`,
     which cuts the versions of a hot key by time.

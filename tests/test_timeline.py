@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,6 +61,13 @@ def test_next_and_carried_across_slices(spark, rows):
     assert {r.i: r.c for r in carried(df, ["k"], "at", ["i"], F.col("v"), "c", rows, greatest=True).collect()} == most
 
 
+def stored(spark, scratch, df):
+    """A table between two steps, as it is on disk."""
+    path = f"{scratch}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def versions(spark, rows):
     return spark.createDataFrame([(k, v, v, True, day(t), None) for k, t, v in rows], VERSION)
 
@@ -90,21 +98,18 @@ def test_any_order_of_arrival_gives_the_same_history(spark, scratch, seed):
     rng = random.Random(seed)
     seen = [(f"k{rng.randrange(6)}", rng.randrange(15), rng.choice("ABC")) for _ in range(45)]
     want = by_text(history_of(seen))
-    for turn in range(2):
+    for _ in range(2):
         rng.shuffle(seen)
         table = versions(spark, [])
         for i in range(0, len(seen), 15):
-            table = splice_versions(table, versions(spark, seen[i : i + 15]), ["k"], slice_rows=4)
-            path = f"{scratch}/{seed}-{turn}-{i}"
-            table.write.parquet(path)
-            table = spark.read.parquet(path)
+            table = stored(spark, scratch, splice_versions(table, versions(spark, seen[i : i + 15]), ["k"], slice_rows=4))
         assert by_text((r.k, r.v, r[ACTIVE], r[VALID_FROM], r[VALID_TO]) for r in table.collect()) == want
     # what is stored already changes nothing
     assert splice_changes(table, versions(spark, seen), ["k"]).count() == 0
 
 
-def test_a_late_version_goes_between_its_neighbours(spark):
-    table = splice_versions(versions(spark, []), versions(spark, [("a", 1, "x"), ("a", 9, "z"), ("b", 2, "x")]), ["k"])
+def test_a_late_version_goes_between_its_neighbours(spark, scratch):
+    table = stored(spark, scratch, splice_versions(versions(spark, []), versions(spark, [("a", 1, "x"), ("a", 9, "z"), ("b", 2, "x")]), ["k"]))
     changes = splice_changes(table, versions(spark, [("a", 5, "y"), ("c", 3, "w")]), ["k"])
     got = sorted((r.k, r.v, r[ACTIVE], r[VALID_FROM], r[VALID_TO], r[CHANGE]) for r in changes.collect())
     assert got == [("a", "x", False, day(1), day(5), "recut"), ("a", "y", False, day(5), day(9), "new"), ("c", "w", True, day(3), None, "new")]
@@ -113,13 +118,13 @@ def test_a_late_version_goes_between_its_neighbours(spark):
     assert splice_changes(table, odd, ["k"]).count() == 0
 
 
-def test_departures_end_what_was_valid_then(spark):
-    table = splice_versions(versions(spark, []), versions(spark, [("a", 1, "x"), ("b", 1, "x"), ("b", 8, "y")]), ["k"])
+def test_departures_end_what_was_valid_then(spark, scratch):
+    table = stored(spark, scratch, splice_versions(versions(spark, []), versions(spark, [("a", 1, "x"), ("b", 1, "x"), ("b", 8, "y")]), ["k"]))
     gone = spark.createDataFrame([("a", day(6)), ("b", day(6)), ("z", day(6))], f"k string, {VALID_TO} timestamp")
-    table = splice_versions(table, versions(spark, []), ["k"], gone)
+    table = stored(spark, scratch, splice_versions(table, versions(spark, []), ["k"], gone))
     assert by_text(table_rows(table)) == by_text([("a", "x", False, day(1), day(6)), ("b", "x", False, day(1), day(6)), ("b", "y", True, day(8), None)])
     # late versions keep the end: one before it ends there, one after it is active
-    table = splice_versions(table, versions(spark, [("a", 3, "l"), ("a", 7, "m")]), ["k"])
+    table = stored(spark, scratch, splice_versions(table, versions(spark, [("a", 3, "l"), ("a", 7, "m")]), ["k"]))
     assert by_text(r for r in table_rows(table) if r[0] == "a") == by_text(
         [("a", "x", False, day(1), day(3)), ("a", "l", False, day(3), day(6)), ("a", "m", True, day(7), None)])
 
