@@ -119,6 +119,7 @@ def test_containing_area_matches_brute_force(spark):
     }
     points = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(400)]
     points += [(rng.uniform(10, 50), rng.uniform(0, 40)) for _ in range(400)] + [(rng.uniform(-30, 42), rng.choice([-1, 1]) * rng.uniform(160, 180)) for _ in range(400)]
+    points += [(rng.uniform(19, 41), rng.choice([rng.uniform(177, 180), rng.uniform(-180, -178.5)])) for _ in range(200)]
     points += [(40 + rng.uniform(-0.0005, 0.002), 40 + rng.uniform(-0.0005, 0.0015)) for _ in range(200)]
     points += [(float(y), float(x)) for x in range(58, 82) for y in range(-11, 13)] + [(30.0, 20.0), (0.0, 180.0), (0.0, -180.0), (90.0, 0.0), (-90.0, 0.0)]
     odd = [(None, 1.0), (1.0, None), (float("nan"), 1.0), (1.0, float("inf")), (91.0, 0.0)]
