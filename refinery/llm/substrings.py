@@ -2,27 +2,33 @@
 
 A window is ``min_words`` consecutive words.  A window whose word sequence
 also starts in a document of smaller id is repeated, and every word it covers
-is removed.  The search goes up in lengths: windows of half the length first,
-and only those repeated there are extended to twice the length.
-
-First level without touching every window: of the half-length windows inside
-each full window only the one of least hash is kept (all on a tie).  Equal
-full windows keep equal halves, so no repeat is lost, and about one window in
-13 is compared.  A half whose hash occurs in one document only ends there;
-documents of the others are read again and only full windows over a surviving
-half are hashed and compared, by their smallest document id.
-
-Plan on Spark: both comparisons are ``groupBy(hash).agg(min, max)``, combined
-map-side, so a passage that a third of all documents share is one row per
-task; survivors are written and joined back on the hash, where Spark splits
-skewed partitions.  What returns to a document is a set of hashes bounded by
-its own length.  Nothing is compared pairwise and no group of documents is
-ever gathered.
+is removed.  The search goes up in lengths, each twice the one before (13, 25
+and 50 words): a window repeated at one length alone is extended to the next,
+until no candidate survives or the length is reached.
+
+Short levels without touching every window: of the windows of a level's length
+inside each full window only the one of least hash is compared.  Equal full
+windows have equal least ones at every level, so no repeat is lost, and about
+one window in 19 is compared at the first level.  A full window goes on to the
+next level only if its least window of this one occurs in several documents;
+the documents of those that pass all short levels are read again, and only
+full windows over a survivor are hashed and compared, by their smallest
+document id.
+
+Plan on Spark: one pass over the texts finds each document's distinct rows of
+least hashes, a number per short level.  A level is ``groupBy(hash).agg(min,
+max)``, combined map-side, so a passage that a third of all documents share is
+one row per task; survivors are written and the rows joined to them on the
+hash, where Spark splits skewed partitions.  What returns to a document is a
+set of hashes bounded by its own length.  Nothing is compared pairwise and no
+group of documents is ever gathered.
 
 Words are hashed to 64 bits and windows to 64 + 32 bits by two polynomials
-over them; windows of different words are taken for equal only if all agree.
+over them; windows are compared by both, and found again in their document by
+the first, so different windows are taken for one only if 64 bits agree.
 
-Defined cases: a null text has no words; documents shorter than ``min_words``
+Defined cases: a null text has no words; a text of any length is read whole, a
+batch of its own if it is long; documents shorter than ``min_words``
 are kept whole; rows of one id never remove each other's words (no id is
 smaller), each row is judged on its own text; a row with a null id removes
 nothing and loses nothing; an empty table gives an empty result; columns this
@@ -41,6 +47,7 @@ from pyspark.sql import functions as F
 from refinery.llm.scratch import Scratch, parts, ship, without
 
 MIN_WORDS = 50
+FIRST = 13
 CACHE_WORDS = 300_000
 # Odd bases of the two polynomials and the 64-bit finisher.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -108,60 +115,71 @@ def _sliding(a: np.ndarray, width: int, best) -> np.ndarray:
     return best(a[: len(a) - rest], a[rest:]) if rest else a
 
 
-def _starts(bounds: np.ndarray, length: int, n: int) -> np.ndarray:
-    """Which starts have a whole window of ``length`` words in their text."""
-    ok = np.zeros(n + 1, np.int32)
-    last = np.maximum(bounds[:-1], bounds[1:] - length + 1)
-    np.add.at(ok, bounds[:-1], 1)
-    np.add.at(ok, last, -1)
-    return np.cumsum(ok[:-1]) > 0
+def level_lengths(length: int, first: int = FIRST) -> list[int]:
+    """Window lengths of the levels: doubled (rounded up) to ``length``, from
+    ``first`` words or less; one short level at least."""
+    out = [length]
+    while out[0] > first or len(out) == 1:
+        out.insert(0, -(-out[0] // 2))
+    return out
 
 
-def least_halves(words: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Half-length hashes, each full window's least one, and which starts
-    have a full window."""
-    half = -(-length // 2)
-    halves = window_hashes(words, half)
-    whole = _starts(bounds, length, len(words))[: max(0, len(words) - length + 1)]
-    least = _sliding(halves, length - half + 1, np.minimum) if len(whole) else np.zeros(0, np.uint64)
-    return halves, least, whole
+def least_windows(words: np.ndarray, width: int, length: int) -> np.ndarray:
+    """By the start of each full window of ``length`` words: the least hash of
+    the windows of ``width`` words in it."""
+    if len(words) < length:
+        return np.zeros(0, np.uint64)
+    return _sliding(window_hashes(words, width), length - width + 1, np.minimum)
 
 
-def describe(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
+def describe(docs: DataFrame, doc_id: str, text: str, length: int, first: int = FIRST) -> DataFrame:
     """``doc_id``, ``n_words``, ``sha256`` (of the words, space-joined) and
-    ``halves`` (the distinct least half-window hashes) of every document."""
+    ``least`` (the distinct rows of least hashes, ``k0`` and so on by short
+    level) of every document."""
     ship(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
+    widths = level_lengths(length, first)[:-1]
+    names = [f"k{i}" for i in range(len(widths))]
 
     def run(batches):
         for batch in parts(batches, 1, done=forget_words):
             texts = [split_words(t) for t in batch.column(1).to_pylist()]
             words, bounds = hash_words(texts)
-            _, least, whole = least_halves(words, bounds, length)
-            least = least.view(np.int64)
+            every = np.stack([least_windows(words, w, length).view(np.int64) for w in widths])
+            moves = np.ones(every.shape[1], bool)
+            moves[1:] = (every[:, 1:] != every[:, :-1]).any(0)
             found = []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                found.append(np.unique(least[a : b - length + 1]) if b - a >= length else least[:0])
-            offsets = pa.array(np.cumsum([0] + [len(f) for f in found]), pa.int32())
-            halves = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found) if found else least[:0], pa.int64()))
+                own = slice(a, max(a, b - length + 1))
+                rows = every[:, own]
+                rows = rows[:, moves[own] | (np.arange(rows.shape[1]) == 0)]
+                rows = rows[:, np.lexsort(rows)]
+                fresh = np.ones(rows.shape[1], bool)
+                fresh[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)
+                found.append(rows[:, fresh])
+            offsets = pa.array(np.cumsum([0] + [f.shape[1] for f in found]), pa.int32())
+            flat = np.concatenate(found, 1) if found else every[:, :0]
+            least = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(f) for f in flat], names))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(t) for t in texts], pa.int64()),
-                 pa.array([hashlib.sha256(b" ".join(t)).hexdigest() for t in texts]), halves],
-                ["doc_id", "n_words", "sha256", "halves"])
+                 pa.array([hashlib.sha256(b" ".join(t)).hexdigest() for t in texts]), least],
+                ["doc_id", "n_words", "sha256", "least"])
 
-    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(run, f"doc_id {kind}, n_words long, sha256 string, halves array<long>")
+    fields = ",".join(f"{n}:bigint" for n in names)
+    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(run, f"doc_id {kind}, n_words long, sha256 string, least array<struct<{fields}>>")
 
 
-def _windows(rows: DataFrame, length: int) -> DataFrame:
-    """Full windows over surviving halves: ``doc_id`` and arrays ``h``, ``g``
-    (the hashes) and ``free`` (no smaller document holds the half)."""
+def _windows(rows: DataFrame, width: int, length: int) -> DataFrame:
+    """Full windows over survivors of the last short level (of ``width``
+    words): ``doc_id`` and arrays ``h``, ``g`` (the hashes) and ``free`` (no
+    smaller document holds that survivor)."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in parts(batches, 1, done=forget_words):
             texts = [split_words(t) for t in batch.column(1).to_pylist()]
             words, bounds = hash_words(texts)
-            _, least, whole = least_halves(words, bounds, length)
+            least = least_windows(words, width, length)
             h, g = window_hashes(words, length), window_hashes(words, length, 1)
             least, h, g = least.view(np.int64), h.view(np.int64), g.astype(np.uint32).view(np.int32)
             out = []
@@ -188,22 +206,25 @@ def _repeated(rows: DataFrame, by: list[str]) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, described: DataFrame, doc_id: str, text: str, length: int,
-                     scratch: Scratch) -> tuple[DataFrame, DataFrame] | None:
-    """The documents that hold a repeated half (``doc_id``, ``text``), and by
-    ``doc_id`` the hashes ``gone`` of the windows to remove; None when no
-    candidate survives the first level."""
-    halves = described.where(F.col("doc_id").isNotNull()).select("doc_id", F.explode("halves").alias("half"))
-    shared = scratch.put(_repeated(halves, ["half"]), "halves")
-    if shared.isEmpty():
-        return None
-    live = (
-        halves.join(shared, F.col("half") == F.col("__half"))
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.collect_set("half").alias("live"), F.collect_set(F.when(F.col("__first") == F.col("doc_id"), F.col("half"))).alias("own"))
-    )
+                     scratch: Scratch, first: int = FIRST) -> tuple[DataFrame, DataFrame] | None:
+    """The documents that hold a candidate of the last level (``doc_id``,
+    ``text``), and by ``doc_id`` the hashes ``gone`` of the windows to remove;
+    None when no candidate survives a short level."""
+    widths = level_lengths(length, first)[:-1]
+    rows = described.where(F.col("doc_id").isNotNull()).select("doc_id", F.inline("least"))
+    for i in range(len(widths)):
+        shared = scratch.put(_repeated(rows, [f"k{i}"]), f"level{i}")
+        if shared.isEmpty():
+            return None
+        rows = rows.join(shared, F.col(f"k{i}") == F.col(f"__k{i}"))
+        if i + 1 < len(widths):  # what survives is extended to the next length
+            rows = scratch.put(rows.select("doc_id", *[f"k{j}" for j in range(i + 1, len(widths))]), f"rows{i}")
+    last = f"k{len(widths) - 1}"
+    live = rows.groupBy(F.col("doc_id").alias("__id")).agg(
+        F.collect_set(last).alias("live"), F.collect_set(F.when(F.col("__first") == F.col("doc_id"), F.col(last))).alias("own"))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     matched = scratch.put(texts.join(live, F.col("doc_id") == F.col("__id")).drop("__id"), "matched")
-    windows = scratch.put(_windows(matched, length), "windows")
+    windows = scratch.put(_windows(matched, widths[-1], length), "windows")
     each = windows.select("doc_id", F.explode(F.arrays_zip("h", "g", "free")).alias("w")).select("doc_id", "w.h", "w.g", "w.free")
     twice = scratch.put(_repeated(each, ["h", "g"]), "repeated")
     gone = (
@@ -213,7 +234,7 @@ def repeated_windows(docs: DataFrame, described: DataFrame, doc_id: str, text: s
         .agg(F.collect_set("h").alias("gone"))
     )
     gone = scratch.put(gone, "gone")
-    scratch.drop("halves", "windows", "repeated")
+    scratch.drop("windows", "repeated", *[f"{n}{i}" for i in range(len(widths)) for n in ("level", "rows")])
     return matched, gone
 
 
@@ -233,12 +254,13 @@ def _kept(words: list[bytes], gone, length: int) -> list[bytes]:
     return [w for w, k in zip(words, keep.tolist()) if k]
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
+                   first: int = FIRST) -> DataFrame:
     """``docs`` whose ``text`` lost its repeated windows (a changed text is its
     kept words joined by one space), plus ``n_words`` and ``n_removed``."""
     scratch = Scratch(docs.sparkSession, "substrings")
-    described = scratch.put(describe(docs, doc_id, text, min_words), "described")
-    found = repeated_windows(docs, described, doc_id, text, min_words, scratch)
+    described = scratch.put(describe(docs, doc_id, text, min_words, first), "described")
+    found = repeated_windows(docs, described, doc_id, text, min_words, scratch, first)
     columns = without(docs.columns, ("n_words", "n_removed"))
     gone = found[1] if found else docs.sparkSession.createDataFrame([], f"__id {docs.schema[doc_id].dataType.simpleString()}, gone array<long>")
     joined = docs.select(*columns).join(gone, F.col(doc_id) == F.col("__id"), "left").drop("__id")
@@ -259,12 +281,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return joined.mapInArrow(run, ", ".join([*fields, "n_words long, n_removed long"]))
 
 
-def removal_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def removal_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
+                    first: int = FIRST) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and ``kept_sha256`` of what
     :func:`remove_repeats` keeps; only texts that lose words move again."""
     scratch = Scratch(docs.sparkSession, "substrings")
-    described = scratch.put(describe(docs, doc_id, text, min_words), "described")
-    found = repeated_windows(docs, described, doc_id, text, min_words, scratch)
+    described = scratch.put(describe(docs, doc_id, text, min_words, first), "described")
+    found = repeated_windows(docs, described, doc_id, text, min_words, scratch, first)
     whole = described.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha256").alias("kept_sha256"))
     if found is None:
         return whole

@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from frames import documents, many
+from frames import documents, many, prose
 from pyspark.sql import functions as F
 
 from refinery.llm import decontaminate, near_dups, substrings
@@ -37,19 +37,43 @@ def removed(rows, n):
     return out
 
 
-@pytest.mark.parametrize("n", [50, 7])
-def test_substrings(spark, n):
+def test_lengths_double_from_level_to_level():
+    assert substrings.level_lengths(50) == [13, 25, 50]
+    assert substrings.level_lengths(50, 4) == [4, 7, 13, 25, 50]
+    assert substrings.level_lengths(7) == [4, 7] and substrings.level_lengths(1) == [1, 1]
+
+
+@pytest.mark.parametrize("n,first", [(50, substrings.FIRST), (50, 4), (50, 25), (7, substrings.FIRST), (20, 3)])
+def test_substrings(spark, n, first):
     for df in (documents(spark), many(spark)):
         rows = [(r["doc_id"], r["text"]) for r in df.collect()]
         want = sorted(((i, a, b, hashlib.sha256(" ".join(k).encode()).hexdigest()) for i, a, b, k in removed(rows, n)), key=str)
-        got = sorted((tuple(r) for r in substrings.removal_digests(df, min_words=n).collect()), key=str)
+        got = sorted((tuple(r) for r in substrings.removal_digests(df, min_words=n, first=first).collect()), key=str)
         assert got == want
-        full = substrings.remove_repeats(df, min_words=n)
+        full = substrings.remove_repeats(df, min_words=n, first=first)
         texts = sorted(((r["doc_id"], r["n_words"], r["n_removed"], split(r["text"])) for r in full.collect()), key=str)
         assert texts == sorted(removed(rows, n), key=str)
         assert set(df.columns) <= set(full.columns)
 
 
+def test_candidates_fall_from_level_to_level(spark):
+    """A passage shared at 13 words only ends at the second level, one shared
+    at 25 only at the last: each level has fewer rows than the one before."""
+    docs = [(i, f"{prose(900 + i, 60)} {prose(1, 16)} {prose(950 + i, 60)} {prose(2, 30) if i % 2 else prose(970 + i, 30)} {prose(990 + i, 30)}") for i in range(40)]
+    docs += [(i, prose(3, 60)) for i in (100, 101)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = substrings.describe(df, "doc_id", "text", 50, 4).select("doc_id", F.inline("least"))
+    left = []
+    for i in range(4):
+        shared = rows.groupBy(f"k{i}").agg(F.count_distinct("doc_id").alias("n")).where("n > 1").select(f"k{i}")
+        rows = rows.join(shared, f"k{i}").persist()
+        left.append(rows.count())
+    assert left[0] > left[2] > left[3] > 0
+    assert rows.select("doc_id").distinct().count() <= 22
+    got = {r["doc_id"]: r["n_removed"] for r in substrings.removal_digests(df, first=4).collect()}
+    assert {i for i, n in got.items() if n} == {101} and got[101] == 60
+
+
 def test_substrings_of_nothing(spark):
     df = documents(spark)
     assert substrings.removal_digests(df.limit(0)).count() == 0
