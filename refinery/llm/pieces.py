@@ -179,8 +179,10 @@ class PieceModel:
             kept[at + 1] = False
             place = np.cumsum(kept) - 1
             sym, seg, pos, made = sym[kept], seg[kept], pos[kept], made[kept]
-            fresh = place[at]
-            fresh = np.unique(np.concatenate([fresh, fresh[fresh > 0] - 1]))
+            near = np.zeros(len(sym), bool)
+            near[place[at]] = True
+            near[:-1] |= near[1:]
+            fresh = np.flatnonzero(near)
             nxt = np.minimum(fresh + 1, len(sym) - 1)
             inside = (fresh + 1 < len(sym)) & (seg[nxt] == seg[fresh])
             made[fresh] = np.where(inside, self.merged(sym[fresh], sym[nxt]), -1)
