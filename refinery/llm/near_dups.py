@@ -59,6 +59,7 @@ TREES = 8
 FUNCTIONS = 64
 SMALL = 40
 DENSE = 2048
+CLOUD_BYTES = 16 << 20
 DENSE_FROM = 2
 DEPTH = 10
 BLOCK = 1024
@@ -232,13 +233,15 @@ def spanning_links(reps: np.ndarray, asks: np.ndarray, texts: list, shingle: int
 def _clouds(rows: DataFrame, labels: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links inside clouds, rows (key, rep): every class outside its cloud's
     largest component against all classes, on full sets; clouds of more than
-    ``DENSE`` classes in pairs of blocks."""
+    ``DENSE`` classes or ``CLOUD_BYTES`` of text in pairs of blocks."""
     kind = rows.schema["rep"].dataType.simpleString()
-    rows = rows.join(labels, "rep")
-    size = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    largest = size.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("k"))
+    rows = rows.join(labels, "rep").join(texts.select("rep", F.octet_length("text").cast("long").alias("bytes")), "rep")
+    size = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("bytes").alias("bytes"))
+    largest = size.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("n"), F.sum("bytes").alias("all_bytes"),
+                                      F.count(F.lit(1)).alias("k"))
     rows = rows.join(largest.where("k > 1"), "key")
-    blocks = F.when(F.col("n") <= DENSE, F.lit(1)).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int")
+    by_number = F.when(F.col("n") <= DENSE, F.lit(1)).otherwise(F.ceil(F.col("n") / BLOCK))
+    blocks = F.greatest(by_number, F.ceil(F.col("all_bytes") / CLOUD_BYTES)).cast("int")
     rows = rows.select("key", "rep", (F.col("label") != F.col("main")).alias("asks"), blocks.alias("blocks"),
                        F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("mine"))
     # Block x asks block y: a class goes to its own row of pairs as asker and to its column as asked.

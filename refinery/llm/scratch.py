@@ -125,10 +125,11 @@ class Scratch:
         at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
     def put(self, df: DataFrame, name: str, few: bool = False) -> DataFrame:
-        """``few``: a narrow table after a shuffle, written by no more tasks
-        than twice the session's cores, to spare later jobs tiny files."""
+        """``few``: a narrow table after a shuffle, rebalanced before it is
+        written, so that AQE's partition size and not the shuffle before it
+        decides on the files, and later jobs are spared tiny ones."""
         if few:
-            df = df.coalesce(2 * self.spark.sparkContext.defaultParallelism)
+            df = df.hint("rebalance")
         path = f"{self.root}/{name}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -104,9 +104,11 @@ def linked(rows, percent):
     return {i: root(i) for i in ids}, sets
 
 
-@pytest.mark.parametrize("percent,small,dense", [(85, near_dups.SMALL, near_dups.DENSE), (85, 3, 20), (60, 2, 8)])
-def test_near_duplicates(spark, monkeypatch, percent, small, dense):
-    """With small bounds, nodes branch, become clouds, and end in blocks."""
+@pytest.mark.parametrize("percent,small,dense,cloud", [(85, near_dups.SMALL, near_dups.DENSE, near_dups.CLOUD_BYTES), (85, 3, 20, 1 << 20), (60, 2, 8, 1 << 20), (85, 3, 200, 6000)])
+def test_near_duplicates(spark, monkeypatch, percent, small, dense, cloud):
+    """With small bounds, nodes branch, become clouds, and end in blocks, by
+    their number or by their bytes."""
+    monkeypatch.setattr(near_dups, "CLOUD_BYTES", cloud)
     monkeypatch.setattr(near_dups, "SMALL", small)
     monkeypatch.setattr(near_dups, "DENSE", dense)
     monkeypatch.setattr(near_dups, "DENSE_FROM", 2)
