@@ -8,7 +8,7 @@ writes every stage's result to the shared folder and reads it again.
    is filled with the prediction.
 2. line dedup: lines on more than a tenth of a source's documents go.
 3. near-dedup: one document (the smallest id) of each near-duplicate group
-   stays: five-word shingles, similarity 0.8 or more.
+   stays, and one row of each id: five-word shingles, similarity 0.8 or more.
 4. decontamination: documents mostly made of benchmark text go, from others
    the benchmark spans go.
 5. packing: what is left is tokenised and packed into 4096-token sequences.
@@ -52,7 +52,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     dropped = components(docs, percent=NEAR_PERCENT).where(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(dropped, F.col("doc_id") == F.col("__gone"), "left_anti")
+    left = docs.join(dropped, F.col("doc_id") == F.col("__gone"), "left_anti")
+    # Rows of one id are one document: the one of least text stays (a null id is no id).
+    several = docs.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__several")).count().where("count > 1").select("__several")
+    of = F.col("doc_id") == F.col("__several")
+    one = F.min_by(F.struct(*docs.columns), F.struct("text", "source", "lang")).alias("__row")
+    single = left.join(several, of, "left_semi").groupBy(F.col("doc_id").alias("__id")).agg(one).select("__row.*")
+    return left.join(several, of, "left_anti").unionByName(single)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -106,6 +106,15 @@ def test_own_columns_come_through_the_stages(spark, tmp_path):
         assert got <= {tuple(r) for r in docs.select(*own).collect()} and len(got) > 50
 
 
+def test_one_row_of_each_id_stays(spark, tmp_path):
+    rows = [(1, "one two three four five six", "aa", "s"), (1, "one two three four five six", "aa", "s"), (2, "b " * 9, "aa", "s"), (2, "a " * 9, None, "s"),
+            (3, "c d e f g h i", "aa", "s"), (None, "x y z", "aa", "s"), (None, "x y z", "aa", "s"), (4, None, "aa", "s"), (4, None, "aa", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    got = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [rows[0], rows[3], rows[4], rows[5], rows[6], rows[7]]))
+
+
 def test_stages_return_the_columns_of_documents(spark, tmp_path):
     rows, items = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
