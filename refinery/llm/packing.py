@@ -42,8 +42,8 @@ from refinery.llm.scratch import Scratch, gathered, parts, ship, without
 CAPACITY = 4096
 END_ID = 1
 BUCKET_ROWS = 50_000
-CACHE_WORDS = 300_000
-PART_BYTES = 12 << 20
+CACHE_BYTES = 48 << 20
+PART_BYTES = 6 << 20
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -58,6 +58,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {"": b""}
+        self.held = 0  # bytes of the cache, about
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -77,10 +78,12 @@ class WordEncoder:
             if len(ends) == len(letters):
                 raw = ids.tobytes()
                 self.cache.update(zip(letters, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+                self.held += sum(map(len, letters)) + len(raw) + 200 * len(letters)
             else:
                 odd += letters
         for w in odd + others:
             self.cache[w] = self._plain(w)
+            self.held += len(w) + len(self.cache[w]) + 200
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (little-endian uint32) and each text's first place."""
@@ -88,8 +91,8 @@ class WordEncoder:
         texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {"": b""}
+        if self.held > CACHE_BYTES:
+            self.cache, self.held = {"": b""}, 0
         cache, heads, tails, letters, others = self.cache, [], [], set(), set()
         for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist():
             # What follows a word's last letter as ASCII punctuation is a pretoken of its own.
