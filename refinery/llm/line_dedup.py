@@ -15,7 +15,7 @@ splits the skewed partitions of a sort-merge join), and the lines are
 filtered in place.  Texts are never regrouped.
 
 Defined cases: a null text stays null with no lines; an empty text has one
-blank line; blank lines are never counted or dropped; a null host is a host
+blank line; a text of any length is taken whole; blank lines are never counted or dropped; a null host is a host
 of its own; copies of a page are pages of their own, ids are not used;
 ``n_lines`` and ``n_removed`` replace input columns of these names.  Two
 lines of one host are taken for one only when their 64-bit hashes collide.

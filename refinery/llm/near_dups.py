@@ -37,7 +37,7 @@ with pointer jumping on written tables; no links or labels reach the driver,
 only counts.
 
 Defined cases: a text without words (or null) has an empty set and is linked
-with nothing; fewer words than ``shingle`` are one shingle, all of them; rows
+with nothing; a text of any length is taken whole; fewer words than ``shingle`` are one shingle, all of them; rows
 of one id are one document (its rows' links all count); a row with a null id
 is linked with nothing, has a null component and is kept; an empty table
 gives an empty result; added columns replace input columns of their names.

@@ -5,8 +5,9 @@ for all rows; a bucket whose rows hold more than ``max_bytes`` is split on
 the next bit, and only such buckets are, until every bucket fits.  A bucket
 is thus named by a bit prefix, and prefixes of the directory are disjoint.
 
-Plan: the narrow columns (key hash, salt, bytes) are written once.  Then in
-rounds of ``step`` bits: open rows are summed per ``step``-bit cell (partial
+Plan: the columns given are written once with the key hash, place and bytes of
+each row (give narrow ones and join the shard ids back where texts are large).
+Then in rounds of ``step`` bits: open rows are summed per ``step``-bit cell (partial
 aggregation, at most 2^step cells per open bucket), each cell's sum is rolled
 up to its ancestors, and a cell takes the shortest prefix that fits.  Rows in
 cells that fit no prefix go to the next round, ``step`` bits deeper; all
@@ -21,7 +22,7 @@ hash of the row's place that was written with it, so the salt is the same
 after any retry.
 
 Defined cases: a null key hashes as the empty string; a null text has 0
-bytes (a null size is 0); a row larger than ``max_bytes`` on its own can fit no bucket and gets
+bytes (a null size is 0), a very long one its whole length; a row larger than ``max_bytes`` on its own can fit no bucket and gets
 a shard to itself, named ``big-<place>``; ``shard_id``, ``shard_depth`` and
 ``shard_row_bytes`` replace input columns of these names.
 """
