@@ -125,11 +125,14 @@ class Scratch:
         at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
     def put(self, df: DataFrame, name: str, few: bool = False) -> DataFrame:
-        """``few``: a narrow table after a shuffle, rebalanced before it is
-        written, so that AQE's partition size and not the shuffle before it
-        decides on the files, and later jobs are spared tiny ones."""
+        """``few``: a narrow table after a shuffle, written by few tasks to
+        spare later jobs tiny files: an eighth of the shuffle partitions, or
+        twice the session's cores if that is more.  The rebalance before keeps
+        what comes before it at its own number of tasks."""
         if few:
-            df = df.hint("rebalance")
+            spark = self.spark
+            tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+            df = df.hint("rebalance").coalesce(tasks)
         path = f"{self.root}/{name}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
