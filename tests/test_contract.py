@@ -59,11 +59,12 @@ def test_oracle_columns_match_spark_columns(spark):
 
 
 def test_staging_cuts_lineage_and_leaves_nothing(spark):
+    folder = os.path.join(checkpoint_root(spark).removeprefix("file:"), "refinery-stage")
+    others = set(os.listdir(folder)) if os.path.isdir(folder) else set()  # of runs that were ended
     df = spark.range(1000).selectExpr("id", "id % 7 AS k").groupBy("k").count()
     with staging(spark) as stage:
         staged = stage(df, "counts")
         assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, df.collect()))
         # the staged frame is a plain file scan, no aggregate left in its plan
         assert "Aggregate" not in staged._jdf.queryExecution().optimizedPlan().toString()
-    folder = os.path.join(checkpoint_root(spark).removeprefix("file:"), "refinery-stage")
-    assert not os.listdir(folder)
+    assert set(os.listdir(folder)) <= others
