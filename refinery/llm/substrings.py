@@ -219,11 +219,13 @@ def repeated_windows(docs: DataFrame, described: DataFrame, doc_id: str, text: s
         rows = rows.join(shared, F.col(f"k{i}") == F.col(f"__k{i}"))
         if i + 1 < len(widths):  # what survives is extended to the next length
             rows = scratch.put(rows.select("doc_id", *[f"k{j}" for j in range(i + 1, len(widths))]), f"rows{i}")
+            scratch.drop(f"level{i}", f"rows{i - 1}")
     last = f"k{len(widths) - 1}"
     live = rows.groupBy(F.col("doc_id").alias("__id")).agg(
         F.collect_set(last).alias("live"), F.collect_set(F.when(F.col("__first") == F.col("doc_id"), F.col(last))).alias("own"))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     matched = scratch.put(texts.join(live, F.col("doc_id") == F.col("__id")).drop("__id"), "matched")
+    scratch.drop(f"level{len(widths) - 1}", f"rows{len(widths) - 2}")
     windows = scratch.put(_windows(matched, widths[-1], length), "windows")
     each = windows.select("doc_id", F.explode(F.arrays_zip("h", "g", "free")).alias("w")).select("doc_id", "w.h", "w.g", "w.free")
     twice = scratch.put(_repeated(each, ["h", "g"]), "repeated")
@@ -234,7 +236,7 @@ def repeated_windows(docs: DataFrame, described: DataFrame, doc_id: str, text: s
         .agg(F.collect_set("h").alias("gone"))
     )
     gone = scratch.put(gone, "gone")
-    scratch.drop("windows", "repeated", *[f"{n}{i}" for i in range(len(widths)) for n in ("level", "rows")])
+    scratch.drop("windows", "repeated")
     return matched, gone
 
 
