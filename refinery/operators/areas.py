@@ -29,8 +29,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.sources.tables import keyed_side
-
 LEVELS = tuple(range(0, 21, 2))
 TURN = 360.0
 
@@ -82,7 +80,8 @@ def cover(areas: DataFrame) -> DataFrame:
     lv = F.col("level")
     rows = F.sequence(_cell(F.col("y0"), lv), _cell(F.col("y1"), lv))
     columns = F.sequence(_cell(F.col("x0"), lv), _cell(F.col("x1"), lv))
-    cells = box.select(F.col("box_id").alias("area_id"), "level", F.explode(rows).alias("cy"), columns.alias("cxs")).select("area_id", "level", "cy", F.explode("cxs").alias("cx"))
+    # A row of cells stays one row until it has met its band.
+    lines = box.select(F.col("box_id").alias("area_id"), "level", F.explode(rows).alias("cy"), "x0", "x1")
 
     # Edges by band of latitudes, at most 17 each.
     e = lambda c: F.col(f"e.{c}")
@@ -96,7 +95,7 @@ def cover(areas: DataFrame) -> DataFrame:
         F.collect_list("e").alias("all"),
         F.collect_list(F.when((e("ya") > middle) != (e("yb") > middle), meeting)).alias("cuts"))
     on = ["area_id", "level", "cy"]
-    met = cells.join(bands, on, "left")
+    met = lines.join(bands, on, "left").select(*on, "all", "cuts", F.explode(columns).alias("cx"))
     left, right = F.col("cx") * side - TURN, (F.col("cx") + 1) * side - TURN
     # Cells are taken a little wider than they are, so that rounding never makes a border cell an inner one.
     slack = side * 1e-9
@@ -125,7 +124,7 @@ def containing_area(points: DataFrame, areas: DataFrame, *, latitude: str = "lat
     x = F.col("q_lon") + F.col("t")
     asked = asked.where((x >= -TURN) & (x < 2 * TURN)).select(
         "q_lat", "q_lon", "level", x.alias("x"), _cell(x, F.col("level")).alias("cx"), _cell(F.col("q_lat"), F.col("level")).alias("cy"))
-    met = asked.join(keyed_side(cover(areas)), ["level", "cx", "cy"])
+    met = asked.join(cover(areas), ["level", "cx", "cy"])
     hits = F.size(F.filter("edges", lambda n: _meets(lambda c: n[c], F.col("x"), F.col("q_lat"))))
     within = met.where(F.col("edges").isNull() | (hits % 2 == 1))
     found = within.groupBy("q_lat", "q_lon").agg(F.min("area_id").alias("area_id"))

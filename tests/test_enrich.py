@@ -3,9 +3,10 @@
 import datetime as dt
 import math
 import random
+import re
 
 from refinery.functions.geo import EARTH_RADIUS_KM
-from refinery.operators.areas import containing_area
+from refinery.operators.areas import containing_area, cover
 from refinery.operators.enrich import DEFAULT_COUNTY, DEFAULT_STATE, add_datekeys, add_geography, nearest_place
 from refinery.operators.places import candidate_pairs, distinct_places
 
@@ -148,3 +149,11 @@ def test_add_geography_by_area(spark):
     df = spark.createDataFrame([("a", 1.0, 1.0), ("b", 50.0, 50.0), ("c", None, None)], "id string, latitude double, longitude double")
     out = add_geography(df, areas=_areas(spark, {3: [[(0, 0), (2, 0), (2, 2), (0, 2)]]}))
     assert {r.id: (r.county, r.state) for r in out.collect()} == {"a": ("c3", "s3"), "b": (None, None), "c": (None, None)}
+
+
+def test_a_cover_moves_lines_of_cells(spark):
+    areas = _areas(spark, {1: [[(0, 0), (10, 0), (10, 10), (0, 10)]]})
+    plan = cover(areas)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Generate .*\[cx#", plan).start() < plan.index("Join LeftOuter"), plan
+    points = spark.createDataFrame([(5.0, 5.0)], "latitude double, longitude double")
+    assert "Rebalance" not in containing_area(points, areas)._jdf.queryExecution().optimizedPlan().toString()
