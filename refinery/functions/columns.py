@@ -25,6 +25,24 @@ def datekey(c: str | Column) -> Column:
     return F.date_format(_col(c), "yyyyMMdd").cast("int")
 
 
+# Longer than a packed digest.
+_TEXT = bytearray(33)
+
+
+def packed_digest(c: str | Column) -> Column:
+    """A SHA-256 digest in hex as its 32 bytes, half of what it takes in a
+    shuffle (hex does not compress there).  Any other text is kept behind 33
+    zero bytes, so equal means equal; :func:`unpacked_digest` undoes it."""
+    text = _col(c)
+    return F.when(text.rlike("^[0-9a-f]{64}\\z"), F.unhex(text)).when(text.isNotNull(), F.concat(F.lit(_TEXT), text.cast("binary")))
+
+
+def unpacked_digest(c: str | Column) -> Column:
+    packed = _col(c)
+    text = F.substring(packed, len(_TEXT) + 1, 2**31 - 1).cast("string")
+    return F.when(F.octet_length(packed) == 32, F.lower(F.hex(packed))).otherwise(text)
+
+
 def row_digest(columns: list[str]) -> Column:
     """SHA-256 over the text form of ``columns`` in the given order.
 

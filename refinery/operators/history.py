@@ -25,7 +25,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.functions.columns import row_digest
+from refinery.functions.columns import packed_digest, row_digest, unpacked_digest
 from refinery.operators.timeline import SLICE_ROWS, with_next
 from refinery.sources.tables import keyed_side
 
@@ -82,7 +82,13 @@ def is_active() -> Column:
 
 
 def _prefixed(df: DataFrame, prefix: str, marker: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) for c in df.columns], F.lit(True).alias(marker))
+    """One side of a merge, its digest packed for the shuffle."""
+    value = {HASH: packed_digest(HASH)}
+    return df.select(*[value.get(c, F.col(c)).alias(prefix + c) for c in df.columns], F.lit(True).alias(marker))
+
+
+def _unpacked(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: unpacked_digest(c) for c in columns if c in df.columns})
 
 
 def _on(keys: list[str], left: str, right: str) -> Column:
@@ -102,7 +108,8 @@ def changed_rows(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFr
     """Batch rows that are new or differ from the stored row (key + digest
     not in the target).  Comparing the key as well as the digest keeps a new
     key whose other values equal a stored row."""
-    return batch.join(target.select(*keys, HASH), on=[*keys, HASH], how="left_anti").select(*batch.columns)
+    packed = [df.withColumn(HASH, packed_digest(HASH)) for df in (batch, target.select(*keys, HASH))]
+    return _unpacked(packed[0].join(packed[1], on=[*keys, HASH], how="left_anti"), HASH).select(*batch.columns)
 
 
 def scd1_merge(target: DataFrame, batch: DataFrame, keys: list[str],
@@ -130,7 +137,7 @@ def scd1_merge(target: DataFrame, batch: DataFrame, keys: list[str],
     for c in cols:
         use_b = (F.col(CHANGE) == "new") if c in preserve else take_batch
         out.append(F.when(use_b, F.col("b_" + c)).otherwise(F.col("t_" + c)).alias(c))
-    return j.select(*out, CHANGE)
+    return _unpacked(j.select(*out, CHANGE), HASH)
 
 
 def apply_scd1(target: DataFrame, batch: DataFrame, keys: list[str],
@@ -172,7 +179,7 @@ def _scd2_join(target: DataFrame, accepted: DataFrame, keys: list[str],
         .when(F.col("__p").isNotNull(), F.lit("held"))
         .otherwise(F.lit("departed" if departures else "kept"))
     )
-    return j.withColumn(CHANGE, change).where(F.col(CHANGE).isNotNull()), cols
+    return _unpacked(j.withColumn(CHANGE, change).where(F.col(CHANGE).isNotNull()), "t_" + HASH, "b_" + HASH), cols
 
 
 def scd2_changes(accepted: DataFrame, target: DataFrame, keys: list[str],

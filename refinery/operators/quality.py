@@ -18,7 +18,9 @@ stays one lazy plan.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from itertools import count
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -195,12 +197,18 @@ class Predicate(Rule):
 @dataclass
 class Tagged:
     """A frame carrying ``dq_reason`` plus what is needed to cut it into the
-    accepted and rejected outputs.  ``persist`` it when both are consumed."""
+    accepted and rejected outputs.  ``persist`` it when both are consumed.
+
+    ``passed`` says the same as a missing reason, rule by rule: Spark then
+    drops rows that fail a row-local rule before the joins, and makes inner
+    joins of the foreign keys, so rejected rows do not travel on to be
+    dropped at the end.  A stored frame has only the reason."""
 
     frame: DataFrame
     columns: list[str]
     raw: dict[str, str]
     reasons: list[str] = field(default_factory=list)
+    passed: Column | None = None
 
     def observed(self, observation: Observation) -> "Tagged":
         """The same rows, which when first written or counted give
@@ -208,13 +216,14 @@ class Tagged:
         without a pass of their own."""
         frame = self.frame.select(*self.columns, *self.raw.values(), REASON).observe(
             observation, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(REASON) == r).alias(r) for r in dict.fromkeys(self.reasons)])
-        return replace(self, frame=frame)
+        return replace(self, frame=frame, passed=None)
 
     def tagged(self) -> DataFrame:
         return self.frame.select(*self.columns, REASON)
 
     def accepted(self) -> DataFrame:
-        return self.frame.where(F.col(REASON).isNull()).select(*self.columns)
+        passed = F.col(REASON).isNull() if self.passed is None else self.passed
+        return self.frame.where(passed).select(*self.columns)
 
     def rejected(self) -> DataFrame:
         return self.frame.where(F.col(REASON).isNotNull()).select(
@@ -252,7 +261,8 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> Tagged:
         )
     else:
         reason = F.lit(None).cast("string")
-    return Tagged(df.withColumn(REASON, reason), columns, raw, [r for r, _ in conditions])
+    passed = reduce(and_, [cond for _, cond in conditions]) if conditions else None
+    return Tagged(df.withColumn(REASON, reason), columns, raw, [r for r, _ in conditions], passed)
 
 
 def tag(df: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -33,6 +33,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from refinery.functions.columns import packed_digest, unpacked_digest
+
 
 def _schema(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
@@ -74,7 +76,21 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """No rows, and the planner knows it: a merge into it moves nothing."""
+    return spark.createDataFrame([], schema).where(F.lit(False))
+
+
+def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Parquet with zstd, which halves hex digests (snappy keeps their length)."""
+    df.write.mode(mode).option("compression", "zstd").parquet(path)
+
+
+def moved(df: DataFrame, move) -> DataFrame:
+    """``move(df)`` (a shuffle) with the digests packed while they travel."""
+    if "hash_key" not in df.columns:
+        return move(df)
+    out = move(df.withColumn("hash_key", packed_digest("hash_key")))
+    return out.withColumn("hash_key", unpacked_digest("hash_key"))
 
 
 MALFORMED = "malformed"
@@ -155,7 +171,7 @@ def staging(spark: SparkSession):
     root = f"{checkpoint_root(spark)}/refinery-stage/{uuid.uuid4().hex}"
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("errorifexists").parquet(f"{root}/{name}")
+        write_parquet(df, f"{root}/{name}")
         return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
     try:
@@ -211,9 +227,9 @@ class ParquetTables:
 
     def write(self, table: str, df: DataFrame, key: str, order: str | None = None) -> None:
         """Replaces the buckets that ``df`` has rows of; ``df`` may read them."""
-        out = df.withColumn("bucket", self.bucket_of(key)).hint("rebalance", F.col("bucket"))
+        out = moved(df.withColumn("bucket", self.bucket_of(key)), lambda rows: rows.hint("rebalance", F.col("bucket")))
         out = out.sortWithinPartitions("bucket", *([order] if order else []))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path(table))
+        out.write.mode("overwrite").options(partitionOverwriteMode="dynamic", compression="zstd").partitionBy("bucket").parquet(self.path(table))
 
     def read_whole(self, name: str, schema: StructType) -> DataFrame:
         """A small table without buckets (absent: no rows)."""
@@ -221,7 +237,7 @@ class ParquetTables:
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Replaces such a table by ``df``, which must not read it."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        write_parquet(df, self.path(name), "overwrite")
 
 
 def bucketed_table(df: DataFrame, name: str, key: str, path: str, buckets: int = 64, files_per_bucket: int = 4) -> DataFrame:
@@ -235,6 +251,6 @@ def bucketed_table(df: DataFrame, name: str, key: str, path: str, buckets: int =
     only the other side moves.  It suits tables that are merged whole; the
     buckets of :class:`ParquetTables` suit few changes, which replace some.
     """
-    dealt = df.repartition(buckets * files_per_bucket, key)
-    dealt.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    dealt = moved(df, lambda rows: rows.repartition(buckets * files_per_bucket, key))
+    dealt.write.mode("overwrite").format("parquet").options(path=path, compression="zstd").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     return df.sparkSession.table(name)

@@ -11,6 +11,7 @@ from refinery.operators.quality import (
     Predicate,
     Timestamps,
     UniqueKey,
+    evaluate,
     check_event_rules,
     check_membership_rules,
     check_rsvp_rules,
@@ -151,3 +152,14 @@ def test_rules_do_not_depend_on_row_or_column_order(spark):
     g2, b2 = split(df.select("v", "k").orderBy(F.desc("v")), [UniqueKey("k")])
     assertDataFrameEqual(g1, g2.select("k", "v"))
     assertDataFrameEqual(b1, b2.select("k", "v", REASON))
+
+
+def test_rows_that_fail_leave_the_accepted_ones_before_the_joins(spark):
+    parent = spark.createDataFrame([("p",)], "pk string")
+    df = spark.createDataFrame([("a", "p", 1), ("b", "q", 1), ("c", "p", 9), ("d", None, 1), ("e", "p", None), ("f", "p", 1), ("f", "p", 1)], "k string, fk string, n int")
+    tagged = evaluate(df, [UniqueKey("k"), ForeignKey("fk", parent, "pk"), Predicate(F.col("n") < 5, "big")])
+    assert [tuple(r) for r in tagged.accepted().collect()] == [("a", "p", 1)]
+    assert {(r.k, r.dq_reason) for r in tagged.rejected().collect()} == {
+        ("b", "unknown_fk"), ("c", "big"), ("d", "unknown_fk"), ("e", "big"), ("f", "duplicate_key")}
+    plan = tagged.accepted()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "coalesce" not in plan, plan

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from refinery.operators.history import scd1_merge
 from refinery.plans.pipelines import events_batch, quarantine, staged_counts, teams_batch
-from refinery.sources.tables import BRONZE_SCHEMAS, MALFORMED, bucketed_table, create_layers, read_bronze_csv, staging
+from refinery.functions.columns import packed_digest
+from refinery.sources.tables import BRONZE_SCHEMAS, MALFORMED, SILVER_SCHEMAS, bucketed_table, conform, create_layers, empty, moved, read_bronze_csv, staging
 
 
 def test_layers_are_created_once_per_environment(spark):
@@ -83,3 +84,21 @@ def test_rules_are_counted_during_the_one_write(spark, scratch):
             assert path not in df._jdf.queryExecution().optimizedPlan().toString() and path not in str(df.inputFiles())
         assert sorted(map(str, batch.accepted.collect())) == sorted(map(str, plain.accepted.collect()))
         assert sorted(map(str, batch.tagged.rejected().collect())) == sorted(map(str, plain.tagged.rejected().collect()))
+
+
+def test_digests_travel_packed_and_come_back(spark, scratch):
+    texts = ["0a" * 32, "0A" * 32, "0a" * 31, "0a" * 32 + "\n", "", "h1", None]
+    df = spark.createDataFrame([(t,) for t in texts], "hash_key string")
+    assert sorted(r[0] or "-" for r in moved(df, lambda rows: rows.repartition(3)).collect()) == sorted(t or "-" for t in texts)
+    assert sorted(r[0] or 0 for r in df.select(F.octet_length(packed_digest("hash_key"))).collect()) == sorted(
+        [0 if t is None else 32 if t == texts[0] else 33 + len(t) for t in texts])
+    with staging(spark) as stage:
+        assert all(f.endswith(".zstd.parquet") for f in stage(df, "digests").inputFiles())
+
+
+def test_a_merge_into_no_rows_moves_nothing(spark):
+    batch = spark.createDataFrame([("R1", "0a" * 32)], "event_rsvp_id string, hash_key string")
+    schema = SILVER_SCHEMAS["event_rsvps_refined"]
+    merged = scd1_merge(empty(spark, schema), conform(batch.select("*", *[F.lit(None).alias(c) for c in schema.names if c not in batch.columns]), schema), ["event_rsvp_id"])
+    assert [(r.event_rsvp_id, r.hash_key, r.change) for r in merged.collect()] == [("R1", "0a" * 32, "new")]
+    assert "Join" not in merged._jdf.queryExecution().optimizedPlan().toString()
