@@ -23,6 +23,7 @@ from refinery.operators.enrich import add_datekeys, add_geography
 from refinery.operators.history import (
     ACTIVE,
     CHANGE,
+    CHANGES,
     apply_change_set,
     apply_splice,
     as_of_column,
@@ -218,9 +219,15 @@ def write_changes(store: ParquetTables, table: str, merged: DataFrame, stage) ->
     returns the rows per change label (none: nothing written).
 
     The change set is staged once, counted, and applied to the buckets that
-    hold one of its keys; no other stored row is read again or rewritten.
+    hold one of its keys; no other stored row is read again or rewritten.  A
+    table that does not exist yet is written at once, and counted meanwhile.
     """
     silver, key = SILVER[table], KEYS[table]
+    if not store.exists(silver):
+        seen = Observation()
+        counted = change_set(merged).observe(seen, *[F.count_if(F.col(CHANGE) == c).alias(c) for c in CHANGES])
+        store.write(silver, counted.drop(CHANGE), key, f"{TIMES[table]}_datekey")
+        return {c: n for c, n in seen.get.items() if n}
     changes = stage(change_set(merged), silver)
     counts = {r[CHANGE]: r["rows"] for r in change_counts(changes).collect()}
     if counts:
@@ -302,7 +309,8 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], store: ParquetTab
     Per table the tagged rows are written once for their two readers (merge
     and rejected rows), and the rules are counted during that write; these,
     digests, change set and rejected rows are staged and deleted with the
-    refresh.
+    refresh.  With neither a quarantine nor ``rule_counts`` the merge is the
+    only reader, and takes the accepted rows as they come.
     """
     stats: dict[str, dict[str, int]] = {}
     states: dict[str, str] = {}
@@ -334,7 +342,9 @@ def refresh(spark: SparkSession, bronze: dict[str, DataFrame], store: ParquetTab
             states[table] = uuid.uuid4().hex
             store.replace(f"digests/{table}", digests.select("*", F.lit(settings).alias("settings"), F.lit(states[table]).alias("state")))
 
-        through = staged_counts(stage, {} if rule_counts is None else rule_counts)
+        through = None
+        if keep_quarantine or rule_counts is not None:
+            through = staged_counts(stage, {} if rule_counts is None else rule_counts)
         step("teams", lambda raw: teams_batch(raw, through=through))
         # memberships and events depend only on teams: submit both as
         # concurrent Spark jobs (one driver thread each)

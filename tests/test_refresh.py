@@ -1,12 +1,14 @@
 """End-to-end refresh against stored tables."""
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
 import refinery.plans.pipelines as pipelines
 from refinery.operators.ranges import BITS, differing_ranges, in_ranges, key_range, range_digests
 from refinery.plans.pipelines import read_quarantine, refresh
+from refinery.plans.queries import QUERIES
 from refinery.sources.fixtures import bronze_tables
 from refinery.sources.tables import SILVER_SCHEMAS, ParquetTables, checkpoint_root
 
@@ -162,3 +164,26 @@ def test_date_key_filter_reaches_the_scan(spark, scratch):
     refresh(spark, bronze_tables(spark, SF["0.001"], 1), store, as_of="2024-01-01 00:00:00", keep_quarantine=False)
     plan = store.read("event_rsvps_refined").where("responded_at_datekey >= 19980101")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(responded_at_datekey,19980101)" in plan
+
+
+def test_without_a_quarantine_the_merge_is_the_only_reader(spark, scratch, monkeypatch):
+    d, names, whole = SF["0.001"], [], pipelines.staging
+
+    @contextmanager
+    def watched(session):
+        with whole(session) as stage:
+            yield lambda df, name: names.append(name) or stage(df, name)
+
+    monkeypatch.setattr(pipelines, "staging", watched)
+    store = ParquetTables(spark, scratch, buckets=4)
+    first = refresh(spark, bronze_tables(spark, d), store, as_of="2024-01-01 00:00:00", keep_quarantine=False)
+    # neither the tagged rows nor the change set of a first load are stored in between
+    assert {n.split("_")[0] for n in names} == {"digests"}
+    kept = ParquetTables(spark, f"{scratch}-kept", buckets=4)
+    assert refresh(spark, bronze_tables(spark, d), kept, as_of="2024-01-01 00:00:00") == first
+    for name in SILVER_SCHEMAS:
+        assert store.read(name).exceptAll(kept.read(name)).count() == 0 == kept.read(name).exceptAll(store.read(name)).count()
+
+
+def test_the_quarters_are_counted_from_stored_rows(spark):
+    assert not any("lineitem" in f for f in QUERIES["rsvps_by_quarter"](spark, SF["0.001"]).inputFiles())
