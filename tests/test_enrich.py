@@ -87,6 +87,47 @@ def test_pairs_per_point_do_not_grow_with_clustered_places(spark):
     assert mean[1] < 1.5 * mean[0] and mean[1] < 40
 
 
+def _shuffled_bytes(plan) -> int:
+    """Bytes written by the exchanges of a plan that has run."""
+    kind = plan.getClass().getSimpleName()
+    if kind.startswith("Reused"):
+        return 0
+    if kind == "AdaptiveSparkPlanExec":
+        return _shuffled_bytes(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _shuffled_bytes(plan.plan())
+    own = plan.metrics().apply("shuffleBytesWritten").value() if kind == "ShuffleExchangeExec" else 0
+    below = plan.children()
+    return own + sum(_shuffled_bytes(below.apply(i)) for i in range(below.size()))
+
+
+def test_near_points_go_down_together(spark):
+    """Points of a few cubes: what is shuffled does not hold a list per point;
+    a full cube of the last level (places 100 m around) loses none."""
+    rng = random.Random(11)
+    places = [(i, 59 + rng.random(), 10 + 2 * rng.random(), f"c{i}", "s") for i in range(3000)]
+    places += [(i, 59.51 + rng.random() / 1000, 11.01 + rng.random() / 500, f"c{i}", "s") for i in range(3000, 3600)]
+    points = [(59.5 + rng.random() / 50, 11 + rng.random() / 50) for _ in range(6000)] + [(59.7, 9.8), (60.1, 11.0)]
+    qdf = spark.createDataFrame(points, "latitude double, longitude double")
+    pdf = spark.createDataFrame(places, "place_id long, latitude double, longitude double, county string, state string")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, "-1")
+        found = nearest_place(qdf, pdf, radius_km=50.0)
+        got = {(r.latitude, r.longitude): (r.place_id, r.distance_km) for r in found.collect()}
+        moved = _shuffled_bytes(found._jdf.queryExecution().executedPlan())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == len(set(points))
+    for q in points[::40] + points[-2:]:
+        best = min((round(_hav(q, p[1:3]), 6), p[0]) for p in places)
+        assert got[q][0] == best[1] or abs(got[q][1] - best[0]) < 2e-6, q
+    assert moved < 1700 * len(points), moved / len(points)
+
+
 def _inside(rings, x, y):
     hits = 0
     for ring in rings:
