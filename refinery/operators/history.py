@@ -81,20 +81,36 @@ def is_active() -> Column:
     return F.coalesce(F.col(ACTIVE), F.lit(False))
 
 
-def _prefixed(df: DataFrame, prefix: str, marker: str) -> DataFrame:
+# The two sides of a merge, the table and the batch, are told apart by
+# qualifiers.  Renaming their columns instead lets the optimizer state every
+# constraint of a row (its digest names all columns) once for each choice of
+# old and new names, which grows as 2^columns and ends in the driver's memory.
+T, B = "__table", "__batch"
+IN_T, IN_B = "__t", "__b"
+
+
+def _of(side: str, column: str) -> Column:
+    return F.col(f"{side}.`{column}`")
+
+
+def _side(df: DataFrame, marker: str) -> DataFrame:
     """One side of a merge, its digest packed for the shuffle."""
-    value = {HASH: packed_digest(HASH)}
-    return df.select(*[value.get(c, F.col(c)).alias(prefix + c) for c in df.columns], F.lit(True).alias(marker))
+    return df.withColumns({**({HASH: packed_digest(HASH)} if HASH in df.columns else {}), marker: F.lit(True)})
+
+
+def _value(side: str, column: str) -> Column:
+    """A column of one side as it was before :func:`_side`."""
+    return unpacked_digest(_of(side, column)) if column == HASH else _of(side, column)
 
 
-def _unpacked(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: unpacked_digest(c) for c in columns if c in df.columns})
+def _unpacked(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: unpacked_digest(c) for c in (HASH,) if c in df.columns})
 
 
 def _on(keys: list[str], left: str, right: str) -> Column:
     cond = None
     for k in keys:
-        c = F.col(left + k) == F.col(right + k)
+        c = _of(left, k) == _of(right, k)
         cond = c if cond is None else cond & c
     return cond
 
@@ -109,7 +125,7 @@ def changed_rows(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFr
     not in the target).  Comparing the key as well as the digest keeps a new
     key whose other values equal a stored row."""
     packed = [df.withColumn(HASH, packed_digest(HASH)) for df in (batch, target.select(*keys, HASH))]
-    return _unpacked(packed[0].join(packed[1], on=[*keys, HASH], how="left_anti"), HASH).select(*batch.columns)
+    return _unpacked(packed[0].join(packed[1], on=[*keys, HASH], how="left_anti")).select(*batch.columns)
 
 
 def scd1_merge(target: DataFrame, batch: DataFrame, keys: list[str],
@@ -122,13 +138,13 @@ def scd1_merge(target: DataFrame, batch: DataFrame, keys: list[str],
     without a batch row stay (type 1 never deletes).
     """
     cols = list(target.columns)
-    t = _prefixed(target, "t_", "__t")
-    b = _prefixed(batch.select(*cols), "b_", "__b")
-    j = t.join(b, _on(keys, "t_", "b_"), "full_outer")
+    t = _side(target, IN_T).alias(T)
+    b = _side(batch.select(*cols), IN_B).alias(B)
+    j = t.join(b, _on(keys, T, B), "full_outer")
     change = (
-        F.when(F.col("__t").isNull(), F.lit("new"))
-        .when(F.col("__b").isNull(), F.lit("kept"))
-        .when(F.col("t_" + HASH) == F.col("b_" + HASH), F.lit("same"))
+        F.when(F.col(IN_T).isNull(), F.lit("new"))
+        .when(F.col(IN_B).isNull(), F.lit("kept"))
+        .when(_of(T, HASH) == _of(B, HASH), F.lit("same"))
         .otherwise(F.lit("changed"))
     )
     j = j.withColumn(CHANGE, change)
@@ -136,8 +152,8 @@ def scd1_merge(target: DataFrame, batch: DataFrame, keys: list[str],
     out = []
     for c in cols:
         use_b = (F.col(CHANGE) == "new") if c in preserve else take_batch
-        out.append(F.when(use_b, F.col("b_" + c)).otherwise(F.col("t_" + c)).alias(c))
-    return _unpacked(j.select(*out, CHANGE), HASH)
+        out.append(F.when(use_b, _of(B, c)).otherwise(_of(T, c)).alias(c))
+    return _unpacked(j.select(*out, CHANGE))
 
 
 def apply_scd1(target: DataFrame, batch: DataFrame, keys: list[str],
@@ -162,24 +178,24 @@ def _scd2_join(target: DataFrame, accepted: DataFrame, keys: list[str],
     """
     cols = list(target.columns)
     active = target.where(is_active())
-    t = _prefixed(active, "t_", "__t")
-    b = _prefixed(accepted.select(*cols), "b_", "__b")
+    t = _side(active, IN_T)
+    b = _side(accepted.select(*cols), IN_B)
     if present is not None:
         p = (present.select(*keys).where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).distinct()
-             .select(*[F.col(k).alias("b_" + k) for k in keys], F.lit(True).alias("__p")))
-        b = p.join(b, on=["b_" + k for k in keys], how="left")
+             .withColumn("__p", F.lit(True)))
+        b = p.join(b, on=keys, how="left")
     else:
         b = b.withColumn("__p", F.lit(True))
-    j = t.join(b, _on(keys, "t_", "b_"), "full_outer")
+    j = t.alias(T).join(b.alias(B), _on(keys, T, B), "full_outer")
     change = (
-        F.when(F.col("__t").isNull() & F.col("__b").isNotNull(), F.lit("new"))
-        .when(F.col("__t").isNull(), F.lit(None).cast("string"))
-        .when(F.col("__b").isNotNull() & (F.col("t_" + HASH) == F.col("b_" + HASH)), F.lit("same"))
-        .when(F.col("__b").isNotNull(), F.lit("changed"))
+        F.when(F.col(IN_T).isNull() & F.col(IN_B).isNotNull(), F.lit("new"))
+        .when(F.col(IN_T).isNull(), F.lit(None).cast("string"))
+        .when(F.col(IN_B).isNotNull() & (_of(T, HASH) == _of(B, HASH)), F.lit("same"))
+        .when(F.col(IN_B).isNotNull(), F.lit("changed"))
         .when(F.col("__p").isNotNull(), F.lit("held"))
         .otherwise(F.lit("departed" if departures else "kept"))
     )
-    return _unpacked(j.withColumn(CHANGE, change).where(F.col(CHANGE).isNotNull()), "t_" + HASH, "b_" + HASH), cols
+    return j.withColumn(CHANGE, change).where(F.col(CHANGE).isNotNull()), cols
 
 
 def scd2_changes(accepted: DataFrame, target: DataFrame, keys: list[str],
@@ -189,8 +205,8 @@ def scd2_changes(accepted: DataFrame, target: DataFrame, keys: list[str],
     (returned as stored, still active)."""
     j, cols = _scd2_join(target, accepted, keys, present)
     new_versions = j.where(F.col(CHANGE).isin("new", "changed")).select(
-        *[F.col("b_" + c).alias(c) for c in cols])
-    departed = j.where(F.col(CHANGE) == "departed").select(*[F.col("t_" + c).alias(c) for c in cols])
+        *[_value(B, c).alias(c) for c in cols])
+    departed = j.where(F.col(CHANGE) == "departed").select(*[_value(T, c).alias(c) for c in cols])
     return new_versions, departed
 
 
@@ -207,21 +223,21 @@ def scd2_merge(target: DataFrame, accepted: DataFrame, keys: list[str], as_of=No
     """
     j, cols = _scd2_join(target, accepted, keys, present, departures)
     ch = F.col(CHANGE)
-    closed_at = F.when(ch == "changed", F.col("b_" + VALID_FROM)).otherwise(as_of_column(as_of))
+    closed_at = F.when(ch == "changed", _of(B, VALID_FROM)).otherwise(as_of_column(as_of))
     closing = ch.isin("changed", "departed")
 
     old_fields = []
     for c in cols:
-        v = F.col("t_" + c)
+        v = _value(T, c)
         if c == ACTIVE:
             v = F.when(closing, F.lit(False)).otherwise(v)
         elif c == VALID_TO:
             v = F.when(closing, closed_at.cast("timestamp")).otherwise(v)
         old_fields.append(v.alias(c))
     old_label = F.when(ch == "changed", F.lit("superseded")).otherwise(ch)
-    old = F.when(F.col("__t").isNotNull(), F.struct(*old_fields, old_label.alias(CHANGE)))
+    old = F.when(F.col(IN_T).isNotNull(), F.struct(*old_fields, old_label.alias(CHANGE)))
     new = F.when(ch.isin("new", "changed") & F.lit(append),
-                 F.struct(*[F.col("b_" + c).alias(c) for c in cols], ch.alias(CHANGE)))
+                 F.struct(*[_value(B, c).alias(c) for c in cols], ch.alias(CHANGE)))
     versions = j.select(F.inline(F.filter(F.array(old, new), lambda s: s.isNotNull())))
     history = target.where(~is_active()).select(*cols, F.lit("history").alias(CHANGE))
     return history.unionByName(versions)

@@ -162,3 +162,22 @@ def test_scenario_invariants(spark):
         assert final.where(~F.col(ACTIVE) & F.col(VALID_TO).isNull()).count() == 0
         assert final.where(F.col(ACTIVE) & F.col(VALID_TO).isNotNull()).count() == 0
         assert list(final.columns) == SILVER_SCHEMAS[f"{table}_refined"].names
+
+
+def test_merges_state_constraints_once_per_row(spark):
+    """The digest names every column.  If a merge renames them, the optimizer
+    states that constraint for each choice of old and new names, 2^columns."""
+    columns = [f"c{i}" for i in range(9)]
+    rows = spark.createDataFrame([("a", *columns, D1), ("b", *columns, D1)], f"k string, {', '.join(f'{c} string' for c in columns)}, ts timestamp")
+    batch = stamp_scd2(rows, "ts")
+    nothing = batch.where(F.lit(False))
+    merged = scd2_merge(nothing, batch, ["k"], D1)
+    plan, found = merged._jdf.queryExecution().optimizedPlan(), []
+    while plan.children().size():
+        if plan.nodeName() == "Project":
+            found.append(plan.getAllValidConstraints(plan.projectList()).size())
+        plan = plan.children().apply(0)
+    assert found and max(found) < 2 ** len(columns)
+    # a chain of them is planned and gives its rows
+    final = apply_scd2(apply_scd2(merged.drop(CHANGE), batch.where("k = 'a'"), ["k"], D2), batch, ["k"], D3)
+    assert sorted((r.k, r[ACTIVE], r[VALID_TO]) for r in final.collect()) == [("a", True, None), ("b", False, D2), ("b", True, None)]
