@@ -51,8 +51,13 @@ def row_digest(columns: list[str]) -> Column:
     column's value can be shifted into its neighbour.  Text forms of
     timestamps follow the session time zone (pin it to UTC).
     """
+    return digest_of([F.col(name) for name in columns])
+
+
+def digest_of(values: list[Column]) -> Column:
+    """:func:`row_digest` of columns given as such."""
     parts = []
-    for name in columns:
-        text = F.col(name).cast("string")
+    for value in values:
+        text = value.cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
     return F.sha2(F.concat(*parts), 256)

@@ -25,7 +25,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.functions.columns import packed_digest, row_digest, unpacked_digest
+from refinery.functions.columns import digest_of, packed_digest, row_digest, unpacked_digest
 from refinery.operators.timeline import SLICE_ROWS, with_next
 from refinery.sources.tables import keyed_side
 
@@ -33,6 +33,7 @@ HASH = "hash_key"
 CREATED, UPDATED = "system_created_at", "system_updated_at"
 ACTIVE, VALID_FROM, VALID_TO = "system_is_active", "system_valid_from", "system_valid_to"
 CHANGE = "change"
+REPLACED = "replaced"
 SCD1_SYSTEM = (HASH, CREATED, UPDATED)
 SCD2_SYSTEM = (HASH, ACTIVE, VALID_FROM, VALID_TO)
 
@@ -129,22 +130,29 @@ def changed_rows(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFr
 
 
 def scd1_merge(target: DataFrame, batch: DataFrame, keys: list[str],
-               preserve: tuple[str, ...] = (CREATED,)) -> DataFrame:
+               preserve: tuple[str, ...] = (CREATED,), replaced: tuple[str, ...] = (),
+               digest_columns: list[str] | None = None) -> DataFrame:
     """Upsert ``batch`` into ``target`` on ``keys`` → next table + ``change``.
 
     Matched and different: batch values, except ``preserve`` columns keep the
     stored value (the creation time survives updates).  Matched and equal:
     the stored row untouched.  Unmatched batch rows are inserted; stored rows
-    without a batch row stay (type 1 never deletes).
+    without a batch row stay (type 1 never deletes).  ``replaced`` names
+    columns whose stored values a ``changed`` row brings along, as the struct
+    ``replaced``, for readers that would join the stored table again for them.
+    ``digest_columns``: the batch's digest is that of these columns, which
+    travel anyway, so it is taken after the join and does not travel.
     """
     cols = list(target.columns)
     t = _side(target, IN_T).alias(T)
-    b = _side(batch.select(*cols), IN_B).alias(B)
+    b = _side(batch.select(*[c for c in cols if c != HASH or not digest_columns]), IN_B).alias(B)
     j = t.join(b, _on(keys, T, B), "full_outer")
+    taken = F.when(F.col(IN_B), F.unhex(digest_of([_of(B, c) for c in digest_columns]))) if digest_columns else _of(B, HASH)
+    j = j.withColumn("__digest", taken)
     change = (
         F.when(F.col(IN_T).isNull(), F.lit("new"))
         .when(F.col(IN_B).isNull(), F.lit("kept"))
-        .when(_of(T, HASH) == _of(B, HASH), F.lit("same"))
+        .when(_of(T, HASH) == F.col("__digest"), F.lit("same"))
         .otherwise(F.lit("changed"))
     )
     j = j.withColumn(CHANGE, change)
@@ -152,8 +160,9 @@ def scd1_merge(target: DataFrame, batch: DataFrame, keys: list[str],
     out = []
     for c in cols:
         use_b = (F.col(CHANGE) == "new") if c in preserve else take_batch
-        out.append(F.when(use_b, _of(B, c)).otherwise(_of(T, c)).alias(c))
-    return _unpacked(j.select(*out, CHANGE))
+        out.append(F.when(use_b, F.col("__digest") if c == HASH else _of(B, c)).otherwise(_of(T, c)).alias(c))
+    old = [F.when(F.col(CHANGE) == "changed", F.struct(*[_of(T, c).alias(c) for c in replaced])).alias(REPLACED)] if replaced else []
+    return _unpacked(j.select(*out, CHANGE, *old))
 
 
 def apply_scd1(target: DataFrame, batch: DataFrame, keys: list[str],

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import datekey
-from refinery.operators.history import ACTIVE, CHANGE, VALID_FROM, VALID_TO
+from refinery.operators.history import ACTIVE, CHANGE, REPLACED, VALID_FROM, VALID_TO
 from refinery.operators.timeline import SLICE_ROWS, carried
 
 
@@ -89,13 +89,24 @@ def trend_grain(rsvps: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rsvps"))
 
 
+# What the trend counts of an RSVP.
+TREND_COLUMNS = ("event_id", "responded_at_datekey", "rsvp_status")
+
+
 def trend_deltas(stored: DataFrame, changes: DataFrame) -> DataFrame:
     """Signed counts per event, month and status of a type-1 change set
     (``changes`` of :func:`refinery.operators.history.change_set`) against the
-    table before it: superseded rows count -1, new ones +1."""
-    replaced = stored.join(changes.where(F.col(CHANGE) == "changed").select("event_rsvp_id"), "event_rsvp_id", "left_semi")
-    columns = ["event_id", "responded_at_datekey", "rsvp_status"]
-    signed = replaced.select(*columns, F.lit(-1).alias("sign")).unionByName(changes.select(*columns, F.lit(1).alias("sign")))
+    table before it: superseded rows count -1, new ones +1.  A change set
+    whose rows bring their superseded values along (``scd1_merge`` with
+    ``replaced=TREND_COLUMNS``) is read alone, others are joined to the table
+    for them."""
+    if REPLACED in changes.columns:
+        old = F.when(F.col(REPLACED).isNotNull(), F.struct(*[F.col(f"{REPLACED}.{c}").alias(c) for c in TREND_COLUMNS], F.lit(-1).alias("sign")))
+        new = F.struct(*TREND_COLUMNS, F.lit(1).alias("sign"))
+        signed = changes.select(F.inline(F.filter(F.array(old, new), lambda s: s.isNotNull())))
+    else:
+        replaced = stored.join(changes.where(F.col(CHANGE) == "changed").select("event_rsvp_id"), "event_rsvp_id", "left_semi")
+        signed = replaced.select(*TREND_COLUMNS, F.lit(-1).alias("sign")).unionByName(changes.select(*TREND_COLUMNS, F.lit(1).alias("sign")))
     return signed.groupBy("event_id", (F.col("responded_at_datekey") / 100).cast("int").alias("month_key"), "rsvp_status").agg(
         F.sum("sign").alias("rsvps")).where(F.col("rsvps") != 0)
 
@@ -106,34 +117,36 @@ def _teams(events: DataFrame) -> DataFrame:
 
 
 def maintain_trend(trend: DataFrame, grain: DataFrame, deltas: DataFrame, events_before: DataFrame,
-                   events_after: DataFrame) -> tuple[DataFrame, DataFrame]:
+                   events_after: DataFrame, keep=lambda df: df) -> tuple[DataFrame, DataFrame]:
     """(trend, grain) after ``deltas`` (:func:`trend_deltas`) and a change of
     the events, without the RSVPs.
 
-    Only the grain rows of events that have a delta, or whose active team is
-    another than before, are read.  Each takes its old count from its old
-    team's group and adds its new count to its new team's; the signed sums are
-    added to the stored trend, and a group that comes to nothing goes.  Both
-    changes may come at once.
+    The grain and the deltas move once, by event, and are summed to an old and
+    a new count; ``keep`` may store these, as trend and grain both read them.
+    Only the counts of events that have a delta, or whose active team is
+    another than before, go on to the trend: each takes its old count from its
+    old team's group and adds its new count to its new team's; the signed sums
+    are added to the stored trend, and a group that comes to nothing goes.
+    Both changes may come at once.
     """
     keys = ["event_id", "month_key", "rsvp_status"]
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    zero = F.lit(0).cast("long")
+    lines = grain.select(*keys, F.col("rsvps").alias("old_n"), zero.alias("change")).unionByName(
+        deltas.select(*keys, zero.alias("old_n"), F.col("rsvps").alias("change")))
+    counts = keep(lines.repartition("event_id").groupBy(*keys).agg(
+        F.sum("old_n").alias("old_n"), (F.sum("old_n") + F.sum("change")).alias("new_n")))
     teams = _teams(events_before).withColumnRenamed("team_id", "old_team").join(
         _teams(events_after).withColumnRenamed("team_id", "new_team"), "event_id", "full_outer")
-    moved = teams.where(~same("old_team", "new_team")).select("event_id")
-    touched = moved.unionByName(deltas.select("event_id")).distinct()
-    counts = grain.join(touched, "event_id", "left_semi").select(*keys, F.col("rsvps").alias("old_n"), F.lit(0).cast("long").alias("change")).unionByName(
-        deltas.select(*keys, F.lit(0).cast("long").alias("old_n"), F.col("rsvps").alias("change")))
-    counts = counts.groupBy(*keys).agg(F.sum("old_n").alias("old_n"), (F.sum("old_n") + F.sum("change")).alias("new_n"))
-    both = counts.join(teams, "event_id")
+    touched = ~same("old_team", "new_team") | (F.col("old_n") != F.col("new_n"))
+    both = counts.join(teams, "event_id").where(touched)
     sides = F.array(F.struct(F.col("old_team").alias("team_id"), (-F.col("old_n")).alias("rsvps"), (-(F.col("old_n") > 0).cast("long")).alias("events")),
                     F.struct(F.col("new_team").alias("team_id"), F.col("new_n").alias("rsvps"), (F.col("new_n") > 0).cast("long").alias("events")))
     signed = both.select("month_key", "rsvp_status", F.inline(sides)).where(F.col("team_id").isNotNull() & (F.col("rsvps") != 0))
     group = ["team_id", "month_key", "rsvp_status"]
     summed = trend.select(*group, "rsvps", "events").unionByName(signed.select(*group, "rsvps", "events")).groupBy(*group).agg(
         F.sum("rsvps").alias("rsvps"), F.sum("events").alias("events")).where(F.col("rsvps") != 0)
-    after = grain.unionByName(deltas.select(*grain.columns)).groupBy(*keys).agg(F.sum("rsvps").alias("rsvps")).where(F.col("rsvps") != 0)
-    return summed, after
+    return summed, counts.where(F.col("new_n") != 0).select(*keys, F.col("new_n").alias("rsvps"))
 
 
 # Sizes of the stored sketches and the errors they state: the distinct count

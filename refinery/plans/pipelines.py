@@ -108,7 +108,8 @@ def _checked(table: str, bronze: DataFrame, rules: list[Rule], through: Through
     return through(tagged, table) if through else tagged
 
 
-def _silver_digest_columns(silver: str) -> list[str]:
+def silver_digest_columns(silver: str) -> list[str]:
+    """The columns whose digest is the ``hash_key`` of an accepted row."""
     system = {"hash_key", "system_created_at", "system_updated_at", "system_is_active",
               "system_valid_from", "system_valid_to"}
     return [f.name for f in SILVER_SCHEMAS[silver].fields if f.name not in system]
@@ -139,7 +140,7 @@ def teams_batch(bronze: DataFrame, changes: bool | str = False, through: Through
     rules = [*_readable(bronze), _own_key("team_id", changes), Timestamps(("created_at",)), *team_rules()]
     t = _checked("teams", bronze, rules, through)
     acc = add_datekeys(t.accepted(), ["created_at"])
-    acc = stamp_scd1(acc, "created_at", digest_columns=_silver_digest_columns("teams_refined"))
+    acc = stamp_scd1(acc, "created_at", digest_columns=silver_digest_columns("teams_refined"))
     return _batch("teams", t, acc, changes)
 
 
@@ -148,7 +149,7 @@ def memberships_batch(bronze: DataFrame, teams: DataFrame, changes: bool | str =
              Timestamps(("joined_at",)), *membership_rules()]
     t = _checked("memberships", bronze, rules, through)
     acc = add_datekeys(t.accepted(), ["joined_at"])
-    acc = stamp_scd2(acc, "joined_at", digest_columns=_silver_digest_columns("memberships_refined"))
+    acc = stamp_scd2(acc, "joined_at", digest_columns=silver_digest_columns("memberships_refined"))
     return _batch("memberships", t, acc, changes)
 
 
@@ -159,7 +160,7 @@ def events_batch(bronze: DataFrame, teams: DataFrame, places: DataFrame | None =
     t = _checked("events", bronze, rules, through)
     acc = add_geography(t.accepted(), places, radius_km=radius_km)
     acc = add_datekeys(acc, list(ts))
-    acc = stamp_scd2(acc, "created_at", digest_columns=_silver_digest_columns("events_refined"))
+    acc = stamp_scd2(acc, "created_at", digest_columns=silver_digest_columns("events_refined"))
     return _batch("events", t, acc, changes)
 
 
@@ -173,7 +174,7 @@ def rsvps_batch(bronze: DataFrame, memberships: DataFrame, events: DataFrame, ch
              *rsvp_rules(m, e, check_keys=True, between=(Timestamps(("responded_at",)),))]
     t = _checked("event_rsvps", bronze, rules, through)
     acc = add_datekeys(t.accepted(), ["responded_at"])
-    acc = stamp_scd1(acc, "responded_at", digest_columns=_silver_digest_columns("event_rsvps_refined"))
+    acc = stamp_scd1(acc, "responded_at", digest_columns=silver_digest_columns("event_rsvps_refined"))
     return _batch("event_rsvps", t, acc, changes)
 
 

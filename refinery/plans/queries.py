@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from refinery.operators.enrich import add_datekeys, nearest_place
 from refinery.operators.history import (
     ACTIVE,
     CHANGE,
+    REPLACED,
     VALID_TO,
     append_versions,
     change_set,
@@ -47,6 +49,7 @@ from refinery.functions.columns import row_digest
 from refinery.plans.marts import (
     DISTINCT_ERROR,
     RANK_ERROR,
+    TREND_COLUMNS,
     by_calendar,
     calendar,
     daily_rolling,
@@ -70,13 +73,15 @@ from refinery.plans.pipelines import (
     read_quarantine,
     refresh,
     rsvps_batch,
+    silver_digest_columns,
     staged_counts,
     teams_batch,
 )
-from refinery.sources.fixtures import areas_from_customers, bronze_tables, clustered_places, places_from_customers, points_around
+from refinery.sources.fixtures import JOINED, areas_from_customers, bronze_tables, clustered_places, places_from_customers, points_around
 from refinery.sources.tables import BRONZE_SCHEMAS, SILVER_SCHEMAS, ParquetTables, bucketed_table, checkpoint_root, conform, empty, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
+Store = Callable[[DataFrame, str], DataFrame]
 
 # Refresh times of the three scenario batches.
 AS_OF = ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00")
@@ -95,9 +100,12 @@ class Silver:
     first use (building a plan has a cost of its own)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, batch: int | None = None,
-                 teams_parent: DataFrame | None = None):
-        self.bronze = bronze_tables(spark, sf_dir, batch)
+                 teams_parent: DataFrame | None = None, joined: dict[str, DataFrame] | None = None, store: Store | None = None):
+        """``joined`` as in :func:`bronze_tables`; with a ``store`` the
+        accepted events, which RSVPs and a history read, are stored once."""
+        self.bronze = bronze_tables(spark, sf_dir, batch, joined)
         self._teams_parent = teams_parent
+        self._store, self._name = store, f"batch_{batch or 'full'}"
         self._built: dict[str, Batch] = {}
 
     def _get(self, name: str, build) -> Batch:
@@ -119,7 +127,11 @@ class Silver:
 
     @property
     def events(self) -> Batch:
-        return self._get("events", lambda: events_batch(self.bronze["events"], self.parent))
+        def build() -> Batch:
+            batch = events_batch(self.bronze["events"], self.parent)
+            return replace(batch, accepted=self._store(batch.accepted, f"{self._name}_events")) if self._store else batch
+
+        return self._get("events", build)
 
     @property
     def rsvps(self) -> Batch:
@@ -131,14 +143,22 @@ class Scenario:
     """Three batches (FIXTURES.md section 5) through teams (type 1) and
     memberships / events (type 2); parents are the accepted teams of the
     whole data.  ``states[t][i]`` is the merged frame (with ``change``) of
-    table t after batch i+1, built on first use."""
+    table t after batch i+1, built on first use.
+
+    With a ``store``, what several steps read is stored once: the joins below
+    the bronze tables, the parents, the accepted events, and every state, so
+    that a batch is merged into the stored state before it and the work grows
+    with the number of batches, not with its square."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, close_rejected: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, close_rejected: bool = False, store: Store | None = None):
         self.spark = spark
         self.close_rejected = close_rejected
-        full = Silver(spark, sf_dir)
-        parent = full.teams.accepted
-        self.batches = [Silver(spark, sf_dir, 1, parent), Silver(spark, sf_dir, 2, parent), full]
+        self.store = store
+        joined = _stored_joins(spark, sf_dir, store) if store else None
+        parent = Silver(spark, sf_dir).teams.accepted
+        if store:
+            parent = store(parent, "teams_parent")
+        self.batches = [Silver(spark, sf_dir, b, parent, joined, store) for b in (1, 2, None)]
         self.states = _LazyStates(self)
 
     def _build(self, table: str) -> list[DataFrame]:
@@ -147,6 +167,8 @@ class Scenario:
         for i, b in enumerate(self.batches):
             batch: Batch = getattr(b, table)
             merged = merge_batch(batch, target, AS_OF[i], b.bronze[table], self.close_rejected)
+            if self.store:
+                merged = self.store(merged, f"{table}_{i + 1}")
             out.append(merged)
             target = merged.drop(CHANGE)
         return out
@@ -312,6 +334,12 @@ def _stored_bronze(spark: SparkSession, sf_dir: str, batch: int | None = None) -
     return {name: store(bronze_tables(spark, sf_dir, batch)[name], name) for name in BRONZE_SCHEMAS}
 
 
+def _stored_joins(spark: SparkSession, sf_dir: str, store: Store, names: tuple[str, ...] = tuple(JOINED)) -> dict[str, DataFrame]:
+    """The joins below the bronze tables, stored once each for a query that
+    derives several batches from them."""
+    return {name: store(JOINED[name](spark, sf_dir), f"joined_{name}") for name in names}
+
+
 def _late_versions(spark, d):
     """Membership versions that arrive in the order of batches 2, 3, 1, so
     that batch 3 holds versions older than the stored ones; keys that batch 1
@@ -341,16 +369,18 @@ def _trend_incremental(spark, d):
     """The trend after each of the three batches, carried on from the one
     before by the batch's changes alone."""
     store = _stored(spark)
-    sc = Scenario(spark, d)
+    sc = Scenario(spark, d, store=store)
     rsvps = empty(spark, SILVER_SCHEMAS["event_rsvps_refined"])
     events = empty(spark, SILVER_SCHEMAS["events_refined"])
     grain, trend, out = trend_grain(rsvps), monthly_trend(rsvps, events), None
+    digest = silver_digest_columns("event_rsvps_refined")
     for i, batch in enumerate(sc.batches):
-        merged = store(scd1_merge(rsvps, batch.rsvps.accepted, ["event_rsvp_id"]), f"rsvps_{i}")
-        events_next = store(sc.table("events", i + 1), f"events_{i}")
-        trend, grain = maintain_trend(trend, grain, store(trend_deltas(rsvps, change_set(merged)), f"deltas_{i}"), events, events_next)
-        trend, grain = store(trend, f"trend_{i}"), store(grain, f"grain_{i}")
-        rsvps, events = merged.drop(CHANGE), events_next
+        merged = store(scd1_merge(rsvps, batch.rsvps.accepted, ["event_rsvp_id"], replaced=TREND_COLUMNS, digest_columns=digest), f"rsvps_{i}")
+        events_next = sc.table("events", i + 1)
+        deltas = store(trend_deltas(rsvps, change_set(merged)), f"deltas_{i}")
+        trend, grain = maintain_trend(trend, grain, deltas, events, events_next, lambda df: store(df, f"counts_{i}"))  # noqa: B023
+        trend = store(trend, f"trend_{i}")
+        rsvps, events = merged.drop(CHANGE, REPLACED), events_next
         step = trend.withColumn("batch", F.lit(i + 1))
         out = step if out is None else out.unionByName(step)
     return out

@@ -7,11 +7,12 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from refinery.operators.history import ACTIVE, CHANGE, HASH, VALID_FROM, VALID_TO, change_set, scd1_merge, splice_changes, splice_versions
+from refinery.operators.history import ACTIVE, CHANGE, HASH, REPLACED, VALID_FROM, VALID_TO, change_set, scd1_merge, splice_changes, splice_versions
 from refinery.operators.timeline import SLICES, carried, time_slices, with_next
 from refinery.plans.marts import (
     DISTINCT_ERROR,
     RANK_ERROR,
+    TREND_COLUMNS,
     daily_sketches,
     maintain_trend,
     member_asof,
@@ -22,6 +23,8 @@ from refinery.plans.marts import (
     trend_deltas,
     trend_grain,
 )
+from refinery.plans.queries import QUERIES, Silver, ntz
+from refinery.sources import fixtures
 
 DAY0 = dt.datetime(2024, 1, 1)
 VERSION = f"k string, v string, {HASH} string, {ACTIVE} boolean, {VALID_FROM} timestamp, {VALID_TO} timestamp"
@@ -175,6 +178,53 @@ def test_trend_is_kept_up_by_changes(spark):
             map(str, (monthly_trend(rsvps, events).select(*sorted(trend.columns))).collect())), step
 
 
+def test_superseded_values_come_with_the_change_set(spark):
+    rng = random.Random(6)
+    schema = f"event_rsvp_id string, event_id string, responded_at_datekey int, rsvp_status long, {HASH} string, system_created_at timestamp"
+    first, second = (spark.createDataFrame([(f"r{i}", f"e{rng.randrange(8)}", 20240101, rng.randrange(3), str(rng.random()), DAY0) for i in rng.sample(range(90), 60)], schema)
+                     for _ in range(2))
+    plain, carrying = (scd1_merge(first, second, ["event_rsvp_id"], replaced=r) for r in ((), TREND_COLUMNS))
+    assert sorted(map(str, carrying.drop(REPLACED).collect())) == sorted(map(str, plain.collect()))
+    want = sorted(map(str, trend_deltas(first, change_set(plain)).collect()))
+    got = trend_deltas(first.where("false"), change_set(carrying))
+    assert want == sorted(map(str, got.collect())) and any("rsvps=-" in r for r in want)
+
+
+def shipped_tables(spark, folder):
+    """A few rows of each table that the bronze ones are derived from."""
+    at = dt.datetime(1996, 3, 1)
+    tables = {
+        "region": ([(0, "R")], "r_regionkey int, r_name string"),
+        "nation": ([(n, f"N{n}", 0) for n in range(3)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(c, f"C{c}", c % 3, 0.0, "BUILDING") for c in range(1, 61)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "orders": ([(o, 1 + o % 60, "O", 1.0, at + dt.timedelta(days=o % 90), "1") for o in range(1, 201)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": ([(o, o % 7, 1, n, at + dt.timedelta(days=(o + n) % 70)) for o in range(1, 201) for n in range(1, 6)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+
+
+@pytest.mark.parametrize("query", ["trend_incremental"])
+def test_batches_are_derived_from_joins_made_once(spark, scratch, monkeypatch, query):
+    shipped_tables(spark, scratch)
+    read, found = [], fixtures.read_shipped
+    monkeypatch.setattr(fixtures, "read_shipped", lambda s, d, name: read.append(name) or found(s, d, name))
+    rows = QUERIES[query](spark, scratch)
+    assert read.count("lineitem") == 1
+    parent = Silver(spark, scratch).teams.accepted
+    first, second = (Silver(spark, scratch, b, parent) for b in (1, 2))
+    if query == "trend_incremental":
+        want = monthly_trend(first.rsvps.accepted, first.events.accepted)
+        rows = rows.where("batch = 1")
+    else:
+        want = scd1_merge(first.rsvps.accepted, second.rsvps.accepted, ["event_rsvp_id"])
+        want = ntz(want)
+    got = sorted(map(str, rows.select(*want.columns).collect()))
+    assert got and got == sorted(map(str, want.collect()))
+
+
 def test_sketches_roll_up_without_members(spark):
     """Days to months to years, within the stated errors of exact counts."""
     rng = random.Random(11)
