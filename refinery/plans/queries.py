@@ -422,10 +422,12 @@ def _quarantine_observed(spark, d):
 def _upsert_bucketed(spark, d):
     """RSVPs of batch 2 into those of batch 1, stored in Spark's own buckets."""
     parent = Silver(spark, d).teams.accepted
-    first, second = (Silver(spark, d, b, parent).rsvps.accepted for b in (1, 2))
-    run = uuid.uuid4().hex
-    stored = bucketed_table(first, f"rsvps_{run}", "event_rsvp_id", f"{checkpoint_root(spark)}/refinery-queries/{run}", buckets=16, files_per_bucket=2)
-    return ntz(scd1_merge(stored, second, ["event_rsvp_id"]))
+    joined = _stored_joins(spark, d, _stored(spark), ("event_rsvps",))
+    first, second = (Silver(spark, d, b, parent, joined).rsvps.accepted for b in (1, 2))
+    run, digest = uuid.uuid4().hex, silver_digest_columns("event_rsvps_refined")
+    stored = bucketed_table(first, f"rsvps_{run}", "event_rsvp_id", f"{checkpoint_root(spark)}/refinery-queries/{run}", buckets=16, files_per_bucket=2,
+                            digest_columns=digest)
+    return ntz(scd1_merge(stored, second, ["event_rsvp_id"], digest_columns=digest))
 
 
 def _history_asof(spark, d):

@@ -33,7 +33,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from refinery.functions.columns import packed_digest, unpacked_digest
+from refinery.functions.columns import packed_digest, row_digest, unpacked_digest
 
 
 def _schema(*fields: tuple[str, object]) -> StructType:
@@ -85,10 +85,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.write.mode(mode).option("compression", "zstd").parquet(path)
 
 
-def moved(df: DataFrame, move) -> DataFrame:
-    """``move(df)`` (a shuffle) with the digests packed while they travel."""
+def moved(df: DataFrame, move, digest_columns: list[str] | None = None) -> DataFrame:
+    """``move(df)`` (a shuffle) with the digests packed while they travel, or
+    taken from ``digest_columns`` after it."""
     if "hash_key" not in df.columns:
         return move(df)
+    if digest_columns:
+        return move(df.drop("hash_key")).withColumn("hash_key", row_digest(digest_columns)).select(*df.columns)
     out = move(df.withColumn("hash_key", packed_digest("hash_key")))
     return out.withColumn("hash_key", unpacked_digest("hash_key"))
 
@@ -240,7 +243,8 @@ class ParquetTables:
         write_parquet(df, self.path(name), "overwrite")
 
 
-def bucketed_table(df: DataFrame, name: str, key: str, path: str, buckets: int = 64, files_per_bucket: int = 4) -> DataFrame:
+def bucketed_table(df: DataFrame, name: str, key: str, path: str, buckets: int = 64, files_per_bucket: int = 4,
+                   digest_columns: list[str] | None = None) -> DataFrame:
     """Writes ``df`` as a catalog table with Spark's own buckets, sorted by
     ``key`` within a file, and returns the table.
 
@@ -250,7 +254,9 @@ def bucketed_table(df: DataFrame, name: str, key: str, path: str, buckets: int =
     files.  Merges and joins on ``key`` then read the table without a shuffle:
     only the other side moves.  It suits tables that are merged whole; the
     buckets of :class:`ParquetTables` suit few changes, which replace some.
+    ``digest_columns``: the rows' digest is that of these columns, and is taken
+    from them after the rows are dealt.
     """
-    dealt = moved(df, lambda rows: rows.repartition(buckets * files_per_bucket, key))
+    dealt = moved(df, lambda rows: rows.repartition(buckets * files_per_bucket, key), digest_columns)
     dealt.write.mode("overwrite").format("parquet").options(path=path, compression="zstd").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     return df.sparkSession.table(name)

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from refinery.operators.history import scd1_merge
+from refinery.operators.history import scd1_merge, stamp_scd1
 from refinery.plans.pipelines import events_batch, quarantine, staged_counts, teams_batch
 from refinery.functions.columns import packed_digest
 from refinery.sources.tables import BRONZE_SCHEMAS, MALFORMED, SILVER_SCHEMAS, bucketed_table, conform, create_layers, empty, moved, read_bronze_csv, staging
@@ -96,6 +96,23 @@ def test_digests_travel_packed_and_come_back(spark, scratch):
         assert all(f.endswith(".zstd.parquet") for f in stage(df, "digests").inputFiles())
 
 
+def test_digests_of_travelling_columns_are_taken_after_the_move(spark, scratch):
+    digest, name = ["k", "v"], "digest_columns_test"
+    first, second = (stamp_scd1(spark.range(n).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") % 3 > m, "x").alias("v")), as_of="2024-01-01", digest_columns=digest)
+                     for n, m in ((60, 0), (80, 1)))
+    try:
+        stored = bucketed_table(first, name, "k", os.path.join(scratch, "t"), buckets=4, files_per_bucket=2, digest_columns=digest)
+        assert stored.columns == first.columns and sorted(map(str, stored.collect())) == sorted(map(str, first.collect()))
+        plain, late = (scd1_merge(stored, second, ["k"], digest_columns=c) for c in (None, digest))
+        assert sorted(map(str, late.collect())) == sorted(map(str, plain.collect()))
+        assert {r["change"] for r in late.select("change").distinct().collect()} == {"new", "changed", "same"}
+        lines = late._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        join = next(i for i, line in enumerate(lines) if "Join FullOuter" in line)
+        assert any("sha2(" in line for line in lines[:join]) and not any("sha2(" in line for line in lines[join:])
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_a_merge_into_no_rows_moves_nothing(spark):
     batch = spark.createDataFrame([("R1", "0a" * 32)], "event_rsvp_id string, hash_key string")
     schema = SILVER_SCHEMAS["event_rsvps_refined"]

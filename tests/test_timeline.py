@@ -206,7 +206,7 @@ def shipped_tables(spark, folder):
         spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
 
 
-@pytest.mark.parametrize("query", ["trend_incremental"])
+@pytest.mark.parametrize("query", ["trend_incremental", "scd1_upsert_bucketed"])
 def test_batches_are_derived_from_joins_made_once(spark, scratch, monkeypatch, query):
     shipped_tables(spark, scratch)
     read, found = [], fixtures.read_shipped
